@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, url_filter
+from . import packing, piece_codec, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_piece_codec": piece_codec.op3_piece_codec,
+        "op6_best_fit": packing.op6_best_fit,
         "op9_url_filter": url_filter.op9_url_filter,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
