@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,24 @@ GAP_CHARS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once an application, so that they need no installation."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        top = Path(__file__).resolve().parent.parent
+        to = Path(tempfile.mkdtemp(prefix="chainloom-code-")) / "chainloom_code.zip"
+        with zipfile.ZipFile(to, "w") as z:
+            for f in sorted(top.rglob("*.py")):
+                z.write(f, f.relative_to(top.parent))
+        spark.sparkContext.addPyFile(str(to))  # served by the driver
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
