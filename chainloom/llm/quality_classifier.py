@@ -42,6 +42,8 @@ class Training:
     per_class: int = 3000
     dim: int = 8
     epochs: int = 4
+    #: Steps at least, for small samples.
+    updates: int = 12_000
     rate: float = 0.5
     seed: int = 13
 
@@ -112,8 +114,9 @@ def train(examples: list[tuple[bytes, int]], conf: Training) -> np.ndarray:
         if found:
             buckets, n = np.unique(np.concatenate(found), return_counts=True)
             bags.append((buckets, (n / n.sum()).astype(np.float32), y))
-    steps, done = max(1, conf.epochs * len(bags)), 0
-    for _ in range(conf.epochs):
+    epochs = max(conf.epochs, -(-conf.updates // max(1, len(bags))))
+    steps, done = max(1, epochs * len(bags)), 0
+    for _ in range(epochs if bags else 0):
         for i in rng.permutation(len(bags)):
             buckets, weight, y = bags[i]
             rate = np.float32(conf.rate * (1 - done / steps))
