@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, piece_codec, quality_classifier, quality_rules, topk, url_filter
+from . import language_id, line_dedup, lm_scoring, ngram_join, packing, piece_codec, quality_classifier, quality_rules, topk, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": ngram_join.op1_ngram_join,
+        "op2_lm_scoring": lm_scoring.op2_lm_scoring,
         "op3_piece_codec": piece_codec.op3_piece_codec,
         "op4_maxscore": topk.op4_maxscore,
         "op5_quality_classifier": quality_classifier.op5_quality_classifier,
         "op6_best_fit": packing.op6_best_fit,
+        "op7_line_dedup": line_dedup.op7_line_dedup,
         "op8_language_id": language_id.op8_language_id,
         "op9_url_filter": url_filter.op9_url_filter,
         "op10_quality_rules": quality_rules.op10_quality_rules,
@@ -22,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_maxscore": topk.ORACLE, "op9_url_filter": url_filter.ORACLE}
+    return {"op1_ngram_join": ngram_join.ORACLE, "op4_maxscore": topk.ORACLE, "op9_url_filter": url_filter.ORACLE}
