@@ -5,11 +5,548 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import constants as K
+from ..functions import text as T
+from ..operators import dialogue as D
+from ..operators import graph as G
+from ..operators import metrics as M
+from ..operators import sampling as S
+from ..operators import selection as Q
+from ..sources import wire
+from . import bindings as B
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
+
+
+def _size(spark: SparkSession, d: str) -> DataFrame:
+    return B.read(spark, d, "part").agg(F.count_distinct("p_brand", "p_type").alias("n"))
+
+
+# Metrics
+
+_H = "CASE WHEN count(*) <= 1 THEN 0.0 ELSE log2(sum(n)) - sum(n * log2(n)) / sum(n) END"
+_SIGS = "sets AS (SELECT conv_id, list_sort(list_distinct(list(endpoint))) AS s FROM calls GROUP BY conv_id), sigs AS (SELECT c.*, coalesce(s, []) AS signature FROM convs c LEFT JOIN sets USING (conv_id))"
+_PER = "per AS (SELECT c.*, coalesce(n_calls, 0) AS n_calls, coalesce(n_tools, 0) AS n_tools, coalesce(n_endpoints, 0) AS n_endpoints FROM convs c LEFT JOIN (SELECT conv_id, count(*) AS n_calls, count(DISTINCT tool) AS n_tools, count(DISTINCT endpoint) AS n_endpoints FROM calls GROUP BY conv_id) USING (conv_id))"
+_USAGE = f"(SELECT round(CASE WHEN count(*) <= 1 THEN 0.0 ELSE ({_H}) / log2(count(*)) END, 9) FROM (SELECT endpoint, count(*) AS n FROM calls GROUP BY endpoint))"
+_UNIQUE = "(SELECT count(DISTINCT endpoint) FROM calls)"
+_REG = "(SELECT count(*) FROM (SELECT DISTINCT p_brand, p_type FROM part))"
+_TOP5 = "(SELECT round(sum(n) FILTER (r <= 5) / sum(n), 9) FROM (SELECT n, row_number() OVER (ORDER BY n DESC, endpoint) AS r FROM (SELECT endpoint, count(*) AS n FROM calls GROUP BY endpoint)))"
+_COMBO = f"(SELECT round({_H}, 9) FROM (SELECT signature, count(*) AS n FROM sigs GROUP BY signature))"
+_DOMAIN = f"(SELECT round(({_H}) / log2(count(*)), 9) FROM (SELECT category, count(*) AS n FROM cats GROUP BY category))"
+
+
+@query(f"{B.sql('calls')} SELECT {_USAGE} AS usage_entropy")
+def usage_entropy(spark, d):
+    return M.usage_entropy(B.calls(spark, d))
+
+
+@query(f"{B.sql('calls')} SELECT {_UNIQUE} AS unique_tools_used")
+def unique_tools(spark, d):
+    return M.unique_tools(B.calls(spark, d))
+
+
+@query(f"{B.sql('calls')} SELECT round({_UNIQUE} / {_REG}, 9) AS coverage_ratio")
+def coverage_ratio(spark, d):
+    return M.coverage(B.calls(spark, d), _size(spark, d))
+
+
+@query(f"{B.sql('calls')} SELECT {_TOP5} AS top5_concentration")
+def top5_concentration(spark, d):
+    return M.concentration(B.calls(spark, d))
+
+
+@query(f"{B.sql('calls', 'convs')}, {_SIGS} SELECT {_COMBO} AS combo_entropy")
+def combo_entropy(spark, d):
+    return M.combo_entropy(B.conversations(spark, d), B.calls(spark, d))
+
+
+@query(f"{B.sql('cats')} SELECT {_DOMAIN} AS domain_uniformity")
+def domain_uniformity(spark, d):
+    return M.domain_uniformity(B.categories(spark, d))
+
+
+@query(f"{B.sql('calls', 'convs')}, {_SIGS} SELECT count(DISTINCT signature) AS unique_chains, round(count(DISTINCT signature) / count(*), 9) AS chain_ratio FROM sigs")
+def chain_ratio(spark, d):
+    return M.chain_ratio(B.conversations(spark, d), B.calls(spark, d))
+
+
+@query(f"""{B.sql('calls', 'convs', 'cats')}, {_SIGS} SELECT {_USAGE} AS usage_entropy, {_UNIQUE} AS unique_tools_used, round({_UNIQUE} / {_REG}, 9) AS coverage_ratio,
+  {_TOP5} AS top5_concentration, {_COMBO} AS combo_entropy, (SELECT count(DISTINCT signature) FROM sigs) AS unique_chains, (SELECT round(count(DISTINCT signature) / count(*), 9) FROM sigs) AS chain_ratio,
+  {_DOMAIN} AS domain_uniformity, (SELECT count(*) FROM calls) AS total_tool_calls""")
+def diversity_summary(spark, d):
+    return M.diversity_summary(B.conversations(spark, d), B.calls(spark, d), B.categories(spark, d), _size(spark, d))
+
+
+_MEANS = "SELECT round(avg(naturalness), 9) AS naturalness, round(avg(tool_correctness), 9) AS tool_correctness, round(avg(task_completion), 9) AS task_completion, round((avg(naturalness) + avg(tool_correctness) + avg(task_completion)) / 3, 9) AS overall_mean, count(naturalness) AS scored_count FROM scores"
+_MSMT = "SELECT round(avg(CASE WHEN n_calls >= 3 AND {} >= 2 THEN 1.0 ELSE 0.0 END), 9) AS ms_mt_rate FROM per"
+_CHAINED = """jv AS (SELECT conv_id, call_idx, json_extract_string(arguments, '$.' || k) AS value FROM (SELECT *, unnest(json_keys(arguments)) AS k FROM jcalls)),
+use AS (SELECT conv_id, value, min(call_idx) AS seen, max(call_idx) AS used FROM jv WHERE value IS NOT NULL AND (length(value) >= 3 OR TRY_CAST(value AS DOUBLE) IS NOT NULL) GROUP BY conv_id, value),
+ch AS (SELECT conv_id, bool_or(coalesce(seen < used, false)) AS chained FROM (SELECT DISTINCT conv_id FROM jcalls) LEFT JOIN use USING (conv_id) GROUP BY conv_id)"""
+
+
+@query(f"{B.sql('scores')} {_MEANS}")
+def mean_scores(spark, d):
+    return M.mean_scores(B.scores(spark, d))
+
+
+@query(f"{B.sql('calls', 'convs')}, {_PER} {_MSMT.format('n_endpoints')}")
+def ms_mt_rate(spark, d):
+    return M.ms_mt_rate(B.conversations(spark, d), B.calls(spark, d))
+
+
+@query(f"{B.sql('calls', 'convs')}, {_PER} {_MSMT.format('n_tools')}")
+def ms_mt_tool_level(spark, d):
+    return M.ms_mt_rate(B.conversations(spark, d), B.calls(spark, d), "n_tools")
+
+
+@query(f"{B.sql('jcalls')}, {_CHAINED} SELECT round(avg(CASE WHEN chained THEN 1.0 ELSE 0.0 END), 9) AS real_chaining_rate, count(*) FILTER (chained) AS chained, count(*) AS conversations FROM ch")
+def real_chaining(spark, d):
+    return M.real_chaining_rate(B.json_calls(spark, d))
+
+
+def _quality(spark, d):
+    out = M.mean_scores(B.scores(spark, d)).join(F.broadcast(M.ms_mt_rate(B.conversations(spark, d), B.calls(spark, d))))
+    return out.join(F.broadcast(M.real_chaining_rate(B.json_calls(spark, d)).select("real_chaining_rate")))
+
+
+@query(f"{B.sql('scores', 'calls', 'convs', 'jcalls')}, {_PER}, {_CHAINED} SELECT * FROM ({_MEANS}), ({_MSMT.format('n_endpoints')}), (SELECT round(avg(CASE WHEN chained THEN 1.0 ELSE 0.0 END), 9) AS real_chaining_rate FROM ch)")
+def quality_summary(spark, d):
+    return _quality(spark, d)
+
+
+_HIT = "n_calls >= 3 AND n_endpoints >= 2"
+
+
+@query(f"{B.sql('calls', 'convs')}, {_PER} SELECT type, count(*) FILTER (run = 'A') AS total_a, count(*) FILTER (run = 'A' AND {_HIT}) AS hits_a, count(*) FILTER (run = 'B') AS total_b, count(*) FILTER (run = 'B' AND {_HIT}) AS hits_b FROM per GROUP BY type")
+def per_type_ms_mt(spark, d):
+    return M.per_type(B.conversations(spark, d), B.calls(spark, d))
+
+
+def _run_parts(spark, d):
+    lines = B.read(spark, d, "lineitem").where("l_orderkey < 1500")
+    return [lines.where(f"l_orderkey % 2 = {k}").select(F.col("l_partkey").alias("endpoint")) for k in (0, 1)]
+
+
+@query("WITH a AS (SELECT DISTINCT l_partkey AS e FROM lineitem WHERE l_orderkey < 1500 AND l_orderkey % 2 = 0), b AS (SELECT DISTINCT l_partkey AS e FROM lineitem WHERE l_orderkey < 1500 AND l_orderkey % 2 = 1) SELECT (SELECT count(*) FROM (SELECT e FROM a INTERSECT SELECT e FROM b)) AS both, (SELECT count(*) FROM (SELECT e FROM a EXCEPT SELECT e FROM b)) AS only_a, (SELECT count(*) FROM (SELECT e FROM b EXCEPT SELECT e FROM a)) AS only_b, (SELECT count(*) FROM (SELECT e FROM a UNION SELECT e FROM b)) AS either")
+def run_overlap(spark, d):
+    return M.overlap(*_run_parts(spark, d))
+
+
+@query("SELECT DISTINCT o_orderpriority AS type FROM orders")
+def run_types(spark, d):
+    c = B.conversations(spark, d)
+    return c.where("run = 'A'").select("type").union(c.where("run = 'B'").select("type")).distinct()
+
+
+@query(f"{B.sql('calls', 'convs')}, {_PER}, {_SIGS}, m AS (SELECT run, count(*) AS conversations, sum(n_calls) AS total_calls, round(avg(CASE WHEN {_HIT} THEN 1.0 ELSE 0.0 END), 9) AS ms_mt_rate FROM per GROUP BY run), s AS (SELECT run, count(DISTINCT signature) AS unique_chains FROM sigs GROUP BY run) SELECT run, conversations, CAST(total_calls AS BIGINT) AS total_calls, ms_mt_rate, unique_chains FROM m JOIN s USING (run)")
+def compare_report(spark, d):
+    convs, calls = B.conversations(spark, d), B.calls(spark, d)
+    hit = (F.col("n_calls") >= 3) & (F.col("n_endpoints") >= 2)
+    per = M.per_conversation(convs, calls).groupBy("run").agg(F.count(F.lit(1)).alias("conversations"), F.sum("n_calls").alias("total_calls"), F.round(F.avg(hit.cast("double")), 9).alias("ms_mt_rate"))
+    return per.join(M.signatures(convs, calls).groupBy("run").agg(F.count_distinct("signature").alias("unique_chains")), "run")
+
+
+@query(f"{B.sql('scores', 'calls', 'convs')}, {_PER}, m AS (SELECT * FROM ({_MEANS}), ({_MSMT.format('n_endpoints')})), c AS (" + " UNION ALL ".join(f"SELECT '{k}' AS name, CAST({t} AS DOUBLE) AS threshold, CAST({k} AS DOUBLE) AS value FROM m" for k, t in K.GATES) + ") SELECT *, value >= threshold AS passed FROM c")
+def threshold_checks(spark, d):
+    one = M.mean_scores(B.scores(spark, d)).join(F.broadcast(M.ms_mt_rate(B.conversations(spark, d), B.calls(spark, d))))
+    return M.threshold_checks(one)
+
+
+_PATTERN = "CASE WHEN n_calls = 1 THEN 'single_call' WHEN n_tools = 1 THEN 'single_tool_multi_step' WHEN n_calls <= 3 THEN 'short_multi_tool' ELSE 'long_multi_tool' END"
+
+
+def _patterns(spark, d):
+    return M.per_conversation(B.conversations(spark, d), B.calls(spark, d)).withColumn("pattern", M.pattern(F.col("n_calls"), F.col("n_tools")))
+
+
+@query(f"{B.sql('calls', 'convs', 'cats')}, {_PER} SELECT 'tool' AS kind, endpoint AS key, count(*) AS n FROM calls GROUP BY endpoint UNION ALL SELECT 'category', category, count(*) FROM cats GROUP BY category UNION ALL SELECT 'pattern', {_PATTERN}, count(*) FROM per GROUP BY 2")
+def steering_counts(spark, d):
+    return M.steering_counts(B.calls(spark, d), B.categories(spark, d), _patterns(spark, d))
+
+
+@query(f"{B.sql('calls', 'convs')}, {_PER} SELECT {_PATTERN} AS pattern, count(*) AS n, round(count(*) / (SELECT count(*) FROM per), 9) AS share FROM per GROUP BY 1")
+def pattern_mix(spark, d):
+    p = _patterns(spark, d)
+    return p.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(p.agg(F.count(F.lit(1)).alias("t")))).select("pattern", "n", F.round(F.col("n") / F.col("t"), 9).alias("share"))
+
+
+@query("WITH c AS (SELECT CAST(l_partkey AS VARCHAR) AS endpoint, count(*) AS n FROM lineitem GROUP BY 1) SELECT endpoint, n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, endpoint) AS r FROM c) WHERE r <= 10 AND n > 1.5 * (SELECT avg(n) FROM c)")
+def exclude_tools(spark, d):
+    calls = B.read(spark, d, "lineitem").select(F.col("l_orderkey").alias("conv_id"), F.col("l_partkey").cast("string").alias("endpoint"))
+    return M.exclude_tools(calls, B.conversations(spark, d), factor=1.5)
+
+
+@query("WITH c AS (SELECT p_brand AS key, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 25 GROUP BY 1) SELECT key, n FROM c WHERE n > 1.1 * (SELECT avg(n) FROM c)")
+def overused_tools(spark, d):
+    rows = B.read(spark, d, "lineitem").join(B.read(spark, d, "part").where("p_size <= 25"), F.col("l_partkey") == F.col("p_partkey"))
+    return M.against_mean(rows.groupBy(F.col("p_brand").alias("key")).agg(F.count(F.lit(1)).alias("n")), 1.1, above=True)
+
+
+@query("WITH c AS (SELECT l_suppkey AS key, count(*) AS n FROM lineitem GROUP BY 1) SELECT key, n FROM c WHERE n < 0.95 * (SELECT avg(n) FROM c)")
+def underused_categories(spark, d):
+    return M.against_mean(B.read(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("key")).agg(F.count(F.lit(1)).alias("n")), 0.95, above=False)
+
+
+@query("SELECT count(DISTINCT p_brand) AS tools, count(DISTINCT p_brand || '/' || p_type) AS endpoints, count(DISTINCT p_type) AS categories, array_to_string(list_sort(list(DISTINCT p_type)), ',') AS names FROM part")
+def registry_summary(spark, d):
+    p = B.read(spark, d, "part")
+    return p.agg(F.count_distinct("p_brand").alias("tools"), F.count_distinct("p_brand", "p_type").alias("endpoints"), F.count_distinct("p_type").alias("categories"), F.array_join(F.array_sort(F.collect_set("p_type")), ",").alias("names"))
+
+
+@query("WITH s AS (SELECT conv_id AS slot, turn AS attempt, 1.0 + length(text) % 41 / 10.0 AS score FROM conversations), t AS (SELECT *, coalesce(bool_or(score >= 4.5) OVER (PARTITION BY slot ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS done FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY score DESC, attempt) AS r, max(attempt) OVER (PARTITION BY slot) AS retries FROM t WHERE NOT done) SELECT slot, attempt, score, retries FROM k WHERE r = 1")
+def attempt_pick(spark, d):
+    m = B.messages(spark, d).select(F.col("conv_id").alias("slot"), F.col("msg_idx").alias("attempt"), (1.0 + F.length("content") % 41 / 10.0).alias("score"))
+    return M.best_attempt(m, 4.5)
+
+
+@query(f"{B.sql('calls', 'convs', 'cats')}, {_PER}, l AS (SELECT conv_id, list(category) AS c FROM cats GROUP BY conv_id) SELECT conv_id, type, n_calls FROM per JOIN l USING (conv_id) WHERE list_contains(c, 'ASIA') AND {_HIT} AND run = 'A'")
+def metadata_filters(spark, d):
+    lists = B.categories(spark, d).groupBy("conv_id").agg(F.collect_list("category").alias("c"))
+    per = M.per_conversation(B.conversations(spark, d), B.calls(spark, d)).join(lists, "conv_id")
+    return per.where(F.array_contains("c", "ASIA") & (F.col("n_calls") >= 3) & (F.col("n_endpoints") >= 2) & (F.col("run") == "A")).select("conv_id", "type", "n_calls")
+
+
+# Graph
+
+_STATS = "tot AS (SELECT count(DISTINCT endpoint) AS n, count(DISTINCT category) AS c FROM fields), stats AS (SELECT field, df, categories, ln(n / df) AS idf, least(ln(n / df) / ln(n), 1.0) AS specificity, CASE WHEN df < n * {0} THEN 'rare' WHEN categories >= c * 0.5 THEN 'generic' ELSE 'bridge' END AS class FROM (SELECT field, count(DISTINCT endpoint) AS df, count(DISTINCT category) AS categories FROM fields GROUP BY field), tot)"
+_FR = 0.05
+_IO = "o AS (SELECT endpoint AS src, tool AS st, category AS sc, field FROM fields WHERE kind = 'output'), i AS (SELECT endpoint AS dst, tool AS dt, category AS dc, field FROM fields WHERE kind = 'input')"
+_EXACT = "ex0 AS (SELECT src, dst, field, 0.2 + 0.1 + CASE WHEN sc = dc THEN 1.0 ELSE 0.3 END * 0.3 + specificity * 0.4 AS c FROM o JOIN stats USING (field) JOIN i USING (field) WHERE class <> 'generic' AND st <> dt), ex AS (SELECT src, dst, round(c, 3) AS confidence, CASE WHEN c >= 0.7 THEN 'hard' ELSE 'soft' END AS edge_class, field FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY c DESC, field DESC) AS r FROM ex0 WHERE c >= 0.6) WHERE r = 1)"
+_F = B.sql("fields") + ", " + _STATS.format(_FR)
+
+
+@query(f"{_F} SELECT field, df, round(idf, 9) AS idf FROM stats")
+def field_idf(spark, d):
+    return G.field_stats(B.fields(spark, d), _FR).select("field", "df", F.round("idf", 9).alias("idf"))
+
+
+@query(f"{_F} SELECT field, class, categories FROM stats")
+def field_class(spark, d):
+    return G.field_stats(B.fields(spark, d), _FR).select("field", "class", "categories")
+
+
+@query(f"{B.sql('fields')}, {_STATS.format(0.005)} SELECT class, count(*) AS n FROM stats GROUP BY class")
+def field_class_default(spark, d):
+    return G.field_stats(B.fields(spark, d)).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"{_F} SELECT field, round(specificity, 9) AS specificity FROM stats")
+def specificity(spark, d):
+    return G.field_stats(B.fields(spark, d), _FR).select("field", F.round("specificity", 9).alias("specificity"))
+
+
+@query(f"{_F}, cf AS (SELECT DISTINCT category, field FROM fields JOIN stats USING (field) WHERE class <> 'generic') SELECT a.category AS a, b.category AS b, count(*) AS shared FROM cf a JOIN cf b USING (field) WHERE a.category < b.category GROUP BY 1, 2 HAVING count(*) >= 3")
+def category_affinity(spark, d):
+    f = B.fields(spark, d)
+    return G.category_affinity(f, G.field_stats(f, _FR))
+
+
+@query(f"{_F} SELECT field, df FROM stats WHERE class = 'bridge' ORDER BY df DESC, field LIMIT 15")
+def bridge_fields(spark, d):
+    return G.field_stats(B.fields(spark, d), _FR).where("class = 'bridge'").orderBy(F.desc("df"), "field").limit(15).select("field", "df")
+
+
+@query(f"{B.sql('fields')}, {_IO} SELECT src, dst, array_to_string(list_sort(list(DISTINCT field)), ',') AS shared FROM o JOIN i USING (field) WHERE st = dt AND src <> dst GROUP BY src, dst")
+def same_tool_edges(spark, d):
+    return G.same_tool_edges(B.fields(spark, d)).select("src", "dst", F.array_join("shared_fields", ",").alias("shared"))
+
+
+@query(f"{_F}, {_IO}, {_EXACT} SELECT * FROM ex")
+def feeds_exact(spark, d):
+    return G.feeds_exact(B.fields(spark, d), _FR)
+
+
+def _suffixed(spark, d):
+    """Fields with suffixes as their last letter tells, so that roots meet."""
+    n = F.length("field") % 3
+    name = F.when(n == 0, F.concat(F.col("field"), F.lit("_id"))).when(n == 1, F.concat(F.col("field"), F.lit("_code"))).otherwise(F.col("field"))
+    return B.fields(spark, d).withColumn("field", F.when(F.col("kind") == "output", name).otherwise(F.concat(F.col("field"), F.lit("_key"))))
+
+
+_SUF = B.sql("fields").replace("fields AS (", "fields0 AS (") + ", fields AS (SELECT endpoint, tool, category, kind, CASE WHEN kind = 'input' THEN field || '_key' WHEN length(field) % 3 = 0 THEN field || '_id' WHEN length(field) % 3 = 1 THEN field || '_code' ELSE field END AS field FROM fields0), " + _STATS.format(_FR)
+_ROOT = "regexp_replace(field, '^(.+)_(id|identifier|code|key|number|token|date|time|name|type|url|uri|link)$', '\\1')"
+
+
+@query(f"{_SUF}, {_IO}, {_EXACT}, oo AS (SELECT o.*, {_ROOT} AS root, specificity FROM o JOIN stats USING (field) WHERE class <> 'generic'), ii AS (SELECT i.*, {_ROOT} AS root FROM i), r0 AS (SELECT src, dst, oo.field, 0.1 + 0.1 + CASE WHEN sc = dc THEN 1.0 ELSE 0.3 END * 0.3 + specificity * 0.4 AS c FROM oo JOIN ii USING (root) WHERE length(root) >= 3 AND st <> dt AND oo.field <> ii.field AND NOT EXISTS (SELECT 1 FROM ex WHERE ex.src = oo.src AND ex.dst = ii.dst)) SELECT src, dst, round(c, 3) AS confidence, CASE WHEN c >= 0.7 THEN 'hard' ELSE 'soft' END AS edge_class, field FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY c DESC, field DESC) AS r FROM r0 WHERE c >= 0.6) WHERE r = 1")
+def feeds_root(spark, d):
+    f = _suffixed(spark, d)
+    return G.feeds_root(f, G.feeds_exact(f, _FR), _FR)
+
+
+@query(f"{_F}, {_IO}, {_EXACT} SELECT edge_class, count(*) AS n, count(DISTINCT src) AS sources FROM ex GROUP BY edge_class")
+def ep_flow(spark, d):
+    return feeds_exact(spark, d).groupBy("edge_class").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("src").alias("sources"))
+
+
+@query(f"{_F}, {_IO}, {_EXACT}, e AS (SELECT DISTINCT endpoint, tool FROM fields WHERE endpoint < 60) SELECT a.endpoint AS a, b.endpoint AS b FROM e a JOIN e b ON a.endpoint < b.endpoint AND a.tool = b.tool WHERE NOT EXISTS (SELECT 1 FROM ex WHERE edge_class = 'hard' AND ((src = a.endpoint AND dst = b.endpoint) OR (src = b.endpoint AND dst = a.endpoint)))".replace(" WHERE endpoint < 60", ""))
+def independent_pairs(spark, d):
+    """Endpoints of one tool without a hard flow either way."""
+    f = B.fields(spark, d)
+    e = f.select("endpoint", "tool").distinct()
+    pairs = e.select(F.col("endpoint").alias("a"), "tool").join(e.select(F.col("endpoint").alias("b"), "tool"), "tool").where("a < b").select("a", "b")
+    hard = G.feeds_exact(f, _FR).where("edge_class = 'hard'")
+    return pairs.join(hard.select(F.col("src").alias("a"), F.col("dst").alias("b")), ["a", "b"], "left_anti").join(hard.select(F.col("dst").alias("a"), F.col("src").alias("b")), ["a", "b"], "left_anti")
+
+
+@query(f"{_F}, {_IO}, {_EXACT} SELECT DISTINCT endpoint FROM fields WHERE endpoint IN (SELECT src FROM ex WHERE edge_class = 'hard') OR endpoint IN (SELECT src FROM o JOIN i USING (field) WHERE st = dt AND src <> dst)")
+def chainable_endpoints(spark, d):
+    f = B.fields(spark, d)
+    sources = G.feeds_exact(f, _FR).where("edge_class = 'hard'").select(F.col("src").alias("endpoint")).union(G.same_tool_edges(f).select("src"))
+    return f.select("endpoint").distinct().join(sources, "endpoint", "left_semi")
+
+
+@query(f"{B.sql('fields')}, {_IO} SELECT src, dst, count(DISTINCT field) AS shared, CAST(round(0.5 + 0.3 * count(DISTINCT field), 6) AS DOUBLE) AS confidence FROM o JOIN i USING (field) WHERE sc = dc AND src <> dst GROUP BY src, dst")
+def category_fallback(spark, d):
+    return G.category_fallback(B.fields(spark, d))
+
+
+@query("WITH n AS (SELECT vec_id AS id, label AS category, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), u AS (SELECT id, category, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS u FROM n), h AS (SELECT a.id AS src, b.id AS dst, list_sum(list_transform(list_zip(a.u, b.u), lambda p: p[1] * p[2])) AS c FROM u a JOIN u b ON a.id < b.id AND a.category <> b.category), k AS (SELECT src, dst, round(c, 6) AS cosine FROM h WHERE c >= 0.35) SELECT * FROM k UNION ALL SELECT dst, src, cosine FROM k")
+def semantic_bridge(spark, d):
+    return G.semantic_bridge(B.vectors(spark, d), None, 0.35)
+
+
+@query(f"{B.sql('fields')} SELECT 'category' AS node_type, count(DISTINCT category) AS n FROM fields UNION ALL SELECT 'tool', count(DISTINCT tool) FROM fields UNION ALL SELECT 'endpoint', count(DISTINCT endpoint) FROM fields UNION ALL SELECT 'parameter', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'input') UNION ALL SELECT 'output_field', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'output')")
+def node_type_counts(spark, d):
+    return G.node_counts(B.fields(spark, d))
+
+
+@query(f"{B.sql('fields')} SELECT 'belongs_to' AS edge_type, count(*) AS n FROM (SELECT DISTINCT tool, category FROM fields) UNION ALL SELECT 'has_endpoint', count(*) FROM (SELECT DISTINCT tool, endpoint FROM fields) UNION ALL SELECT 'takes_input', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'input') UNION ALL SELECT 'produces', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'output')")
+def edge_type_counts(spark, d):
+    return G.structural_edges(B.fields(spark, d)).groupBy("edge_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"{_F}, {_IO}, {_EXACT}, t AS (SELECT DISTINCT src, dst, 0 AS tier, 3.0 AS weight FROM o JOIN i USING (field) WHERE st = dt AND src <> dst UNION ALL SELECT src, dst, CASE WHEN edge_class = 'hard' THEN 0 ELSE 1 END, round(CASE WHEN edge_class = 'hard' THEN 4 ELSE 2 END * confidence, 6) FROM ex) SELECT tier, count(*) AS n, round(sum(weight), 3) AS mass FROM t GROUP BY tier")
+def transition_candidates(spark, d):
+    f = B.fields(spark, d)
+    return G.transitions(G.same_tool_edges(f), G.feeds_exact(f, _FR)).groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 3).alias("mass"))
+
+
+@query()
+def sampled_chains(spark, d):
+    """200 walks under the default constraints; no SQL, as picks are hashed."""
+    f = B.fields(spark, d)
+    endpoints = f.select("endpoint", "tool", "category").distinct().withColumn("quality", F.lit("complete"))
+    steps = G.transitions(G.same_tool_edges(f), G.feeds_exact(f, _FR))
+    return S.walk(endpoints, steps, spark.range(200).withColumnRenamed("id", "slot"))
+
+
+# Selection
+
+@query(f"{B.sql('fields')}, useful AS (SELECT * FROM fields WHERE field NOT IN ({', '.join(repr(x) for x in K.GENERIC_FIELDS)})), base AS (SELECT tool, category, count(DISTINCT endpoint) AS n_endpoints, count(*) FILTER (kind = 'input') AS n_inputs FROM fields GROUP BY tool, category), outs AS (SELECT DISTINCT tool, field FROM useful WHERE kind = 'output'), rl AS (SELECT tool, count(*) AS real_outputs FROM outs GROUP BY tool), cx AS (SELECT tool, least(count(*), 30) AS cross_tool FROM outs JOIN (SELECT DISTINCT category, field FROM useful WHERE kind = 'input') USING (field) GROUP BY tool), br AS (SELECT field, list(DISTINCT category) AS cats FROM useful WHERE length(field) > 2 GROUP BY field HAVING count(DISTINCT category) >= 2), cc AS (SELECT tool, least(count(DISTINCT (endpoint, kind, field)), 15) + 3 * least(count(DISTINCT CASE WHEN other <> category THEN other END), 5) AS cross_category FROM (SELECT tool, category, endpoint, kind, field, unnest(cats) AS other FROM useful JOIN br USING (field)) GROUP BY tool) SELECT tool, category, n_endpoints, n_inputs, coalesce(real_outputs, 0) AS real_outputs, coalesce(cross_tool, 0) AS cross_tool, coalesce(cross_category, 0) AS cross_category FROM base LEFT JOIN rl USING (tool) LEFT JOIN cx USING (tool) LEFT JOIN cc USING (tool)")
+def score_features(spark, d):
+    return Q.tool_features(B.fields(spark, d))
+
+
+@query("WITH r AS (SELECT p_partkey AS tool_id, p_type AS category, round(p_retailprice + p_size, 2) AS score FROM part), k AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY score DESC, tool_id) AS r FROM r), m AS (SELECT greatest(100 // count(DISTINCT category) * 2, 7) AS most FROM r), f AS (SELECT * FROM k WHERE r <= 5), g AS (SELECT k.* FROM k, m WHERE r > 5 AND r <= most ORDER BY score DESC, tool_id LIMIT (SELECT greatest(0, 100 - count(*)) FROM f)) SELECT tool_id, category, score, CAST(r AS INTEGER) AS r FROM f UNION ALL SELECT tool_id, category, score, CAST(r AS INTEGER) FROM (SELECT tool_id, category, score, r FROM g)")
+def select_quota(spark, d):
+    return Q.select_quota(B.registry(spark, d), 100, 5)
+
+
+@query("SELECT tool, tool_id FROM (SELECT p_brand AS tool, p_partkey AS tool_id, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS r FROM part) WHERE r <= 35")
+def trim_topk(spark, d):
+    p = B.read(spark, d, "part").select(F.col("p_brand").alias("tool"), F.col("p_partkey").alias("tool_id"), "p_size")
+    return Q.trim(p, "tool", [F.desc("p_size"), F.col("tool_id")], 35).select("tool", "tool_id")
+
+
+@query()
+def fuzzy_dedup(spark, d):
+    """Greedy groups by text similarity depend on order; no SQL."""
+    r = B.registry(spark, d)
+    return Q.fuzzy_dedup(r.select("category", F.col("tool_id").alias("pos"), T.dedup_name(F.col("name")).alias("name"), "tool_id", "score"))
+
+
+# Text
+
+_NAMES = "names AS (SELECT DISTINCT word, x FROM (SELECT word, unnest([word, upper(word[1:1]) || word[2:] || 'Id', word || 'HTTPCode', '_' || word || '__' || upper(word) || '_', word || '-name']) AS x FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{5,}}')) AS word FROM documents) WHERE length(word) % 7 = 0))".replace("{{", "{").replace("}}", "}")
+
+
+def _names(spark, d):
+    w = B.read(spark, d, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias("word")).distinct().where(F.length("word") % 7 == 0)
+    word = F.col("word")
+    return w.select("word", F.explode(F.array(word, F.concat(F.upper(F.substring("word", 1, 1)), F.expr("substring(word, 2)"), F.lit("Id")), F.concat(word, F.lit("HTTPCode")), F.concat(F.lit("_"), word, F.lit("__"), F.upper("word"), F.lit("_")), F.concat(word, F.lit("-name")))).alias("x")).distinct()
+
+
+_SPLIT1 = "regexp_replace(x, '([a-z0-9])([A-Z])', '\\1_\\2', 'g')"
+_SPLIT2 = f"lower(regexp_replace({_SPLIT1}, '([A-Z]+)([A-Z][a-z])', '\\1_\\2', 'g'))"
+_GRAPHN = f"trim(regexp_replace({_SPLIT2}, '_+', '_', 'g'), '_')"
+_JUDGEN = f"trim(regexp_replace(regexp_replace({_SPLIT2}, '[^a-z0-9]+', '_', 'g'), '_+', '_', 'g'), '_')"
+
+
+@query(f"WITH {_NAMES} SELECT x, {_GRAPHN} AS graph, {_JUDGEN} AS judge, trim(lower({_SPLIT1}), '_') AS simple, {_SPLIT2} AS session FROM names")
+def normalize_names(spark, d):
+    return _names(spark, d).select("x", *[T.normal_name(F.col("x"), m).alias(m) for m in ("graph", "judge", "simple", "session")])
+
+
+@query(f"WITH {_NAMES} SELECT x, regexp_replace({_GRAPHN}, '^(.+)_(id|identifier|code|key|number|token|date|time|name|type|url|uri|link)$', '\\1') AS root FROM names")
+def field_roots(spark, d):
+    return _names(spark, d).select("x", T.field_root(F.col("x")).alias("root"))
+
+
+@query(f"WITH n AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'test ' || p_name WHEN 1 THEN 'abc' WHEN 2 THEN 'my api ' || p_name WHEN 3 THEN p_name || ' Demo' ELSE p_name END AS name FROM part) SELECT p_partkey, regexp_matches(name, '(?i){'|'.join(K.JUNK_NAMES)}') AS junk FROM n")
+def junk_filter(spark, d):
+    p = B.read(spark, d, "part")
+    k = F.col("p_partkey") % 5
+    name = F.when(k == 0, F.concat(F.lit("test "), "p_name")).when(k == 1, "abc").when(k == 2, F.concat(F.lit("my api "), "p_name")).when(k == 3, F.concat("p_name", F.lit(" Demo"))).otherwise(F.col("p_name"))
+    return p.select("p_partkey", T.junk_name(name).alias("junk"))
+
+
+@query("WITH c AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<[^>]+>', '', 'g'), '\"+$', ''), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) AS t FROM pages) SELECT page_id, length(t) AS chars, md5(t) AS hash FROM c")
+def clean_html(spark, d):
+    t = T.clean_description(F.col("html"))
+    return B.read(spark, d, "pages").select("page_id", t.alias("t")).select("page_id", F.length("t").cast("long").alias("chars"), F.md5("t").alias("hash"))
+
+
+_PARAMS = "params AS (SELECT p_partkey, lower(p_name) || CASE p_partkey % 6 WHEN 0 THEN '_token' WHEN 1 THEN '_key' WHEN 2 THEN '-api_key' WHEN 3 THEN 'word' WHEN 4 THEN '[0]' ELSE ' id' END AS name FROM part)"
+
+
+def _params(spark, d):
+    k = F.col("p_partkey") % 6
+    tail = F.when(k == 0, "_token").when(k == 1, "_key").when(k == 2, "-api_key").when(k == 3, "word").when(k == 4, "[0]").otherwise(" id")
+    return B.read(spark, d, "part").select("p_partkey", F.concat(F.lower("p_name"), tail).alias("name"))
+
+
+_TOK = "|".join(K.AUTH_TOKENS)
+
+
+@query(f"WITH {_PARAMS}, n AS (SELECT p_partkey, name, trim(replace(lower(name), '-', '_'), '_') AS n FROM params) SELECT p_partkey, regexp_matches(n, '^({_TOK})$|_({_TOK})$|^({_TOK})_|{'|'.join(K.AUTH_PARTS)}') AS auth, regexp_matches(name || ' ', '{'|'.join(K.SCENARIO_AUTH)}') OR regexp_matches(name, '{'|'.join(K.SCENARIO_INFRA)}') AS hidden FROM n")
+def auth_params(spark, d):
+    return _params(spark, d).select("p_partkey", T.auth_param(F.col("name")).alias("auth"), T.scenario_param(F.col("name"), F.lit("")).alias("hidden"))
+
+
+@query(f"WITH {_PARAMS}, n AS (SELECT p_partkey, name, regexp_replace(CASE WHEN p_partkey % 2 = 0 THEN '9' ELSE '' END || name, '[^a-zA-Z0-9_]', '_', 'g') AS t, trim(regexp_replace(regexp_replace(name, '[^a-zA-Z0-9_.-]', '_', 'g'), '_+', '_', 'g'), '_') AS p FROM params) SELECT p_partkey, (CASE WHEN regexp_matches(t, '^[^a-zA-Z]') THEN 't_' || t ELSE t END)[1:60] AS tool_name, CASE WHEN p = '' THEN 'param' ELSE p[1:64] END AS param_name FROM n")
+def sanitize_names(spark, d):
+    tool = F.concat(F.when(F.col("p_partkey") % 2 == 0, "9").otherwise(""), "name")
+    return _params(spark, d).select("p_partkey", T.tool_identifier(tool).alias("tool_name"), T.param_identifier(F.col("name")).alias("param_name"))
+
+
+@query("WITH e AS (SELECT page_id, regexp_extract(url, '://(.*)$', 1) AS e FROM pages) SELECT page_id, split_part(e, '/', 1) AS tool, CASE WHEN instr(e, '/') > 0 THEN e[instr(e, '/') + 1:] ELSE e END AS api FROM e")
+def endpoint_split(spark, d):
+    e = B.read(spark, d, "pages").select("page_id", F.regexp_extract("url", "://(.*)$", 1).alias("e"))
+    tool, api = T.endpoint_parts(F.col("e"))
+    return e.select("page_id", tool.alias("tool"), api.alias("api"))
+
+
+_TYPES = "types AS (SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'STRING' WHEN 1 THEN ' Int ' WHEN 2 THEN 'DATE (YYYY-MM-DD)' WHEN 3 THEN 'double' WHEN 4 THEN 'list' WHEN 5 THEN 'Boolean (optional)' WHEN 6 THEN 'enum' END AS raw, CASE event_id % 4 WHEN 0 THEN ' post' WHEN 1 THEN 'Patch' WHEN 2 THEN 'fetch' END AS m FROM events)"
+
+
+@query(f"WITH {_TYPES}, b AS (SELECT *, trim(regexp_replace(lower(trim(raw)), '[ \\t]*\\(.*\\)', '')) AS t FROM types) SELECT event_id, CASE " + " ".join(f"WHEN t = '{k}' THEN '{v}'" for k, v in K.TYPE_NAMES.items()) + " ELSE 'string' END AS type, CASE WHEN trim(upper(m)) IN ('GET', 'POST', 'PUT', 'DELETE', 'PATCH', 'HEAD', 'OPTIONS') THEN trim(upper(m)) ELSE 'GET' END AS method FROM b")
+def normalize_types(spark, d):
+    k, j = F.col("event_id") % 8, F.col("event_id") % 4
+    raw = F.when(k == 0, "STRING").when(k == 1, " Int ").when(k == 2, "DATE (YYYY-MM-DD)").when(k == 3, "double").when(k == 4, "list").when(k == 5, "Boolean (optional)").when(k == 6, "enum")
+    m = F.when(j == 0, " post").when(j == 1, "Patch").when(j == 2, "fetch")
+    return B.read(spark, d, "events").select("event_id", T.normal_type(raw).alias("type"), T.normal_method(m).alias("method"))
+
+
+# Dialogue
+
+_LINES = "string_agg({}, {} ORDER BY msg_idx)"
+
+
+@query(f"{B.sql('msgs')} SELECT conv_id, string_agg(upper(role[1:1]) || role[2:] || ': ' || content, chr(10) ORDER BY msg_idx) AS history FROM msgs WHERE role IN ('user', 'assistant') AND content <> '' GROUP BY conv_id")
+def user_visible_history(spark, d):
+    return D.user_visible(B.messages(spark, d))
+
+
+@query(f"{B.sql('msgs')} SELECT conv_id, string_agg('[' || upper(role) || '] ' || coalesce(content, ''), chr(10) ORDER BY msg_idx) AS transcript FROM msgs GROUP BY conv_id")
+def transcript(spark, d):
+    return D.transcript(B.messages(spark, d))
+
+
+@query(f"{B.sql('msgs')}, w AS (SELECT conv_id, string_agg(upper(role) || ': ' || coalesce(content, ''), chr(10) || chr(10) ORDER BY msg_idx) AS c FROM msgs GROUP BY conv_id) SELECT conv_id, CASE WHEN length(c) > 400 THEN '[earlier turns left out]' || chr(10) || right(c, 400) ELSE c END AS context FROM w")
+def context_tail(spark, d):
+    return D.context_tail(B.messages(spark, d), 400)
+
+
+@query(f"""{B.sql('msgs')}, w AS (SELECT conv_id, unnest(regexp_split_to_array(content, '[ \\t\\n\\x0b\\f\\r]+')) AS w FROM msgs WHERE role = 'user') SELECT DISTINCT conv_id, word FROM (SELECT conv_id, trim(w, '.,!?;:"''()[]{{}}') AS word FROM w) WHERE length(word) >= 3""")
+def user_words(spark, d):
+    return D.user_words(B.messages(spark, d))
+
+
+@query(f"{B.sql('msgs')} SELECT conv_id, count(*) AS turns, count(*) FILTER (role = 'user') AS user_turns FROM msgs GROUP BY conv_id")
+def turn_counts(spark, d):
+    return D.turn_counts(B.messages(spark, d))
+
+
+@query(f"{B.sql('msgs')} SELECT conv_id, arg_max(content, msg_idx) AS last_user FROM msgs WHERE role = 'user' GROUP BY conv_id")
+def last_user_message(spark, d):
+    return D.last_user_message(B.messages(spark, d))
+
+
+@query(f"{B.sql('msgs')} SELECT conv_id, msg_idx, contains(content, '?') OR row_number() OVER (PARTITION BY conv_id ORDER BY msg_idx) = 1 AS clarifies FROM msgs WHERE role = 'assistant'")
+def clarification_flags(spark, d):
+    return D.clarifications(B.messages(spark, d))
+
+
+@query(f"{B.sql('msgs')}, s AS (SELECT *, CASE WHEN lag(role) OVER w IS DISTINCT FROM role THEN 1 ELSE 0 END AS s FROM msgs WINDOW w AS (PARTITION BY conv_id ORDER BY msg_idx)), i AS (SELECT *, CAST(sum(s) OVER (PARTITION BY conv_id ORDER BY msg_idx) AS BIGINT) AS island FROM s) SELECT conv_id, island, any_value(role) AS role, count(*) AS parts, CAST(sum(length(content)) AS BIGINT) AS chars FROM i GROUP BY conv_id, island")
+def role_islands(spark, d):
+    return D.role_islands(B.messages(spark, d))
+
+
+@query(f"{B.sql('calls', 'convs')}, {_PER} SELECT conv_id, CAST(least(CASE WHEN n_calls = 0 THEN 1.0 ELSE 5.0 END, CASE WHEN n_tools >= 5 THEN 2.5 ELSE 5.0 END) AS DOUBLE) AS tool_correctness, CAST(CASE WHEN n_calls <= 2 THEN 2.0 ELSE 5.0 END AS DOUBLE) AS task_completion FROM per")
+def structural_caps(spark, d):
+    per = M.per_conversation(B.conversations(spark, d), B.calls(spark, d))
+    rows = per.select("conv_id", F.lit(5.0).alias("tool_correctness"), F.lit(5.0).alias("task_completion"), F.lit(1).alias("planned"), "n_calls", F.col("n_calls").alias("n_messages"), (F.col("n_tools") >= 5).alias("broken"))
+    return D.structural_caps(rows).select("conv_id", "tool_correctness", "task_completion")
+
+
+@query(f"{B.sql('jcalls')}, a AS (SELECT conv_id, call_idx, json_extract_string(arguments, '$.k') AS value FROM jcalls), k AS (SELECT conv_id, value, min(call_idx) AS since FROM a GROUP BY 1, 2) SELECT a.conv_id, a.call_idx, 'hotelId' AS name, a.value FROM a JOIN k USING (conv_id, value) WHERE call_idx > 0 AND since >= call_idx AND value NOT IN ('1', '2', '3')")
+def chain_breaks(spark, d):
+    rows = B.json_calls(spark, d).select("conv_id", "call_idx", F.get_json_object("arguments", "$.k").alias("value"))
+    said = rows.select("conv_id").distinct().select("conv_id", F.explode(F.array(F.lit("1"), F.lit("2"), F.lit("3"))).alias("word"))
+    return D.chain_breaks(rows.withColumn("name", F.lit("hotelId")), rows.withColumn("name", F.lit("hotel_id")), said)
+
+
+_GEN = ", ".join(f"'{x}'" for x in dict.fromkeys(K.GENERIC_FIELDS + K.INFRA_FIELDS))
+
+
+@query(f"{B.sql('fields')}, e AS (SELECT endpoint, list(DISTINCT field) FILTER (kind = 'output') AS o, list(DISTINCT field) FILTER (kind = 'input') AS i FROM fields GROUP BY endpoint), l AS (SELECT endpoint, coalesce(o, []) AS o, coalesce(i, []) AS i FROM e) SELECT endpoint, len(o) = 0 OR len(list_filter(o, lambda x: list_contains(i, x))) / greatest(len(o), 1) > 0.5 OR len(list_filter(o, lambda x: NOT list_contains(i, x) AND x NOT IN ({_GEN}))) < 2 AS needed FROM l")
+def needs_enrichment(spark, d):
+    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("field"))).alias(kind)
+    return B.fields(spark, d).groupBy("endpoint").agg(of("output"), of("input")).select("endpoint", Q.needs_enrichment(F.col("output"), F.col("input")).alias("needed"))
+
+
+_SCHEMAS = "schemas AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{\"properties\": ' || props || '}' WHEN 1 THEN '{\"a\": 1, \"b\": 2}' WHEN 2 THEN props ELSE '{\"properties\": {}, \"type\": \"object\"}' END AS s FROM events)"
+
+
+@query(f"WITH {_SCHEMAS} SELECT event_id, CASE WHEN len(coalesce(json_keys(json_extract(s, '$.properties')), [])) > 0 THEN 'complete' WHEN len(json_keys(s)) > 1 THEN 'inferred' ELSE 'minimal' END AS quality FROM schemas")
+def schema_quality(spark, d):
+    k = F.col("event_id") % 4
+    s = F.when(k == 0, F.concat(F.lit('{"properties": '), "props", F.lit("}"))).when(k == 1, '{"a": 1, "b": 2}').when(k == 2, F.col("props")).otherwise('{"properties": {}, "type": "object"}')
+    return B.read(spark, d, "events").select("event_id", Q.schema_quality(s).alias("quality"))
+
+
+@query("WITH t AS (SELECT p_type AS category, p_brand AS stem, CAST(p_partkey AS VARCHAR) AS api, CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN p_name END AS schema FROM part), x AS (SELECT p_type AS category, p_brand AS stem, CAST(p_partkey AS VARCHAR) AS api, max(CAST(p_size AS VARCHAR)) AS example FROM part WHERE p_partkey % 2 = 0 GROUP BY 1, 2, 3) SELECT category, stem, api, coalesce(nullif(schema, ''), example) AS schema FROM t LEFT JOIN x USING (category, stem, api)")
+def response_merge(spark, d):
+    p = B.read(spark, d, "part").select(F.col("p_type").alias("category"), F.col("p_brand").alias("stem"), F.col("p_partkey").cast("string").alias("api"), "p_partkey", "p_name", "p_size")
+    k = F.col("p_partkey") % 3
+    tools = p.select("category", "stem", "api", F.when(k == 0, "").when(k == 1, F.col("p_name")).alias("schema"))
+    return wire.merge_responses(tools, p.where("p_partkey % 2 = 0").select("category", "stem", "api", F.col("p_size").cast("string").alias("schema")))
+
+
+@query("WITH l AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN '{\"messages\": [], \"x\": ' || props || '}' WHEN 1 THEN '{\"messages\": [], \"tool_calls\": []}' ELSE props END AS line FROM events) SELECT event_id, list_contains(json_keys(line), 'messages') AND NOT list_contains(json_keys(line), 'tool_calls') AND NOT list_contains(json_keys(line), 'tool_outputs') AS wire FROM l")
+def wire_detect(spark, d):
+    k = F.col("event_id") % 3
+    line = F.when(k == 0, F.concat(F.lit('{"messages": [], "x": '), "props", F.lit("}"))).when(k == 1, '{"messages": [], "tool_calls": []}').otherwise(F.col("props"))
+    return B.read(spark, d, "events").select("event_id", wire.is_wire(line).alias("wire"))
