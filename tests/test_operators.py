@@ -104,8 +104,9 @@ def test_graph(spark):
     assert [(r.src, r.dst, r.shared_fields) for r in G.same_tool_edges(f).collect()] == [("s", "b", ["hotel_id"])]
     # Of four endpoints in two categories hotel_id is generic, so no edge leaves the tool.
     assert G.feeds_exact(f).count() == 0
-    apart = f.withColumn("category", F.concat("category", "endpoint"))
-    assert [(r.src, r.dst) for r in G.feeds_exact(apart, 0.9).collect()] == [("s", "c")]
+    # As a rare field its confidence is .2 + .1 + .3 + .4 ln(4/3) / ln 4.
+    assert [tuple(r) for r in G.feeds_exact(f, 0.9).collect()] == [("s", "c", 0.683, "soft", "hotel_id")]
+    assert G.feeds_exact(f.withColumn("category", F.concat("category", "endpoint")), 0.9).count() == 0
 
 
 def test_quota_equals_greedy(spark):
