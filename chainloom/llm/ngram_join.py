@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, table, utf8
 from .components import components
-from .shingles import mixed, shingle_set
+from .shingles import mixed, shingle_sets
 
 
 @dataclass(frozen=True)
@@ -81,8 +81,7 @@ def documents_and_counts(docs: DataFrame, conf: JoinConf, least: int = 4) -> Dat
                 values, n = values[n >= least], n[n >= least].astype(np.int64)
                 return pa.RecordBatch.from_arrays([pa.array(np.ones(len(n), np.int32)), pa.nulls(len(n), pa.int64()), _signed(values), pa.array(n)], names=names)
 
-            for text in batch.column("text").to_pylist():
-                s = shingle_set(text.lower(), conf.words)
+            for s in shingle_sets([t.lower() for t in batch.column("text").to_pylist()], conf.words):
                 cids.append(class_of(s) if len(s) else None)
                 sizes.append(len(s))
                 if len(s) and cids[-1] not in seen:
@@ -117,8 +116,7 @@ def signatures(docs: DataFrame, hot: np.ndarray, conf: JoinConf) -> DataFrame:
         hot, seen = shared.value, set()
         for batch in batches:
             rows = []
-            for text in batch.column("text").to_pylist():
-                s = shingle_set(text.lower(), conf.words)
+            for s in shingle_sets([t.lower() for t in batch.column("text").to_pylist()], conf.words):
                 if not len(s) or (cid := class_of(s)) in seen:
                     continue
                 seen.add(cid)
@@ -294,8 +292,7 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, conf: JoinConf)
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {}
-            for cid, text in zip(batch.column("cid").to_pylist(), batch.column("text").to_pylist()):
-                s = shingle_set(text.lower(), conf.words)
+            for cid, s in zip(batch.column("cid").to_pylist(), shingle_sets([t.lower() for t in batch.column("text").to_pylist()], conf.words)):
                 if len(s) and class_of(s) == cid:  # an id may stand for several texts
                     found[cid] = s.tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["cid", "s"])
