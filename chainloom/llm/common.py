@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -44,9 +45,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    What led to it isn't needed any more, so the driver is asked to collect its garbage: Spark then
+    removes shuffle files that nothing refers to, which otherwise stay until that happens by chance."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    out = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:

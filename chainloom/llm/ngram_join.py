@@ -49,7 +49,7 @@ class JoinConf:
     words: int = 5
     hot_shingles: int = 20_000
     hot_count: int = 16
-    bits: int = 4
+    bits: int = 2
     leaf: int = 64
     fan: int = 8
     chunk: int = 4096
@@ -108,8 +108,24 @@ def bitmap(shingles: np.ndarray, bits: int) -> bytes:
     return out.tobytes()
 
 
-def signatures(docs: DataFrame, hot: np.ndarray, conf: JoinConf) -> DataFrame:
-    """Classes with their prefix shingles and bitmaps: one row a class and task that meets it."""
+def bitmaps(docs: DataFrame, conf: JoinConf) -> DataFrame:
+    """cid, bits: one row a class and task that meets it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            rows = {}
+            for s in shingle_sets([t.lower() for t in batch.column("text").to_pylist()], conf.words):
+                if len(s) and (cid := class_of(s)) not in seen:
+                    seen.add(cid)
+                    rows[cid] = bitmap(s, conf.bits)
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.binary())], names=["cid", "bits"])
+
+    return docs.select(utf8().alias("text")).mapInArrow(run, "cid long, bits binary")
+
+
+def prefixes(docs: DataFrame, hot: np.ndarray, conf: JoinConf) -> DataFrame:
+    """Classes with their prefix shingles: one row a class and task that meets it."""
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))  # hot_shingles numbers at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,13 +140,13 @@ def signatures(docs: DataFrame, hot: np.ndarray, conf: JoinConf) -> DataFrame:
                 at = np.minimum(np.searchsorted(hot, s), max(0, len(hot) - 1))
                 last = hot[at] == s if len(hot) else np.zeros(n, bool)
                 prefix = n - -(-conf.percent * n // 100) + 1
-                rows.append((cid, n, np.concatenate([s[~last], s[last]])[:prefix].view(np.int64), bitmap(s, conf.bits)))
-            cids, sizes, keys, maps = zip(*rows) if rows else ((), (), (), ())
+                rows.append((cid, n, np.concatenate([s[~last], s[last]])[:prefix].view(np.int64)))
+            cids, sizes, keys = zip(*rows) if rows else ((), (), ())
             ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()), lists, pa.array(maps, pa.binary())], names=["cid", "n", "keys", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()), lists], names=["cid", "n", "keys"])
 
-    return docs.select(utf8().alias("text")).mapInArrow(run, "cid long, n long, keys array<long>, bits binary")
+    return docs.select(utf8().alias("text")).mapInArrow(run, "cid long, n long, keys array<long>")
 
 
 class Tree:
@@ -242,13 +258,15 @@ def block_pairs(cid: np.ndarray, n: np.ndarray, comp: np.ndarray, maps: list[byt
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def candidate_pairs(blocks: DataFrame, conf: JoinConf, forest: bool) -> DataFrame:
-    """``blocks``: key, cid, n, comp, bits. Returns a, b: distinct pairs of classes to verify."""
+def candidate_pairs(blocks: DataFrame, maps: DataFrame, conf: JoinConf, forest: bool) -> DataFrame:
+    """``blocks``: key, cid, n, comp; ``maps``: cid, bits. Returns a, b: distinct pairs of classes to verify.
+
+    Chunks are dealt before the bitmaps are joined, so that these move as seldom as possible."""
     in_block = Window.partitionBy("key")
     ranked = blocks.withColumn("chunk", F.floor((F.row_number().over(in_block.orderBy("n", "cid")) - 1) / conf.chunk).cast("int")).withColumn("chunks", F.floor((F.count(F.lit(1)).over(in_block) - 1) / conf.chunk).cast("int") + 1)
     # A block of one chunk is one group; else there is a group for each pair of chunks, and one for each chunk.
     dealt = ranked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", "comp", "bits")
+    dealt = dealt.select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", "comp").join(maps, "cid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held, sent = None, [], set()
@@ -314,6 +332,23 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, conf: JoinConf)
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def block_rows(docs: DataFrame, hot: np.ndarray, conf: JoinConf) -> DataFrame:
+    """key, cid, n: the classes of each block of two or more; of blocks with the same classes only one."""
+    keyed = prefixes(docs, hot, conf).select("cid", "n", F.explode("keys").alias("key")).repartition("key").dropDuplicates(["key", "cid"])
+    of_key = Window.partitionBy("key")
+    counted = keyed.withColumns({"size": F.count(F.lit(1)).over(of_key), "x": F.bit_xor(F.xxhash64("cid")).over(of_key), "y": F.bit_xor(F.xxhash64("cid", F.lit(1))).over(of_key)})
+    rows = cut(counted.where("size > 1"))
+    kept = rows.groupBy("key").agg(F.first("size").alias("size"), F.first("x").alias("x"), F.first("y").alias("y")).groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key")
+    return cut(rows.select("key", "cid", "n").join(kept, "key", "left_semi"))
+
+
+def unsettled(blocks: DataFrame, comps: DataFrame) -> DataFrame:
+    """Rows of blocks that hold more than one component: key, cid, n, comp."""
+    of_key = Window.partitionBy("key")
+    known = blocks.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    return known.withColumns({"lo": F.min("comp").over(of_key), "hi": F.max("comp").over(of_key)}).where("lo <> hi").drop("lo", "hi")
+
+
 def jaccard_components(docs: DataFrame, conf: JoinConf = JoinConf()) -> DataFrame:
     """``docs``: doc_id, text. Returns doc_id, n_shingles, component_id, row by row."""
     first = cut(documents_and_counts(docs, conf))
@@ -321,24 +356,12 @@ def jaccard_components(docs: DataFrame, conf: JoinConf = JoinConf()) -> DataFram
     hot = first.where("kind = 1").groupBy("cid").agg(F.sum("n").alias("n")).where(F.col("n") >= conf.hot_count).orderBy(F.desc("n"), "cid").limit(conf.hot_shingles).select("cid")
     names = np.array([r[0] for r in hot.collect()], np.int64).view(np.uint64)  # hot_shingles at most
     reps = cut(per_doc.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep")))
-    signed = cut(signatures(docs, names, conf))
-
-    keyed = signed.select("cid", "n", F.explode("keys").alias("key")).repartition("key").dropDuplicates(["key", "cid"])
-    of_key = Window.partitionBy("key")
-    counted = keyed.withColumns({"size": F.count(F.lit(1)).over(of_key), "x": F.bit_xor(F.xxhash64("cid")).over(of_key), "y": F.bit_xor(F.xxhash64("cid", F.lit(1))).over(of_key)})
-    rows = cut(counted.where("size > 1"))
-    # Of blocks with the same classes one is enough.
-    kept = rows.groupBy("key").agg(F.first("size").alias("size"), F.first("x").alias("x"), F.first("y").alias("y")).groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key")
-    maps = signed.select("cid", "bits").dropDuplicates(["cid"])
-    blocks = cut(rows.select("key", "cid", "n").join(kept, "key", "left_semi"))
+    maps = cut(bitmaps(docs, conf).dropDuplicates(["cid"]))
+    blocks = block_rows(docs, names, conf)
 
-    with_maps = blocks.join(maps, "cid").withColumn("comp", F.col("cid"))
-    links = cut(verified(cut(candidate_pairs(with_maps, conf, forest=True)), docs, reps, conf))
+    links = cut(verified(cut(candidate_pairs(blocks.withColumn("comp", F.col("cid")), maps, conf, forest=True)), docs, reps, conf))
     comps = cut(components(links)).select(F.col("node").alias("cid"), F.col("root").alias("comp"))
-
-    known = blocks.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    mixed_ = known.withColumns({"lo": F.min("comp").over(of_key), "hi": F.max("comp").over(of_key)}).where("lo <> hi").drop("lo", "hi")
-    more = verified(cut(candidate_pairs(mixed_.join(maps, "cid"), conf, forest=False)), docs, reps, conf)
+    more = cut(verified(cut(candidate_pairs(unsettled(blocks, comps), maps, conf, forest=False)), docs, reps, conf))
     roots = components(links.union(more)).select(F.col("node").alias("cid"), "root")
 
     placed = reps.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
