@@ -2,13 +2,16 @@
 
 Lines are normalised (A-Z lowered, digits as 0, white space collapsed); lines of fewer than
 ``min_words`` words are left alone. Equal normalised lines form a class by hash, counted before
-any join. A class's SimHash has 128 bits over its words; classes that agree in one of four blocks
-of 32 bits meet (so up to three differing bits are never missed), and edit similarity of their word
-sequences, computed exactly, links them. Of every connected group of lines the occurrence with the
-least (doc_id, row, line) stays; all others go.
+any join. Classes meet by a prefix filter that is derived from the threshold and misses no pair:
+edits within it destroy at most d of a line's pairs of neighbouring words (see ``destroyed``), so
+alike lines share one of the first d + 1 of their distinct pairs, whatever order of pairs both use.
+The order is rarest first, by counts of a bounded sample; it decides speed alone. Edit similarity
+of word sequences, computed exactly, links classes that meet. Of every connected group of lines
+the occurrence with the least (doc_id, row, line) stays; all others go.
 
-In a block, a class is compared with earlier ones that its words allow, likeliest first, and with a
-component no further once one member matches: a large block of alike lines costs one test a line.
+Few classes at a key give pairs, tested once each. At a larger one a class is compared with earlier
+ones that its words allow, likeliest first, and with a component no further once one member
+matches: a large block of alike lines costs one test a line.
 
 Defined cases: null text stays null, texts without dropped lines stay as they are. A document all
 of whose lines go keeps its row with an empty text, if asked to (``keep_empty``); else it goes too,
@@ -20,15 +23,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import GAP_CHARS, cut, table, utf8
 from .components import components
-from .shingles import MIX, PRIME, mixed, word_hashes, word_hashes_of
+from .shingles import PRIME, mixed, word_hashes_of
 
 NORMAL = bytes(48 if 48 <= b <= 57 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -39,23 +44,10 @@ class LineConf:
     percent: int = 80
 
 
-#: For each byte eight lanes of eight bits, one for each of its bits, to be summed over words.
-LANES = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)[:, :, None] * np.array([0] * 7 + [1], np.uint8), axis=2).reshape(256, 8).copy().view(np.uint64).ravel()
-#: Words whose lanes can be summed without running over.
-RUN = 255
-
-
-def majority(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """64 bits a line: those that more than half of its words' hashes have. Lines follow each other."""
-    bytes_ = hashes.view(np.uint8).reshape(-1, 8)
-    if len(sizes) and sizes.max() > RUN:  # long lines in runs, added as wider numbers
-        pieces = [np.append(np.arange(s, s + n, RUN), s + n) for s, n in zip(starts, sizes)]
-        inner, owner = np.concatenate([p[:-1] for p in pieces]), np.cumsum([0, *(len(p) - 1 for p in pieces[:-1])])
-    else:
-        inner, owner = starts, None
-    ones = np.stack([np.add.reduceat(LANES[bytes_[:, k]], inner) for k in range(8)], axis=1).view(np.uint8)
-    ones = ones.astype(np.int32) if owner is None else np.add.reduceat(ones.astype(np.int32), owner, axis=0)
-    return np.packbits(2 * ones > sizes[:, None], axis=1).view(np.uint64).ravel()
+#: Bits of the table of sampled counts that orders pairs of words, and the sample's lines.
+ORDER_BITS, ORDER_LINES = 22, 50_000
+#: Classes at one key up to which every pair is made.
+FEW = 32
 
 
 def row_id() -> Column:
@@ -63,11 +55,11 @@ def row_id() -> Column:
 
 
 def line_table(docs: DataFrame, conf: LineConf) -> DataFrame:
-    """doc_id, rid, line (from 0), h (class), s0, s1 (SimHash): lines of enough words."""
+    """doc_id, rid, line (from 0), h (class), w (32-bit hashes of its words): lines of enough words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owners, lines, hashes, first, second = [], [], [], [], []
+            owners, lines, hashes, seqs = [], [], [], []
             texts = [t.translate(NORMAL) for t in batch.column("text").to_pylist()]
             for i, (text, words) in enumerate(zip(texts, word_hashes_of(texts))):
                 sizes = np.array([len(x.split()) for x in text.split(b"\n")], np.int64)
@@ -82,15 +74,14 @@ def line_table(docs: DataFrame, conf: LineConf) -> DataFrame:
                 owners.append(np.full(len(long), i))
                 lines.append(long)
                 hashes.append(h[chosen])
-                for out, seed in ((first, 1), (second, 2)):
-                    out.append(majority((words ^ np.uint64(seed)) * MIX ^ (words >> np.uint64(7 * seed)), start[at], sizes[at])[chosen])
+                narrow = (words >> np.uint64(32)).astype(np.uint32)  # enough to tell two lines' words apart
+                seqs += [narrow[a:b].tobytes() for a, b in zip(start[long].tolist(), (start[long] + sizes[long]).tolist())]
             of = np.concatenate([*owners, np.zeros(0, np.int64)]).astype(np.int64)
             join = lambda x, kind: np.concatenate([*x, np.zeros(0, kind)]).astype(kind)
-            signed = lambda x: pa.array(join(x, np.uint64).view(np.int64))
-            columns = [batch.column("doc_id").cast(pa.int64()).take(pa.array(of)), batch.column("rid").take(pa.array(of)), pa.array(join(lines, np.int32)), signed(hashes), signed(first), signed(second)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rid", "line", "h", "s0", "s1"])
+            columns = [batch.column("doc_id").cast(pa.int64()).take(pa.array(of)), batch.column("rid").take(pa.array(of)), pa.array(join(lines, np.int32)), pa.array(join(hashes, np.uint64).view(np.int64)), pa.array(seqs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rid", "line", "h", "w"])
 
-    return docs.select("doc_id", row_id().alias("rid"), utf8().alias("text")).mapInArrow(run, "doc_id long, rid long, line int, h long, s0 long, s1 long")
+    return docs.select("doc_id", row_id().alias("rid"), utf8().alias("text")).mapInArrow(run, "doc_id long, rid long, line int, h long, w binary")
 
 
 def edits(a: list[int], b: list[int]) -> int:
@@ -117,13 +108,78 @@ def edits(a: list[int], b: list[int]) -> int:
 
 
 def similar(a: list[int], b: list[int], percent: int) -> bool:
-    """Whether 1 - edits / longer length reaches the percentage."""
+    """Whether 1 - edits / longer length reaches the percentage. What both begin and end with costs nothing."""
     allowed = (100 - percent) * max(len(a), len(b)) // 100
-    return abs(len(a) - len(b)) <= allowed and edits(a, b) <= allowed
+    if abs(len(a) - len(b)) > allowed:
+        return False
+    left, least = 0, min(len(a), len(b))
+    while left < least and a[left] == b[left]:
+        left += 1
+    right = 0
+    while right < least - left and a[-1 - right] == b[-1 - right]:
+        right += 1
+    a, b = a[left : len(a) - right], b[left : len(b) - right]
+    if max(len(a), len(b)) <= allowed:
+        return True
+    x, y = set(a), set(b)
+    return max(len(x - y), len(y - x)) <= allowed and edits(a, b) <= allowed
+
+
+@cache
+def destroyed(n: int, percent: int) -> int:
+    """The most pairs of neighbouring words that a line of n words can lose to an alike one, -1: there is no other.
+
+    A replaced or deleted word costs two pairs, an inserted one a single pair; a line longer by k has k insertions."""
+    lost, k = -1, 0
+    while k <= (allowed := (100 - percent) * (n + k) // 100):
+        if allowed:
+            lost = max(lost, 2 * allowed - k)
+        k += 1
+    return lost
+
+
+def pair_hashes(batch: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of pairs of neighbouring words, the line of each, words of each line) for binary word sequences."""
+    sequences = batch.to_pylist()
+    sizes = np.array([len(x) // 4 for x in sequences], np.int64)
+    words = np.frombuffer(b"".join(sequences), np.uint32).astype(np.uint64)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.flatnonzero(of[1:] == of[:-1])
+    return mixed((words[at] << np.uint64(32)) | words[at + 1]), of[at], sizes
+
+
+def sampled_order(classes: DataFrame) -> bytes:
+    """How often pairs of words occur in a bounded sample, by hash, up to 127. It orders keys and changes no result."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            at = (pair_hashes(batch.column("w"))[0] >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+            counts += np.bincount(at, minlength=1 << ORDER_BITS)
+        yield pa.RecordBatch.from_arrays([pa.array([zstandard.compress(np.minimum(counts, 127).astype(np.uint8).tobytes(), 1)])], names=["t"])
+
+    found = classes.select("w").limit(ORDER_LINES).coalesce(1).mapInArrow(run, "t binary").first()
+    return bytes(found["t"]) if found else zstandard.compress(bytes(1 << ORDER_BITS))
+
+
+def prefix_keys(column: pa.Array, order: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, the line of each): of each line the first of its distinct pairs, rarest first, one more than can be destroyed."""
+    pairs, of, sizes = pair_hashes(column)
+    keys = (order[(pairs >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (pairs & np.uint64((1 << 56) - 1))
+    by = np.lexsort((keys, of))
+    keys, of = keys[by], of[by]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+    keys, of = keys[fresh], of[fresh]
+    rank = np.arange(len(of)) - np.searchsorted(of, of)
+    kinds, at = np.unique(sizes, return_inverse=True)
+    wanted = np.array([destroyed(n, percent) + 1 for n in kinds.tolist()], np.int64)[at] if len(kinds) else sizes
+    taken = rank < wanted[of]
+    return keys[taken], of[taken]
 
 
 class Block:
-    """Lines that share a block of their SimHash. A line is tested against earlier ones that its words allow
+    """Lines that share a key. A line is tested against earlier ones that its words allow
     (a word that only one of two lines has costs an edit), likeliest first, and once a component."""
 
     BITS = 16  # 64-bit words of a line's bitmap
@@ -171,27 +227,50 @@ class Block:
         self.n += 1
 
 
-def fuzzy_links(classes: DataFrame, docs: DataFrame, conf: LineConf) -> DataFrame:
-    """``classes``: h, s0, s1, first (struct doc_id, rid, line). Returns a, b: linked classes that connect all alike ones."""
-    # A block's key: its place above its 32 bits.
-    bits = lambda i, c, s: F.shiftrightunsigned(F.col(c), s).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(i << 32).cast("long"))
-    block = F.explode(F.array(*[bits(i, c, s) for i, (c, s) in enumerate((("s0", 0), ("s0", 32), ("s1", 0), ("s1", 32)))]))
-    met = cut(classes.select("h", block.alias("k")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("n > 1").select("k", "h"))
-    places = classes.join(met.select("h").distinct(), "h", "left_semi").select("h", "first.rid", "first.line")
-    wanted = places.groupBy("rid").agg(F.collect_list(F.struct("h", "line")).alias("lines"))  # a document's own lines
+def fuzzy_links(classes: DataFrame, conf: LineConf) -> DataFrame:
+    """``classes``: h, w. Returns a, b: linked classes that connect all alike ones."""
+    shared = classes.sparkSession.sparkContext.broadcast(sampled_order(classes))  # of fixed size
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = np.frombuffer(zstandard.decompress(shared.value), np.uint8)
         for batch in batches:
-            hs, seqs = [], []
-            for text, lines in zip(batch.column("text").to_pylist(), batch.column("lines").to_pylist()):
-                split = text.translate(NORMAL).split(b"\n")
-                for x in lines:
-                    hs.append(x["h"])
-                    seqs.append((word_hashes(split[x["line"]]) >> np.uint64(32)).astype(np.uint32).tobytes())  # enough to tell two lines' words apart
-            yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(seqs, pa.binary())], names=["h", "w"])
-
-    texts = docs.select(row_id().alias("rid"), utf8().alias("text")).join(wanted, "rid").select("text", "lines")
-    sequences = texts.mapInArrow(words, "h long, w binary").dropDuplicates(["h"])
+            k, of = prefix_keys(batch.column("w"), order, conf.percent)
+            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), batch.column("h").take(pa.array(of))], names=["k", "h"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs a, b of the classes at a key of few, k and each class a of one of many."""
+        k_, h_ = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in (*batches, None):
+            if batch is not None:
+                k_, h_ = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in ((k_, "k"), (h_, "h")))
+                end = int(np.searchsorted(k_, k_[-1])) if len(k_) else 0  # the last key may go on
+            else:
+                end = len(k_)
+            k, h = k_[:end], h_[:end]
+            k_, h_ = k_[end:], h_[end:]
+            start = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), k[1:] != k[:-1]]))
+            size = np.diff(np.append(start, len(k)))
+            left, right = [], []
+            for n in np.unique(size[(size > 1) & (size <= FEW)]).tolist():
+                i, j = np.triu_indices(n, 1)
+                at = start[size == n][:, None]
+                left.append(h[at + i].ravel())
+                right.append(h[at + j].ravel())
+            a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right))
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["k", "a", "b"])
+            many = np.repeat(size > FEW, size)
+            yield pa.RecordBatch.from_arrays([pa.array(k[many]), pa.array(h[many]), pa.nulls(int(many.sum()), pa.int64())], names=["k", "a", "b"])
+
+    able = classes.where(F.length("w") >= 8)  # two words
+    by_key = able.select("h", "w").mapInArrow(keys, "k long, h long").repartition("k").sortWithinPartitions("k")
+    met = cut(by_key.mapInArrow(meet, "k long, a long, b long").distinct())
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("wa").to_pylist(), batch.column("wb").to_pylist())
+            alike = pa.array([similar(memoryview(x).cast("I").tolist(), memoryview(y).cast("I").tolist(), conf.percent) for x, y in rows], pa.bool_())
+            yield batch.select(["a", "b"]).filter(alike)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block, out = None, None, []
@@ -203,17 +282,20 @@ def fuzzy_links(classes: DataFrame, docs: DataFrame, conf: LineConf) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
             out = []
 
-    rows = met.join(sequences, "h").select("k", "h", "w")
-    return rows.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long").distinct()
+    one, two = (classes.select(F.col("h").alias(c), F.col("w").alias(f"w{c}")) for c in ("a", "b"))
+    few = met.where("k is null").select("a", "b").join(one, "a").join(two, "b").select("a", "b", "wa", "wb").mapInArrow(test, "a long, b long")
+    rows = met.where("k is not null").select("k", F.col("a").alias("h")).join(classes.select("h", "w"), "h").select("k", "h", "w")
+    many = rows.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long")
+    return few.union(many).distinct()
 
 
 def dedup_lines(docs: DataFrame, conf: LineConf = LineConf(), keep_empty: bool = True) -> DataFrame:
     """``docs`` with its texts less the repeated lines, and dropped_lines (array of places from 0)."""
     lines = cut(line_table(docs, conf))
     place = F.struct("doc_id", "rid", "line")
-    classes = cut(lines.groupBy("h").agg(F.min(place).alias("first"), F.first("s0").alias("s0"), F.first("s1").alias("s1"), F.count(F.lit(1)).alias("n")))
-    roots = components(fuzzy_links(classes, docs, conf)).withColumnRenamed("node", "h")
-    grouped = classes.join(roots, "h", "left")
+    classes = cut(lines.groupBy("h").agg(F.min(place).alias("first"), F.first("w").alias("w"), F.count(F.lit(1)).alias("n")))
+    roots = components(fuzzy_links(classes, conf)).withColumnRenamed("node", "h")
+    grouped = classes.drop("w").join(roots, "h", "left")
     linked = grouped.where("root is not null")
     least = linked.groupBy("root").agg(F.min("first").alias("keep"))
     # Only classes with more than one occurrence, or in a group of several, can lose lines.

@@ -220,6 +220,38 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def letters(n, r):
+    """Digits are all one in lines."""
+    return ["".join(r.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+
+
+def test_line_dedup_misses_no_alike_pair(spark):
+    r = random.Random(12)
+    texts, pairs = [], []
+    for n in (4, 5, 9, 10, 20, 50, 120):
+        for share in (1, 5, 10, 15, 20):
+            for _ in range(6):
+                line = letters(n, r)
+                other = list(line)
+                for _ in range(max(1, n * share // 100)):
+                    at = r.randrange(len(other))
+                    kind = r.randrange(3)
+                    other[at : at + (kind > 0)] = letters(kind < 2, r)
+                longer = max(len(line), len(other))
+                pairs.append((len(texts), line_dedup.edits(line, other) <= longer * 20 // 100))
+                texts += [" ".join(line), " ".join(other)]
+    got = {x.doc_id: x.dropped_lines for x in line_dedup.dedup_lines(documents(spark, texts)).collect()}
+    assert sum(alike for _, alike in pairs) > 100 and not all(alike for _, alike in pairs)
+    assert [(i, got[i + 1] == [0]) for i, _ in pairs] == pairs and all(got[i] == [] for i, _ in pairs)
+
+
+def test_line_dedup_tests_large_blocks(spark):
+    line = letters(40, random.Random(21))
+    texts = [" ".join([*line[:k], "other", *line[k + 1 :]]) for k in range(40)] * 2
+    got = [x.dropped_lines for x in line_dedup.dedup_lines(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert got == [[]] + [[0]] * 79
+
+
 def test_edits():
     def plain(a, b):
         row = list(range(len(b) + 1))
