@@ -1,12 +1,13 @@
 """Line dedup with fuzzy lines.
 
-Lines are normalised (A-Z lowered, digits as 0, white space collapsed); lines of fewer than
-``min_words`` words are left alone. Equal normalised lines form a class by hash, counted before
+Lines are normalised (A-Z lowered, digits as 0, white space collapsed). Every line with a word takes
+part. Its units are its words, or its characters if it has fewer than ``min_words`` words: short
+lines, and whole lines of scripts without spaces. Equal normalised lines form a class by hash, counted before
 any join. Classes meet by a prefix filter that is derived from the threshold and misses no pair:
-edits within it destroy at most d of a line's pairs of neighbouring words (see ``destroyed``), so
+edits within it destroy at most d of a line's pairs of neighbouring units (see ``destroyed``), so
 alike lines share one of the first d + 1 of their distinct pairs, whatever order of pairs both use.
 The order is rarest first, by counts of a bounded sample; it decides speed alone. Edit similarity
-of word sequences, computed exactly, links classes that meet. Of every connected group of lines
+of unit sequences, computed exactly, links classes that meet. Of every connected group of lines
 the occurrence with the least (doc_id, row, line) stays; all others go.
 
 Few classes at a key give pairs, tested once each. At a larger one a class is compared with earlier
@@ -40,6 +41,8 @@ NORMAL = bytes(48 if 48 <= b <= 57 else b + 32 if 65 <= b <= 90 else b for b in
 
 @dataclass(frozen=True)
 class LineConf:
+    """Lines of fewer than ``min_words`` words are compared by characters."""
+
     min_words: int = 3
     percent: int = 80
 
@@ -54,28 +57,33 @@ def row_id() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
+def characters(line: bytes) -> bytes:
+    """A line's code points, 32 bits each."""
+    return b" ".join(line.split()).decode("utf-8", "replace").encode("utf-32-le")
+
+
 def line_table(docs: DataFrame, conf: LineConf) -> DataFrame:
-    """doc_id, rid, line (from 0), h (class), w (32-bit hashes of its words): lines of enough words."""
+    """doc_id, rid, line (from 0), h (class), w (32-bit units): lines that have a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owners, lines, hashes, seqs = [], [], [], []
             texts = [t.translate(NORMAL) for t in batch.column("text").to_pylist()]
             for i, (text, words) in enumerate(zip(texts, word_hashes_of(texts))):
-                sizes = np.array([len(x.split()) for x in text.split(b"\n")], np.int64)
-                long = np.flatnonzero(sizes >= conf.min_words)
-                if not len(long):
+                split = text.split(b"\n")
+                sizes = np.array([len(x.split()) for x in split], np.int64)
+                at = np.flatnonzero(sizes > 0)
+                if not len(at):
                     continue
                 start = np.cumsum(sizes) - sizes
-                at = np.flatnonzero(sizes > 0)
                 place = np.arange(len(words), dtype=np.int64) - np.repeat(start[at], sizes[at])
                 h = mixed(np.add.reduceat(mixed(words + PRIME * (place.astype(np.uint64) + np.uint64(1))), start[at]))
-                chosen = np.searchsorted(at, long)
-                owners.append(np.full(len(long), i))
-                lines.append(long)
-                hashes.append(h[chosen])
+                owners.append(np.full(len(at), i))
+                lines.append(at)
+                hashes.append(h)
                 narrow = (words >> np.uint64(32)).astype(np.uint32)  # enough to tell two lines' words apart
-                seqs += [narrow[a:b].tobytes() for a, b in zip(start[long].tolist(), (start[long] + sizes[long]).tolist())]
+                for x, a, n in zip(at.tolist(), start[at].tolist(), sizes[at].tolist()):
+                    seqs.append(narrow[a : a + n].tobytes() if n >= conf.min_words else characters(split[x]))
             of = np.concatenate([*owners, np.zeros(0, np.int64)]).astype(np.int64)
             join = lambda x, kind: np.concatenate([*x, np.zeros(0, kind)]).astype(kind)
             columns = [batch.column("doc_id").cast(pa.int64()).take(pa.array(of)), batch.column("rid").take(pa.array(of)), pa.array(join(lines, np.int32)), pa.array(join(hashes, np.uint64).view(np.int64)), pa.array(seqs, pa.binary())]
@@ -262,7 +270,7 @@ def fuzzy_links(classes: DataFrame, conf: LineConf) -> DataFrame:
             many = np.repeat(size > FEW, size)
             yield pa.RecordBatch.from_arrays([pa.array(k[many]), pa.array(h[many]), pa.nulls(int(many.sum()), pa.int64())], names=["k", "a", "b"])
 
-    able = classes.where(F.length("w") >= 8)  # two words
+    able = classes.where(F.length("w") >= 8)  # two units
     by_key = able.select("h", "w").mapInArrow(keys, "k long, h long").repartition("k").sortWithinPartitions("k")
     met = cut(by_key.mapInArrow(meet, "k long, a long, b long").distinct())
 

@@ -252,6 +252,12 @@ def test_line_dedup_tests_large_blocks(spark):
     assert got == [[]] + [[0]] * 79
 
 
+def test_line_dedup_takes_short_lines(spark):
+    texts = ["Menu\n今日は天気がとても良いので散歩に行きました", "menu\nLog in\n今日は天気がとても良いので公園に行きました", "Log in\nSubscribe now!\nHouse", "log in\nSubscribe now.\nHorses\n明日は雨が降る"]
+    got = [x.text for x in line_dedup.dedup_lines(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert got == [texts[0], "Log in", "Subscribe now!\nHouse", "Horses\n明日は雨が降る"]
+
+
 def test_edits():
     def plain(a, b):
         row = list(range(len(b) + 1))
@@ -320,6 +326,18 @@ def test_equals_sql(spark, name):
     assert_same(queries.queries()[name](spark, SF), connect(SF), queries.oracle_sql()[name])
 
 
+def test_pipeline_rules_learn_from_all_labels(spark, tmp_path):
+    import corpus_pipeline
+
+    clean, junk = [" ".join(prose(60, s)) for s in range(80)], [" ".join(w + "|" for w in prose(60, 200 + s)) for s in range(90)]
+    docs = documents(spark, clean + junk)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i < 80), 0) for i in range(160)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    # The stage before has left no labelled junk, but some without a label.
+    left = docs.where("doc_id < 80 or doc_id >= 160")
+    assert {r.doc_id for r in corpus_pipeline.rules(spark, left, str(tmp_path)).collect()} == set(range(80))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
