@@ -1,8 +1,9 @@
 """Best-fit packing of documents into token sequences, by sums of squares.
 
-State is, for every residual gap, how many open sequences have it. A piece goes where the sum of
-the squared counts becomes smallest: into an open sequence of some gap, or into a new one. That
-keeps gaps varied, so that later pieces find one that fits. Pieces come longest first.
+State is, for every residual gap, how many open sequences have it. Of the open sequences that fit, a
+piece goes where the sum of the squared counts becomes smallest; an open sequence that fits is always
+preferred to a new one. That keeps gaps varied, so that later pieces find one that fits. Pieces come
+longest first.
 
 Documents longer than a sequence are cut into whole sequences; what remains is packed like the
 others. Packing runs in shards of about ``shard_rows`` pieces chosen by a hash, each one task of
@@ -134,11 +135,11 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndar
         if len(change):
             change[0] = -gaps[s] if gaps[s] else change[0]  # a filled sequence leaves the counts
             gap = s + int(np.argmin(change))
-            fits, gain = gaps[gap] > 0, int(change[gap - s])
+            fits = gaps[gap] > 0
         else:
-            fits, gain = False, 0
-        # A new sequence only where no open one takes the piece without a larger sum.
-        if fits and gain <= gaps[capacity - s] or fits and s < capacity:
+            fits = False
+        # A new sequence only where no open one fits.
+        if fits:
             b = heapq.heappop(open_[gap])
             gaps[gap] -= 1
         else:

@@ -205,6 +205,11 @@ def test_sums_of_squares_is_tight():
     assert bins.max() + 1 <= 1.01 * np.ceil(lengths.sum() / 2048) + 1
 
 
+def test_an_open_sequence_that_fits_is_preferred():
+    bins, offsets = packing.pack_lengths(np.array([6, 6, 3, 3]), 10)
+    assert bins.tolist() == [0, 1, 0, 1] and offsets.tolist() == [0, 0, 6, 6]
+
+
 def test_line_dedup(spark):
     long = prose(40, 7)
     edited = [*long[:20], "changed", *long[21:]]
