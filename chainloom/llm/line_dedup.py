@@ -10,7 +10,8 @@ The order is rarest first, by counts of a bounded sample; it decides speed alone
 of unit sequences, computed exactly, links classes that meet. Of every connected group of lines
 the occurrence with the least (doc_id, row, line) stays; all others go.
 
-Few classes at a key give pairs, tested once each. At a larger one a class is compared with earlier
+Few classes at a key give pairs, if lengths and 64 parities of the
+lines' units allow them (an edit changes two at most), tested once each. At a larger one a class is compared with earlier
 ones that its words allow, likeliest first, and with a component no further once one member
 matches: a large block of alike lines costs one test a line.
 
@@ -62,8 +63,8 @@ def characters(line: bytes) -> bytes:
     return b" ".join(line.split()).decode("utf-8", "replace").encode("utf-32-le")
 
 
-def line_table(docs: DataFrame, conf: LineConf) -> DataFrame:
-    """doc_id, rid, line (from 0), h (class), w (32-bit units): lines that have a word."""
+def line_table(docs: DataFrame, conf: LineConf, units: bool = True) -> DataFrame:
+    """doc_id, rid, line (from 0), h (class), w (32-bit units, if asked for): lines that have a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,15 +82,17 @@ def line_table(docs: DataFrame, conf: LineConf) -> DataFrame:
                 owners.append(np.full(len(at), i))
                 lines.append(at)
                 hashes.append(h)
+                if not units:
+                    continue
                 narrow = (words >> np.uint64(32)).astype(np.uint32)  # enough to tell two lines' words apart
                 for x, a, n in zip(at.tolist(), start[at].tolist(), sizes[at].tolist()):
                     seqs.append(narrow[a : a + n].tobytes() if n >= conf.min_words else characters(split[x]))
             of = np.concatenate([*owners, np.zeros(0, np.int64)]).astype(np.int64)
             join = lambda x, kind: np.concatenate([*x, np.zeros(0, kind)]).astype(kind)
-            columns = [batch.column("doc_id").cast(pa.int64()).take(pa.array(of)), batch.column("rid").take(pa.array(of)), pa.array(join(lines, np.int32)), pa.array(join(hashes, np.uint64).view(np.int64)), pa.array(seqs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rid", "line", "h", "w"])
+            columns = [batch.column("doc_id").cast(pa.int64()).take(pa.array(of)), batch.column("rid").take(pa.array(of)), pa.array(join(lines, np.int32)), pa.array(join(hashes, np.uint64).view(np.int64)), *[pa.array(seqs, pa.binary())] * units]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rid", "line", "h", *["w"] * units])
 
-    return docs.select("doc_id", row_id().alias("rid"), utf8().alias("text")).mapInArrow(run, "doc_id long, rid long, line int, h long, w binary")
+    return docs.select("doc_id", row_id().alias("rid"), utf8().alias("text")).mapInArrow(run, "doc_id long, rid long, line int, h long" + ", w binary" * units)
 
 
 def edits(a: list[int], b: list[int]) -> int:
@@ -170,8 +173,8 @@ def sampled_order(classes: DataFrame) -> bytes:
     return bytes(found["t"]) if found else zstandard.compress(bytes(1 << ORDER_BITS))
 
 
-def prefix_keys(column: pa.Array, order: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, the line of each): of each line the first of its distinct pairs, rarest first, one more than can be destroyed."""
+def prefix_keys(column: pa.Array, order: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, the line of each, its number of units, its parities): of each line the first of its distinct pairs, rarest first, one more than can be destroyed."""
     pairs, of, sizes = pair_hashes(column)
     keys = (order[(pairs >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (pairs & np.uint64((1 << 56) - 1))
     by = np.lexsort((keys, of))
@@ -183,7 +186,18 @@ def prefix_keys(column: pa.Array, order: np.ndarray, percent: int) -> tuple[np.n
     kinds, at = np.unique(sizes, return_inverse=True)
     wanted = np.array([destroyed(n, percent) + 1 for n in kinds.tolist()], np.int64)[at] if len(kinds) else sizes
     taken = rank < wanted[of]
-    return keys[taken], of[taken]
+    keys, of = keys[taken], of[taken]
+    return keys, of, sizes[of], parities(column.to_pylist())[of]
+
+
+def parities(sequences: list[bytes]) -> np.ndarray:
+    """64 bits of each line: whether an odd number of its units falls to each."""
+    sizes = np.array([len(x) // 4 for x in sequences], np.int64)
+    bits = np.uint64(1) << (np.frombuffer(b"".join(sequences), np.uint32) & np.uint32(63)).astype(np.uint64)
+    out, some = np.zeros(len(sizes), np.uint64), np.flatnonzero(sizes)
+    if len(some):
+        out[some] = np.bitwise_xor.reduceat(bits, (np.cumsum(sizes) - sizes)[some])
+    return out
 
 
 class Block:
@@ -242,73 +256,85 @@ def fuzzy_links(classes: DataFrame, conf: LineConf) -> DataFrame:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.frombuffer(zstandard.decompress(shared.value), np.uint8)
         for batch in batches:
-            k, of = prefix_keys(batch.column("w"), order, conf.percent)
-            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), batch.column("h").take(pa.array(of))], names=["k", "h"])
+            k, of, n, odd = prefix_keys(batch.column("w"), order, conf.percent)
+            columns = [pa.array(k.view(np.int64)), batch.column("h").take(pa.array(of)), pa.array(n.astype(np.int32)), pa.array(odd.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["k", "h", "n", "odd"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs a, b of the classes at a key of few, k and each class a of one of many."""
-        k_, h_ = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        """k, h: groups of classes to be tested, a pair or all classes at a key of many. Groups that fall together do no harm."""
+        kept = [np.zeros(0, np.int64)] * 4
         for batch in (*batches, None):
             if batch is not None:
-                k_, h_ = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in ((k_, "k"), (h_, "h")))
-                end = int(np.searchsorted(k_, k_[-1])) if len(k_) else 0  # the last key may go on
+                kept = [np.concatenate([x, batch.column(c).to_numpy().astype(np.int64)]) for x, c in zip(kept, ("k", "h", "n", "odd"))]
+                end = int(np.searchsorted(kept[0], kept[0][-1])) if len(kept[0]) else 0  # the last key may go on
             else:
-                end = len(k_)
-            k, h = k_[:end], h_[:end]
-            k_, h_ = k_[end:], h_[end:]
+                end = len(kept[0])
+            k, h, n_units, odd = (x[:end] for x in kept)
+            kept = [x[end:] for x in kept]
             start = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), k[1:] != k[:-1]]))
             size = np.diff(np.append(start, len(k)))
             left, right = [], []
             for n in np.unique(size[(size > 1) & (size <= FEW)]).tolist():
                 i, j = np.triu_indices(n, 1)
                 at = start[size == n][:, None]
-                left.append(h[at + i].ravel())
-                right.append(h[at + j].ravel())
+                x, y = (at + i).ravel(), (at + j).ravel()
+                allowed = (100 - conf.percent) * np.maximum(n_units[x], n_units[y]) // 100
+                near = np.bitwise_count((odd[x] ^ odd[y]).view(np.uint64)) <= 2 * allowed
+                able = near & (np.abs(n_units[x] - n_units[y]) <= allowed)
+                left.append(h[x[able]])
+                right.append(h[y[able]])
             a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right))
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["k", "a", "b"])
+            group = mixed(pairs[:, 0].astype(np.uint64) * PRIME ^ mixed(pairs[:, 1].astype(np.uint64))).view(np.int64)
             many = np.repeat(size > FEW, size)
-            yield pa.RecordBatch.from_arrays([pa.array(k[many]), pa.array(h[many]), pa.nulls(int(many.sum()), pa.int64())], names=["k", "a", "b"])
+            columns = [np.concatenate([k[many], np.repeat(group, 2)]), np.concatenate([h[many], pairs.ravel()])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["k", "h"])
 
     able = classes.where(F.length("w") >= 8)  # two units
-    by_key = able.select("h", "w").mapInArrow(keys, "k long, h long").repartition("k").sortWithinPartitions("k")
-    met = cut(by_key.mapInArrow(meet, "k long, a long, b long").distinct())
+    by_key = able.select("h", "w").mapInArrow(keys, "k long, h long, n int, odd long").repartition("k").sortWithinPartitions("k")
+    met = cut(by_key.mapInArrow(meet, "k long, h long").distinct())
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(batch.column("wa").to_pylist(), batch.column("wb").to_pylist())
-            alike = pa.array([similar(memoryview(x).cast("I").tolist(), memoryview(y).cast("I").tolist(), conf.percent) for x, y in rows], pa.bool_())
-            yield batch.select(["a", "b"]).filter(alike)
+    def links(group: list[tuple[int, bytes]]) -> Iterator[tuple[int, int]]:
+        if len(group) == 2:
+            (a, x), (b, y) = group
+            if similar(memoryview(x).cast("I").tolist(), memoryview(y).cast("I").tolist(), conf.percent):
+                yield min(a, b), max(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, block, out = None, None, []
+        key, block, group, out = None, None, [], []
         for batch in batches:
             for k, h, w in zip(*(batch.column(c).to_pylist() for c in ("k", "h", "w"))):
                 if k != key:
-                    key, block = k, Block(conf.percent)
-                out += block.add(h, np.frombuffer(w, np.uint32))
+                    out += links(group)
+                    key, block, group = k, None, []
+                if len(group) < 3:
+                    group.append((h, w))
+                if len(group) == 3:  # larger than a pair: the first two wait no longer
+                    if block is None:
+                        block = Block(conf.percent)
+                        for g, x in group[:2]:
+                            out += block.add(g, np.frombuffer(x, np.uint32))
+                    out += block.add(h, np.frombuffer(w, np.uint32))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
             out = []
+        last = list(links(group))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in last], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    one, two = (classes.select(F.col("h").alias(c), F.col("w").alias(f"w{c}")) for c in ("a", "b"))
-    few = met.where("k is null").select("a", "b").join(one, "a").join(two, "b").select("a", "b", "wa", "wb").mapInArrow(test, "a long, b long")
-    rows = met.where("k is not null").select("k", F.col("a").alias("h")).join(classes.select("h", "w"), "h").select("k", "h", "w")
-    many = rows.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long")
-    return few.union(many).distinct()
+    rows = met.join(classes.select("h", "w"), "h").select("k", "h", "w")
+    return rows.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long").distinct()
 
 
 def dedup_lines(docs: DataFrame, conf: LineConf = LineConf(), keep_empty: bool = True) -> DataFrame:
     """``docs`` with its texts less the repeated lines, and dropped_lines (array of places from 0)."""
-    lines = cut(line_table(docs, conf))
     place = F.struct("doc_id", "rid", "line")
-    classes = cut(lines.groupBy("h").agg(F.min(place).alias("first"), F.first("w").alias("w"), F.count(F.lit(1)).alias("n")))
+    classes = cut(line_table(docs, conf).groupBy("h").agg(F.min(place).alias("first"), F.first("w").alias("w"), F.count(F.lit(1)).alias("n")))
     roots = components(fuzzy_links(classes, conf)).withColumnRenamed("node", "h")
     grouped = classes.drop("w").join(roots, "h", "left")
     linked = grouped.where("root is not null")
     least = linked.groupBy("root").agg(F.min("first").alias("keep"))
     # Only classes with more than one occurrence, or in a group of several, can lose lines.
     keepers = linked.join(least, "root").select("h", "keep").union(grouped.where("root is null and n > 1").select("h", F.col("first").alias("keep")))
-    gone = lines.select("h", "doc_id", "rid", "line").join(keepers, "h").where(~place.eqNullSafe(F.col("keep")))
+    gone = line_table(docs, conf, units=False).join(keepers, "h").where(~place.eqNullSafe(F.col("keep")))
     per_doc = gone.groupBy("rid").agg(F.array_sort(F.collect_set("line")).alias("dropped_lines"))  # at most a document's lines
     out = docs.withColumn("_rid", row_id()).join(per_doc.withColumnRenamed("rid", "_rid"), "_rid", "left").drop("_rid")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("dropped_lines"), i))
