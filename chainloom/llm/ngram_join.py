@@ -14,15 +14,21 @@ or all below is already one component. Pairs of classes are bounded by bits of o
 
 Two rounds. First each block emits a spanning forest of the pairs whose estimated similarity
 passes; exact verification makes links of them. Then blocks that still hold more than one component
-emit every pair across components that the bounds allow. So a group of thousands of near copies
-costs pairs by its number of members, and yet no link between components is lost.
+are searched for pairs across components that the bounds allow. A group with few of them emits
+them; in a group with many, where classes lie close to the threshold, the sets themselves are
+brought together and only links that join two components leave the task. So a group of thousands
+of near copies costs rows by its number of members, and yet no link between components is lost.
 
-A block larger than ``chunk`` is dealt in pairs of chunks, so a task holds at most two chunks.
+A shingle of more than ``chunk`` classes, known from the counts before, is dealt into chunks by hash
+from the start. The first round works inside chunks, dealt differently for each shingle. The second
+keeps the members of a block's largest component apart: its chunks meet those of the others, never
+each other, so a block of one component and some strays costs a copy of it for each chunk of strays.
 
 Defined cases: null, empty or blank text has no shingles, n_shingles 0, and is its own component;
 fewer words than a shingle make one of all of them. Repeated rows and ids are judged row by row;
-a null doc_id never becomes a component's id unless it stands alone. Extra columns are ignored.
-An empty table gives no rows. Hashes have 64 bits.
+a null doc_id never becomes a component's id unless it stands alone, but its text links others.
+Extra columns are ignored. An empty table gives no rows. Very long texts are hashed in parts and
+compared whole. Hashes have 64 bits.
 """
 
 from __future__ import annotations
@@ -43,17 +49,20 @@ from .shingles import mixed, shingle_sets
 @dataclass(frozen=True)
 class JoinConf:
     """``percent``: least similarity, as a percentage. ``hot_shingles``: how many of the most frequent
-    shingles go last in the order, which is a matter of speed alone. ``bits``: bits of a bitmap a shingle."""
+    shingles go last in the order, which is a matter of speed alone. ``bits``: bits of a bitmap a shingle,
+    ``width``: of any bitmap at least. ``dense``: pairs a member from which a group is verified by sets in one task."""
 
     percent: int = 80
     words: int = 5
     hot_shingles: int = 20_000
     hot_count: int = 16
     bits: int = 2
+    width: int = 4096
     leaf: int = 64
     fan: int = 8
-    chunk: int = 4096
+    chunk: int = 1024
     margin: float = 0.01
+    dense: int = 4
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -98,8 +107,7 @@ def documents_and_counts(docs: DataFrame, conf: JoinConf, least: int = 4) -> Dat
     return docs.select("doc_id", utf8().alias("text")).mapInArrow(run, "kind int, doc_id long, cid long, n long")
 
 
-def bitmap(shingles: np.ndarray, bits: int) -> bytes:
-    width = 64
+def bitmap(shingles: np.ndarray, bits: int, width: int = 4096) -> bytes:
     while width < bits * len(shingles):
         width *= 2
     out = np.zeros(width // 8, np.uint8)
@@ -118,7 +126,7 @@ def bitmaps(docs: DataFrame, conf: JoinConf) -> DataFrame:
             for s in shingle_sets([t.lower() for t in batch.column("text").to_pylist()], conf.words):
                 if len(s) and (cid := class_of(s)) not in seen:
                     seen.add(cid)
-                    rows[cid] = bitmap(s, conf.bits)
+                    rows[cid] = bitmap(s, conf.bits, conf.width)
             yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.binary())], names=["cid", "bits"])
 
     return docs.select(utf8().alias("text")).mapInArrow(run, "cid long, bits binary")
@@ -258,26 +266,47 @@ def block_pairs(cid: np.ndarray, n: np.ndarray, comp: np.ndarray, maps: list[byt
     return np.minimum(a, b), np.maximum(a, b)
 
 
+def dealt_groups(blocks: DataFrame, conf: JoinConf, forest: bool) -> DataFrame:
+    """``blocks``: key, chunk, chunks, cid, n, comp. Rows of groups (key, lo, hi): chunk, cid, n, comp."""
+    names = ("key", "lo", "hi", "chunk", "cid", "n", "comp")
+    alone = blocks.withColumns({"lo": F.col("chunk"), "hi": F.col("chunk")})
+    if forest:
+        return alone.select(*names)
+    large = blocks.where("chunks > 1")
+    by_comp = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    major = by_comp.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"))
+    major = major.select("key", F.col("top.comp").alias("major"), F.ceil((F.col("all") - F.col("top.m")) / conf.chunk).cast("int").alias("strays"))
+    rows = large.join(major, "key").withColumn("pure", F.col("comp") == F.col("major"))
+    rows = rows.withColumn("chunk", F.when(F.col("pure"), F.col("chunk")).otherwise(F.col("chunks") + F.pmod(F.xxhash64("cid", "key"), F.col("strays")).cast("int")))
+    # A chunk of the largest component meets the strays' chunks, a strays' chunk meets all.
+    others = F.when(F.col("pure"), F.sequence(F.col("chunks"), F.col("chunks") + F.col("strays") - 1)).otherwise(F.sequence(F.lit(0), F.col("chunks") + F.col("strays") - 1))
+    rows = rows.withColumn("other", F.explode(others)).withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
+    return alone.where("chunks = 1").select(*names).union(rows.select(*names))
+
+
 def candidate_pairs(blocks: DataFrame, maps: DataFrame, conf: JoinConf, forest: bool) -> DataFrame:
-    """``blocks``: key, cid, n, comp; ``maps``: cid, bits. Returns a, b: distinct pairs of classes to verify.
+    """``maps``: cid, bits. Returns a, b, comp: distinct pairs of classes to verify, comp null; and, not in the
+    first round, classes (a) of groups (b) that are to be verified by sets, with their component.
 
     Chunks are dealt before the bitmaps are joined, so that these move as seldom as possible."""
-    in_block = Window.partitionBy("key")
-    ranked = blocks.withColumn("chunk", F.floor((F.row_number().over(in_block.orderBy("n", "cid")) - 1) / conf.chunk).cast("int")).withColumn("chunks", F.floor((F.count(F.lit(1)).over(in_block) - 1) / conf.chunk).cast("int") + 1)
-    # A block of one chunk is one group; else there is a group for each pair of chunks, and one for each chunk.
-    dealt = ranked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "cid", "n", "comp").join(maps, "cid")
+    dealt = dealt_groups(blocks, conf, forest).join(maps, "cid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held, sent = None, [], set()
 
-        def pairs_of() -> tuple[np.ndarray, np.ndarray]:
+        def found() -> list[tuple[int, int, int | None]]:
             chunk, cid, n, comp, maps = zip(*held)
             side = np.array(chunk) if group[1] != group[2] else None
-            return block_pairs(np.array(cid), np.array(n), np.array(comp), list(maps), side, conf, forest)
+            a, b = block_pairs(np.array(cid), np.array(n), np.array(comp), list(maps), side, conf, forest)
+            if not forest and len(a) > conf.dense * len(held):
+                name = int(mixed(np.array([group[0]], np.int64).view(np.uint64) ^ np.uint64(group[1] << 32 | group[2]))[0].astype(np.int64))
+                return [(c, name, k) for c, k in set(zip(cid, comp))]
+            new = set(zip(a.tolist(), b.tolist())) - sent
+            sent.update(new)
+            return [(x, y, None) for x, y in new]
 
-        def rows(found: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        def rows(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["a", "b", "comp"])
 
         out: list = []
         for batch in batches:
@@ -285,9 +314,7 @@ def candidate_pairs(blocks: DataFrame, maps: DataFrame, conf: JoinConf, forest:
             for key, lo, hi, *row in zip(*columns):
                 if (key, lo, hi) != group:
                     if len(held) > 1:
-                        new = set(zip(*(x.tolist() for x in pairs_of()))) - sent
-                        out += new
-                        sent |= new
+                        out += found()
                         if len(sent) > 1_000_000:
                             sent.clear()
                     group, held = (key, lo, hi), []
@@ -296,27 +323,63 @@ def candidate_pairs(blocks: DataFrame, maps: DataFrame, conf: JoinConf, forest:
                         out = []
                 held.append(row)
         if len(held) > 1:
-            out += set(zip(*(x.tolist() for x in pairs_of()))) - sent
+            out += found()
         yield rows(out)
 
-    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "n", "cid").mapInArrow(run, "a long, b long").distinct()
-
-
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, conf: JoinConf) -> DataFrame:
-    """The pairs (a, b) whose sets are as similar as asked, from the texts of one document a class."""
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    chosen = wanted.join(reps, "cid").select("cid", F.col("rep").alias("doc_id"))
+    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "n", "cid").mapInArrow(run, "a long, b long, comp long").distinct()
+
+
+def similar_sets(sets: list[np.ndarray], label: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Places of pairs that are as similar as asked, enough to connect what they connect across labels.
+
+    Overlaps are products of 0/1 matrices over shingles that two sets share, some thousand at once."""
+    size = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    values, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(at, kind="stable")
+    order = order[n[at[order]] > 1]
+    owner, at = owner[order], at[order]
+    overlap = np.zeros((len(sets), len(sets)), np.float32)
+    width = 4096
+    place = np.cumsum(np.concatenate([np.zeros(min(1, len(at)), bool), at[1:] != at[:-1]]))
+    for first in range(0, int(place[-1]) + 1 if len(place) else 0, width):
+        lo, hi = np.searchsorted(place, [first, first + width])
+        has = np.zeros((len(sets), width), np.float32)
+        has[owner[lo:hi], place[lo:hi] - first] = 1
+        overlap += has @ has.T
+    both = overlap.astype(np.int64)
+    alike = np.triu((100 * both >= percent * (size[:, None] + size[None, :] - both)) & (both > 0), 1)
+    label, out = label.copy(), []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(alike & (label[:, None] != label[None, :])))):
+        if label[i] != label[j]:
+            out.append((i, j))
+            label[label == label[j]] = label[i]
+    return out
+
+
+def class_sets(classes: DataFrame, docs: DataFrame, reps: DataFrame, conf: JoinConf) -> DataFrame:
+    """cid, s: the sets of the classes asked for, from the texts of one document a class."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {}
             for cid, s in zip(batch.column("cid").to_pylist(), shingle_sets([t.lower() for t in batch.column("text").to_pylist()], conf.words)):
-                if len(s) and class_of(s) == cid:  # an id may stand for several texts
-                    found[cid] = s.tobytes()
+                if len(s) and cid in (None, mine := class_of(s)):  # an id may stand for several texts
+                    found[mine] = s.tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["cid", "s"])
 
-    texts = docs.select("doc_id", utf8().alias("text")).join(chosen, "doc_id")
-    known = cut(texts.select("cid", "text").mapInArrow(sets, "cid long, s binary").dropDuplicates(["cid"]))
+    wanted = classes.select("cid").distinct().join(reps, "cid").select("cid", F.col("rep").alias("doc_id"))
+    texts = docs.select("doc_id", utf8().alias("text"))
+    named = texts.join(wanted, "doc_id").select("cid", "text").mapInArrow(sets, "cid long, s binary")
+    # Classes of which no document has an id.
+    nameless = texts.where("doc_id is null").select(F.lit(None).cast("long").alias("cid"), "text").mapInArrow(sets, "cid long, s binary")
+    return cut(named.union(nameless.join(wanted.where("doc_id is null").select("cid"), "cid", "left_semi")).dropDuplicates(["cid"]))
+
+
+def verified(found: DataFrame, docs: DataFrame, reps: DataFrame, conf: JoinConf) -> DataFrame:
+    """``found``: rows of candidate_pairs(). The pairs (a, b) whose sets are as similar as asked; of a group, enough of them."""
+    pairs, groups = found.where("comp is null").select("a", "b"), found.where("comp is not null")
+    known = class_sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(groups.select("a")), docs, reps, conf)
     both = pairs.join(known.select(F.col("cid").alias("b"), F.col("s").alias("sb")), "b").join(known.select(F.col("cid").alias("a"), F.col("s").alias("sa")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,35 +392,60 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, conf: JoinConf)
                 keep.append(100 * overlap >= conf.percent * (len(x) + len(y) - overlap))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+
+        def links() -> pa.RecordBatch:
+            label = np.unique([x[1] for x in held], return_inverse=True)[1]
+            at = similar_sets([np.frombuffer(x[2], np.uint64) for x in held], label, conf.percent) if len(held) > 1 else []
+            ends = [(min(held[i][0], held[j][0]), max(held[i][0], held[j][0])) for i, j in at]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in ends], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for g, *row in zip(*(batch.column(c).to_pylist() for c in ("b", "a", "comp", "s"))):
+                if g != group:
+                    yield links()
+                    group, held = g, []
+                held.append(row)
+        yield links()
+
+    of_groups = groups.join(known.select(F.col("cid").alias("a"), "s"), "a").select("a", "b", "comp", "s").repartition("b").sortWithinPartitions("b")
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").union(of_groups.mapInArrow(within, "a long, b long")).distinct()
+
 
+def block_rows(docs: DataFrame, hot: DataFrame, names: np.ndarray, conf: JoinConf) -> DataFrame:
+    """key, chunk, chunks, cid, n: the classes of each block of two or more; of blocks with the same classes only one.
 
-def block_rows(docs: DataFrame, hot: np.ndarray, conf: JoinConf) -> DataFrame:
-    """key, cid, n: the classes of each block of two or more; of blocks with the same classes only one."""
-    keyed = prefixes(docs, hot, conf).select("cid", "n", F.explode("keys").alias("key")).repartition("key").dropDuplicates(["key", "cid"])
-    of_key = Window.partitionBy("key")
-    counted = keyed.withColumns({"size": F.count(F.lit(1)).over(of_key), "x": F.bit_xor(F.xxhash64("cid")).over(of_key), "y": F.bit_xor(F.xxhash64("cid", F.lit(1))).over(of_key)})
-    rows = cut(counted.where("size > 1"))
-    kept = rows.groupBy("key").agg(F.first("size").alias("size"), F.first("x").alias("x"), F.first("y").alias("y")).groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key")
-    return cut(rows.select("key", "cid", "n").join(kept, "key", "left_semi"))
+    ``hot``: cid (a shingle), n (about how many classes have it)."""
+    large = hot.where(F.col("n") > conf.chunk).select(F.col("cid").alias("key"), F.ceil(F.col("n") / conf.chunk).cast("int").alias("chunks"))
+    keyed = prefixes(docs, names, conf).select("cid", "n", F.explode("keys").alias("key")).join(F.broadcast(large), "key", "left")  # hot_shingles rows at most
+    keyed = keyed.withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("chunk", F.pmod(F.xxhash64("key", "cid"), F.col("chunks")).cast("int"))
+    keyed = keyed.repartition("key", "chunk").dropDuplicates(["key", "chunk", "cid"])
+    of_chunk = Window.partitionBy("key", "chunk")
+    counted = keyed.withColumns({"size": F.count(F.lit(1)).over(of_chunk), "x": F.bit_xor(F.xxhash64("cid")).over(of_chunk), "y": F.bit_xor(F.xxhash64("cid", F.lit(1))).over(of_chunk)})
+    rows = cut(counted.where("size > 1 or chunks > 1"))
+    chunks = rows.groupBy("key", "chunk").agg(F.first("size").alias("size"), F.first("x").alias("x"), F.first("y").alias("y"))
+    blocks = chunks.groupBy("key").agg(F.sum("size").alias("size"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    kept = blocks.groupBy("size", "x", "y").agg(F.min("key").alias("key")).where("size > 1").select("key")
+    return cut(rows.select("key", "chunk", "chunks", "cid", "n").join(kept, "key", "left_semi"))
 
 
 def unsettled(blocks: DataFrame, comps: DataFrame) -> DataFrame:
-    """Rows of blocks that hold more than one component: key, cid, n, comp."""
-    of_key = Window.partitionBy("key")
-    known = blocks.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    return known.withColumns({"lo": F.min("comp").over(of_key), "hi": F.max("comp").over(of_key)}).where("lo <> hi").drop("lo", "hi")
+    """Rows of blocks that hold more than one component: those of block_rows() with comp."""
+    known = cut(blocks.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
+    several = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    return known.join(several, "key", "left_semi")
 
 
 def jaccard_components(docs: DataFrame, conf: JoinConf = JoinConf()) -> DataFrame:
     """``docs``: doc_id, text. Returns doc_id, n_shingles, component_id, row by row."""
     first = cut(documents_and_counts(docs, conf))
     per_doc = first.where("kind = 0").select("doc_id", "cid", "n")
-    hot = first.where("kind = 1").groupBy("cid").agg(F.sum("n").alias("n")).where(F.col("n") >= conf.hot_count).orderBy(F.desc("n"), "cid").limit(conf.hot_shingles).select("cid")
-    names = np.array([r[0] for r in hot.collect()], np.int64).view(np.uint64)  # hot_shingles at most
+    hot = cut(first.where("kind = 1").groupBy("cid").agg(F.sum("n").alias("n")).where(F.col("n") >= conf.hot_count).orderBy(F.desc("n"), "cid").limit(conf.hot_shingles))
+    names = np.array([r[0] for r in hot.select("cid").collect()], np.int64).view(np.uint64)  # hot_shingles at most
     reps = cut(per_doc.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep")))
     maps = cut(bitmaps(docs, conf).dropDuplicates(["cid"]))
-    blocks = block_rows(docs, names, conf)
+    blocks = block_rows(docs, hot, names, conf)
 
     links = cut(verified(cut(candidate_pairs(blocks.withColumn("comp", F.col("cid")), maps, conf, forest=True)), docs, reps, conf))
     comps = cut(components(links)).select(F.col("node").alias("cid"), F.col("root").alias("comp"))

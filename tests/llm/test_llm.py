@@ -78,6 +78,45 @@ def test_ngram_join(spark):
     assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_ngram_join_links_through_null_ids(spark):
+    """A text without an id links the two that are alike to it; a borderline group and strays around a large component."""
+    words = prose(300, 2, 10**6)
+    first, last = ["other", *words[1:-20]], words[20:]
+    ids, texts = [1, 2, None, None], [" ".join(first), " ".join(last), " ".join(words), None]
+    got = [(r.doc_id, r.component_id) for r in ngram_join.jaccard_components(documents(spark, texts, ids)).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1), (2, 1), (None, 1), (None, None)], key=str)
+
+
+def test_ngram_join_borderline_group(spark):
+    """Hundreds of copies with up to two edits in 60 words: most pairs lie below the threshold, few above."""
+    r, base, texts = random.Random(31), prose(60, 3, 10**6), []
+    for k in range(300):
+        words = list(base)
+        for _ in range(r.randrange(3)):
+            words[r.randrange(60)] = f"e{r.randrange(5)}"
+        texts.append(" ".join(words))
+    expected = jaccard_components(list(enumerate(texts)))
+    docs = documents(spark, texts)
+    for conf in (ngram_join.JoinConf(width=64, dense=1), ngram_join.JoinConf(width=64, chunk=40, leaf=8, fan=2, hot_count=4)):
+        assert sorted(tuple(x) for x in ngram_join.jaccard_components(docs, conf).collect()) == expected
+
+
+def test_similar_sets_join_what_is_alike():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[int(rng.integers(0, 14)) :], rng.integers(0, 2**63, int(rng.integers(1, 9)), dtype=np.uint64)])) for _ in range(80)]
+    links = ngram_join.similar_sets(sets, np.arange(80), 80)
+    root = list(range(80))
+    for i, j in links:
+        o = len(np.intersect1d(sets[i], sets[j]))
+        assert 100 * o >= 80 * (len(sets[i]) + len(sets[j]) - o)
+        root = [root[i] if x == root[j] else x for x in root]
+    for i in range(80):
+        for j in range(i):
+            o = len(np.intersect1d(sets[i], sets[j]))
+            assert root[i] == root[j] or 100 * o < 80 * (len(sets[i]) + len(sets[j]) - o)
+
+
 def test_block_pairs_lose_nothing():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 120, dtype=np.uint64)
