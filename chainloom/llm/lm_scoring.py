@@ -1,24 +1,27 @@
 """Language-model scoring by logistic context mixing over bits.
 
-A text is its words and one end. A word is coded as its bytes and a closing space, the end as one
-line feed; each byte as eight binary decisions. For every decision several predictors look up how
-often each bit followed in their own hashed context: the place in the word, the last one to four
-bytes, and the whole word so far. Their log odds are mixed by weights from a set that a gate
-chooses (how sure the longest contexts are); an adaptive table then
-refines the mixed probability by what really happened at that probability. The product over all
-decisions is a distribution over texts; ``score / bytes`` gives bits per byte.
-
-Counts come from all learning texts: words are counted first, and each distinct word then feeds
-the predictors with its count. Weights and the refinement are learned online by gradient steps
-over a bounded sample of learning texts, with each token's own occurrence taken out of the counts
-(else rare words would look predictable). Contexts end at words, so each distinct word is scored
-once and texts add up their words' scores; a context over all preceding words would cost some
-hundred predictions for each byte of the corpus, see README.
+A text is its words and one end. A token is coded as its bytes and a closing space, the end as one
+line feed; each byte as eight binary decisions. For every decision several predictors give the log
+odds that their own context has seen: hashed contexts (the last none to four bytes of the word,
+each with the class of the words before), and the whole word so far, exactly, among all learning
+words and among those of that class. Weights from a set that a gate chooses (how sure the exact
+predictors are) mix the log odds; an adaptive table refines the mixed probability by what really
+happened at that probability. Weights and refinement are learned online over all learning words.
+
+The class of a token is the kind of text that the words before it point to: frequent words are
+grouped by the company they keep, and the group that the text's last words name most often counts.
+The model adapts while a text is scored: experts that trust, more or less, words that the text has
+used before, and words that it has put after the word before, are weighed by how well they have
+done so far. All of that is a distribution over texts; ``bits_per_byte`` is its cost.
+
+What is gathered grows with the corpus: counts of all learning words, and of all by class, are kept
+in distributed tables and joined with the words asked. Broadcast are the hashed contexts of parts of
+words alone, in tables of fixed size (``TABLE_BITS``), as letters don't become more with the corpus.
 
 Defined cases: null text counts as empty and has the end alone. Ids repeated are scored row by
-row; a null id is held out of nothing and learned from by nobody (its remainder is unknown). With
-no learning texts every decision has probability one half. An empty table gives no rows. Very
-long texts and words are handled in whole; extra columns are ignored.
+row; a null id is not held out, but not learned from either. With no learning texts every
+decision has probability one half. An empty table gives no rows. Very long texts and words are
+handled in whole, long texts by themselves; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,416 +30,622 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, fold_of, table, utf8
-from .shingles import word_hashes_of
+from .shingles import mixed, word_hashes_of
 
 END = b"\n"
-#: Bits of the hash table of each predictor: place, one to four bytes, whole word so far.
-TABLE_BITS = (12, 16, 18, 19, 20, 21)
-#: The last predictor knows only what begins one of so many most frequent words, and checks its hash:
-#: a wrong hit would be a confident error.
-FREQUENT = 32_768
-ORDERS = len(TABLE_BITS)
-#: Gates: how sure the last predictor is (0: doesn't know, then by the count's logarithm) and how sure the one before.
-SURE = (10, 4)
-GATES = SURE[0] * SURE[1]
+#: Bits of the hash table of each hashed predictor: none to four bytes before, each with the class.
+TABLE_BITS = (17, 19, 21, 21, 21)
+HASHED = len(TABLE_BITS)
+#: Then the exact predictors: the word so far among all words, and among those of its class.
+ORDERS = HASHED + 2
+#: Gates: how sure the exact predictors are (0: don't know, then by the count's logarithm), in class and among all, and the longest hashed one that knows.
+SURE, KNOWS = 5, 3
+GATES = SURE * SURE * KNOWS
 BUCKETS = 33
-DELTA = 0.02
+DELTA = 0.4
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 BLOCKS = 16
+CLASSES, FREQUENT, WINDOW = 8, 256, 24
+#: Bytes of texts that make one chunk, and words that are scored at once.
+CHUNK, AT_ONCE = 1 << 23, 8192
+#: Bytes of a word whose counts are global, the nodes of these, and bytes up to which words are told apart exactly.
+HEAD, HEAD_NODES, PREFIX = 2, 256 * 257, 64
+#: Experts: shares given to words used before in the text, and to words put after the word before.
+EXPERTS = ((0.0, 0.0), (0.03, 0.0), (0.1, 0.0), (0.3, 0.0), (0.05, 0.3), (0.05, 0.7), (0.02, 0.93))
 
 
 @dataclass(frozen=True)
 class Conf:
-    """``sample``: learning texts, of the smallest id hash, that weights are learned from."""
-
-    sample: int = 300
-    epochs: int = 1
-    rate: float = 0.0005
-    batch: int = 64
-
-
-def symbols(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes of all words with their closing, the word of each)."""
-    closed = [w if w == END else w + b" " for w in words]
-    flat = np.frombuffer(b"".join(closed), np.uint8)
-    return flat, np.repeat(np.arange(len(words)), [len(w) for w in closed])
-
-
-def contexts(flat: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
-    """A 64-bit context of each symbol for each predictor; bytes before the word's start count as 0."""
-    n = len(flat)
-    start = np.searchsorted(of, of)  # of is sorted
-    place = np.arange(n) - start
-    wide = flat.astype(np.uint64) + np.uint64(1)
-    before = [np.where(place >= k, np.concatenate([np.zeros(k, np.uint64), wide[: n - k]])[:n], np.uint64(0)) for k in range(1, 5)]
-    out = [np.minimum(place, 15).astype(np.uint64)]
-    h = np.zeros(n, np.uint64)
-    for b in before:
-        h = (h + b) * PRIME
-        h ^= h >> np.uint64(32)
-        out.append(h)
-    # The whole word so far: a running sum of bytes mixed with their places.
-    part = (wide + np.uint64(257) * (place.astype(np.uint64) + np.uint64(1))) * PRIME
-    part ^= part >> np.uint64(29)
-    part *= np.uint64(0xBF58476D1CE4E5B9)
-    total = np.cumsum(part, dtype=np.uint64) - part
-    out.append((total - total[start]) + np.uint64(1))
-    return [(c + np.uint64(k + 1)) * np.uint64(0xD6E8FEB86659FD93) for k, c in enumerate(out)]
-
-
-def decisions(flat: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(place, node, bit) for the eight decisions of each byte: a node is a 1 and the bits before."""
-    for b in range(8):
-        yield b, ((flat >> np.uint8(8 - b)) if b else np.zeros_like(flat)).astype(np.uint64) | np.uint64(1 << b), (flat >> np.uint8(7 - b)) & np.uint8(1)
-
-
-def _mixed(context: np.ndarray, node: np.ndarray) -> np.ndarray:
-    return (context ^ (node * PRIME)) * np.uint64(0xFF51AFD7ED558CCD)
+    rate: float = 0.02
 
 
-def marks_of(frequent: list[bytes]) -> np.ndarray:
-    """For each slot of the last predictor 16 bits of the hash that owns it, 0: none. Earlier words own a slot first."""
-    marks = np.zeros(1 << TABLE_BITS[-1], np.uint16)
-    if frequent:
-        flat, of = symbols(frequent)
-        ctx = contexts(flat, of)[-1]
-        for _, node, _ in decisions(flat):
-            at, check = _place(_mixed(ctx, node))
-            first = np.unique(at, return_index=True)[1]
-            free = first[marks[at[first]] == 0]
-            marks[at[free]] = check[free]
-    return marks
+def stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    return np.log((n1 + DELTA) / (n0 + DELTA)).astype(np.float32)
 
 
-def _place(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (h >> np.uint64(64 - TABLE_BITS[-1])).astype(np.int64), ((h >> np.uint64(20)) & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)
+def sure(n: np.ndarray) -> np.ndarray:
+    """0 for a count of 0, else by counts of 1, 2 to 4, 5 to 31, more."""
+    return np.digitize(n, (1, 2, 5, 32))
 
 
-def lookup(k: int, context: np.ndarray, node: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """The slot of each context and node, -1 if the predictor doesn't know it."""
-    h = _mixed(context, node)
-    if k < ORDERS - 1:
-        return (h >> np.uint64(64 - TABLE_BITS[k])).astype(np.int64)
-    at, check = _place(h)
-    return np.where(marks[at] == check, at, -1)
+def squash(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def empty_tables() -> list[np.ndarray]:
-    """Pairs of counts by slot; one slot more, which stays empty, stands for what isn't known."""
-    return [np.zeros(2 * ((1 << b) + 1), np.int64) for b in TABLE_BITS]
+class Words:
+    """Distinct pairs of a word and a class, laid out for the decisions of one byte after the other.
+
+    Pairs come in order of class and closed word, so all that begin alike are neighbours: what an exact
+    predictor counts at a decision is a sum over a run of neighbours. All words that share their first
+    HEAD bytes must be there; for these bytes themselves counts are global (see ``head_place``), and
+    beyond PREFIX bytes exact predictors know nothing.
+    """
+
+    def __init__(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray) -> None:
+        closed = np.array([w if w == END else w + b" " for w in words], object)
+        short = np.array(closed.tolist(), f"S{PREFIX}")
+        self.order = np.lexsort((short, classes))
+        closed, short = closed[self.order], short[self.order]
+        self.g, self.c = classes[self.order].astype(np.int64), counts[self.order].astype(np.int64)
+        self.size = np.fromiter(map(len, closed.tolist()), np.int64, len(closed))
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(closed.tolist()), np.uint8)
+        self.same = self._common(short, self.g)
+        # All words whatever their class: the place of each pair's word, a pair of each word, and the sums of their counts.
+        names, self.of_word = np.unique(closed, return_inverse=True) if (self.size > PREFIX).any() else np.unique(short, return_inverse=True)
+        self.first = np.empty(len(names), np.int64)
+        self.first[self.of_word] = np.arange(len(closed))
+        self.total = np.bincount(self.of_word, weights=self.c, minlength=len(names)).astype(np.int64)
+        self.same_word = self._common(short[self.first], np.zeros(len(names), np.int64))
+
+    @staticmethod
+    def _common(short: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Bits that each of the sorted words has in common with the one before, as far as PREFIX bytes, -1 at the first and where the class changes."""
+        n = len(short)
+        byte = np.ascontiguousarray(short).view(np.uint8).reshape(n, -1)
+        out = np.full(n, -1, np.int64)
+        apart = byte[1:] != byte[:-1]
+        k = np.where(apart.any(axis=1), np.argmax(apart, axis=1), PREFIX) if n > 1 else np.zeros(0, np.int64)
+        at = np.arange(1, n)
+        x = np.where(k < PREFIX, byte[at, np.minimum(k, PREFIX - 1)] ^ byte[at - 1, np.minimum(k, PREFIX - 1)], 0)
+        lead = 8 - np.ceil(np.log2(x.astype(np.float64) + 1)).astype(np.int64)  # zero bits before the first one
+        out[1:] = np.where(classes[1:] == classes[:-1], 8 * k + np.where(k < PREFIX, lead, 0), -1)
+        return out
 
+    def _contexts(self, at: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+        """Hashes of the hashed predictors' contexts before the byte at a place of each pair."""
+        h = (self.g[at].astype(np.uint64) + np.uint64(1)) * PRIME
+        out = [h + np.minimum(place, 3).astype(np.uint64)]
+        for k in range(1, HASHED):
+            b = np.where(place >= k, self.flat[np.maximum(self.start[at] + place - k, 0)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+            h = (h + b) * PRIME
+            h ^= h >> np.uint64(29)
+            out.append(h + np.uint64(k))
+        return out
 
-def count_into(tables: list[np.ndarray], marks: np.ndarray, words: list[bytes], counts: np.ndarray) -> None:
-    flat, of = symbols(words)
-    weight = counts[of].astype(np.int64)
-    ctx = contexts(flat, of)
-    for _, node, bit in decisions(flat):
-        for k in range(ORDERS):
-            at = lookup(k, ctx[k], node, marks)
-            np.add.at(tables[k], at * 2 + bit, weight)
-    tables[-1][-2:] = 0
+    def decisions(self) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray | None, list[np.ndarray] | None]]:
+        """(pairs, hashes of contexts with the bits before, bit, place among head counts, exact counts of 0 and 1 among all and in class).
+
+        The last two: places for the first HEAD bytes, counts then, and neither beyond PREFIX bytes."""
+        for j in range(int(min(PREFIX, self.size.max(initial=0)))):
+            at = np.flatnonzero(self.size > j)
+            byte = self.flat[self.start[at] + j]
+            contexts = self._contexts(at, np.full(len(at), j))
+            if j >= HEAD:
+                heads = np.flatnonzero(self.size[self.first] > j)
+                head_byte = self.flat[self.start[self.first[heads]] + j]
+                where = np.full(len(self.first), -1, np.int64)
+                where[heads] = np.arange(len(heads))
+                place = where[self.of_word[at]]
+            for b in range(8):
+                node, bit = node_of(byte, b)
+                hashes = [mix_node(c, node) for c in contexts]
+                if j < HEAD:
+                    before = self.flat[self.start[at]].astype(np.int64) if j else None
+                    yield at, hashes, bit, head_place(self.g[at], before, node), None
+                else:
+                    every = self._runs(self.same_word, heads, 8 * j + b, self.total[heads], node_of(head_byte, b)[1])
+                    yield at, hashes, bit, None, [every[0][place], every[1][place], *self._runs(self.same, at, 8 * j + b, self.c[at], bit)]
+        long = np.flatnonzero(self.size > PREFIX)
+        rest = self.size[long] - PREFIX
+        at = np.repeat(long, rest)
+        place = PREFIX + np.arange(len(at)) - np.repeat(np.cumsum(rest) - rest, rest)
+        for s in range(0, len(at), 1 << 16):
+            a, q = at[s : s + (1 << 16)], place[s : s + (1 << 16)]
+            contexts = self._contexts(a, q)
+            for b in range(8):
+                node, bit = node_of(self.flat[self.start[a] + q], b)
+                yield a, [mix_node(c, node) for c in contexts], bit, None, None
+
+    @staticmethod
+    def _runs(same: np.ndarray, at: np.ndarray, depth: int, c: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of 0 and 1 over the run of pairs that share all bits before ``depth``. Words that have ended lie between runs."""
+        group = np.cumsum(same < depth)[at]
+        fresh = np.flatnonzero(np.concatenate([np.ones(min(1, len(at)), bool), group[1:] != group[:-1]]))
+        if not len(fresh):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        sizes = np.diff(np.append(fresh, len(at)))
+        ones, all_ = np.add.reduceat(c * bit, fresh), np.add.reduceat(c, fresh)
+        return np.repeat(all_ - ones, sizes), np.repeat(ones, sizes)
+
+
+def node_of(byte: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a 1 and the bits before bit ``b``, bit ``b``)."""
+    node = np.uint64(1 << b) | (byte >> np.uint8(8 - b)).astype(np.uint64) if b else np.ones(len(byte), np.uint64)
+    return node, ((byte >> np.uint8(7 - b)) & np.uint8(1)).astype(np.int64)
+
+
+def mix_node(context: np.ndarray, node: np.ndarray) -> np.ndarray:
+    return (context ^ (node * PRIME)) * np.uint64(0xFF51AFD7ED558CCD)
 
 
-def _stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    return np.clip(np.log((n1 + DELTA) / (n0 + DELTA)), -8, 8)
+def head_place(g: np.ndarray, before: np.ndarray | None, node: np.ndarray) -> np.ndarray:
+    """Places of the counts of the first byte's nodes, and of the second's given the first, in each class."""
+    return g * HEAD_NODES + node.astype(np.int64) + (0 if before is None else 256 * (before + 1))
 
 
-def sure(n: np.ndarray, levels: int) -> np.ndarray:
-    """0 for a count of 0, else one level more for each fourfold count."""
-    return np.minimum(np.where(n > 0, np.log2(n + 1) / 2 + 1, 0).astype(np.int64), levels - 1)
+def slot(k: int, h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - TABLE_BITS[k])).astype(np.int64)
 
 
-def first_weights() -> np.ndarray:
-    """The surer the last predictor, the more it counts before anything is learned."""
-    out = np.full((GATES, ORDERS), 0.05)
-    for g in range(GATES):
-        if g // SURE[1]:
-            out[g, -1] = 0.85
-        else:
-            out[g, -1], out[g, -2], out[g, -3] = 0.0, 0.2 * (g % SURE[1]), 0.6 - 0.15 * (g % SURE[1])
-    return out
+def empty_tables() -> list[np.ndarray]:
+    """Counts of 0 and 1 by slot of each hashed predictor; last those of the head's places, by tokens."""
+    return [*(np.zeros(2 << b, np.int32) for b in TABLE_BITS), np.zeros(2 * HEAD_NODES * (CLASSES + 1), np.int64)]
 
 
-def _squash(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def count_into(tables: list[np.ndarray], words: Words) -> None:
+    """Each learning word counts once in each class it is met in, as how letters follow each other is learned
+    from kinds of words; in the head it counts as often as it occurs."""
+    known = (words.c > 0).astype(np.int64)
+    for at, hashes, bit, head, _ in words.decisions():
+        for k in range(HASHED):
+            np.add.at(tables[k], slot(k, hashes[k]) * 2 + bit, known[at].astype(np.int32))
+        if head is not None:
+            np.add.at(tables[HASHED], head * 2 + bit, words.c[at])
 
 
 class Mixer:
     """Weights by gate, and the refinement: a probability for each gate and bucket of mixed log odds."""
 
-    def __init__(self, weights: np.ndarray | None = None, refined: np.ndarray | None = None) -> None:
-        grid = _squash((np.arange(BUCKETS) - BUCKETS // 2) / 2.0)
+    def __init__(self, weights: np.ndarray | None = None, hits: np.ndarray | None = None, ones: np.ndarray | None = None) -> None:
+        grid = np.tile(squash((np.arange(BUCKETS) - BUCKETS // 2) / 2.0), (GATES, 1))
         self.weights = first_weights() if weights is None else weights
-        self.refined = np.tile(grid, (GATES, 1)) if refined is None else refined
-        self.seen = np.full((GATES, BUCKETS), 30.0)
+        self.hits, self.ones = (np.zeros((GATES, BUCKETS)) if x is None else x for x in (hits, ones))
+        self.refined = (self.ones + 32 * grid) / (self.hits + 32)
 
-    def probability(self, gate: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(final probability of a 1, mixed probability, bucket, share of the next bucket)."""
+    def probability(self, gate: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(final probability of a 1, mixed probability, nearest bucket)."""
         x = np.einsum("ij,ij->i", self.weights[gate], inputs)
-        p = _squash(x)
-        at = np.clip(x * 2.0 + BUCKETS // 2, 0, BUCKETS - 1.001)
-        low = at.astype(np.int64)
-        share = at - low
+        p = squash(x)
+        place = np.clip(x * 2.0 + BUCKETS // 2, 0, BUCKETS - 1.001)
+        low = place.astype(np.int64)
+        share = place - low
         r = self.refined[gate, low] * (1 - share) + self.refined[gate, low + 1] * share
-        return np.clip((p + r) / 2, 1e-6, 1 - 1e-6), p, low, share
-
-    def learn(self, gate: np.ndarray, inputs: np.ndarray, bit: np.ndarray, rate: float) -> None:
-        _, p, low, share = self.probability(gate, inputs)
-        error = bit - p
-        # A step of the mean over the batch's decisions at each gate.
-        n = np.bincount(gate, minlength=GATES)
-        for k in range(inputs.shape[1]):
-            self.weights[:, k] += rate * np.bincount(gate, weights=error * inputs[:, k], minlength=GATES) / np.maximum(n, 1)
-        # The refinement moves by a share that falls with the number of decisions seen, down to a thousandth.
-        cell = gate * BUCKETS + low + (share > 0.5)
-        hits, ones = (np.bincount(cell, weights=w, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS) for w in (None, bit))
-        step = hits / (np.minimum(self.seen, 1000) + hits)
-        self.refined += step * (np.divide(ones, hits, out=self.refined.copy(), where=hits > 0) - self.refined)
-        self.seen += hits
-
-
-def train_mixer(tables: list[np.ndarray], marks: np.ndarray, tokens: list[bytes], conf: Conf) -> Mixer:
-    mixer = Mixer()
-    for epoch in range(conf.epochs):
-        rate = conf.rate / (1 + epoch)
-        for at in range(0, len(tokens), conf.batch):
-            flat, of = symbols(tokens[at : at + conf.batch])
-            ctx = contexts(flat, of)
-            for _, node, bit in decisions(flat):
-                inputs, known = np.zeros((len(flat), ORDERS)), np.zeros(len(flat), np.int64)
-                for k in range(ORDERS):
-                    s = lookup(k, ctx[k], node, marks) * 2  # -2: the last, empty pair
-                    # The token's own occurrence doesn't count.
-                    n0, n1 = np.maximum(tables[k][s] - (bit == 0), 0), np.maximum(tables[k][s + 1] - bit, 0)
-                    inputs[:, k] = _stretch(n0, n1)
-                    if k >= ORDERS - 2:
-                        known += sure(n0 + n1, SURE[k == ORDERS - 2]) * (SURE[1] if k == ORDERS - 1 else 1)
-                mixer.learn(known, inputs, bit.astype(np.float64), rate)
-    return mixer
-
-
-class Scorer:
-    """log10 probabilities of words under the learned tables. One for each worker process and model."""
-
-    def __init__(self, tables: list[np.ndarray], marks: np.ndarray, mixer: Mixer) -> None:
-        self.marks = marks
-        self.odds = [_stretch(t[0::2].astype(np.float64), t[1::2].astype(np.float64)).astype(np.float32) for t in tables]
-        self.sure = {k: (sure(tables[k][0::2] + tables[k][1::2], SURE[k == ORDERS - 2]) * (SURE[1] if k == ORDERS - 1 else 1)).astype(np.uint8) for k in (ORDERS - 2, ORDERS - 1)}
-        self.mixer = mixer
-
-    def words(self, words: list[bytes]) -> np.ndarray:
-        out = np.zeros(len(words))
-        at, size, part = 0, 0, []
-        for i, w in enumerate(words):
-            part.append(w)
-            size += len(w) + 1
-            if size >= 1 << 15 or i + 1 == len(words):
-                out[at : i + 1] = self._block(part)
-                at, size, part = i + 1, 0, []
-        return out
-
-    def _block(self, words: list[bytes]) -> np.ndarray:
-        flat, of = symbols(words)
-        ctx = contexts(flat, of)
-        total = np.zeros(len(flat))
-        for _, node, bit in decisions(flat):
-            inputs, gate = np.empty((len(flat), ORDERS), np.float32), np.zeros(len(flat), np.int64)
-            for k in range(ORDERS):
-                s = lookup(k, ctx[k], node, self.marks)
-                inputs[:, k] = self.odds[k][s]
-                if k in self.sure:
-                    gate += self.sure[k][s]
-            p = self.mixer.probability(gate, inputs)[0]
-            total += np.log10(np.where(bit == 1, p, 1 - p))
-        return np.bincount(of, weights=total, minlength=len(words))
-
+        return np.clip((p + r) / 2, 1e-7, 1 - 1e-7), p, np.rint(place).astype(np.int64)
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """``docs``: doc_id, text (bytes), learn. One row a batch of documents: their tokens as places in a
-    list of the batch's distinct words, and how often each is in its learning texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
-            texts, learn = [t.lower() for t in batch.column("text").to_pylist()], np.array(batch.column("learn").to_pylist(), bool)
-            hashes = list(word_hashes_of(texts))
-            sizes = np.array([len(h) for h in hashes], np.int64)
-            every = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-            distinct, first, at = np.unique(every, return_index=True, return_inverse=True)
-            counts = np.bincount(at, weights=np.repeat(learn, sizes), minlength=len(distinct)).astype(np.int64)
-            # The word at each first place, document by document.
-            words: list[bytes] = [b""] * len(distinct)
-            ends = np.cumsum(sizes)
-            order = np.argsort(first)
-            owner = np.searchsorted(ends, first[order], side="right")
-            split_of, split = -1, []
-            for w, doc in zip(order.tolist(), owner.tolist()):
-                if doc != split_of:
-                    split_of, split = doc, texts[doc].split()
-                words[w] = split[int(first[w]) - int(ends[doc] - sizes[doc])]
-            packed = zstandard.compress(at.astype(np.uint32).tobytes(), 1)
-            row = [[(part << 32) + number], [batch.column("doc_id").to_pylist()], [sizes.tolist()], [packed], [distinct.tobytes()], [pack_words(words)], [pack_counts(counts)]]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.binary()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names=["chunk", "doc_ids", "sizes", "tokens", "h", "words", "counts"])
-
-    return docs.mapInArrow(run, "chunk long, doc_ids array<long>, sizes array<long>, tokens binary, h binary, words binary, counts binary")
-
-
-def pack_words(words: list[bytes]) -> bytes:
-    """Words hold no white space, so a space parts them."""
-    return zstandard.compress(b" ".join(words), 1)
+    def learn(self, gate: np.ndarray, inputs: np.ndarray, bit: np.ndarray, weight: np.ndarray, rate: float) -> None:
+        _, p, near = self.probability(gate, inputs)
+        error = (bit - p) * weight
+        n = np.maximum(np.bincount(gate, weights=weight, minlength=GATES), 1e-9)
+        for k in range(ORDERS):
+            self.weights[:, k] += rate * np.bincount(gate, weights=error * inputs[:, k], minlength=GATES) / n
+        cell = gate * BUCKETS + near
+        self.hits += np.bincount(cell, weights=weight, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
+        self.ones += np.bincount(cell, weights=weight * bit, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
 
 
-def pack_counts(counts: np.ndarray) -> bytes:
-    return zstandard.compress(counts.tobytes(), 1)
+def first_weights() -> np.ndarray:
+    """Before anything is learned the surest exact predictor counts most, and without one the longest hashed one."""
+    out = np.zeros((GATES, ORDERS))
+    for gate in range(GATES):
+        in_class, every, knows = gate // (SURE * KNOWS), gate // KNOWS % SURE, gate % KNOWS
+        out[gate, -1] = 0.25 * in_class
+        out[gate, -2] = 0.2 * every if not in_class else 0.05 * every
+        left = max(0.0, 1 - out[gate, -1] - out[gate, -2])
+        out[gate, 2 + knows] = left * 0.8
+        out[gate, 1 + knows] = left * 0.2
+    return out
 
 
-def unpacked(h: bytes, words: bytes, counts: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    return np.frombuffer(h, np.int64), zstandard.decompress(words).split(), np.frombuffer(zstandard.decompress(counts), np.int64)
+class Evidence:
+    """Counts as they were gathered, and what they say of decisions."""
+
+    def __init__(self, tables: list[np.ndarray]) -> None:
+        self.tables, self.head = tables[:HASHED], tables[HASHED]
+        self.every = self.head.reshape(CLASSES + 1, -1).sum(axis=0)
+
+    def of(self, hashes: list[np.ndarray], bit: np.ndarray, head: np.ndarray | None, counts: list[np.ndarray] | None, own: np.ndarray | int = 0, last: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(gate, inputs). ``own``: occurrences of the token itself that don't count, ``last``: whether it is the only one of its kind."""
+        inputs = np.zeros((len(bit), ORDERS), np.float32)
+        knows = np.zeros(len(bit), np.int64)
+        for k in range(HASHED):
+            s = slot(k, hashes[k]) * 2
+            n0, n1 = np.maximum(self.tables[k][s] - last * (bit == 0), 0), np.maximum(self.tables[k][s + 1] - last * bit, 0)
+            inputs[:, k] = stretch(n0, n1)
+            if k >= HASHED - 2:
+                knows += n0 + n1 > 0
+        if head is not None:
+            of_all = head % HEAD_NODES
+            counts = [self.every[2 * of_all], self.every[2 * of_all + 1], self.head[2 * head], self.head[2 * head + 1]]
+        level = np.zeros(len(bit), np.int64)
+        for k, at in ((HASHED + 1, 2), (HASHED, 0)) if counts is not None else ():
+            n0, n1 = np.maximum(counts[at] - own * (bit == 0), 0), np.maximum(counts[at + 1] - own * bit, 0)
+            inputs[:, k] = stretch(n0, n1)
+            level = level * SURE + sure(n0 + n1)
+        return level * KNOWS + knows, inputs
+
+
+def learn_into(mixer: Mixer, evidence: Evidence, words: Words, rate: float) -> None:
+    """One online pass over learning words; a word of count c weighs the root of c, with one occurrence of its own taken out."""
+    weight, own, last = np.sqrt(words.c), (words.c > 0).astype(np.int64), (words.c == 1).astype(np.int64)
+    for at, hashes, bit, head, counts in words.decisions():
+        use = np.flatnonzero(words.c[at] > 0)
+        for s in range(0, len(use), AT_ONCE):
+            u = use[s : s + AT_ONCE]
+            gate, inputs = evidence.of([h[u] for h in hashes], bit[u], None if head is None else head[u], None if counts is None else [x[u] for x in counts], own[at[u]], last[at[u]])
+            mixer.learn(gate, inputs, bit[u].astype(np.float64), weight[at[u]], rate)
+
+
+def rate_words(mixer: Mixer, evidence: Evidence, words: Words) -> np.ndarray:
+    """log10 of each pair's probability, in the order in which they were given."""
+    total = np.zeros(len(words.size))
+    for at, hashes, bit, head, counts in words.decisions():
+        p = mixer.probability(*evidence.of(hashes, bit, head, counts))[0]
+        total += np.bincount(at, weights=np.log10(np.where(bit == 1, p, 1 - p)), minlength=len(total))
+    out = np.empty(len(total))
+    out[words.order] = total
+    return out
 
 
-def word_rows(packed: DataFrame, with_words: bool = True) -> DataFrame:
-    """Rows of packed h, words and counts as one row a word: h, word, c. Without words: chunk, h."""
+def chunks(docs: DataFrame) -> DataFrame:
+    """``docs``: doc_id, text (bytes), learn. One row a run of about CHUNK bytes: their tokens as places in a
+    list of the run's distinct words, and how often each is in its learning texts."""
+
+    def row_of(number: int, ids: list, texts: list[bytes], learn: list) -> pa.RecordBatch:
+        hashes = list(word_hashes_of(texts))
+        sizes = np.array([len(h) for h in hashes], np.int64)
+        distinct, first, at = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]), return_index=True, return_inverse=True)
+        del hashes
+        ends = np.cumsum(sizes)
+        order = np.argsort(first)
+        owner = np.searchsorted(ends, first[order], side="right")
+        words: list[bytes] = [b""] * len(distinct)
+        split_of, split = -1, []
+        for w, doc in zip(order.tolist(), owner.tolist()):
+            if doc != split_of:
+                split_of, split = doc, texts[doc].split()
+            words[w] = split[int(first[w]) - int(ends[doc] - sizes[doc])]
+        row = [[number], [ids], [sizes.tolist()], [[len(t) for t in texts]], [[bool(x) for x in learn]], [zstandard.compress(at.astype(np.uint32).tobytes(), 1)], [distinct.tobytes()], [zstandard.compress(b" ".join(words), 1)]]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names=["chunk", "doc_ids", "sizes", "bytes", "learn", "tokens", "h", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
+            ids, texts, learn = (batch.column(c) for c in ("doc_id", "text", "learn"))
             for i in range(batch.num_rows):
-                h = batch.column("h")[i].as_py()
-                if with_words:
-                    h, words, counts = unpacked(h, batch.column("words")[i].as_py(), batch.column("counts")[i].as_py())
-                    columns = {"h": pa.array(h), "word": pa.array(words, pa.binary()), "c": pa.array(counts)}
-                else:
-                    h = np.frombuffer(h, np.int64)
-                    columns = {"chunk": pa.array(np.full(len(h), batch.column("chunk")[i].as_py(), np.int64)), "h": pa.array(h)}
-                yield pa.RecordBatch.from_pydict(columns)
-
-    if with_words:
-        return packed.select("h", "words", "counts").mapInArrow(run, "h long, word binary, c long")
-    return packed.select("chunk", "h").mapInArrow(run, "chunk long, h long")
-
-
-def packed_words(words: DataFrame) -> DataFrame:
-    """``words``: h, word, c, in packed rows of a batch each, with n (words that are known) and total (of their counts)."""
+                held.append((ids[i].as_py(), texts[i].as_py().lower(), learn[i].as_py()))
+                size += len(held[-1][1])
+                if size >= CHUNK:
+                    yield row_of(number, *(list(x) for x in zip(*held)))
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield row_of(number, *(list(x) for x in zip(*held)))
+
+    return docs.mapInArrow(run, "chunk long, doc_ids array<long>, sizes array<long>, bytes array<long>, learn array<boolean>, tokens binary, h binary, words binary")
+
+
+class Chunk:
+    """A row of chunks(), read."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int) -> None:
+        of = lambda name: batch.column(name)[i].values.to_numpy(zero_copy_only=False)
+        self.name = batch.column("chunk")[i].as_py()
+        self.ids, self.sizes, self.bytes, self.learn = batch.column("doc_ids")[i].as_py(), of("sizes"), of("bytes"), of("learn").astype(bool)
+        self.tokens = np.frombuffer(zstandard.decompress(batch.column("tokens")[i].as_py()), np.uint32).astype(np.int64)
+        self.h = np.frombuffer(batch.column("h")[i].as_py(), np.uint64)
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.packed = batch.column("words")[i].as_py()
+
+    def words(self) -> list[bytes]:
+        return zstandard.decompress(self.packed).split()
+
+    def frequent(self, names: np.ndarray) -> np.ndarray:
+        """For each token its place among the frequent words (sorted by hash), -1: not among them."""
+        at = np.minimum(np.searchsorted(names, self.h), max(0, len(names) - 1))
+        return np.where(names[at] == self.h, at, -1)[self.tokens] if len(names) and len(self.h) else np.full(len(self.tokens), -1, np.int64)
+
+    def classes(self, names: np.ndarray, groups: np.ndarray) -> np.ndarray:
+        """The class of each token, then of each text's end: the group that most of the WINDOW tokens before name; CLASSES if none does."""
+        kind = self.frequent(names)
+        kind = np.where(kind >= 0, groups[kind], -1) if len(groups) else kind
+        begin = np.cumsum(self.sizes) - self.sizes
+        # Ends are tokens after all others here: the window of each token or end, as bounds in the token list.
+        stop = np.concatenate([np.arange(len(kind)), begin + self.sizes])
+        low = np.maximum(stop - WINDOW, np.concatenate([begin[self.doc], begin]))
+        best, most = np.full(len(stop), CLASSES, np.int64), np.zeros(len(stop), np.int64)
+        for g in range(CLASSES):
+            n = np.concatenate([[0], np.cumsum(kind == g)])
+            n = n[stop] - n[low]
+            best, most = np.where(n > most, g, best), np.maximum(n, most)
+        return best
+
+    def pairs(self, names: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pair of each token and end as word * (CLASSES + 1) + class, whether it is learned from); the end's word is one past the list."""
+        word = np.concatenate([self.tokens, np.full(len(self.sizes), len(self.h))])
+        return word * (CLASSES + 1) + self.classes(names, groups), np.concatenate([self.learn[self.doc], self.learn])
+
+
+def name_of(h: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """One 64-bit name for a word in a class."""
+    return mixed(h + PRIME * (g.astype(np.uint64) + np.uint64(1))).view(np.int64)
+
+
+def grouped(names: np.ndarray, together: np.ndarray) -> np.ndarray:
+    """Groups of frequent words by the company they keep: their profiles of neighbours, unit vectors, around CLASSES
+    centres, which begin as far apart as can be."""
+    if not len(names):
+        return np.zeros(0, np.int64)
+    profile = np.sqrt(together + together.T)
+    profile /= np.maximum(np.linalg.norm(profile, axis=1), 1e-9)[:, None]
+    centres = profile[[int(np.argmax(together.sum(axis=1)))]]
+    while len(centres) < min(CLASSES, len(names)):
+        centres = np.vstack([centres, profile[int(np.argmin((profile @ centres.T).max(axis=1)))]])
+    for _ in range(20):
+        of = np.argmax(profile @ centres.T, axis=1)
+        sums = np.stack([profile[of == k].sum(axis=0) if (of == k).any() else centres[k] for k in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1), 1e-9)[:, None]
+    return np.argmax(profile @ centres.T, axis=1)
+
+
+def _company(by_chunk: DataFrame, names: np.ndarray) -> np.ndarray:
+    """How often one frequent word is the next frequent one after another in a learning text."""
+    shared = by_chunk.sparkSession.sparkContext.broadcast(names)  # FREQUENT numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            c = np.array(b.column("c").to_pylist(), np.int64)
-            h = np.array(b.column("h").to_pylist(), np.int64)
-            row = {"h": pa.array([h.tobytes()]), "words": pa.array([pack_words(b.column("word").to_pylist())]), "counts": pa.array([pack_counts(c)]), "n": pa.array([int((c > 0).sum())], pa.int64()), "total": pa.array([int(c.sum())], pa.int64())}
-            yield pa.RecordBatch.from_pydict(row)
-
-    return words.mapInArrow(run, "h binary, words binary, counts binary, n long, total long")
-
-
-def _count_tables(words: DataFrame, marks: np.ndarray) -> list[np.ndarray]:
-    """``words``: packed rows. The predictors' counts: each task sends its tables in compressed blocks, which are added by block."""
-    shared = words.sparkSession.sparkContext.broadcast(marks)  # of fixed size
+        n = len(shared.value)
+        out = np.zeros(n * n, np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                c = Chunk(batch, i)
+                kind = c.frequent(shared.value)
+                at = np.flatnonzero((kind >= 0) & c.learn[c.doc])
+                near = c.doc[at[1:]] == c.doc[at[:-1]]
+                out += np.bincount(kind[at[:-1]][near] * n + kind[at[1:]][near], minlength=n * n)
+        some = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(out[some])], names=["i", "n"])
+
+    found = np.zeros(len(names) ** 2, np.int64)
+    for r in by_chunk.mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # FREQUENT squared at most
+        found[r["i"]] = r["n"]
+    return found.reshape(len(names), len(names))
+
+
+def read_words(batch: pa.RecordBatch) -> Words:
+    """A batch of word, g, c."""
+    return Words(batch.column("word").to_pylist(), batch.column("g").to_numpy(), batch.column("c").to_numpy())
+
+
+def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together so that words with the same first two bytes (``k``, sorted) are never parted."""
+    held: list[pa.RecordBatch] = []
+
+    def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column("k").to_pylist()
+        if held and k[0] != held[-1].column("k")[-1].as_py() and sum(b.num_rows for b in held) >= 20_000:
+            yield joined(held)
+            held = []
+        first = next((i for i in range(len(k) - 1, 0, -1) if k[i] != k[i - 1]), 0)
+        if first and sum(b.num_rows for b in held) + first >= 20_000:
+            yield joined([*held, batch.slice(0, first)])
+            held, batch = [], batch.slice(first)
+        held.append(batch)
+    if held:
+        yield joined(held)
+
+
+def counted_tables(words: DataFrame) -> list[np.ndarray]:
+    """The hashed predictors' counts: each task sends its tables in compressed blocks, which are added by block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = empty_tables()
-        for batch in batches:
-            for i in range(batch.num_rows):
-                _, found, n = unpacked(*(batch.column(c)[i].as_py() for c in ("h", "words", "counts")))
-                found, n = [w for w, c in zip(found, n.tolist()) if c], n[n > 0]
-                for at in range(0, len(found), 20_000):
-                    count_into(tables, shared.value, found[at : at + 20_000], n[at : at + 20_000])
+        for batch in whole(batches):
+            count_into(tables, read_words(batch))
         for k, t in enumerate(tables):
-            for b, part in enumerate(np.split(t[:-2], BLOCKS)):
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([b], pa.int32()), pa.array([zstandard.compress(part.tobytes(), 1)])], names=["k", "b", "t"])
+            for b, part in enumerate(np.split(t, BLOCKS)):
+                some = np.flatnonzero(part).astype(np.uint32)
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([b], pa.int32()), pa.array([zstandard.compress(np.diff(some, prepend=some[:1] * 0).tobytes(), 1)]), pa.array([zstandard.compress(part[some].tobytes(), 1)])], names=["k", "b", "i", "t"])
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for k, b, t in batch.itertuples(index=False):
-                part = np.frombuffer(zstandard.decompress(t), np.int64)
-                sums[k, b] = sums.get((k, b), 0) + part
-        yield pd.DataFrame([(k, b, zstandard.compress(v.tobytes(), 1)) for (k, b), v in sums.items()], columns=["k", "b", "t"])
+            for k, b, i, t in zip(*(batch.column(c).to_pylist() for c in ("k", "b", "i", "t"))):
+                if (k, b) not in sums:
+                    sums[k, b] = np.zeros(sizes[k] // BLOCKS, kinds[k])
+                sums[k, b][np.cumsum(np.frombuffer(zstandard.decompress(i), np.uint32))] += np.frombuffer(zstandard.decompress(t), kinds[k])
+        for (k, b), v in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([b], pa.int32()), pa.array([zstandard.compress(v.tobytes(), 1)])], names=["k", "b", "t"])
 
     tables = empty_tables()
-    summed = words.mapInArrow(count, "k int, b int, t binary").repartition(BLOCKS, "k", "b").mapInPandas(add, "k int, b int, t binary")
+    sizes, kinds = [len(t) for t in tables], [t.dtype for t in tables]
+    summed = words.mapInArrow(count, "k int, b int, i binary, t binary").repartition(BLOCKS * (HASHED + 1), "k", "b").mapInArrow(add, "k int, b int, t binary")
     for r in summed.collect():  # tables of fixed size
-        part = np.frombuffer(zstandard.decompress(r["t"]), np.int64)
+        part = np.frombuffer(zstandard.decompress(r["t"]), kinds[r["k"]])
         tables[r["k"]][r["b"] * len(part) : (r["b"] + 1) * len(part)] += part
     return tables
 
 
-def model(packed: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """(tables, marks) as they were sent."""
-    whole = [zstandard.decompress(x) for x in packed]
-    return [np.frombuffer(x, np.int64) for x in whole[:-1]], np.frombuffer(whole[-1], np.uint16)
+def sent(tables: list[np.ndarray]) -> list[bytes]:
+    return [zstandard.compress(t.tobytes(), 1) for t in tables]
+
+
+def received(packed: list[bytes]) -> Evidence:
+    return Evidence([np.frombuffer(zstandard.decompress(x), np.int64 if k == HASHED else np.int32) for k, x in enumerate(packed)])
+
+
+def learned_mixer(words: DataFrame, tables, conf: Conf) -> Mixer:
+    """Every task learns online over its words; weights are averaged by what each gate saw, the refinement's cells are added."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer, held = Mixer(), received(tables.value)
+        for batch in whole(batches):
+            learn_into(mixer, held, read_words(batch), conf.rate)
+        n = mixer.hits.sum(axis=1)
+        values = np.concatenate([(mixer.weights * n[:, None]).ravel(), n, mixer.hits.ravel(), mixer.ones.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], names=["i", "v"])
+
+    found = np.zeros(GATES * (ORDERS + 1 + 2 * BUCKETS))
+    for r in words.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():  # of fixed size
+        found[r["i"]] = r["v"]
+    weights, n, hits, ones = np.split(found, np.cumsum([GATES * ORDERS, GATES, GATES * BUCKETS]))
+    seen = n[:, None] > 0
+    averaged = np.where(seen, weights.reshape(GATES, ORDERS) / np.where(seen, n[:, None], 1), first_weights())
+    return Mixer(averaged, hits.reshape(GATES, BUCKETS), ones.reshape(GATES, BUCKETS))
+
+
+def used_before(keys: np.ndarray) -> np.ndarray:
+    """How many equal keys come earlier."""
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    fresh = np.concatenate([np.ones(min(1, len(k)), bool), k[1:] != k[:-1]])
+    start = np.maximum.accumulate(np.where(fresh, np.arange(len(k)), 0))
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.arange(len(k)) - start
+    return out
+
+
+def text_scores(sizes: np.ndarray, doc: np.ndarray, tokens: np.ndarray, n_words: int, p: np.ndarray) -> np.ndarray:
+    """log10 of each text's probability. ``p``: log10 by the model of each token, then of each text's end.
+
+    Experts mix the model with the text's own past; their weights are Bayesian, so the text's
+    probability is the mean of theirs. An end is never in the past."""
+    begin, n = np.cumsum(sizes) - sizes, len(tokens)
+    i = np.concatenate([np.arange(n) - begin[doc], sizes])
+    of = np.concatenate([doc, np.arange(len(sizes))])
+    token = np.concatenate([tokens, np.full(len(sizes), n_words)])
+    before = np.full(len(token), n_words + 1)  # a text's first token follows nothing
+    later = np.flatnonzero(i > 0)
+    before[later] = tokens[(np.concatenate([begin[doc], begin]) + i)[later] - 1]
+    share = used_before(of * np.int64(n_words + 2) + token) / np.maximum(i, 1)
+    # How often the word before was followed by something, and by this word.
+    after = mixed(mixed((of * np.int64(n_words + 2) + before).astype(np.uint64)))
+    followed = used_before(after.view(np.int64))
+    follow = used_before(mixed(after ^ mixed(token.astype(np.uint64) + np.uint64(1))).view(np.int64)) / np.maximum(followed, 1)
+    model = p * np.log(10)
+    each = []
+    for a, b in EXPERTS:
+        a_, b_ = np.where(i > 0, a, 0.0), np.where(followed > 0, b, 0.0)
+        with np.errstate(divide="ignore"):  # a text without a past gives no share
+            past = np.log(a_ * share + b_ * follow)
+        each.append(np.bincount(of, weights=np.logaddexp(np.log(1 - a_ - b_) + model, past), minlength=len(sizes)) / np.log(10))
+    top = np.max(each, axis=0)
+    return top + np.log10((10.0 ** (np.array(each) - top)).mean(axis=0))
 
 
 def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFrame:
-    """``learn``: whether a document is learned from. Returns doc_id, n_tokens, n_known, train_tokens, base_score, score."""
-    texts = docs.select("doc_id", utf8().alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    n_docs = texts.agg(F.sum(F.col("learn").cast("long"))).first()[0] or 0
-    by_chunk = cut(chunks(texts))
-    each = word_rows(by_chunk)
-    words = cut(packed_words(each.groupBy("h").agg(F.first("word").alias("word"), F.sum("c").alias("c"))))
-    total = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    n, v = int(total[0]) + n_docs, int(total[1]) + (n_docs > 0)
-
-    known = word_rows(words).where("c > 0")
-    marks = marks_of([END, *(bytes(r[0]) for r in known.where(F.length("word") <= 40).orderBy(F.desc("c"), "word").limit(FREQUENT).select("word").collect())])  # FREQUENT words
-    tables = _count_tables(words.select("h", "words", "counts"), marks)
-    count_into(tables, marks, [END], np.array([n_docs]))
-    shared = docs.sparkSession.sparkContext.broadcast([zstandard.compress(x.tobytes(), 3) for x in (*tables, marks)])  # of fixed size
-    chosen = texts.where("learn and doc_id is not null").select(F.xxhash64("doc_id").alias("h"), "text").orderBy("h").limit(conf.sample)
-
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((h, t) for b in batches for h, t in zip(b.column("h").to_pylist(), b.column("text").to_pylist()))
-        tokens = [w for _, t in rows for w in [*t.lower().split()[:2000], END]]  # the sample's bound: 2000 words of each
-        mixer = train_mixer(*model(shared.value), tokens, conf)
-        yield pa.RecordBatch.from_arrays([pa.array([mixer.weights.tobytes()]), pa.array([mixer.refined.tobytes()])], names=["w", "r"])
-
-    rows = chosen.coalesce(1).mapInArrow(fit, "w binary, r binary").collect()
-    mixer = Mixer(np.frombuffer(rows[0]["w"]).reshape(GATES, ORDERS), np.frombuffer(rows[0]["r"]).reshape(GATES, BUCKETS)) if rows and n_docs else Mixer()
-    end_score = float(Scorer(tables, marks, mixer).words([END])[0])
+    """``learn``: whether a document is learned from. Returns doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
+    spark = docs.sparkSession
+    by_chunk = cut(chunks(docs.select("doc_id", utf8().alias("text"), (F.coalesce(learn, F.lit(False)) & F.col("doc_id").isNotNull()).alias("learn"))))
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*model(shared.value), mixer)
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                c = Chunk(batch, i)
+                n = np.bincount(c.tokens, weights=c.learn[c.doc], minlength=len(c.h)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c.h[n > 0].view(np.int64)), pa.array(n[n > 0])], names=["h", "c"])
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([int(c.learn.sum())])], names=["h", "c"])
+
+    totals = cut(by_chunk.mapInArrow(counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
+    n, v, ends = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("h"), F.coalesce(F.sum(F.when(F.col("h").isNull(), F.col("c"))), F.lit(0))).first()
+    v += ends > 0
+    top = totals.where("h is not null").orderBy(F.desc("c"), "h").limit(FREQUENT)
+    names = np.sort(np.array([r["h"] for r in top.collect()], np.int64).view(np.uint64))
+    groups = grouped(names, _company(by_chunk, names))
+
+    def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                h, found, c = unpacked(*(batch.column(x)[i].as_py() for x in ("h", "words", "counts")))
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(scorer.words(found).astype(np.float32))], names=["h", "c", "p"])
+                c = Chunk(batch, i)
+                pair, learned = c.pairs(names, groups)
+                kinds, at = np.unique(pair, return_inverse=True)
+                words = [*c.words(), END]
+                of = [words[x] for x in (kinds // (CLASSES + 1)).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([w[:2] for w in of], pa.binary()), pa.array(of, pa.binary()), pa.array(kinds % (CLASSES + 1)), pa.array(np.bincount(at, weights=learned, minlength=len(kinds)).astype(np.int64))], names=["k", "word", "g", "c"])
+
+    rows = by_chunk.mapInArrow(worded, "k binary, word binary, g long, c long").groupBy("k", "word", "g").agg(F.sum("c").alias("c"))
+    words = cut(rows.repartition("k").sortWithinPartitions("k"))
+    tables = counted_tables(words) if ends else empty_tables()
+    shared = spark.sparkContext.broadcast(sent(tables))  # of fixed size
+    mixer = learned_mixer(words, shared, conf) if ends else Mixer()
 
-    rated = words.select("h", "words", "counts").mapInArrow(rate, "h long, c long, p float")
-    asked = word_rows(by_chunk, with_words=False)
-    answers = asked.join(rated, "h").groupBy("chunk").agg(F.collect_list(F.struct("h", "c", "p")).alias("a"))
-    answers = answers.select("chunk", *[F.col(f"a.{k}").alias(f"a_{k}") for k in ("h", "c", "p")])  # a batch's distinct words
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = received(shared.value)
+        for batch in whole(batches):
+            w = read_words(batch)
+            p = rate_words(mixer, held, w)
+            given = batch.column("word").to_pylist()
+            hashes = hashes_of(given)
+            every = np.empty(len(given), np.int64)
+            every[w.order] = w.total[w.of_word]
+            yield pa.RecordBatch.from_arrays([pa.array(name_of(hashes, batch.column("g").to_numpy())), pa.array(every), pa.array(p)], names=["h", "c", "p"])
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                c = Chunk(batch, i)
+                kinds = np.unique(c.pairs(names, groups)[0])
+                h = name_of(np.append(c.h, np.uint64(0))[kinds // (CLASSES + 1)], kinds % (CLASSES + 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), c.name)), pa.array(np.arange(len(kinds), dtype=np.int32)), pa.array(h)], names=["chunk", "i", "h"])
+
+    rated = words.mapInArrow(rate, "h long, c long, p double")
+    answers = by_chunk.mapInArrow(asked, "chunk long, i int, h long").join(rated, "h").groupBy("chunk").agg(F.collect_list(F.struct("i", "c", "p")).alias("a"))
+    answers = answers.select("chunk", *[F.col(f"a.{k}").alias(f"a_{k}") for k in ("i", "c", "p")])  # a chunk's distinct words
     below = np.log10(n + 0.5 * (v + 1))
-    end_base = float(np.log10(n_docs + 0.5) - below)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                of = lambda name: batch.column(name)[i].values.to_numpy(zero_copy_only=False) if batch.column(name)[i].is_valid else np.zeros(0)  # noqa: E731, B023
-                sizes, h = of("sizes"), of("a_h")
-                order = np.argsort(h.view(np.uint64)) if len(h) else np.zeros(0, np.int64)  # the order of the batch's list
-                at = np.frombuffer(zstandard.decompress(batch.column("tokens")[i].as_py()), np.uint32)
-                doc = np.repeat(np.arange(len(sizes)), sizes)
+            for row in range(batch.num_rows):
+                chunk = Chunk(batch, row)
+                of = lambda name: batch.column(name)[row].values.to_numpy(zero_copy_only=False)  # noqa: E731, B023
+                order = np.argsort(of("a_i"))
                 c, p = of("a_c")[order], of("a_p")[order]
-                base = np.log10(c + 0.5) - below
-                sums = [np.bincount(doc, weights=x[at] if len(at) else None, minlength=len(sizes)) for x in ((c > 0).astype(np.float64), base, p)]
-                columns = [pa.array(batch.column("doc_ids")[i].as_py(), pa.int64()), pa.array(sizes.astype(np.int64) + 1), pa.array(sums[0].astype(np.int64) + (n_docs > 0)), pa.array(np.full(len(sizes), n, np.int64)), pa.array(sums[1] + end_base), pa.array(sums[2] + end_score)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    joined = by_chunk.select("chunk", "doc_ids", "sizes", "tokens").join(answers, "chunk", "left")
-    return joined.mapInArrow(add_up, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+                at = np.unique(chunk.pairs(names, groups)[0], return_inverse=True)[1]
+                docs_ = np.concatenate([chunk.doc, np.arange(len(chunk.sizes))])
+                known, base = (np.bincount(docs_, weights=x, minlength=len(chunk.sizes)) for x in ((c > 0)[at].astype(np.float64), np.log10(c + 0.5)[at] - below))
+                score = text_scores(chunk.sizes, chunk.doc, chunk.tokens, len(chunk.h), p[at])
+                bits = -score * np.log2(10) / np.maximum(chunk.bytes, 1)
+                columns = [pa.array(chunk.ids, pa.int64()), pa.array(chunk.sizes + 1), pa.array(known.astype(np.int64)), pa.array(np.full(len(chunk.sizes), n, np.int64)), pa.array(base), pa.array(score), pa.array(bits)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+
+    joined = by_chunk.join(answers, "chunk")
+    return joined.mapInArrow(add_up, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """The hash of each word, the end's 0."""
+    found = np.concatenate([*word_hashes_of([w for w in words if w != END]), np.zeros(0, np.uint64)])
+    out, real = np.zeros(len(words), np.uint64), np.array([w != END for w in words], bool)
+    out[real] = found
+    return out
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = fold_of(F.col("doc_id"), 5) == 1
-    scored = score_texts(docs, ~held_out)
-    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    scored = score_texts(docs, fold_of(F.col("doc_id"), 5) != 1)
+    return scored.select("doc_id", (F.coalesce(fold_of(F.col("doc_id"), 5), F.lit(0)) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")

@@ -146,19 +146,118 @@ def test_lm_scoring(spark):
         base = sum(np.log10((c[w] + 0.5) / (total + 0.5 * (kinds + 1))) for w in t)
         assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(t), sum(c[w] > 0 for w in t), total)
         assert got[i].base_score == pytest.approx(base) and got[i].score < 0
-    # It learns: held-out texts of the learned words are far likelier than eight even bits a byte.
+    # It learns: held-out texts of the learned words are far likelier than eight even bits a byte, and cost so much a byte.
     long = [i for i in range(20) if held(i)]
     assert sum(got[i].score for i in long) > 0.5 * sum(len(texts[i]) for i in long) * 8 * np.log10(0.5)
+    assert all(got[i].bits_per_byte == pytest.approx(-got[i].score * np.log2(10) / max(1, len((t or "").encode()))) for i, t in enumerate(texts))
+    assert lm_scoring.score_texts(docs.limit(0), F.lit(True)).count() == 0
+    assert lm_scoring.score_texts(documents(spark, ["ab", None], [None, 5]), F.lit(False)).where("score < 0 and train_tokens = 0").count() == 2
 
 
-def test_lm_decisions_are_a_distribution():
-    tables, marks = lm_scoring.empty_tables(), lm_scoring.marks_of([b"ab"])
-    lm_scoring.count_into(tables, marks, [b"ab", b"ac"], np.array([5, 2]))
-    scorer = lm_scoring.Scorer(tables, marks, lm_scoring.Mixer())
-    # The words of no letter, the end, and all that starts with each other byte share the probability.
-    first = [bytes([x]) for x in range(256) if x not in (10, 32)]
-    exact = 10 ** scorer.words([b"", lm_scoring.END, *first])
-    assert 0 < exact.sum() <= 1 + 1e-9
+def test_lm_beats_the_base_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(8)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    r = lm_scoring.score_texts(docs, ~held).where(held).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert r[0] > r[1] and r[2] > 70_000
+
+
+def lm_pairs(seed=3):
+    r = random.Random(seed)
+    words = sorted({bytes(r.choice(b"abc") for _ in range(r.randrange(1, 7))) for _ in range(60)} | {b"x" * 70 + b"abc", b"x" * 70 + b"abd", b"\xc3\xa9", b"x" * 64, b"x" * 64 + b" "[:0] + b"q"})
+    pairs = [(w, g) for w in [*words, lm_scoring.END] for g in r.sample(range(lm_scoring.CLASSES + 1), 2)]
+    return [w for w, _ in pairs], np.array([g for _, g in pairs]), np.array([r.choice((0, 1, 1, 3, 40)) for _ in pairs])
+
+
+def test_lm_words_equal_a_scalar_reference():
+    m = lm_scoring
+    given, classes, counts = lm_pairs()
+    words = m.Words(given, classes, counts)
+    tables = m.empty_tables()
+    m.count_into(tables, words)
+    evidence, mixer = m.Evidence(tables), m.Mixer()
+    m.learn_into(mixer, evidence, words, 0.02)
+    mixer = m.Mixer(mixer.weights, mixer.hits, mixer.ones)
+    got = m.rate_words(mixer, evidence, words)
+    mask, prime = (1 << 64) - 1, int(m.PRIME)
+    closed = [w if w == m.END else w + b" " for w in given]
+    level = lambda n: sum(n >= x for x in (1, 2, 5, 32))
+    odds = lambda n0, n1: float(np.log(np.float64((n1 + m.DELTA) / (n0 + m.DELTA))).astype(np.float32))
+    seen: dict = {}
+    for w, g, c in zip(closed, classes.tolist(), counts.tolist()):  # counts by all bits before, and by hashed contexts
+        for depth in range(8 * len(w)):
+            bits = int.from_bytes(w, "big") >> (8 * len(w) - depth)
+            bit = w[depth // 8] >> (7 - depth % 8) & 1
+            for key in ((g, depth, bits), (None, depth, bits)):
+                seen.setdefault(key, [0, 0])[bit] += c
+    for i in range(0, len(given), 3):
+        w, g, total = closed[i], int(classes[i]), 0.0
+        for depth in range(8 * len(w)):
+            j, b = divmod(depth, 8)
+            bits, bit, node = int.from_bytes(w, "big") >> (8 * len(w) - depth), w[j] >> (7 - b) & 1, (1 << b) | (w[j] >> (8 - b))
+            h, inputs, knows = (g + 1) * prime & mask, [], 0
+            for k in range(m.HASHED):
+                if k:
+                    h = (h + (w[j - k] + 1 if j >= k else 0)) * prime & mask
+                    h ^= h >> 29
+                context = h + (min(j, 3) if k == 0 else k) & mask
+                s = ((context ^ node * prime & mask) * 0xFF51AFD7ED558CCD & mask) >> (64 - m.TABLE_BITS[k])
+                n0, n1 = tables[k][2 * s : 2 * s + 2].tolist()
+                inputs.append(odds(n0, n1))
+                knows += k >= m.HASHED - 2 and n0 + n1 > 0
+            every, mine = (seen[k, depth, bits] for k in (None, g)) if j < m.PREFIX else ([0, 0], [0, 0])
+            inputs += [odds(*every), odds(*mine)] if j < m.PREFIX else [0.0, 0.0]
+            gate = (level(sum(mine)) * m.SURE + level(sum(every))) * m.KNOWS + knows
+            x = sum(float(a) * b for a, b in zip(mixer.weights[gate], inputs))
+            p = 1 / (1 + np.exp(-max(-30, min(30, x))))
+            place = max(0, min(m.BUCKETS - 1.001, 2 * x + m.BUCKETS // 2))
+            low = int(place)
+            r = mixer.refined[gate][low] * (1 - place + low) + mixer.refined[gate][low + 1] * (place - low)
+            q = max(1e-7, min(1 - 1e-7, (p + r) / 2))
+            total += np.log10(q if bit else 1 - q)
+        assert got[i] == pytest.approx(total, rel=1e-5)
+
+
+def test_lm_words_are_a_distribution():
+    """All words of two letters up to six long, the empty one and the end: learned from a part, they share nearly all probability, and no more."""
+    import itertools
+
+    m = lm_scoring
+    every = [bytes(x) for n in range(7) for x in itertools.product(b"ab", repeat=n)] + [m.END]
+    counts = np.array([k % 3 * 20 for k in range(len(every))])
+    words = m.Words(every, np.zeros(len(every), np.int64), counts)
+    tables = m.empty_tables()
+    m.count_into(tables, words)
+    evidence, mixer = m.Evidence(tables), m.Mixer()
+    m.learn_into(mixer, evidence, words, 0.02)
+    p = m.rate_words(mixer, evidence, words)
+    assert 0.8 < (10.0**p).sum() <= 1 + 1e-9
+    # Words that begin otherwise don't matter to a word, so parts of the words give the same.
+    for k in {w[:2] for w in every}:
+        at = [i for i, w in enumerate(every) if w[:2] == k]
+        part = m.rate_words(mixer, evidence, m.Words([every[i] for i in at], np.zeros(len(at), np.int64), counts[at]))
+        assert part == pytest.approx(p[at])
+
+
+def test_lm_texts_equal_a_scalar_reference():
+    m, r = lm_scoring, random.Random(5)
+    texts = [[r.randrange(6) for _ in range(n)] for n in (0, 1, 30, 2, 80)]
+    sizes = np.array([len(t) for t in texts])
+    p = np.array([-r.random() * 3 - 0.1 for _ in range(sizes.sum() + len(texts))])
+    got = m.text_scores(sizes, np.repeat(np.arange(len(texts)), sizes), np.array(sum(texts, [])), 6, p)
+    at = 0
+    for d, text in enumerate(texts):
+        each = []
+        for a, b in m.EXPERTS:
+            total = 0.0
+            for i, w in enumerate([*text, None]):
+                q = 10 ** (p[at + i] if w is not None else p[sizes.sum() + d])
+                pairs = list(zip(text[:i], text[1 : i] ))
+                follows = [y for x, y in pairs if i and x == text[i - 1]]
+                a_, b_ = a if i else 0, b if follows else 0
+                total += np.log10((1 - a_ - b_) * q + (a_ * text[:i].count(w) / i if i else 0) + (b_ * follows.count(w) / len(follows) if follows else 0))
+            each.append(10**total)
+        at += len(text)
+        assert got[d] == pytest.approx(np.log10(sum(each) / len(each)))
 
 
 def test_piece_codec(spark):
