@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import GAP_CHARS, cut, table, utf8
 from .components import components
-from .shingles import PRIME, mixed, word_hashes_of
+from .shingles import PRIME, mixed, words_with_places
 
 NORMAL = bytes(48 if 48 <= b <= 57 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -48,51 +48,109 @@ class LineConf:
     percent: int = 80
 
 
-#: Bits of the table of sampled counts that orders pairs of words, and the sample's lines.
-ORDER_BITS, ORDER_LINES = 22, 50_000
+#: Bits of the table of sampled counts that orders pairs of words, and the sample's documents.
+ORDER_BITS, ORDER_DOCS = 22, 5_000
 #: Classes at one key up to which every pair is made.
 FEW = 32
+#: Keys that one task of the prefix filter holds, about.
+PART_KEYS = 1 << 18
+SKETCH = ("s0", "s1", "s2", "s3")
 
 
 def row_id() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
-def characters(line: bytes) -> bytes:
-    """A line's code points, 32 bits each."""
-    return b" ".join(line.split()).decode("utf-8", "replace").encode("utf-32-le")
+def characters(line: bytes) -> np.ndarray:
+    """A line's code points."""
+    return np.frombuffer(b" ".join(line.split()).decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+
+
+class Lines:
+    """The lines with a word of a run of texts. ``doc``: place of the text, ``line``: of the line in it, from 0; ``h``: its
+    class; ``words``: hashes of all words, those of a line from ``start``, ``n`` of them."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        self.flat = b"\n".join(texts).translate(NORMAL)
+        self.words, word_at = words_with_places(self.flat)
+        breaks = np.flatnonzero(np.frombuffer(self.flat, np.uint8) == 10)
+        self.edge = np.concatenate([[0], breaks + 1, [len(self.flat) + 1]])  # where lines begin
+        of = np.searchsorted(breaks, word_at)
+        self.start = np.flatnonzero(np.concatenate([np.ones(min(1, len(of)), bool), of[1:] != of[:-1]]))
+        self.n = np.diff(np.append(self.start, len(of)))
+        self.number = of[self.start]  # among all lines of the run
+        first = np.cumsum([0, *(t.count(b"\n") + 1 for t in texts[:-1])])  # each text's first line
+        self.doc = np.searchsorted(first, self.number, side="right") - 1
+        self.line = self.number - first[self.doc]
+        place = (np.arange(len(of)) - np.repeat(self.start, self.n)).astype(np.uint64)
+        each = mixed(self.words + PRIME * (place + np.uint64(1)))
+        self.h = mixed(np.add.reduceat(each, self.start)) if len(self.start) else np.zeros(0, np.uint64)
+
+    def units(self, lines: np.ndarray, conf: LineConf) -> tuple[np.ndarray, np.ndarray]:
+        """(units of the lines asked, one after the other, how many each has)."""
+        n = self.n[lines].copy()
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.start[lines], n)
+        narrow = (self.words[at] >> np.uint64(32)).astype(np.uint32)  # enough to tell two lines' words apart
+        short = np.flatnonzero(n < conf.min_words)
+        if not len(short):
+            return narrow, n
+        parts = np.split(narrow, np.cumsum(n)[:-1])
+        for i in short.tolist():
+            k = self.number[lines[i]]
+            parts[i] = characters(self.flat[self.edge[k] : self.edge[k + 1] - 1])
+            n[i] = len(parts[i])
+        return np.concatenate(parts), n
+
+
+def runs_of(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[tuple[int, Lines]]:
+    """(place of the first text, the lines) of runs of about ``size`` bytes of a batch's texts."""
+    texts, first, held = batch.column("text"), 0, 0
+    part: list[bytes] = []
+    for i in range(batch.num_rows):
+        part.append(texts[i].as_py())
+        held += len(part[-1])
+        if held >= size or i + 1 == batch.num_rows:
+            yield first, Lines(part)
+            first, held, part = i + 1, 0, []
+
+
+def line_table(docs: DataFrame) -> DataFrame:
+    """doc_id, rid, line (from 0), h (class): lines that have a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, lines in runs_of(batch):
+                of = pa.array(lines.doc + first)
+                columns = [batch.column("doc_id").cast(pa.int64()).take(of), batch.column("rid").take(of), pa.array(lines.line.astype(np.int32)), pa.array(lines.h.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rid", "line", "h"])
+
+    return docs.select("doc_id", row_id().alias("rid"), utf8().alias("text")).mapInArrow(run, "doc_id long, rid long, line int, h long")
 
 
-def line_table(docs: DataFrame, conf: LineConf, units: bool = True) -> DataFrame:
-    """doc_id, rid, line (from 0), h (class), w (32-bit units, if asked for): lines that have a word."""
+def fresh_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Lines, np.ndarray]]:
+    """Runs of lines with those whose class the run has first, without most of those that came earlier in the task."""
+    seen: set[int] = set()
+    for batch in batches:
+        for _, lines in runs_of(batch):
+            h, at = np.unique(lines.h, return_index=True)
+            new = np.array([x not in seen for x in h.tolist()], bool)
+            if len(seen) < 1_000_000:
+                seen.update(h[new].tolist())
+            yield lines, at[new] if len(new) else at
+
+
+def sequences(docs: DataFrame, conf: LineConf) -> DataFrame:
+    """h, w (32-bit units), n (how many), s0 to s3 (whether an odd number of units falls to each of 256 bits): a row a class and task that meets it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owners, lines, hashes, seqs = [], [], [], []
-            texts = [t.translate(NORMAL) for t in batch.column("text").to_pylist()]
-            for i, (text, words) in enumerate(zip(texts, word_hashes_of(texts))):
-                split = text.split(b"\n")
-                sizes = np.array([len(x.split()) for x in split], np.int64)
-                at = np.flatnonzero(sizes > 0)
-                if not len(at):
-                    continue
-                start = np.cumsum(sizes) - sizes
-                place = np.arange(len(words), dtype=np.int64) - np.repeat(start[at], sizes[at])
-                h = mixed(np.add.reduceat(mixed(words + PRIME * (place.astype(np.uint64) + np.uint64(1))), start[at]))
-                owners.append(np.full(len(at), i))
-                lines.append(at)
-                hashes.append(h)
-                if not units:
-                    continue
-                narrow = (words >> np.uint64(32)).astype(np.uint32)  # enough to tell two lines' words apart
-                for x, a, n in zip(at.tolist(), start[at].tolist(), sizes[at].tolist()):
-                    seqs.append(narrow[a : a + n].tobytes() if n >= conf.min_words else characters(split[x]))
-            of = np.concatenate([*owners, np.zeros(0, np.int64)]).astype(np.int64)
-            join = lambda x, kind: np.concatenate([*x, np.zeros(0, kind)]).astype(kind)
-            columns = [batch.column("doc_id").cast(pa.int64()).take(pa.array(of)), batch.column("rid").take(pa.array(of)), pa.array(join(lines, np.int32)), pa.array(join(hashes, np.uint64).view(np.int64)), *[pa.array(seqs, pa.binary())] * units]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rid", "line", "h", *["w"] * units])
-
-    return docs.select("doc_id", row_id().alias("rid"), utf8().alias("text")).mapInArrow(run, "doc_id long, rid long, line int, h long" + ", w binary" * units)
+        for lines, at in fresh_lines(batches):
+            w, n = lines.units(at, conf)
+            ends = np.concatenate([[0], np.cumsum(4 * n)]).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(w))])
+            sketch = parities(w, n, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(lines.h[at].view(np.int64)), packed, pa.array(n.astype(np.int32)), *(pa.array(sketch[:, k].view(np.int64)) for k in range(4))], names=["h", "w", "n", *SKETCH])
+
+    return docs.select(utf8().alias("text")).mapInArrow(run, "h long, w binary, n int, s0 long, s1 long, s2 long, s3 long")
 
 
 def edits(a: list[int], b: list[int]) -> int:
@@ -149,54 +207,50 @@ def destroyed(n: int, percent: int) -> int:
     return lost
 
 
-def pair_hashes(batch: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of pairs of neighbouring words, the line of each, words of each line) for binary word sequences."""
-    sequences = batch.to_pylist()
-    sizes = np.array([len(x) // 4 for x in sequences], np.int64)
-    words = np.frombuffer(b"".join(sequences), np.uint32).astype(np.uint64)
-    of = np.repeat(np.arange(len(sizes)), sizes)
+def pair_hashes(units: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of pairs of neighbouring units, the line of each)."""
+    of = np.repeat(np.arange(len(n)), n)
     at = np.flatnonzero(of[1:] == of[:-1])
-    return mixed((words[at] << np.uint64(32)) | words[at + 1]), of[at], sizes
+    return mixed((units[at].astype(np.uint64) << np.uint64(32)) | units[at + 1]), of[at]
 
 
-def sampled_order(classes: DataFrame) -> bytes:
-    """How often pairs of words occur in a bounded sample, by hash, up to 127. It orders keys and changes no result."""
+def sampled_order(docs: DataFrame, conf: LineConf) -> bytes:
+    """How often pairs of units occur in a bounded sample of documents, by hash, up to 63. It orders keys and changes no result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << ORDER_BITS, np.int64)
-        for batch in batches:
-            at = (pair_hashes(batch.column("w"))[0] >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
-            counts += np.bincount(at, minlength=1 << ORDER_BITS)
-        yield pa.RecordBatch.from_arrays([pa.array([zstandard.compress(np.minimum(counts, 127).astype(np.uint8).tobytes(), 1)])], names=["t"])
+        for lines, at in fresh_lines(batches):
+            counts += np.bincount((pair_hashes(*lines.units(at, conf))[0] >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=1 << ORDER_BITS)
+        yield pa.RecordBatch.from_arrays([pa.array([zstandard.compress(np.minimum(counts, 63).astype(np.uint8).tobytes(), 1)])], names=["t"])
 
-    found = classes.select("w").limit(ORDER_LINES).coalesce(1).mapInArrow(run, "t binary").first()
+    found = docs.select(utf8().alias("text")).limit(ORDER_DOCS).coalesce(1).mapInArrow(run, "t binary").first()
     return bytes(found["t"]) if found else zstandard.compress(bytes(1 << ORDER_BITS))
 
 
-def prefix_keys(column: pa.Array, order: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, the line of each, its number of units, its parities): of each line the first of its distinct pairs, rarest first, one more than can be destroyed."""
-    pairs, of, sizes = pair_hashes(column)
-    keys = (order[(pairs >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (pairs & np.uint64((1 << 56) - 1))
-    by = np.lexsort((keys, of))
-    keys, of = keys[by], of[by]
+def prefix_keys(units: np.ndarray, n: np.ndarray, order: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, the line of each): of each line the first of its distinct pairs, rarest first, one more than can be destroyed."""
+    pairs, of = pair_hashes(units, n)
+    rank = order[(pairs >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].astype(np.uint64)
+    # Sorted by line, rank and the hash's lower bits, which fit one number (two pairs that these don't tell apart may change places).
+    by = np.argsort((of.astype(np.uint64) << np.uint64(40)) | (rank << np.uint64(34)) | (pairs & np.uint64((1 << 34) - 1)), kind="stable")
+    keys, of = pairs[by], of[by]
     fresh = np.ones(len(keys), bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
     keys, of = keys[fresh], of[fresh]
-    rank = np.arange(len(of)) - np.searchsorted(of, of)
-    kinds, at = np.unique(sizes, return_inverse=True)
-    wanted = np.array([destroyed(n, percent) + 1 for n in kinds.tolist()], np.int64)[at] if len(kinds) else sizes
-    taken = rank < wanted[of]
-    keys, of = keys[taken], of[taken]
-    return keys, of, sizes[of], parities(column.to_pylist())[of]
-
-
-def parities(sequences: list[bytes]) -> np.ndarray:
-    """64 bits of each line: whether an odd number of its units falls to each."""
-    sizes = np.array([len(x) // 4 for x in sequences], np.int64)
-    bits = np.uint64(1) << (np.frombuffer(b"".join(sequences), np.uint32) & np.uint32(63)).astype(np.uint64)
-    out, some = np.zeros(len(sizes), np.uint64), np.flatnonzero(sizes)
-    if len(some):
-        out[some] = np.bitwise_xor.reduceat(bits, (np.cumsum(sizes) - sizes)[some])
+    place = np.arange(len(of)) - np.searchsorted(of, of)
+    kinds, at = np.unique(n, return_inverse=True)
+    wanted = np.array([destroyed(x, percent) + 1 for x in kinds.tolist()], np.int64)[at] if len(kinds) else n
+    taken = place < wanted[of]
+    return keys[taken], of[taken]
+
+
+def parities(units: np.ndarray, n: np.ndarray, wide: int = 1) -> np.ndarray:
+    """64 * ``wide`` bits of each line: whether an odd number of its units falls to each. An edit changes two at most."""
+    out, some = np.zeros((len(n), wide), np.uint64), np.flatnonzero(n)
+    place = (units & np.uint32(64 * wide - 1)).astype(np.uint64)
+    bits = np.uint64(1) << (place & np.uint64(63))
+    for k in range(wide if len(some) else 0):
+        out[some, k] = np.bitwise_xor.reduceat(np.where(place >> np.uint64(6) == k, bits, np.uint64(0)), (np.cumsum(n) - n)[some])
     return out
 
 
@@ -249,92 +303,120 @@ class Block:
         self.n += 1
 
 
-def fuzzy_links(classes: DataFrame, conf: LineConf) -> DataFrame:
-    """``classes``: h, w. Returns a, b: linked classes that connect all alike ones."""
-    shared = classes.sparkSession.sparkContext.broadcast(sampled_order(classes))  # of fixed size
+def key_parts(docs: DataFrame, order: bytes, parts: int, conf: LineConf) -> DataFrame:
+    """Keys of the prefix filter, packed: part (by the key's hash), k, h, n, odd of a run's keys in that part."""
+    shared = docs.sparkSession.sparkContext.broadcast(order)  # of fixed size
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.frombuffer(zstandard.decompress(shared.value), np.uint8)
+        for lines, at in fresh_lines(batches):
+            units, n = lines.units(at, conf)
+            k, of = prefix_keys(units, n, order, conf.percent)
+            part = (k % np.uint64(parts)).astype(np.int64)
+            by = np.argsort(part, kind="stable")
+            k, of, part = k[by], of[by], part[by]
+            columns = [k, lines.h[at][of], n[of].astype(np.uint32), (parities(units, n)[:, 0] ^ (parities(units, n)[:, 0] >> np.uint64(32))).astype(np.uint32)[of]]
+            begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(part)), bool), part[1:] != part[:-1]]))
+            bounds = list(zip(begin.tolist(), [*begin[1:].tolist(), len(part)]))
+            packed = [pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(part[begin]), *packed], names=["part", "k", "h", "n", "odd"])
+
+    return docs.select(utf8().alias("text")).mapInArrow(run, "part long, k binary, h binary, n binary, odd binary")
+
+
+def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
+    """a, b: pairs of classes to be tested (k null); or k, a: all classes (a) at a key of many (b null)."""
+    kinds = {"k": np.uint64, "h": np.int64, "n": np.uint32, "odd": np.uint32}
+
+    def groups(rows: list[list[bytes]]) -> pa.RecordBatch:
+        k, h, n_units, odd = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*rows), kinds.values())) if rows else (np.zeros(0, x) for x in kinds.values())
+        by = np.lexsort((h, k))
+        by = by[np.concatenate([np.ones(min(1, len(by)), bool), (k[by][1:] != k[by][:-1]) | (h[by][1:] != h[by][:-1])])]
+        k, h, n_units, odd = k[by], h[by], n_units[by].astype(np.int64), odd[by]
+        start = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), k[1:] != k[:-1]]))
+        size = np.diff(np.append(start, len(k)))
+        left, right = [], []
+        for n in np.unique(size[(size > 1) & (size <= FEW)]).tolist():
+            i, j = np.triu_indices(n, 1)
+            at = start[size == n][:, None]
+            x, y = (at + i).ravel(), (at + j).ravel()
+            allowed = (100 - conf.percent) * np.maximum(n_units[x], n_units[y]) // 100
+            able = (np.bitwise_count(odd[x] ^ odd[y]) <= 2 * allowed) & (np.abs(n_units[x] - n_units[y]) <= allowed)
+            left.append(h[x[able]])
+            right.append(h[y[able]])
+        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right))
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        many = np.repeat(size > FEW, size)
+        columns = [pa.concat_arrays([pa.array(h[many]), pa.array(pairs[:, 0])]), pa.concat_arrays([pa.nulls(int(many.sum()), pa.int64()), pa.array(pairs[:, 1])]), pa.concat_arrays([pa.array(k[many].view(np.int64)), pa.nulls(len(pairs), pa.int64())])]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "k"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, rows = None, []
         for batch in batches:
-            k, of, n, odd = prefix_keys(batch.column("w"), order, conf.percent)
-            columns = [pa.array(k.view(np.int64)), batch.column("h").take(pa.array(of)), pa.array(n.astype(np.int32)), pa.array(odd.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["k", "h", "n", "odd"])
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """k, h: groups of classes to be tested, a pair or all classes at a key of many. Groups that fall together do no harm."""
-        kept = [np.zeros(0, np.int64)] * 4
-        for batch in (*batches, None):
-            if batch is not None:
-                kept = [np.concatenate([x, batch.column(c).to_numpy().astype(np.int64)]) for x, c in zip(kept, ("k", "h", "n", "odd"))]
-                end = int(np.searchsorted(kept[0], kept[0][-1])) if len(kept[0]) else 0  # the last key may go on
-            else:
-                end = len(kept[0])
-            k, h, n_units, odd = (x[:end] for x in kept)
-            kept = [x[end:] for x in kept]
-            start = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), k[1:] != k[:-1]]))
-            size = np.diff(np.append(start, len(k)))
-            left, right = [], []
-            for n in np.unique(size[(size > 1) & (size <= FEW)]).tolist():
-                i, j = np.triu_indices(n, 1)
-                at = start[size == n][:, None]
-                x, y = (at + i).ravel(), (at + j).ravel()
-                allowed = (100 - conf.percent) * np.maximum(n_units[x], n_units[y]) // 100
-                near = np.bitwise_count((odd[x] ^ odd[y]).view(np.uint64)) <= 2 * allowed
-                able = near & (np.abs(n_units[x] - n_units[y]) <= allowed)
-                left.append(h[x[able]])
-                right.append(h[y[able]])
-            a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right))
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            group = mixed(pairs[:, 0].astype(np.uint64) * PRIME ^ mixed(pairs[:, 1].astype(np.uint64))).view(np.int64)
-            many = np.repeat(size > FEW, size)
-            columns = [np.concatenate([k[many], np.repeat(group, 2)]), np.concatenate([h[many], pairs.ravel()])]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["k", "h"])
-
-    able = classes.where(F.length("w") >= 8)  # two units
-    by_key = able.select("h", "w").mapInArrow(keys, "k long, h long, n int, odd long").repartition("k").sortWithinPartitions("k")
-    met = cut(by_key.mapInArrow(meet, "k long, h long").distinct())
-
-    def links(group: list[tuple[int, bytes]]) -> Iterator[tuple[int, int]]:
-        if len(group) == 2:
-            (a, x), (b, y) = group
-            if similar(memoryview(x).cast("I").tolist(), memoryview(y).cast("I").tolist(), conf.percent):
-                yield min(a, b), max(a, b)
+            for p, *row in zip(*(batch.column(c).to_pylist() for c in ("part", *kinds))):
+                if p != part:
+                    yield groups(rows)
+                    part, rows = p, []
+                rows.append(row)
+        yield groups(rows)
+
+    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long, k long").distinct()
+
+
+def fuzzy_links(docs: DataFrame, n_lines: int, conf: LineConf) -> DataFrame:
+    """Returns a, b: linked classes that connect all alike ones. ``n_lines``: about how many there are."""
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_lines * 16 // PART_KEYS)
+    met = cut(meetings(key_parts(docs, sampled_order(docs, conf), parts, conf), conf))
+    known = cut(sequences(docs, conf).join(met.select(F.explode(F.array("a", "b")).alias("h")).where("h is not null").distinct(), "h", "left_semi").dropDuplicates(["h"]))
+    close = cut(_close(met.where("k is null").select("a", "b"), known, conf))
+    of = lambda side: known.select(F.col("h").alias(side), F.col("w").alias(f"w{side}"))
+    both = close.join(of("a"), "a").join(of("b"), "b").select("a", "b", "wa", "wb")
+    blocks = met.where("k is not null").select("k", F.col("a").alias("h"))
+    # Of keys at which the same classes meet one is enough.
+    kinds = blocks.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y")).groupBy("n", "x", "y").agg(F.min("k").alias("k")).select("k")
+    blocks = blocks.join(kinds, "k", "left_semi").join(known.select("h", "w"), "h").select("k", "h", "w")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = [[memoryview(x).cast("I").tolist() for x in batch.column(c).to_pylist()] for c in ("wa", "wb")]
+            alike = pa.array([similar(x, y, conf.percent) for x, y in zip(*of)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(alike)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, block, group, out = None, None, [], []
+        key, block = None, None
         for batch in batches:
+            out: list[tuple[int, int]] = []
             for k, h, w in zip(*(batch.column(c).to_pylist() for c in ("k", "h", "w"))):
-                if k != key:
-                    out += links(group)
-                    key, block, group = k, None, []
-                if len(group) < 3:
-                    group.append((h, w))
-                if len(group) == 3:  # larger than a pair: the first two wait no longer
-                    if block is None:
-                        block = Block(conf.percent)
-                        for g, x in group[:2]:
-                            out += block.add(g, np.frombuffer(x, np.uint32))
-                    out += block.add(h, np.frombuffer(w, np.uint32))
+                if k != key or block is None:
+                    key, block = k, Block(conf.percent)
+                out += block.add(h, np.frombuffer(w, np.uint32))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-            out = []
-        last = list(links(group))
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in last], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    rows = met.join(classes.select("h", "w"), "h").select("k", "h", "w")
-    return rows.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long").distinct()
+    large = blocks.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long")
+    return both.mapInArrow(test, "a long, b long").union(large).distinct()
+
+
+def _close(pairs: DataFrame, known: DataFrame, conf: LineConf) -> DataFrame:
+    """Pairs whose lengths and sketches allow the similarity asked."""
+    for side in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("h").alias(side), *[F.col(c).alias(f"{c}{side}") for c in ("n", *SKETCH)]), side)
+    allowed = F.floor(F.greatest("na", "nb") * F.lit(100 - conf.percent) / F.lit(100))
+    apart = sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in SKETCH), F.lit(0))
+    return pairs.where((apart <= 2 * allowed) & (F.abs(F.col("na") - F.col("nb")) <= allowed)).select("a", "b")
 
 
 def dedup_lines(docs: DataFrame, conf: LineConf = LineConf(), keep_empty: bool = True) -> DataFrame:
     """``docs`` with its texts less the repeated lines, and dropped_lines (array of places from 0)."""
     place = F.struct("doc_id", "rid", "line")
-    classes = cut(line_table(docs, conf).groupBy("h").agg(F.min(place).alias("first"), F.first("w").alias("w"), F.count(F.lit(1)).alias("n")))
-    roots = components(fuzzy_links(classes, conf)).withColumnRenamed("node", "h")
-    grouped = classes.drop("w").join(roots, "h", "left")
+    lines = cut(line_table(docs))
+    classes = cut(lines.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")))
+    roots = components(fuzzy_links(docs, classes.count(), conf)).withColumnRenamed("node", "h")
+    grouped = classes.join(roots, "h", "left")
     linked = grouped.where("root is not null")
     least = linked.groupBy("root").agg(F.min("first").alias("keep"))
     # Only classes with more than one occurrence, or in a group of several, can lose lines.
     keepers = linked.join(least, "root").select("h", "keep").union(grouped.where("root is null and n > 1").select("h", F.col("first").alias("keep")))
-    gone = line_table(docs, conf, units=False).join(keepers, "h").where(~place.eqNullSafe(F.col("keep")))
+    gone = lines.join(keepers, "h").where(~place.eqNullSafe(F.col("keep")))
     per_doc = gone.groupBy("rid").agg(F.array_sort(F.collect_set("line")).alias("dropped_lines"))  # at most a document's lines
     out = docs.withColumn("_rid", row_id()).join(per_doc.withColumnRenamed("rid", "_rid"), "_rid", "left").drop("_rid")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("dropped_lines"), i))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, fold_of, table, utf8
-from .shingles import mixed, word_hashes_of
+from .shingles import mixed, word_hashes, word_hashes_of
 
 END = b"\n"
 #: Bits of the hash table of each hashed predictor: none to four bytes before, each with the class.
@@ -52,10 +52,14 @@ DELTA = 0.4
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 BLOCKS = 16
 CLASSES, FREQUENT, WINDOW = 8, 256, 24
-#: Bytes of texts that make one chunk, and words that are scored at once.
+#: Words that a task handles together, at least.
+TOGETHER = 100_000
+#: Bytes of texts that make one chunk, and decisions of one learning step.
 CHUNK, AT_ONCE = 1 << 23, 8192
+#: Bits of the place of a word with a class in its chunk.
+PLACE_BITS = 28
 #: Bytes of a word whose counts are global, the nodes of these, and bytes up to which words are told apart exactly.
-HEAD, HEAD_NODES, PREFIX = 2, 256 * 257, 64
+HEAD, HEAD_NODES, PREFIX = 2, 256 * 257, 32
 #: Experts: shares given to words used before in the text, and to words put after the word before.
 EXPERTS = ((0.0, 0.0), (0.03, 0.0), (0.1, 0.0), (0.3, 0.0), (0.05, 0.3), (0.05, 0.7), (0.02, 0.93))
 
@@ -65,13 +69,24 @@ class Conf:
     rate: float = 0.02
 
 
-def stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    return np.log((n1 + DELTA) / (n0 + DELTA)).astype(np.float32)
+LOGS = np.log(np.arange(1 << 12) + DELTA).astype(np.float32)
+
+
+def log_of(n: np.ndarray) -> np.ndarray:
+    """log(n + DELTA); read from a list where n is small, as it nearly always is."""
+    out = LOGS[np.minimum(n, len(LOGS) - 1)]
+    large = np.flatnonzero(n >= len(LOGS))
+    if len(large):
+        out[large] = np.log(n[large] + DELTA)
+    return out
+
+
+#: 0 for a count of 0, else by counts of 1, 2 to 4, 5 to 31, more.
+SURE_OF = np.digitize(np.arange(33), (1, 2, 5, 32))
 
 
 def sure(n: np.ndarray) -> np.ndarray:
-    """0 for a count of 0, else by counts of 1, 2 to 4, 5 to 31, more."""
-    return np.digitize(n, (1, 2, 5, 32))
+    return SURE_OF[np.minimum(n, 32)]
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -129,29 +144,34 @@ class Words:
             out.append(h + np.uint64(k))
         return out
 
-    def decisions(self) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray | None, list[np.ndarray] | None]]:
-        """(pairs, hashes of contexts with the bits before, bit, place among head counts, exact counts of 0 and 1 among all and in class).
+    def decisions(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray | None, list[np.ndarray] | None]]:
+        """(pairs, where runs of pairs that are alike so far begin among them, and for each run: hashes of contexts with
+        the bits before; for each pair its bit; for each run: place among head counts, exact counts of 0 and 1 among all and in class).
 
-        The last two: places for the first HEAD bytes, counts then, and neither beyond PREFIX bytes."""
+        A run meets one decision. The last two: places for the first HEAD bytes, counts then, and neither beyond PREFIX bytes."""
         for j in range(int(min(PREFIX, self.size.max(initial=0)))):
-            at = np.flatnonzero(self.size > j)
+            at, near = self._alive(self.size, self.same, j)
             byte = self.flat[self.start[at] + j]
-            contexts = self._contexts(at, np.full(len(at), j))
+            begin = np.flatnonzero(near < 8 * j)
+            of_byte = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(at))))
+            contexts = self._contexts(at[begin], np.full(len(begin), j))
             if j >= HEAD:
-                heads = np.flatnonzero(self.size[self.first] > j)
-                head_byte = self.flat[self.start[self.first[heads]] + j]
+                heads, near_head = self._alive(self.size[self.first], self.same_word, j)
+                head_byte, head_c = self.flat[self.start[self.first[heads]] + j], self.total[heads]
                 where = np.full(len(self.first), -1, np.int64)
                 where[heads] = np.arange(len(heads))
-                place = where[self.of_word[at]]
             for b in range(8):
-                node, bit = node_of(byte, b)
-                hashes = [mix_node(c, node) for c in contexts]
+                runs = np.flatnonzero(near < 8 * j + b)
+                node, bit = node_of(byte[runs], b)[0], node_of(byte, b)[1]
+                hashes = [mix_node(c[of_byte[runs]], node) for c in contexts]
                 if j < HEAD:
-                    before = self.flat[self.start[at]].astype(np.int64) if j else None
-                    yield at, hashes, bit, head_place(self.g[at], before, node), None
+                    before = self.flat[self.start[at[runs]]].astype(np.int64) if j else None
+                    yield at, runs, hashes, bit, head_place(self.g[at[runs]], before, node), None
                 else:
-                    every = self._runs(self.same_word, heads, 8 * j + b, self.total[heads], node_of(head_byte, b)[1])
-                    yield at, hashes, bit, None, [every[0][place], every[1][place], *self._runs(self.same, at, 8 * j + b, self.c[at], bit)]
+                    starts = np.flatnonzero(near_head < 8 * j + b)
+                    every = counts_of(starts, head_c, node_of(head_byte, b)[1])
+                    mine = np.searchsorted(starts, where[self.of_word[at[runs]]], side="right") - 1
+                    yield at, runs, hashes, bit, None, [every[0][mine], every[1][mine], *counts_of(runs, self.c[at], bit)]
         long = np.flatnonzero(self.size > PREFIX)
         rest = self.size[long] - PREFIX
         at = np.repeat(long, rest)
@@ -161,18 +181,24 @@ class Words:
             contexts = self._contexts(a, q)
             for b in range(8):
                 node, bit = node_of(self.flat[self.start[a] + q], b)
-                yield a, [mix_node(c, node) for c in contexts], bit, None, None
+                yield a, np.arange(len(a)), [mix_node(c, node) for c in contexts], bit, None, None
 
     @staticmethod
-    def _runs(same: np.ndarray, at: np.ndarray, depth: int, c: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of 0 and 1 over the run of pairs that share all bits before ``depth``. Words that have ended lie between runs."""
-        group = np.cumsum(same < depth)[at]
-        fresh = np.flatnonzero(np.concatenate([np.ones(min(1, len(at)), bool), group[1:] != group[:-1]]))
-        if not len(fresh):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        sizes = np.diff(np.append(fresh, len(at)))
-        ones, all_ = np.add.reduceat(c * bit, fresh), np.add.reduceat(c, fresh)
-        return np.repeat(all_ - ones, sizes), np.repeat(ones, sizes)
+    def _alive(size: np.ndarray, same: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """(those with a byte at ``j``, the bits that each has in common with the one before among them)."""
+        at = np.flatnonzero(size > j)
+        near = np.full(len(at), -1, np.int64)
+        if len(at) > 1:
+            near[1:] = np.minimum.reduceat(same[: at[-1] + 1], at[:-1] + 1)
+        return at, near
+
+
+def counts_of(runs: np.ndarray, c: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``c`` where the bit is 0 and where it is 1, of each run."""
+    if not len(runs):
+        return np.zeros(0, c.dtype), np.zeros(0, c.dtype)
+    ones = np.add.reduceat(c * bit, runs)
+    return np.add.reduceat(c, runs) - ones, ones
 
 
 def node_of(byte: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,11 +229,15 @@ def count_into(tables: list[np.ndarray], words: Words) -> None:
     """Each learning word counts once in each class it is met in, as how letters follow each other is learned
     from kinds of words; in the head it counts as often as it occurs."""
     known = (words.c > 0).astype(np.int64)
-    for at, hashes, bit, head, _ in words.decisions():
-        for k in range(HASHED):
-            np.add.at(tables[k], slot(k, hashes[k]) * 2 + bit, known[at].astype(np.int32))
+    for at, runs, hashes, bit, head, _ in words.decisions():
+        kinds = counts_of(runs, known[at], bit)
+        for b in (0, 1):
+            some = np.flatnonzero(kinds[b])
+            for k in range(HASHED):
+                np.add.at(tables[k], slot(k, hashes[k][some]) * 2 + b, kinds[b][some].astype(np.int32))
         if head is not None:
-            np.add.at(tables[HASHED], head * 2 + bit, words.c[at])
+            for b, n in enumerate(counts_of(runs, words.c[at], bit)):
+                np.add.at(tables[HASHED], head * 2 + b, n)
 
 
 class Mixer:
@@ -221,7 +251,9 @@ class Mixer:
 
     def probability(self, gate: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(final probability of a 1, mixed probability, nearest bucket)."""
-        x = np.einsum("ij,ij->i", self.weights[gate], inputs)
+        x = np.zeros(len(gate))
+        for k in range(ORDERS):
+            x += self.weights[:, k].take(gate) * inputs[k]
         p = squash(x)
         place = np.clip(x * 2.0 + BUCKETS // 2, 0, BUCKETS - 1.001)
         low = place.astype(np.int64)
@@ -234,7 +266,7 @@ class Mixer:
         error = (bit - p) * weight
         n = np.maximum(np.bincount(gate, weights=weight, minlength=GATES), 1e-9)
         for k in range(ORDERS):
-            self.weights[:, k] += rate * np.bincount(gate, weights=error * inputs[:, k], minlength=GATES) / n
+            self.weights[:, k] += rate * np.bincount(gate, weights=error * inputs[k], minlength=GATES) / n
         cell = gate * BUCKETS + near
         self.hits += np.bincount(cell, weights=weight, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
         self.ones += np.bincount(cell, weights=weight * bit, minlength=GATES * BUCKETS).reshape(GATES, BUCKETS)
@@ -257,47 +289,56 @@ class Evidence:
     """Counts as they were gathered, and what they say of decisions."""
 
     def __init__(self, tables: list[np.ndarray]) -> None:
-        self.tables, self.head = tables[:HASHED], tables[HASHED]
+        self.tables, self.head = [t.reshape(-1, 2) for t in tables[:HASHED]], tables[HASHED]
         self.every = self.head.reshape(CLASSES + 1, -1).sum(axis=0)
 
-    def of(self, hashes: list[np.ndarray], bit: np.ndarray, head: np.ndarray | None, counts: list[np.ndarray] | None, own: np.ndarray | int = 0, last: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """(gate, inputs). ``own``: occurrences of the token itself that don't count, ``last``: whether it is the only one of its kind."""
-        inputs = np.zeros((len(bit), ORDERS), np.float32)
-        knows = np.zeros(len(bit), np.int64)
+    def of(self, hashes: list[np.ndarray], head: np.ndarray | None, counts: list[np.ndarray] | None, own: tuple = (0, 0), last: tuple = (0, 0)) -> tuple[np.ndarray, np.ndarray]:
+        """(gate, inputs: a row each). ``own``: for each bit, occurrences of the token itself that don't count; ``last``: whether it is the only one of its kind."""
+        inputs = np.zeros((ORDERS, len(hashes[0])), np.float32)
+        knows = np.zeros(len(hashes[0]), np.int64)
         for k in range(HASHED):
-            s = slot(k, hashes[k]) * 2
-            n0, n1 = np.maximum(self.tables[k][s] - last * (bit == 0), 0), np.maximum(self.tables[k][s + 1] - last * bit, 0)
-            inputs[:, k] = stretch(n0, n1)
+            n = self.tables[k][slot(k, hashes[k])]
+            n0, n1 = np.maximum(n[:, 0] - last[0], 0), np.maximum(n[:, 1] - last[1], 0)
+            inputs[k] = log_of(n1) - log_of(n0)
             if k >= HASHED - 2:
                 knows += n0 + n1 > 0
         if head is not None:
             of_all = head % HEAD_NODES
             counts = [self.every[2 * of_all], self.every[2 * of_all + 1], self.head[2 * head], self.head[2 * head + 1]]
-        level = np.zeros(len(bit), np.int64)
+        level = np.zeros(len(hashes[0]), np.int64)
         for k, at in ((HASHED + 1, 2), (HASHED, 0)) if counts is not None else ():
-            n0, n1 = np.maximum(counts[at] - own * (bit == 0), 0), np.maximum(counts[at + 1] - own * bit, 0)
-            inputs[:, k] = stretch(n0, n1)
+            n0, n1 = np.maximum(counts[at] - own[0], 0), np.maximum(counts[at + 1] - own[1], 0)
+            inputs[k] = log_of(n1) - log_of(n0)
             level = level * SURE + sure(n0 + n1)
         return level * KNOWS + knows, inputs
 
 
 def learn_into(mixer: Mixer, evidence: Evidence, words: Words, rate: float) -> None:
-    """One online pass over learning words; a word of count c weighs the root of c, with one occurrence of its own taken out."""
-    weight, own, last = np.sqrt(words.c), (words.c > 0).astype(np.int64), (words.c == 1).astype(np.int64)
-    for at, hashes, bit, head, counts in words.decisions():
-        use = np.flatnonzero(words.c[at] > 0)
+    """One online pass over learning words; a word of count c weighs the root of c. What goes on alike after a run
+    counts together, with one occurrence of its own taken out."""
+    weight = np.sqrt(words.c)
+    for at, runs, hashes, bit, head, counts in words.decisions():
+        weights, totals = counts_of(runs, weight[at], bit), counts_of(runs, words.c[at], bit)
+        use = np.concatenate([np.flatnonzero(n) * 2 + b for b, n in enumerate(totals)])
+        use.sort()
         for s in range(0, len(use), AT_ONCE):
-            u = use[s : s + AT_ONCE]
-            gate, inputs = evidence.of([h[u] for h in hashes], bit[u], None if head is None else head[u], None if counts is None else [x[u] for x in counts], own[at[u]], last[at[u]])
-            mixer.learn(gate, inputs, bit[u].astype(np.float64), weight[at[u]], rate)
+            u, b = use[s : s + AT_ONCE] >> 1, use[s : s + AT_ONCE] & 1
+            alone = np.where(b == 1, totals[1][u], totals[0][u]) == 1
+            gate, inputs = evidence.of([h[u] for h in hashes], None if head is None else head[u], None if counts is None else [x[u] for x in counts], (1 - b, b), (alone * (1 - b), alone * b))
+            mixer.learn(gate, inputs, b.astype(np.float64), np.where(b == 1, weights[1][u], weights[0][u]), rate)
 
 
 def rate_words(mixer: Mixer, evidence: Evidence, words: Words) -> np.ndarray:
     """log10 of each pair's probability, in the order in which they were given."""
     total = np.zeros(len(words.size))
-    for at, hashes, bit, head, counts in words.decisions():
-        p = mixer.probability(*evidence.of(hashes, bit, head, counts))[0]
-        total += np.bincount(at, weights=np.log10(np.where(bit == 1, p, 1 - p)), minlength=len(total))
+    for at, runs, hashes, bit, head, counts in words.decisions():
+        p = mixer.probability(*evidence.of(hashes, head, counts))[0]
+        both = np.log10(np.stack([1 - p, p])).ravel()
+        of = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(at))))
+        if len(runs) == len(at) and len(at) and np.any(at[1:] == at[:-1]):  # several bytes of one word
+            total += np.bincount(at, weights=both[bit * len(runs) + of], minlength=len(total))
+        else:
+            total[at] += both[bit * len(runs) + of]
     out = np.empty(len(total))
     out[words.order] = total
     return out
@@ -321,14 +362,14 @@ def chunks(docs: DataFrame) -> DataFrame:
             if doc != split_of:
                 split_of, split = doc, texts[doc].split()
             words[w] = split[int(first[w]) - int(ends[doc] - sizes[doc])]
-        row = [[number], [ids], [sizes.tolist()], [[len(t) for t in texts]], [[bool(x) for x in learn]], [zstandard.compress(at.astype(np.uint32).tobytes(), 1)], [distinct.tobytes()], [zstandard.compress(b" ".join(words), 1)]]
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names=["chunk", "doc_ids", "sizes", "bytes", "learn", "tokens", "h", "words"])
+        row = [[number], [ids], [sizes.tolist()], [[len(t) for t in texts]], [[bool(x) for x in learn]], [zstandard.compress(at.astype(np.uint32).tobytes(), 1)], [zstandard.compress(b" ".join(words), 1)]]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 2]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names=["chunk", "doc_ids", "sizes", "bytes", "learn", "tokens", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 14  # a task has some thousand chunks at most
         held: list[tuple] = []
         size = 0
         for batch in batches:
@@ -342,7 +383,7 @@ def chunks(docs: DataFrame) -> DataFrame:
         if held:
             yield row_of(number, *(list(x) for x in zip(*held)))
 
-    return docs.mapInArrow(run, "chunk long, doc_ids array<long>, sizes array<long>, bytes array<long>, learn array<boolean>, tokens binary, h binary, words binary")
+    return docs.mapInArrow(run, "chunk long, doc_ids array<long>, sizes array<long>, bytes array<long>, learn array<boolean>, tokens binary, words binary")
 
 
 class Chunk:
@@ -353,12 +394,12 @@ class Chunk:
         self.name = batch.column("chunk")[i].as_py()
         self.ids, self.sizes, self.bytes, self.learn = batch.column("doc_ids")[i].as_py(), of("sizes"), of("bytes"), of("learn").astype(bool)
         self.tokens = np.frombuffer(zstandard.decompress(batch.column("tokens")[i].as_py()), np.uint32).astype(np.int64)
-        self.h = np.frombuffer(batch.column("h")[i].as_py(), np.uint64)
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.packed = batch.column("words")[i].as_py()
+        self.packed = zstandard.decompress(batch.column("words")[i].as_py())
+        self.h = word_hashes(self.packed)  # in order: the list is sorted by it
 
     def words(self) -> list[bytes]:
-        return zstandard.decompress(self.packed).split()
+        return self.packed.split()
 
     def frequent(self, names: np.ndarray) -> np.ndarray:
         """For each token its place among the frequent words (sorted by hash), -1: not among them."""
@@ -447,11 +488,11 @@ def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         k = batch.column("k").to_pylist()
-        if held and k[0] != held[-1].column("k")[-1].as_py() and sum(b.num_rows for b in held) >= 20_000:
+        if held and k[0] != held[-1].column("k")[-1].as_py() and sum(b.num_rows for b in held) >= TOGETHER:
             yield joined(held)
             held = []
         first = next((i for i in range(len(k) - 1, 0, -1) if k[i] != k[i - 1]), 0)
-        if first and sum(b.num_rows for b in held) + first >= 20_000:
+        if first and sum(b.num_rows for b in held) + first >= TOGETHER:
             yield joined([*held, batch.slice(0, first)])
             held, batch = [], batch.slice(first)
         held.append(batch)
@@ -588,8 +629,8 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
                 of = [words[x] for x in (kinds // (CLASSES + 1)).tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array([w[:2] for w in of], pa.binary()), pa.array(of, pa.binary()), pa.array(kinds % (CLASSES + 1)), pa.array(np.bincount(at, weights=learned, minlength=len(kinds)).astype(np.int64))], names=["k", "word", "g", "c"])
 
-    rows = by_chunk.mapInArrow(worded, "k binary, word binary, g long, c long").groupBy("k", "word", "g").agg(F.sum("c").alias("c"))
-    words = cut(rows.repartition("k").sortWithinPartitions("k"))
+    # No name is kept for what leads to a table that is cut: its shuffle files would stay as long.
+    words = cut(by_chunk.mapInArrow(worded, "k binary, word binary, g long, c long").groupBy("k", "word", "g").agg(F.sum("c").alias("c")).repartition("k").sortWithinPartitions("k"))
     tables = counted_tables(words) if ends else empty_tables()
     shared = spark.sparkContext.broadcast(sent(tables))  # of fixed size
     mixer = learned_mixer(words, shared, conf) if ends else Mixer()
@@ -603,7 +644,7 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
             hashes = hashes_of(given)
             every = np.empty(len(given), np.int64)
             every[w.order] = w.total[w.of_word]
-            yield pa.RecordBatch.from_arrays([pa.array(name_of(hashes, batch.column("g").to_numpy())), pa.array(every), pa.array(p)], names=["h", "c", "p"])
+            yield pa.RecordBatch.from_arrays([pa.array(name_of(hashes, batch.column("g").to_numpy())), pa.array(every), pa.array(p.astype(np.float32))], names=["h", "c", "p"])
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -611,11 +652,12 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
                 c = Chunk(batch, i)
                 kinds = np.unique(c.pairs(names, groups)[0])
                 h = name_of(np.append(c.h, np.uint64(0))[kinds // (CLASSES + 1)], kinds % (CLASSES + 1))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), c.name)), pa.array(np.arange(len(kinds), dtype=np.int32)), pa.array(h)], names=["chunk", "i", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array((c.name << PLACE_BITS) + np.arange(len(kinds))), pa.array(h)], names=["place", "h"])
 
-    rated = words.mapInArrow(rate, "h long, c long, p double")
-    answers = by_chunk.mapInArrow(asked, "chunk long, i int, h long").join(rated, "h").groupBy("chunk").agg(F.collect_list(F.struct("i", "c", "p")).alias("a"))
-    answers = answers.select("chunk", *[F.col(f"a.{k}").alias(f"a_{k}") for k in ("i", "c", "p")])  # a chunk's distinct words
+    rated = cut(words.mapInArrow(rate, "h long, c long, p float"))
+    met = by_chunk.mapInArrow(asked, "place long, h long").join(rated, "h").select("place", "c", "p")
+    answers = met.groupBy(F.shiftright("place", PLACE_BITS).alias("chunk")).agg(F.collect_list(F.struct("place", "c", "p")).alias("a"))
+    answers = answers.select("chunk", *[F.col(f"a.{k}").alias(f"a_{k}") for k in ("place", "c", "p")])  # a chunk's distinct words
     below = np.log10(n + 0.5 * (v + 1))
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -623,8 +665,8 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
             for row in range(batch.num_rows):
                 chunk = Chunk(batch, row)
                 of = lambda name: batch.column(name)[row].values.to_numpy(zero_copy_only=False)  # noqa: E731, B023
-                order = np.argsort(of("a_i"))
-                c, p = of("a_c")[order], of("a_p")[order]
+                order = np.argsort(of("a_place"))
+                c, p = of("a_c")[order], of("a_p")[order].astype(np.float64)
                 at = np.unique(chunk.pairs(names, groups)[0], return_inverse=True)[1]
                 docs_ = np.concatenate([chunk.doc, np.arange(len(chunk.sizes))])
                 known, base = (np.bincount(docs_, weights=x, minlength=len(chunk.sizes)) for x in ((c > 0)[at].astype(np.float64), np.log10(c + 0.5)[at] - below))

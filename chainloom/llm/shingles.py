@@ -60,6 +60,17 @@ def _words(part: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, starts
 
 
+def words_with_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(a 64-bit hash of each word, where each starts)."""
+    hashes, places, at = [], [], 0
+    for part in parts_of(text):
+        h, starts = _words(part)
+        hashes.append(h)
+        places.append(starts + at)
+        at += len(part)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """A 64-bit hash of each word, in order."""
     found = [_words(p)[0] for p in parts_of(text)]
