@@ -10,15 +10,19 @@ The order is rarest first, by counts of a bounded sample; it decides speed alone
 of unit sequences, computed exactly, links classes that meet. Of every connected group of lines
 the occurrence with the least (doc_id, row, line) stays; all others go.
 
-Few classes at a key give pairs, if lengths and 64 parities of the
-lines' units allow them (an edit changes two at most), tested once each. At a larger one a class is compared with earlier
+Few classes at a key give pairs, which are tested once each if lengths and 256 parities of the
+lines' units allow it (an edit changes two at most). At a larger one a class is compared with earlier
 ones that its words allow, likeliest first, and with a component no further once one member
-matches: a large block of alike lines costs one test a line.
+matches: a large block of alike lines costs one test a line. Of keys with the same classes one is kept.
+
+SimHash blocks, which the method names, miss most lines that are alike at 80 % (see README).
 
 Defined cases: null text stays null, texts without dropped lines stay as they are. A document all
 of whose lines go keeps its row with an empty text, if asked to (``keep_empty``); else it goes too,
 and documents that had no words before always stay. Rows equal in id and text are one document and
-are treated alike. A null doc_id sorts first. Extra columns are kept; an empty table gives no rows.
+are treated alike. A null doc_id sorts first, of equal places any counts, as their lines are equal. Very long
+texts are handled whole. Extra columns are kept, also those of names used here, but for dropped_lines,
+which is replaced. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -54,6 +58,8 @@ ORDER_BITS, ORDER_DOCS = 22, 5_000
 FEW = 32
 #: Keys that one task of the prefix filter holds, about.
 PART_KEYS = 1 << 18
+#: Numbers of units from which a line counts as long: its number isn't looked at.
+LONG = 65_535
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
@@ -304,7 +310,7 @@ class Block:
 
 
 def key_parts(docs: DataFrame, order: bytes, parts: int, conf: LineConf) -> DataFrame:
-    """Keys of the prefix filter, packed: part (by the key's hash), k, h, n, odd of a run's keys in that part."""
+    """Keys of the prefix filter, packed: part (by the key's hash), and k (32 bits more of it), h, n of a run's keys in that part."""
     shared = docs.sparkSession.sparkContext.broadcast(order)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,24 +321,28 @@ def key_parts(docs: DataFrame, order: bytes, parts: int, conf: LineConf) -> Data
             part = (k % np.uint64(parts)).astype(np.int64)
             by = np.argsort(part, kind="stable")
             k, of, part = k[by], of[by], part[by]
-            columns = [k, lines.h[at][of], n[of].astype(np.uint32), (parities(units, n)[:, 0] ^ (parities(units, n)[:, 0] >> np.uint64(32))).astype(np.uint32)[of]]
+            columns = [(k >> np.uint64(32)).astype(np.uint32), lines.h[at][of], np.minimum(n, LONG).astype(np.uint16)[of]]
             begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(part)), bool), part[1:] != part[:-1]]))
             bounds = list(zip(begin.tolist(), [*begin[1:].tolist(), len(part)]))
             packed = [pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in columns]
-            yield pa.RecordBatch.from_arrays([pa.array(part[begin]), *packed], names=["part", "k", "h", "n", "odd"])
+            yield pa.RecordBatch.from_arrays([pa.array(part[begin]), *packed], names=["part", "k", "h", "n"])
 
-    return docs.select(utf8().alias("text")).mapInArrow(run, "part long, k binary, h binary, n binary, odd binary")
+    return docs.select(utf8().alias("text")).mapInArrow(run, "part long, k binary, h binary, n binary")
 
 
 def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
     """a, b: pairs of classes to be tested (k null); or k, a: all classes (a) at a key of many (b null)."""
-    kinds = {"k": np.uint64, "h": np.int64, "n": np.uint32, "odd": np.uint32}
-
-    def groups(rows: list[list[bytes]]) -> pa.RecordBatch:
-        k, h, n_units, odd = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*rows), kinds.values())) if rows else (np.zeros(0, x) for x in kinds.values())
-        by = np.lexsort((h, k))
+    kinds = {"k": np.uint32, "h": np.int64, "n": np.uint16}
+
+    def groups(part: int | None, rows: list[list[bytes]]) -> pa.RecordBatch:
+        k, h, n_units = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*rows), kinds.values())) if rows else (np.zeros(0, x) for x in kinds.values())
+        by = np.argsort(k)
+        shared = np.zeros(len(k) + 1, bool)  # most keys occur once
+        shared[1:-1] = k[by][1:] == k[by][:-1]
+        by = by[shared[1:] | shared[:-1]]
+        by = by[np.lexsort((h[by], k[by]))]
         by = by[np.concatenate([np.ones(min(1, len(by)), bool), (k[by][1:] != k[by][:-1]) | (h[by][1:] != h[by][:-1])])]
-        k, h, n_units, odd = k[by], h[by], n_units[by].astype(np.int64), odd[by]
+        k, h, n_units = k[by], h[by], n_units[by].astype(np.int64)
         start = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), k[1:] != k[:-1]]))
         size = np.diff(np.append(start, len(k)))
         left, right = [], []
@@ -341,13 +351,13 @@ def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
             at = start[size == n][:, None]
             x, y = (at + i).ravel(), (at + j).ravel()
             allowed = (100 - conf.percent) * np.maximum(n_units[x], n_units[y]) // 100
-            able = (np.bitwise_count(odd[x] ^ odd[y]) <= 2 * allowed) & (np.abs(n_units[x] - n_units[y]) <= allowed)
+            able = (np.abs(n_units[x] - n_units[y]) <= allowed) | (np.maximum(n_units[x], n_units[y]) == LONG)
             left.append(h[x[able]])
             right.append(h[y[able]])
         a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right))
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         many = np.repeat(size > FEW, size)
-        columns = [pa.concat_arrays([pa.array(h[many]), pa.array(pairs[:, 0])]), pa.concat_arrays([pa.nulls(int(many.sum()), pa.int64()), pa.array(pairs[:, 1])]), pa.concat_arrays([pa.array(k[many].view(np.int64)), pa.nulls(len(pairs), pa.int64())])]
+        columns = [pa.concat_arrays([pa.array(h[many]), pa.array(pairs[:, 0])]), pa.concat_arrays([pa.nulls(int(many.sum()), pa.int64()), pa.array(pairs[:, 1])]), pa.concat_arrays([pa.array(k[many].astype(np.int64) + ((part or 0) << 32)), pa.nulls(len(pairs), pa.int64())])]
         return pa.RecordBatch.from_arrays(columns, names=["a", "b", "k"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,10 +365,10 @@ def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
         for batch in batches:
             for p, *row in zip(*(batch.column(c).to_pylist() for c in ("part", *kinds))):
                 if p != part:
-                    yield groups(rows)
+                    yield groups(part, rows)
                     part, rows = p, []
                 rows.append(row)
-        yield groups(rows)
+        yield groups(part, rows)
 
     return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long, k long").distinct()
 
@@ -418,13 +428,15 @@ def dedup_lines(docs: DataFrame, conf: LineConf = LineConf(), keep_empty: bool =
     keepers = linked.join(least, "root").select("h", "keep").union(grouped.where("root is null and n > 1").select("h", F.col("first").alias("keep")))
     gone = lines.join(keepers, "h").where(~place.eqNullSafe(F.col("keep")))
     per_doc = gone.groupBy("rid").agg(F.array_sort(F.collect_set("line")).alias("dropped_lines"))  # at most a document's lines
-    out = docs.withColumn("_rid", row_id()).join(per_doc.withColumnRenamed("rid", "_rid"), "_rid", "left").drop("_rid")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("dropped_lines"), i))
+    names = [c for c in docs.columns if c != "dropped_lines"]
+    # The documents' own columns travel in a struct, so that no name of theirs can meet one of these.
+    out = docs.select(row_id().alias("rid"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc")).join(per_doc, "rid", "left")
+    kept = F.filter(F.split("doc.text", "\n"), lambda x, i: ~F.array_contains(F.col("dropped_lines"), i))
     had = F.col("dropped_lines").isNotNull()
-    out = out.withColumn("text", F.when(had, F.array_join(kept, "\n")).otherwise(F.col("text")))
+    out = out.withColumn("text", F.when(had, F.array_join(kept, "\n")).otherwise(F.col("doc.text")))
     if not keep_empty:
         out = out.where(~had | (F.length(F.trim(F.col("text"), F.lit(GAP_CHARS))) > 0))
-    return out.withColumn("dropped_lines", F.coalesce("dropped_lines", F.array().cast("array<int>")))
+    return out.select(*[F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in names], F.coalesce("dropped_lines", F.array().cast("array<int>")).alias("dropped_lines"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -362,7 +362,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             if doc != split_of:
                 split_of, split = doc, texts[doc].split()
             words[w] = split[int(first[w]) - int(ends[doc] - sizes[doc])]
-        row = [[number], [ids], [sizes.tolist()], [[len(t) for t in texts]], [[bool(x) for x in learn]], [zstandard.compress(at.astype(np.uint32).tobytes(), 1)], [zstandard.compress(b" ".join(words), 1)]]
+        row = [[number], [ids], [sizes.tolist()], [[len(t) for t in texts]], [[bool(x) for x in learn]], [pack_places(at)], [zstandard.compress(b" ".join(words), 1)]]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 2]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], names=["chunk", "doc_ids", "sizes", "bytes", "learn", "tokens", "words"])
 
@@ -386,6 +386,16 @@ def chunks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "chunk long, doc_ids array<long>, sizes array<long>, bytes array<long>, learn array<boolean>, tokens binary, words binary")
 
 
+def pack_places(places: np.ndarray) -> bytes:
+    """32-bit numbers, all their lowest bytes first: most of the others are small, and compress well together."""
+    return zstandard.compress(np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpack_places(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 class Chunk:
     """A row of chunks(), read."""
 
@@ -393,18 +403,30 @@ class Chunk:
         of = lambda name: batch.column(name)[i].values.to_numpy(zero_copy_only=False)
         self.name = batch.column("chunk")[i].as_py()
         self.ids, self.sizes, self.bytes, self.learn = batch.column("doc_ids")[i].as_py(), of("sizes"), of("bytes"), of("learn").astype(bool)
-        self.tokens = np.frombuffer(zstandard.decompress(batch.column("tokens")[i].as_py()), np.uint32).astype(np.int64)
+        self.tokens = unpack_places(batch.column("tokens")[i].as_py())
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.packed = zstandard.decompress(batch.column("words")[i].as_py())
-        self.h = word_hashes(self.packed)  # in order: the list is sorted by it
+        if len(self.packed) and self.packed[:1] == END:  # no words, but the places of frequent ones, see slim()
+            self.n, self.h = int.from_bytes(self.packed[1:9], "little"), None
+            self.known = np.frombuffer(self.packed, np.int64, offset=9).reshape(2, -1)
+        else:
+            self.h = word_hashes(self.packed)  # in order: the list is sorted by it
+            self.n = len(self.h)
+
+    def slim(self, names: np.ndarray) -> bytes:
+        """What classes() needs of the words: how many there are, and which are frequent."""
+        found, at, place = np.intersect1d(self.h, names, assume_unique=True, return_indices=True)
+        return zstandard.compress(END + self.n.to_bytes(8, "little") + np.stack([at, place]).astype(np.int64).tobytes(), 1)
 
     def words(self) -> list[bytes]:
         return self.packed.split()
 
     def frequent(self, names: np.ndarray) -> np.ndarray:
         """For each token its place among the frequent words (sorted by hash), -1: not among them."""
-        at = np.minimum(np.searchsorted(names, self.h), max(0, len(names) - 1))
-        return np.where(names[at] == self.h, at, -1)[self.tokens] if len(names) and len(self.h) else np.full(len(self.tokens), -1, np.int64)
+        at, place = self.known if self.h is None else np.intersect1d(self.h, names, assume_unique=True, return_indices=True)[1:]
+        out = np.full(self.n, -1, np.int64)
+        out[at] = place
+        return out[self.tokens]
 
     def classes(self, names: np.ndarray, groups: np.ndarray) -> np.ndarray:
         """The class of each token, then of each text's end: the group that most of the WINDOW tokens before name; CLASSES if none does."""
@@ -423,7 +445,7 @@ class Chunk:
 
     def pairs(self, names: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pair of each token and end as word * (CLASSES + 1) + class, whether it is learned from); the end's word is one past the list."""
-        word = np.concatenate([self.tokens, np.full(len(self.sizes), len(self.h))])
+        word = np.concatenate([self.tokens, np.full(len(self.sizes), self.n)])
         return word * (CLASSES + 1) + self.classes(names, groups), np.concatenate([self.learn[self.doc], self.learn])
 
 
@@ -670,12 +692,17 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
                 at = np.unique(chunk.pairs(names, groups)[0], return_inverse=True)[1]
                 docs_ = np.concatenate([chunk.doc, np.arange(len(chunk.sizes))])
                 known, base = (np.bincount(docs_, weights=x, minlength=len(chunk.sizes)) for x in ((c > 0)[at].astype(np.float64), np.log10(c + 0.5)[at] - below))
-                score = text_scores(chunk.sizes, chunk.doc, chunk.tokens, len(chunk.h), p[at])
+                score = text_scores(chunk.sizes, chunk.doc, chunk.tokens, chunk.n, p[at])
                 bits = -score * np.log2(10) / np.maximum(chunk.bytes, 1)
                 columns = [pa.array(chunk.ids, pa.int64()), pa.array(chunk.sizes + 1), pa.array(known.astype(np.int64)), pa.array(np.full(len(chunk.sizes), n, np.int64)), pa.array(base), pa.array(score), pa.array(bits)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
-    joined = by_chunk.join(answers, "chunk")
+    def slim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = pa.array([Chunk(batch, i).slim(names) for i in range(batch.num_rows)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names[:-1]), words], names=batch.schema.names)
+
+    joined = by_chunk.mapInArrow(slim, by_chunk.schema).join(answers, "chunk")  # words move no more
     return joined.mapInArrow(add_up, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
 
 
