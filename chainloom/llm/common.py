@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than ASCII white space. ``bytes.split()`` splits at exactly these.
@@ -41,6 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Keep the cluster's shared folder; set a local one only where none is named (tests, local mode)."""
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("name a folder that all machines share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="chainloom-checkpoint-"))
 
 
@@ -58,6 +60,19 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def least_hashes(rows: DataFrame, key: str, limit: int, bits: int = 14) -> DataFrame:
+    """``rows`` (``key``, ``h``, ...): of each key the ``limit`` rows of the smallest hash, about: whole ranges of
+    hashes are taken until there are enough, and what they hold too many is ranked. Keys must be few.
+
+    Counts by key and the hash's upper bits are aggregated before any shuffle, so that no task sees all rows of a key."""
+    rows = rows.withColumn("_range", F.shiftrightunsigned("h", 64 - bits))
+    by = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(by), F.lit(0)))
+    last = ranges.where(F.col("before") < limit).groupBy(key).agg(F.max("_range").alias("_last"))
+    near = rows.join(F.broadcast(last), key).where(F.col("_range") <= F.col("_last"))  # one row a key
+    return near.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("_range", "h"))).where(F.col("_r") <= limit).drop("_r", "_range", "_last")
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)

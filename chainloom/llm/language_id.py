@@ -12,6 +12,8 @@ prototypes don't depend on how the rows were dealt.
 Defined cases: null text, or text without a letter, is ``und`` with score 0. Null languages are
 not learned. Ties go to the language first in order. With nothing to learn from, all are ``und``.
 Very long texts are counted in whole; repeated rows are judged alike; extra columns are ignored.
+A null id is not held out and not learned from. An empty table gives no rows. Languages beyond
+``max_langs`` by number of texts are not learned: what is broadcast is bounded by it.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_of, table
+from .common import fold_of, least_hashes, table
 
 UND = "und"
 UNIT = 1 << 20
@@ -122,9 +124,10 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 def learn(labelled: DataFrame, dim: int = 256, per_lang: int = 4000, max_langs: int = 1000) -> list[tuple[str, np.ndarray]]:
     """``labelled``: doc_id, text, lang. Prototypes as unit vectors, in order of language."""
     known = labelled.where("lang is not null and text is not null and doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
-    # Each language's limit on the hash; ranking is by partial top lists before the shuffle, over ids alone.
-    ranked = known.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_lang)
-    limits = ranked.groupBy("lang").agg(F.max("h").alias("most"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).drop("n")
+    # Each language's limit on the hash, over ids alone.
+    top = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).select("lang")
+    order = F.shiftrightunsigned("h", 1)  # as unsigned numbers
+    limits = least_hashes(known.select("lang", "h").join(F.broadcast(top), "lang"), "lang", per_lang).groupBy("lang").agg(F.max(order).alias("most"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, sums = profiles(dim), {}
@@ -139,7 +142,7 @@ def learn(labelled: DataFrame, dim: int = 256, per_lang: int = 4000, max_langs:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dim), pa.array(range(dim), pa.int32()), pa.array(v)], names=["lang", "i", "v"])
 
     # max_langs rows at most are broadcast.
-    chosen = known.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most")).select("lang", "text")
+    chosen = known.join(F.broadcast(limits), "lang").where(order <= F.col("most")).select("lang", "text")
     parts = chosen.mapInArrow(run, "lang string, i int, v long").groupBy("lang", "i").agg(F.sum("v").alias("v"))
     out: dict[str, np.ndarray] = {}
     for r in parts.collect():  # max_langs * dim numbers at most
@@ -177,4 +180,4 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     prototypes = learn(docs.where(fold_of(F.col("doc_id"), 5) != 0).select("doc_id", "text", "lang"))
     found = identify(docs, prototypes)
-    return found.select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", (F.coalesce(fold_of(F.col("doc_id"), 5), F.lit(1)) == 0).alias("held_out"), "lang_pred", "score")

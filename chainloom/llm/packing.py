@@ -10,8 +10,9 @@ others. Packing runs in shards of about ``shard_rows`` pieces chosen by a hash,
 bounded memory; each shard leaves a few sequences unfilled.
 
 Defined cases: null text counts as empty and is one piece, the end id alone. Repeated ids are
-separate documents as long as their rows differ in place (each row is tokenised by itself); extra
-columns are ignored. An empty table gives no rows.
+separate documents (each row is tokenised by itself); extra columns are ignored. Very long texts
+are tokenised whole. Among equal lengths the smaller id comes first, among equal changes the least
+gap. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -152,7 +153,7 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndar
 
 
 def pack(found: DataFrame, capacity: int = CAPACITY, shard_rows: int = 16_384) -> DataFrame:
-    """``found``: rows of pieces(). Adds sequence_id and the offset in it."""
+    """``found``: rows of pieces(), kept in a table. Adds sequence_id and the offset in it."""
     n = found.count()
     shards = max(1, -(-n // shard_rows))
 
@@ -161,7 +162,8 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard_rows: int = 16_384) -
         bins, offsets = pack_lengths(pdf["length"].to_numpy(), capacity)
         return pdf.drop(columns="shard").assign(sequence_id=bins + (int(key[0]) << 32), offset=offsets)
 
-    shard = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))
+    # ``found`` is a table that is kept, so a row's number stays; equal ids and rows are dealt over all shards.
+    shard = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(shards))
     return found.withColumn("shard", shard).groupBy("shard").applyInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema) + ", sequence_id long, offset long")
 
 

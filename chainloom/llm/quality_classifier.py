@@ -14,7 +14,9 @@ the id, in one task whose size that bounds. The logit is corrected for the class
 Defined cases: null, empty or blank text has no features and gets the share of good documents.
 Documents labelled with both classes, or with null, are not learned from. With a single class or
 none every document gets that share (0.5 if there are no labels). Extra columns are ignored;
-repeated rows score alike.
+repeated rows score alike. A null id is not held out and not learned from. An empty table gives no
+rows. Very long texts are scored whole, in parts; only the
+learning sample is without texts beyond ``max_bytes``, so that it stays within its task.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold_of, table, utf8
+from .common import fold_of, least_hashes, table, utf8
 
 BITS = 18
 PRIME = 0x9E3779B97F4A7C15
@@ -40,6 +42,7 @@ BLOCK = 1 << 20
 @dataclass(frozen=True)
 class Training:
     per_class: int = 3000
+    max_bytes: int = 1 << 20
     dim: int = 8
     epochs: int = 4
     #: Steps at least, for small samples.
@@ -150,8 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, conf: Training = Training()) -> Mode
     share = (totals.get(1, 0) + 0.5) / (n + 1)
     if len(totals) < 2:
         return Model(None, 0.0, share)
-    ranked = known.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("h", "doc_id"))).where(F.col("r") <= conf.per_class)
-    chosen = docs.select("doc_id", utf8().alias("text")).join(F.broadcast(ranked.select("doc_id", "y", "h")), "doc_id")  # per_class rows a class
+    ranked = least_hashes(known, "y", conf.per_class)
+    chosen = docs.select("doc_id", utf8().alias("text")).where(F.length("text") <= conf.max_bytes).join(F.broadcast(ranked.select("doc_id", "y", "h")), "doc_id")  # per_class rows a class
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((h, d, t, int(y == 1)) for b in batches for h, d, t, y in zip(*(b.column(c).to_pylist() for c in ("h", "doc_id", "text", "y"))))
@@ -187,4 +190,4 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     model = fit(docs, labels.where(fold_of(F.col("doc_id"), 4) != 2))
-    return score(docs, model).select("doc_id", (fold_of(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+    return score(docs, model).select("doc_id", (F.coalesce(fold_of(F.col("doc_id"), 4), F.lit(0)) == 2).alias("held_out"), "score", "predicted")

@@ -11,7 +11,8 @@ their id. Only their numbers, not their texts, reach the driver.
 
 Defined cases: a null, empty or blank text has no words and fails the base rule. Rows that repeat
 an id are judged one by one. Without labelled documents of both classes the list is empty and
-only the base rule rejects. Extra columns of ``documents`` pass through untouched unless they
+only the base rule rejects. An empty table gives no rows; texts of more than 2 ** PLACE_BITS words
+may count words of repeated windows wrongly. Extra columns of ``documents`` pass through untouched unless they
 carry the name of a statistic; the query selects the columns that its contract names.
 """
 
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP_CHARS, WORD_GAP, let, table
+from .common import GAP_CHARS, WORD_GAP, cut, let, table
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -171,7 +172,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> list[Rule
     """Rules learned from at most ``max_rows`` labelled documents: those with the smallest hash of their id."""
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    found = counts(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
+    # The counts are kept once: the statistics below would work them out anew, each from the whole text.
+    found = counts(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))  # max_rows at most
+    found = cut(found.drop("text"))
     rows = found.select("doc_id", "quality", *[c.alias(f"f_{k}") for k, c in ratios().items()], (F.xxhash64("doc_id", F.lit(1)) % 3 == 0).alias("prune"), base_failed().alias("base"))
     rows = sorted({tuple(r) for r in rows.where("not base").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).collect()})
     return learn([(r[2:-2], r[1] == 0, r[-2]) for r in rows])

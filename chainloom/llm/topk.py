@@ -4,7 +4,7 @@ Dimensions are terms: a vector's posting in a dimension is its integer component
 weight there its own. In a shard, the most that a term can add is known from the least and the
 greatest component. Terms whose bounds together cannot lift a row over the k-th best score so
 far are non-essential: rows are scored by the essential terms alone, and only those that stay
-competitive are probed in the others, in growing steps. Shards' results are merged by rank.
+competitive are probed in the others, some at a time. Shards' results are merged by rank.
 
 Rows are dealt by a hash into shards of about ``shard_rows``, packed as blobs; queries into blocks
 of about ``block_rows``. Every block meets every shard, so no task holds more than one of each.
@@ -12,7 +12,8 @@ of about ``block_rows``. Every block meets every shard, so no task holds more th
 Defined cases: vectors that are null, empty, or hold a null or non-finite component take no part,
 neither as queries nor as rows. A row counts only for queries of its own dimension. Ties go to the
 smaller id. Equal ids: a query never meets rows that carry its id; repeated rows are kept apart.
-Fewer than k rows: all. Scores beyond 64 bits raise an error. Extra columns are ignored.
+Fewer than k rows: all. Components of any size are multiplied exactly; only a score among a query's
+best that does not fit 64 bits raises an error. Extra columns are ignored. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -50,10 +51,9 @@ def shard_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries:
 
     Components are small enough for doubles to hold every sum exactly; larger ones go by Python's integers.
     """
-    most = int(np.abs(rows).max(initial=0)) * int(np.abs(queries).max(initial=0)) * rows.shape[1]
-    if most >= 1 << 63:
-        raise OverflowError("a score would not fit 64 bits")
-    kind = np.float64 if most < 1 << 53 else np.int64
+    largest = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    most = largest(rows) * largest(queries) * rows.shape[1]
+    kind = np.float64 if most < 1 << 53 else np.int64 if most < 1 << 63 else object
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order].astype(kind)
     by_term = np.ascontiguousarray(rows.T)
@@ -67,10 +67,13 @@ def shard_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries:
         # A first threshold: the k-th best of a few rows scored in full.
         seeds = rows[alive[: 4 * k]] @ q
         limit = np.sort(seeds)[-k] if len(seeds) >= k else None
-        # Essential: the shortest run of terms without which no row can reach the threshold.
+        # Essential: the shortest run of terms after which the others together stay below the threshold. Every row
+        # has a posting in each, so these are traversed for all rows; the others are probed for what stays competitive.
         at, score = 0, np.zeros(len(alive), kind)
+        below = np.flatnonzero(rest[1:] < limit) if limit is not None else []
+        essential = int(below[0]) + 1 if len(below) else step
         while at < len(terms):
-            to = min(len(terms), at + step)
+            to = min(len(terms), at + (step if at else essential))
             part = terms[at:to]
             score = score + (q[part] @ by_term[np.ix_(part, alive)] if len(alive) < len(ids) // 2 else (q[part] @ by_term[part])[alive])
             at = to

@@ -495,3 +495,58 @@ def test_pipeline(spark):
     assert docs.count() < before
     packed = corpus_pipeline.pack(spark, docs, SF)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_pipeline_stages_by_brute_force(spark, tmp_path):
+    """Repeated ids, nulls, repeats, and columns whose names operators use."""
+    import corpus_pipeline
+
+    kind = DOC + ", n_words string, kept string, dropped_lines string, row string, base_failed string"
+    a, other = letters(60, random.Random(1)), " ".join(letters(60, random.Random(2)))
+    near = " ".join([*a[:-1], "changed"])
+    rows = [(1, " ".join(a)), (1, " ".join(a)), (2, near), (2, other), (None, near), (None, other + "\n" + other), (5, None), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, "x", "y", "mine", "k", "d", "r", "b") for i, t in rows], kind)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    of = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and of(kept) == sorted([(1, " ".join(a)), (2, other), (5, None), (5, None), (6, "")], key=str)
+    good = corpus_pipeline.rules(spark, docs, str(tmp_path))
+    assert good.columns == docs.columns and of(good) == sorted([r for r in rows if r[1] and not r[1].startswith(other + "\n")], key=str)
+    assert {(r.n_words, r.kept, r.row, r.base_failed) for r in good.collect()} == {("mine", "k", "r", "b")}
+    lines = corpus_pipeline.lines(spark, docs, str(tmp_path))
+    assert lines.columns == docs.columns and {r.dropped_lines for r in lines.collect()} == {"d"}
+    # The null id comes first: its lines stay, and all that are like them go elsewhere.
+    assert of(lines) == sorted([(None, near), (None, other), (5, None), (5, None), (6, "")], key=str)
+    assert corpus_pipeline.classify(spark, docs, str(tmp_path)).columns == docs.columns
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_empty_tables_and_null_ids(spark):
+    import public_tokenizers
+
+    docs = documents(spark, ["some words here", None], [None, None])
+    assert {r.lang_pred for r in language_id.identify(docs.limit(0), []).collect()} == set()
+    assert packing.best_fit(docs.limit(0), public_tokenizers.path("word_bpe_49k.json")).count() == 0
+    assert piece_codec.encode_column(docs.limit(0), public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+    assert quality_rules.judge(docs.limit(0), []).count() == 0 and quality_rules.judge(docs, []).count() == 2
+    v = topk.integers(spark.createDataFrame([], "vec_id long, embedding array<float>"))
+    assert topk.top_k(v, v).count() == 0
+
+
+def test_top_k_with_large_components():
+    rows = np.array([[1 << 40, 1 << 40], [2, 3], [5, 1]], np.int64)
+    found = topk.shard_top(np.array([1, 2, 3]), rows, np.array([2]), np.array([[1 << 21, -(1 << 21)]]), 3)
+    assert list(zip(*(x.tolist() for x in found))) == [(2, 3, 4 << 21), (2, 1, 0)]
+
+
+def test_least_hashes(spark):
+    from chainloom.llm.common import least_hashes
+
+    rows = spark.range(5000).select((F.col("id") % 3).alias("y"), F.xxhash64("id").alias("h"))
+    got = {(r.y, r.h) for r in least_hashes(rows, "y", 700).collect()}
+    every = collections.defaultdict(list)
+    for r in rows.collect():
+        every[r.y].append(r.h)
+    assert got == {(y, h) for y, hs in every.items() for h in sorted(hs, key=lambda x: x % 2**64)[:700]}
