@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions import walk as W
 
 
 def entropy(counts: DataFrame, n: str = "n") -> DataFrame:
@@ -87,17 +88,16 @@ def ms_mt_rate(conversations: DataFrame, calls: DataFrame, by: str = "n_endpoint
 
 
 def chained(json_calls: DataFrame) -> DataFrame:
-    """conv_id, chained: whether a call's argument equals a value of a strictly earlier response.
+    """conv_id, chained: whether a call's argument equals a value of a strictly earlier response, at any depth of it.
 
-    Values are compared as JSON text; strings shorter than three characters never count. The first
-    place of a value is enough, so each conversation and value has one row on either side."""
+    Of arguments the first level counts; strings of three characters or more, numbers and booleans. Values
+    are compared as text. The first place of a value is enough, so each conversation and value has one row on either side."""
 
-    def values(column: str, keep: Column) -> DataFrame:
-        return json_calls.select("conv_id", "call_idx", F.explode(F.from_json(column, "map<string,string>")).alias("k", "value")).where(keep)
+    def values(found: Column, keep: Column) -> DataFrame:
+        return json_calls.select("conv_id", "call_idx", F.explode(found).alias("x")).select("conv_id", "call_idx", "x.*").where(keep)
 
-    usable = F.col("value").isNotNull() & ((F.length("value") >= 3) | F.col("value").try_cast("double").isNotNull() | F.col("value").isin("true", "false"))
-    first = values("response", usable).groupBy("conv_id", "value").agg(F.min("call_idx").alias("seen"))
-    last = values("arguments", usable).groupBy("conv_id", "value").agg(F.max("call_idx").alias("used"))
+    first = values(W.leaves(F.col("response")), F.lit(True)).groupBy("conv_id", "value").agg(F.min("call_idx").alias("seen"))
+    last = values(W.entries(F.col("arguments")), (F.col("kind") != "string") | (F.length("value") >= 3)).groupBy("conv_id", "value").agg(F.max("call_idx").alias("used"))
     hits = first.join(last, ["conv_id", "value"]).where("seen < used").select("conv_id").distinct().withColumn("hit", F.lit(True))
     return json_calls.select("conv_id").distinct().join(hits, "conv_id", "left").select("conv_id", F.coalesce("hit", F.lit(False)).alias("chained"))
 

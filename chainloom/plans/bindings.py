@@ -49,12 +49,35 @@ def json_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("conv_id", (F.row_number().over(order) - 1).alias("call_idx"), F.col("props").alias("arguments"), F.col("props").alias("response"))
 
 
+def nested_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """json_calls with typed arguments, and responses that hold them two levels down in a list."""
+    e = read(spark, sf_dir, "events").select(F.concat_ws("|", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("conv_id"), "ts", "event_id", F.get_json_object("props", "$.k").alias("k"))
+    order = Window.partitionBy("conv_id").orderBy("ts", "event_id")
+    odd = F.col("event_id") % 2 == 1
+    args = F.when(odd, F.concat(F.lit('{"id":"'), "k", F.lit('","n":"'), "k", F.lit('_x"}'))).otherwise(F.concat(F.lit('{"id":'), "k", F.lit(',"ok":true}')))
+    response = F.concat(F.lit('{"dataSet":{"items":[{"itemId":'), F.when(odd, F.concat(F.lit('"'), "k", F.lit('_x"'))).otherwise(F.col("k")), F.lit('},{"itemId":"'), "k", F.lit('"}]},"tags":["a",""],"none":null,"open":false}'))
+    return e.select("conv_id", "event_id", (F.row_number().over(order) - 1).alias("call_idx"), args.alias("arguments"), response.alias("response"))
+
+
+def tool_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tool_id, definition: a part as a tool in JSON, in the forms that catalogues have them in."""
+    k, q = F.col("p_partkey"), lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    params = F.when(k % 3 == 0, F.lit('"[{\\"name\\":\\"hotel_id\\",\\"type\\":\\"NUMBER\\"}]"')).when(k % 3 == 1, F.lit('[{"name":"userName","type":"DATE (YYYY)","description":"<b>who</b>"},{"name":" "},7]')).otherwise(F.lit('["{\\"name\\":\\"page\\",\\"type\\":\\"INTEGER\\"}","no json"]'))
+    kinds = F.when(k % 4 == 0, "search rooms").when(k % 4 == 1, "book room").when(k % 4 == 2, "cancel_room").otherwise("room info")
+    first = F.concat(F.lit('{"name":"'), kinds, F.lit('","method":"'), F.when(k % 2 == 0, "post").otherwise("fetch"), F.lit('","required_parameters":'), params, F.lit(',"optional_parameters":null,"description":'), q(F.col("p_type")), F.lit("}"))
+    second = F.concat(F.lit('{"name":"given","schema":{"type":"object","properties":{"size":{"type":"integer"}}},"required_parameters":[]}'))
+    lists = F.when(k % 7 == 0, F.lit('[{"name":""}]')).otherwise(F.concat(F.lit("["), first, F.lit(","), second, F.lit("]")))
+    name = F.when(k % 11 == 0, F.lit('" "')).otherwise(q(F.concat(F.lit(" "), "p_name", F.lit(" "))))
+    text = F.concat(F.lit('{"tool_name":'), name, F.lit(',"category":" c'), (k % 5).cast("string"), F.lit('","tool_description":'), F.when(k % 2 == 0, '""').otherwise(q(F.concat(F.lit("<p>"), "p_brand"))), F.lit(',"api_list":'), lists, F.lit("}"))
+    return read(spark, sf_dir, "part").select(k.alias("tool_id"), F.when(k % 13 == 0, F.substring(text, 1, 20)).otherwise(text).alias("definition"))
+
+
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """endpoint, tool, category, kind (output or input), field: a document's first and last dozen plain words."""
-    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("endpoint"), F.col("source").alias("tool"), F.concat(F.lit("c"), (F.regexp_extract("source", "([0-9]+)", 1).cast("int") % 5).cast("string")).alias("category"), F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0)).alias("w"))
-    size = F.size("w")
-    first, last = F.slice("w", 1, 12), F.slice("w", F.greatest(F.lit(1), size - 11), F.lit(12))
-    rows = d.select("endpoint", "tool", "category", F.array_except(F.array_distinct(first), last).alias("output"), F.array_distinct(last).alias("input"))
+    """endpoint, tool, category, kind (output or input), field: a document's long plain words, as names are, from its
+    whole text. Inputs are those that are capitalised somewhere, outputs the others."""
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("endpoint"), F.col("source").alias("tool"), F.concat(F.lit("c"), (F.regexp_extract("source", "([0-9]+)", 1).cast("int") % 5).cast("string")).alias("category"), F.array_distinct(F.split("text", "[ \\n]+")).alias("w"))
+    plain, capital = F.filter("w", lambda x: x.rlike("^[a-z]{9,}$")), F.transform(F.filter("w", lambda x: x.rlike("^[A-Z][a-z]{8,}$")), F.lower)
+    rows = d.select("endpoint", "tool", "category", F.array_except(plain, capital).alias("output"), F.array_distinct(capital).alias("input"))
     keys = ("endpoint", "tool", "category")
     outputs = rows.select(*keys, F.lit("output").alias("kind"), F.explode("output").alias("field"))
     return outputs.unionByName(rows.select(*keys, F.lit("input").alias("kind"), F.explode("input").alias("field")))
@@ -76,8 +99,11 @@ SQL = {
     "scores": "scores AS (SELECT d.doc_id AS conv_id, 1 + 4.0 * quality AS naturalness, CASE WHEN quality IS NOT NULL THEN 3.0 END AS tool_correctness, 5 - 4.0 * toxic AS task_completion FROM documents d LEFT JOIN labels USING (doc_id))",
     "msgs": "msgs AS (SELECT conv_id, turn AS msg_idx, role, text AS content FROM conversations)",
     "jcalls": "jcalls AS (SELECT CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') AS conv_id, row_number() OVER (PARTITION BY CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) - 1 AS call_idx, props AS arguments, props AS response FROM events)",
-    "fields": "w0 AS (SELECT doc_id AS endpoint, source AS tool, 'c' || CAST(CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) % 5 AS VARCHAR) AS category, regexp_extract_all(lower(text), '[a-z]{3,}') AS w FROM documents), "
-    "w1 AS (SELECT endpoint, tool, category, list_distinct(w[1:12]) AS o, list_distinct(w[greatest(1, len(w) - 11):len(w)]) AS i FROM w0), "
+    "ncalls": "nc0 AS (SELECT *, CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') AS conv_id, json_extract_string(props, '$.k') AS k FROM events), ncalls AS (SELECT conv_id, event_id, row_number() OVER (PARTITION BY conv_id ORDER BY ts, event_id) - 1 AS call_idx, "
+    "CASE WHEN event_id % 2 = 1 THEN '{\"id\":\"' || k || '\",\"n\":\"' || k || '_x\"}' ELSE '{\"id\":' || k || ',\"ok\":true}' END AS arguments, "
+    "'{\"dataSet\":{\"items\":[{\"itemId\":' || CASE WHEN event_id % 2 = 1 THEN '\"' || k || '_x\"' ELSE k END || '},{\"itemId\":\"' || k || '\"}]},\"tags\":[\"a\",\"\"],\"none\":null,\"open\":false}' AS response FROM nc0)",
+    "fields": "w0 AS (SELECT doc_id AS endpoint, source AS tool, 'c' || CAST(CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) % 5 AS VARCHAR) AS category, list_distinct(string_split_regex(text, '[ \\n]+')) AS w FROM documents), "
+    "w1 AS (SELECT endpoint, tool, category, list_filter(w, lambda x: regexp_full_match(x, '[a-z]{9,}')) AS o, list_distinct(list_transform(list_filter(w, lambda x: regexp_full_match(x, '[A-Z][a-z]{8,}')), lambda x: lower(x))) AS i FROM w0), "
     "fields AS (SELECT endpoint, tool, category, 'output' AS kind, unnest(list_filter(o, lambda x: NOT list_contains(i, x))) AS field FROM w1 UNION ALL SELECT endpoint, tool, category, 'input', unnest(i) FROM w1)",
     "reg": "reg AS (SELECT p_partkey AS tool_id, p_type AS category, round(p_retailprice + p_size, 2) AS score, p_name AS name, p_brand FROM part)",
 }

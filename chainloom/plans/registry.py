@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as T
+from ..functions.lineage import cut
+from ..functions import walk as W
 from ..operators import dialogue as D
 from ..operators import graph as G
 from ..operators import metrics as M
+from ..operators import planning as P
 from ..operators import sampling as S
 from ..operators import selection as Q
+from ..sources import catalogue as C
 from ..sources import wire
 from . import bindings as B
 
@@ -101,9 +105,11 @@ def diversity_summary(spark, d):
 
 _MEANS = "SELECT round(avg(naturalness), 9) AS naturalness, round(avg(tool_correctness), 9) AS tool_correctness, round(avg(task_completion), 9) AS task_completion, round((avg(naturalness) + avg(tool_correctness) + avg(task_completion)) / 3, 9) AS overall_mean, count(naturalness) AS scored_count FROM scores"
 _MSMT = "SELECT round(avg(CASE WHEN n_calls >= 3 AND {} >= 2 THEN 1.0 ELSE 0.0 END), 9) AS ms_mt_rate FROM per"
-_CHAINED = """jv AS (SELECT conv_id, call_idx, json_extract_string(arguments, '$.' || k) AS value FROM (SELECT *, unnest(json_keys(arguments)) AS k FROM jcalls)),
-use AS (SELECT conv_id, value, min(call_idx) AS seen, max(call_idx) AS used FROM jv WHERE value IS NOT NULL AND (length(value) >= 3 OR TRY_CAST(value AS DOUBLE) IS NOT NULL) GROUP BY conv_id, value),
-ch AS (SELECT conv_id, bool_or(coalesce(seen < used, false)) AS chained FROM (SELECT DISTINCT conv_id FROM jcalls) LEFT JOIN use USING (conv_id) GROUP BY conv_id)"""
+_LEAF = "x.type NOT IN ('OBJECT', 'ARRAY', 'NULL') AND json_extract_string(x.atom, '$') <> ''"
+_TEXT = "CASE WHEN x.type = 'BOOLEAN' THEN upper(x.atom[1:1]) || CAST(x.atom AS VARCHAR)[2:] ELSE json_extract_string(x.atom, '$') END"
+_CHAINED = f"""seen AS (SELECT conv_id, {_TEXT} AS value, min(call_idx) AS seen FROM ncalls, json_tree(response) AS x WHERE {_LEAF} GROUP BY 1, 2),
+used AS (SELECT conv_id, {_TEXT} AS value, max(call_idx) AS used FROM ncalls, json_each(arguments) AS x WHERE {_LEAF} AND (x.type <> 'VARCHAR' OR length(json_extract_string(x.atom, '$')) >= 3) GROUP BY 1, 2),
+ch AS (SELECT conv_id, bool_or(coalesce(seen < used, false)) AS chained FROM (SELECT DISTINCT conv_id FROM ncalls) LEFT JOIN (SELECT * FROM seen JOIN used USING (conv_id, value)) USING (conv_id) GROUP BY conv_id)"""
 
 
 @query(f"{B.sql('scores')} {_MEANS}")
@@ -121,17 +127,17 @@ def ms_mt_tool_level(spark, d):
     return M.ms_mt_rate(B.conversations(spark, d), B.calls(spark, d), "n_tools")
 
 
-@query(f"{B.sql('jcalls')}, {_CHAINED} SELECT round(avg(CASE WHEN chained THEN 1.0 ELSE 0.0 END), 9) AS real_chaining_rate, count(*) FILTER (chained) AS chained, count(*) AS conversations FROM ch")
+@query(f"{B.sql('ncalls')}, {_CHAINED} SELECT round(avg(CASE WHEN chained THEN 1.0 ELSE 0.0 END), 9) AS real_chaining_rate, count(*) FILTER (chained) AS chained, count(*) AS conversations FROM ch")
 def real_chaining(spark, d):
-    return M.real_chaining_rate(B.json_calls(spark, d))
+    return M.real_chaining_rate(B.nested_calls(spark, d))
 
 
 def _quality(spark, d):
     out = M.mean_scores(B.scores(spark, d)).join(F.broadcast(M.ms_mt_rate(B.conversations(spark, d), B.calls(spark, d))))
-    return out.join(F.broadcast(M.real_chaining_rate(B.json_calls(spark, d)).select("real_chaining_rate")))
+    return out.join(F.broadcast(M.real_chaining_rate(B.nested_calls(spark, d)).select("real_chaining_rate")))
 
 
-@query(f"{B.sql('scores', 'calls', 'convs', 'jcalls')}, {_PER}, {_CHAINED} SELECT * FROM ({_MEANS}), ({_MSMT.format('n_endpoints')}), (SELECT round(avg(CASE WHEN chained THEN 1.0 ELSE 0.0 END), 9) AS real_chaining_rate FROM ch)")
+@query(f"{B.sql('scores', 'calls', 'convs', 'ncalls')}, {_PER}, {_CHAINED} SELECT * FROM ({_MEANS}), ({_MSMT.format('n_endpoints')}), (SELECT round(avg(CASE WHEN chained THEN 1.0 ELSE 0.0 END), 9) AS real_chaining_rate FROM ch)")
 def quality_summary(spark, d):
     return _quality(spark, d)
 
@@ -145,11 +151,11 @@ def per_type_ms_mt(spark, d):
 
 
 def _run_parts(spark, d):
-    lines = B.read(spark, d, "lineitem").where("l_orderkey < 1500")
+    lines = B.read(spark, d, "lineitem")
     return [lines.where(f"l_orderkey % 2 = {k}").select(F.col("l_partkey").alias("endpoint")) for k in (0, 1)]
 
 
-@query("WITH a AS (SELECT DISTINCT l_partkey AS e FROM lineitem WHERE l_orderkey < 1500 AND l_orderkey % 2 = 0), b AS (SELECT DISTINCT l_partkey AS e FROM lineitem WHERE l_orderkey < 1500 AND l_orderkey % 2 = 1) SELECT (SELECT count(*) FROM (SELECT e FROM a INTERSECT SELECT e FROM b)) AS both, (SELECT count(*) FROM (SELECT e FROM a EXCEPT SELECT e FROM b)) AS only_a, (SELECT count(*) FROM (SELECT e FROM b EXCEPT SELECT e FROM a)) AS only_b, (SELECT count(*) FROM (SELECT e FROM a UNION SELECT e FROM b)) AS either")
+@query("WITH a AS (SELECT DISTINCT l_partkey AS e FROM lineitem WHERE l_orderkey % 2 = 0), b AS (SELECT DISTINCT l_partkey AS e FROM lineitem WHERE l_orderkey % 2 = 1) SELECT (SELECT count(*) FROM (SELECT e FROM a INTERSECT SELECT e FROM b)) AS both, (SELECT count(*) FROM (SELECT e FROM a EXCEPT SELECT e FROM b)) AS only_a, (SELECT count(*) FROM (SELECT e FROM b EXCEPT SELECT e FROM a)) AS only_b, (SELECT count(*) FROM (SELECT e FROM a UNION SELECT e FROM b)) AS either")
 def run_overlap(spark, d):
     return M.overlap(*_run_parts(spark, d))
 
@@ -198,9 +204,9 @@ def exclude_tools(spark, d):
     return M.exclude_tools(calls, B.conversations(spark, d), factor=1.5)
 
 
-@query("WITH c AS (SELECT p_brand AS key, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 25 GROUP BY 1) SELECT key, n FROM c WHERE n > 1.1 * (SELECT avg(n) FROM c)")
+@query("WITH c AS (SELECT p_brand AS key, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1) SELECT key, n FROM c WHERE n > 1.1 * (SELECT avg(n) FROM c)")
 def overused_tools(spark, d):
-    rows = B.read(spark, d, "lineitem").join(B.read(spark, d, "part").where("p_size <= 25"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = B.read(spark, d, "lineitem").join(B.read(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return M.against_mean(rows.groupBy(F.col("p_brand").alias("key")).agg(F.count(F.lit(1)).alias("n")), 1.1, above=True)
 
 
@@ -348,10 +354,16 @@ def sampled_chains(spark, d):
     """200 walks under the default constraints; no SQL, as picks are hashed."""
     f = B.fields(spark, d)
     endpoints = f.select("endpoint", "tool", "category").distinct().withColumn("quality", F.lit("complete"))
-    steps = G.transitions(G.same_tool_edges(f), G.feeds_exact(f, _FR))
+    steps = cut(G.transitions(G.same_tool_edges(f), G.feeds_exact(f, _FR)))
     return S.walk(endpoints, steps, spark.range(200).withColumnRenamed("id", "slot"))
 
 
+@query(f"{_F}, {_IO}, {_EXACT}, t AS (SELECT DISTINCT src FROM o JOIN i USING (field) WHERE st = dt AND src <> dst UNION SELECT src FROM ex WHERE edge_class = 'hard'), e AS (SELECT DISTINCT endpoint, tool, category FROM fields WHERE category <> 'c4') SELECT endpoint, tool, category, round(CAST(CASE endpoint % 3 WHEN 0 THEN 1.2 WHEN 1 THEN 1.0 ELSE 0.8 END * CASE WHEN src IS NOT NULL THEN 1.5 ELSE 1.0 END * CASE WHEN category = 'c1' THEN 3.0 ELSE 1.0 END AS DOUBLE), 6) AS weight FROM e LEFT JOIN t ON endpoint = src")
+def seed_weights(spark, d):
+    endpoints, steps = _steps(spark, d)
+    return S.seed_weights(endpoints, steps, S.Constraints(categories=("c0", "c1", "c2", "c3"), must_include=("c1",)))
+
+
 # Selection
 
 @query(f"{B.sql('fields')}, useful AS (SELECT * FROM fields WHERE field NOT IN ({', '.join(repr(x) for x in K.GENERIC_FIELDS)})), base AS (SELECT tool, category, count(DISTINCT endpoint) AS n_endpoints, count(*) FILTER (kind = 'input') AS n_inputs FROM fields GROUP BY tool, category), outs AS (SELECT DISTINCT tool, field FROM useful WHERE kind = 'output'), rl AS (SELECT tool, count(*) AS real_outputs FROM outs GROUP BY tool), cx AS (SELECT tool, least(count(*), 30) AS cross_tool FROM outs JOIN (SELECT DISTINCT category, field FROM useful WHERE kind = 'input') USING (field) GROUP BY tool), br AS (SELECT field, list(DISTINCT category) AS cats FROM useful WHERE length(field) > 2 GROUP BY field HAVING count(DISTINCT category) >= 2), cc AS (SELECT tool, least(count(DISTINCT (endpoint, kind, field)), 15) + 3 * least(count(DISTINCT CASE WHEN other <> category THEN other END), 5) AS cross_category FROM (SELECT tool, category, endpoint, kind, field, unnest(cats) AS other FROM useful JOIN br USING (field)) GROUP BY tool) SELECT tool, category, n_endpoints, n_inputs, coalesce(real_outputs, 0) AS real_outputs, coalesce(cross_tool, 0) AS cross_tool, coalesce(cross_category, 0) AS cross_category FROM base LEFT JOIN rl USING (tool) LEFT JOIN cx USING (tool) LEFT JOIN cc USING (tool)")
@@ -377,13 +389,160 @@ def fuzzy_dedup(spark, d):
     return Q.fuzzy_dedup(r.select("category", F.col("tool_id").alias("pos"), T.dedup_name(F.col("name")).alias("name"), "tool_id", "score"))
 
 
+# Catalogue
+
+_RAW = """defs AS (SELECT p_partkey AS k, * FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 0 AND p_partkey % 13 <> 0),
+eps AS (SELECT k AS tool_id, 0 AS pos, trim(p_name) AS tool_name, CASE k % 4 WHEN 0 THEN 'search rooms' WHEN 1 THEN 'book room' WHEN 2 THEN 'cancel_room' ELSE 'room info' END AS name, p_type AS description, CASE WHEN k % 2 = 0 THEN 'POST' ELSE 'GET' END AS method,
+  CASE k % 3 WHEN 0 THEN ['hotel_id number Hotel id'] WHEN 1 THEN ['userName string who'] ELSE ['page integer Page'] END AS required,
+  CASE WHEN k % 4 = 2 THEN ['message', 'status'] WHEN k % 4 = 0 THEN ['results', 'status', 'total_count']
+    ELSE list_sort(list_concat(CASE k % 3 WHEN 0 THEN ['hotel_id', 'hotel_name'] WHEN 1 THEN ['userName', 'id'] ELSE ['page', 'id'] END, CASE WHEN k % 4 = 1 THEN ['room_id', 'created_at', 'status'] ELSE ['status'] END)) END AS fields FROM defs
+  UNION ALL SELECT k, 1, trim(p_name), 'given', '', 'GET', [], ['size'] FROM defs)"""
+
+
+def _catalogue(spark, d):
+    return C.parse(B.tool_definitions(spark, d))
+
+
+@query(f"WITH {_RAW} SELECT tool_id, CAST(pos AS INTEGER) AS pos, tool_name, name, description, method, array_to_string(required, ';') AS required, array_to_string(fields, ',') AS fields, pos = 1 AS given FROM eps")
+def parse_catalogue(spark, d):
+    shown = F.array_join(F.transform("required", lambda p: F.concat_ws(" ", p["name"], p["type"], p["description"])), ";")
+    fields = F.array_join(F.array_sort(F.json_object_keys(F.get_json_object("schema", "$.properties"))), ",")
+    return _catalogue(spark, d)[1].select("tool_id", "pos", "tool_name", "name", "description", "method", shown.alias("required"), fields.alias("fields"), "given")
+
+
+@query(f"WITH {_RAW} SELECT p_partkey AS tool_id, trim(p_name) AS tool_name, trim(regexp_replace(lower(trim(p_name)), '[^a-z0-9]+', '_', 'g'), '_') AS standardized_name, CASE WHEN k % 2 = 0 THEN p_type ELSE p_brand END AS description, 'c' || CAST(k % 5 AS VARCHAR) AS category, 2 AS n_endpoints FROM defs")
+def parsed_tools(spark, d):
+    return _catalogue(spark, d)[0].select("tool_id", "tool_name", "standardized_name", "description", "category", "n_endpoints")
+
+
+@query(f"WITH {_RAW}, l AS (SELECT trim(p_name) AS tool_name, max(k) AS last FROM defs GROUP BY 1), w AS (SELECT DISTINCT p_name AS tool_name FROM part) SELECT w.tool_name, last AS tool_id FROM w LEFT JOIN l USING (tool_name)")
+def registry_lookup(spark, d):
+    wanted = B.read(spark, d, "part").select(F.col("p_name").alias("tool_name")).distinct()
+    return C.find_tools(_catalogue(spark, d)[0], wanted).select("tool_name", "tool_id")
+
+
+@query(f"WITH {_RAW} SELECT 'c' || CAST(k % 5 AS VARCHAR) AS category, count(*) AS n FROM defs GROUP BY 1")
+def category_index(spark, d):
+    return C.by_category(_catalogue(spark, d)[0]).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH n AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'abc' WHEN 1 THEN p_name WHEN 2 THEN 'Ünited ' || p_name ELSE p_name || ' Tool' END AS name, CASE p_partkey % 3 WHEN 0 THEN 'Testing' WHEN 1 THEN NULL ELSE p_type || ' ' || p_name END AS about, CASE WHEN p_partkey % 4 = 0 THEN ['a', 'a', 'a'] ELSE ['a', 'b'] END AS eps FROM part) "
+       f"SELECT p_partkey, ascii(name) > 127 OR regexp_matches(name, '(?i){'|'.join(K.JUNK_NAMES)}') OR (length(name) <= 3 AND length(coalesce(about, '')) < 20) OR (lower(coalesce(about, '')) IN ('test api', 'this is the description', 'test', 'testing', '') AND (length(name) < 15 OR NOT regexp_matches(name[2:], '[A-Z]'))) OR (len(eps) >= 3 AND len(list_distinct(eps)) = 1) AS junk FROM n")
+def junk_tools(spark, d):
+    k = F.col("p_partkey")
+    name = F.when(k % 5 == 0, "abc").when(k % 5 == 1, F.col("p_name")).when(k % 5 == 2, F.concat(F.lit("Ünited "), "p_name")).otherwise(F.concat("p_name", F.lit(" Tool")))
+    about = F.when(k % 3 == 0, "Testing").when(k % 3 == 2, F.concat("p_type", F.lit(" "), "p_name"))
+    names = F.when(k % 4 == 0, F.array(*[F.lit("a")] * 3)).otherwise(F.array(F.lit("a"), F.lit("b")))
+    return B.read(spark, d, "part").select("p_partkey", Q.junk_tool(name, about, names).alias("junk"))
+
+
+@query()
+def tool_scores(spark, d):
+    """No SQL: its terms have queries of their own; tests hold the sum against hand-made tools."""
+    return Q.score_tools(*_catalogue(spark, d))
+
+
+@query()
+def selected_catalogue(spark, d):
+    """Junk filter, scores, near-equal names and quotas as one chain; names are compared in Python."""
+    return Q.select_tools(*_catalogue(spark, d), target=100, least=3)
+
+
+@query(f"{B.sql('ncalls')} SELECT conv_id, call_idx, x.type = 'VARCHAR' AS is_text, {_TEXT} AS value FROM ncalls, json_tree(response) AS x WHERE {_LEAF}")
+def value_leaves(spark, d):
+    each = B.nested_calls(spark, d).select("conv_id", "call_idx", F.explode(W.leaves(F.col("response"))).alias("x"))
+    return each.select("conv_id", "call_idx", (F.col("x.kind") == "string").alias("is_text"), F.col("x.value").alias("value"))
+
+
+_ITEM0 = "CASE WHEN event_id % 2 = 1 THEN '\"' || json_extract_string(response, '$.dataSet.items[0].itemId') || '\"' ELSE json_extract_string(response, '$.dataSet.items[0].itemId') END"
+
+
+@query(f"{B.sql('ncalls')} SELECT event_id, unnest(['dataSet.items[0].itemId', 'tags', 'open']) AS key, unnest([{_ITEM0}, '\"a\"', 'false']) AS value FROM ncalls")
+def value_flatten(spark, d):
+    return B.nested_calls(spark, d).select("event_id", F.explode(W.path_values(F.col("response"))).alias("x")).select("event_id", "x.key", "x.value")
+
+
+@query(f"{B.sql('ncalls')} SELECT event_id, unnest(['itemId', 'items_count', 'tags', 'open']) AS key, unnest([{_ITEM0}, '2', '\"a\"', 'false']) AS value FROM ncalls")
+def session_values(spark, d):
+    return B.nested_calls(spark, d).select("event_id", F.explode(W.key_values(F.col("response"))).alias("x")).select("event_id", "x.key", "x.value")
+
+
+@query(f"{B.sql('ncalls')} SELECT 'item_id' AS field, count(DISTINCT value) AS n, min(value) AS least FROM (SELECT unnest([json_extract_string(response, '$.dataSet.items[0].itemId'), json_extract_string(response, '$.dataSet.items[1].itemId')]) AS value FROM ncalls) UNION ALL SELECT 'tags', 1, 'a'")
+def field_values(spark, d):
+    each = B.nested_calls(spark, d).select(F.explode(W.comparable_values(F.col("response"))).alias("x"))
+    return each.groupBy(T.normal_name(F.col("x.key"), "judge").alias("field")).agg(F.count_distinct("x.value").alias("n"), F.min("x.value").alias("least"))
+
+
+@query("SELECT p_partkey, unnest(['size', 'box', 'w', 'list', 'n', 'plain']) AS field, unnest(['integer', 'object', 'number', 'array', 'int', 'str']) AS type FROM part")
+def schema_walk(spark, d):
+    schema = F.concat(F.lit('{"type":"object","required":["size"],"properties":{"size":{"type":"integer","description":'), F.to_json(F.array("p_name")), F.lit('},"box":{"type":"object","properties":{"w":{"type":"number"}}},"list":{"type":"array","items":{"n":"int"}}},"plain":"str"}'))
+    return B.read(spark, d, "part").select("p_partkey", F.explode(W.fields_of(schema)).alias("x")).select("p_partkey", F.col("x.key").alias("field"), F.col("x.kind").alias("type"))
+
+
+# Planning
+
+_KINDS = [P.Kind("quick_lookup", 0.1, 1, 1, 1, 1), P.Kind("parallel_lookup", 0.1, 2, 3, 2, 3), P.Kind("simple_sequential", 0.1, 2, 2, 2, 2), P.Kind("multi_step_chain", 0.4, 2, 4, 3, 4), P.Kind("full_workflow", 0.3, 3, 4, 4, 4)]
+
+
+@query()
+def next_types(spark, d):
+    """The types of as many slots as there are orders; a fold over slots, tested against its plain loop."""
+    n = B.read(spark, d, "orders").count()
+    return P.plan_table(spark, _KINDS, n, "multi_step_chain")
+
+
+_PLAN = "p AS (SELECT l_orderkey AS slot, list(DISTINCT l_partkey % 7) FILTER (l_linenumber <= 3) AS planned, list(DISTINCT l_suppkey % 7) AS used, count(*) AS messages FROM lineitem GROUP BY 1)"
+
+
+def _plans(spark, d):
+    lines = B.read(spark, d, "lineitem")
+    planned = F.coalesce(F.collect_set(F.when(F.col("l_linenumber") <= 3, F.col("l_partkey") % 7)), F.array())
+    return lines.groupBy(F.col("l_orderkey").alias("slot")).agg(planned.alias("planned"), F.collect_set(F.col("l_suppkey") % 7).alias("used"), F.count(F.lit(1)).alias("messages"))
+
+
+@query(f"WITH {_PLAN}, q AS (SELECT slot, messages, coalesce(planned, []) AS planned, used FROM p), r AS (SELECT *, list_filter(planned, lambda x: NOT list_contains(used, x)) AS remaining FROM q) SELECT slot, array_to_string(list_sort(remaining), ',') AS remaining, array_to_string(list_sort(list_filter(used, lambda x: NOT list_contains(planned, x))), ',') AS unplanned, round(CASE WHEN len(planned) = 0 THEN 1.0 ELSE (len(planned) - len(remaining)) / len(planned) END, 9) AS fraction, CASE WHEN slot % 5 = 0 THEN 'in_progress' WHEN 6 * messages >= 5 * len(planned) + 6 THEN 'done' WHEN len(remaining) > 0 THEN 'in_progress' ELSE 'completing' END AS status FROM r")
+def plan_progress(spark, d):
+    p = P.progress(_plans(spark, d))
+    text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
+    state = P.status(F.col("planned"), F.col("used"), F.col("slot") % 5 == 0, 6 * F.col("messages"), F.lit(0), F.lit(0))
+    return p.select("slot", text("remaining").alias("remaining"), text("unplanned").alias("unplanned"), "fraction", state.alias("status"))
+
+
+@query("WITH c AS (SELECT l_orderkey AS slot, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS step, l_partkey AS endpoint FROM lineitem), n AS (SELECT *, lead(endpoint) OVER (PARTITION BY slot ORDER BY step) AS next FROM c) SELECT slot, CAST(step AS INTEGER) AS step, endpoint, next, p_type AS needs FROM n LEFT JOIN part ON next = p_partkey")
+def chain_context(spark, d):
+    lines = B.read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("slot")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("c"))
+    chains = lines.select("slot", F.transform("c", lambda x: x["l_partkey"]).alias("chain"))
+    endpoints = B.read(spark, d, "part").select(F.col("p_partkey").alias("endpoint"), F.col("p_type").alias("required"))
+    return P.next_parameters(chains, endpoints)
+
+
+def _steps(spark, d):
+    f = B.fields(spark, d)
+    endpoints = f.select("endpoint", "tool", "category").distinct().withColumn("quality", F.when(F.col("endpoint") % 3 == 0, "complete").when(F.col("endpoint") % 3 == 1, "inferred").otherwise("minimal"))
+    return cut(endpoints), cut(G.transitions(G.same_tool_edges(f), G.feeds_exact(f, _FR)))  # every step reads both
+
+
+@query()
+def parallel_chains(spark, d):
+    """200 sets of independent endpoints; no SQL, as picks are hashed."""
+    endpoints, steps = _steps(spark, d)
+    return S.parallel(endpoints, steps, spark.range(200).withColumnRenamed("id", "slot"))
+
+
+@query()
+def sequential_chains(spark, d):
+    """100 chains by eight attempts each that must touch a category; no SQL, as picks are hashed."""
+    endpoints, steps = _steps(spark, d)
+    return S.sequential(endpoints, steps, spark.range(100).withColumnRenamed("id", "slot"), S.Constraints(must_include=("c1",)))
+
+
 # Text
 
-_NAMES = "names AS (SELECT DISTINCT word, x FROM (SELECT word, unnest([word, upper(word[1:1]) || word[2:] || 'Id', word || 'HTTPCode', '_' || word || '__' || upper(word) || '_', word || '-name']) AS x FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{5,}}')) AS word FROM documents) WHERE length(word) % 7 = 0))".replace("{{", "{").replace("}}", "}")
+_NAMES = "names AS (SELECT DISTINCT word, x FROM (SELECT word, unnest([word, upper(word[1:1]) || word[2:] || 'Id', word || 'HTTPCode', '_' || word || '__' || upper(word) || '_', word || '-name']) AS x FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{5,}}')) AS word FROM documents)))".replace("{{", "{").replace("}}", "}")
 
 
 def _names(spark, d):
-    w = B.read(spark, d, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias("word")).distinct().where(F.length("word") % 7 == 0)
+    w = B.read(spark, d, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias("word")).distinct()
     word = F.col("word")
     return w.select("word", F.explode(F.array(word, F.concat(F.upper(F.substring("word", 1, 1)), F.expr("substring(word, 2)"), F.lit("Id")), F.concat(word, F.lit("HTTPCode")), F.concat(F.lit("_"), word, F.lit("__"), F.upper("word"), F.lit("_")), F.concat(word, F.lit("-name")))).alias("x")).distinct()
 

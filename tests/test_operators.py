@@ -6,11 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainloom.functions import text as T
+from chainloom.functions import walk as W
 from chainloom.operators import dialogue as D
 from chainloom.operators import graph as G
 from chainloom.operators import metrics as M
+from chainloom.operators import planning as P
 from chainloom.operators import sampling as S
 from chainloom.operators import selection as Q
+from chainloom.sources import catalogue as C
 from chainloom.sources import wire
 
 
@@ -53,7 +56,8 @@ def test_scores_and_rates(spark):
 
 @pytest.mark.parametrize(
     ("rows", "expected"),
-    [([("{}", '{"id":"htl_1"}'), ('{"hotel":"htl_1"}', "{}")], True), ([("{}", '{"id":"ab"}'), ('{"x":"ab"}', "{}")], False), ([('{"x":"abc"}', '{"id":"abc"}')], False), ([("{}", '{"n":7}'), ('{"m":7}', "{}")], True), ([("{}", '{"b":true}'), ('{"c":true}', "{}")], True), ([('{"x":"abc"}', "{}"), ("{}", '{"y":"abc"}')], False)],
+    [([("{}", '{"id":"htl_1"}'), ('{"hotel":"htl_1"}', "{}")], True), ([("{}", '{"id":"ab"}'), ('{"x":"ab"}', "{}")], False), ([('{"x":"abc"}', '{"id":"abc"}')], False), ([("{}", '{"n":7}'), ('{"m":7}', "{}")], True), ([("{}", '{"b":true}'), ('{"c":true}', "{}")], True), ([('{"x":"abc"}', "{}"), ("{}", '{"y":"abc"}')], False),
+     ([("{}", '{"data":{"hotels":[{"id":"htl_1"}]}}'), ('{"h":"htl_1"}', "{}")], True), ([("{}", '{"n":7}'), ('{"m":"7"}', "{}")], False), ([("{}", '{"n":"7"}'), ('{"m":7}', "{}")], True), ([("{}", '{"a":"abc"}'), ('{"m":{"x":"abc"}}', "{}")], False)],
 )
 def test_chaining(spark, rows, expected):
     df = spark.createDataFrame([(1, i, a, r) for i, (a, r) in enumerate(rows)], "conv_id long, call_idx int, arguments string, response string")
@@ -158,3 +162,80 @@ def test_wire(spark):
     again = {json.loads(r.value)["conversation_id"]: json.loads(r.value) for r in wire.to_wire(wire.read_wire(raw)).collect()}
     assert again["c1"]["messages"][1] == lines[0]["messages"][1] and again["c1"]["judge_scores"] == lines[0]["judge_scores"]
     assert "judge_scores" not in again["c2"]
+
+
+def test_catalogue(spark, tmp_path):
+    given = [
+        {"tool_name": " Rooms ", "category": "stay", "tool_description": "", "api_list": [
+            {"name": "search_rooms", "method": "get", "description": "Find <i>rooms</i>", "required_parameters": [{"name": "city", "type": "ENUM"}], "optional_parameters": '[{"name": "max-price", "type": "NUMBER", "default": 9}]'},
+            {"name": "book_room", "method": "POST", "required_parameters": ['{"name": "room_id", "type": "STRING"}', "x", 3]}, {"name": " "}]},
+        {"tool_name": "", "api_list": [{"name": "a"}]}, {"tool_name": "none", "api_list": []},
+    ]
+    raw = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(given)] + [(9, "{broken")], "tool_id long, definition string")
+    tables = C.cached_or_parsed(spark, str(tmp_path / "registry"), raw)
+    assert C.is_cached(spark, str(tmp_path / "registry/tools")) and not C.is_cached(spark, str(tmp_path / "nothing"))
+    assert [tuple(r) for r in tables["tools"].collect()] == [(0, "Rooms", "rooms", "Find rooms", "stay", 2)]
+    search, book = tables["endpoints"].orderBy("pos").collect()
+    assert [(p.name, p.type, p.description) for p in search.required + search.optional] == [("city", "string", "City"), ("max-price", "number", "Max price")]
+    fields = {"city": {"type": "string"}, "max-price": {"type": "number"}, "id": {"type": "string"}}
+    assert json.loads(search.schema) == {"type": "object", "properties": {"results": {"type": "array", "items": {"type": "object", "properties": fields}}, "total_count": {"type": "integer"}, "status": {"type": "string"}}}
+    assert set(json.loads(book.schema)["properties"]) == {"room_id", "room_name", "status", "created_at"} and [p.name for p in book.required] == ["room_id"]
+    wanted = spark.createDataFrame([("Rooms", "book_room"), ("Rooms", "other")], "tool_name string, name string")
+    assert {r.name: r.method for r in C.find_endpoints(tables["endpoints"], wanted).collect()} == {"book_room": "POST", "other": None}
+    # The search schema counts as made up, the booking one as its own; descriptions are too short to count; 3 for two endpoints, 20 for search and action.
+    score = Q.score_tools(tables["tools"], tables["endpoints"]).first().score
+    own = 1 + 0.5 + 0.3 + 5 + 0.5
+    features = Q.tool_features(Q.catalogue_fields(tables["tools"], tables["endpoints"])).first()
+    assert score == pytest.approx(own + 3 + 20 + 2 * min(features.real_outputs, 10) + 2 * features.cross_tool + features.cross_category)
+    assert Q.select_tools(tables["tools"], tables["endpoints"], 5, 1).count() == 1
+
+
+def test_shown_graph(spark):
+    nodes = spark.createDataFrame([("t", "tool"), ("e", "endpoint"), ("p", "parameter"), ("o", "output_field"), ("q", "parameter")], "id string, node_type string")
+    edges = spark.createDataFrame([("t", "e", "has_endpoint"), ("e", "p", "takes_input"), ("o", "q", "feeds_into")], "src string, dst string, edge_type string")
+    for most, ids, n in ((10, {"t", "e", "p", "o", "q"}, 3), (2, {"t", "e", "o", "q"}, 2)):
+        kept, both = C.shown_graph(nodes, edges, most)
+        assert {r.id for r in kept.collect()} == ids and both.count() == n
+
+
+def test_walks_over_json(spark):
+    text = json.dumps({"a": {"b": [1, 2.5, "x", True, None, {"c": ""}]}, "l": [{"k": "v"}, {"k": "w"}], "e": [], "z": 0})
+    of = lambda f, t=text: [(x.key, x.value) for x in spark.range(1).select(f(F.lit(t)).alias("x")).first().x]
+    assert of(W.leaves) == [("b", "1"), ("b", "2.5"), ("b", "x"), ("b", "True"), ("k", "v"), ("k", "w"), ("z", "0")]
+    assert sorted(of(W.path_values)) == [("a.b", "1"), ("l[0].k", '"v"'), ("z", "0")]
+    assert of(W.key_values) == [("b", "1"), ("k", '"v"'), ("l_count", "2"), ("z", "0")]
+    assert of(W.comparable_values) == [("b", "1"), ("b", "2.5"), ("b", "x"), ("k", "v"), ("k", "w"), ("z", "0")]
+    assert of(W.leaves, "{broken") == of(W.fields_of, None) == []
+
+
+def test_planned_types(spark):
+    from chainloom.plans.registry import _KINDS
+
+    got = [r.type for r in P.plan_table(spark, _KINDS, 200, "multi_step_chain").orderBy("slot").collect()]
+    assert got == P.planned_types(_KINDS, 200, "multi_step_chain")
+    assert abs(got.count("multi_step_chain") - 80) <= 1 and P.constraints_of(_KINDS[4]).min_steps == 4
+
+
+def test_modes_of_sampling(spark):
+    endpoints = spark.createDataFrame([(e, t, c, "complete") for e, t, c in (("a", "A", "x"), ("b", "B", "x"), ("c", "C", "x"), ("d", "D", "y"))], "endpoint string, tool string, category string, quality string")
+    steps = spark.createDataFrame([("a", "b", 0, 3.0), ("b", "a", 0, 3.0), ("c", "d", 0, 1.0)], "src string, dst string, tier int, weight double")
+    slots = spark.range(30).withColumnRenamed("id", "slot")
+    for r in S.parallel(endpoints, steps, slots, seed=3).collect():
+        assert len(r.chain) == len(set(r.chain)) >= 2 and not {"a", "b"} <= {r.chain[0], *r.chain[1:]} or r.chain[0] not in "ab"
+    must = S.sequential(endpoints, steps, slots, S.Constraints(exact_steps=2, must_include=("y",)), 5).collect()
+    assert len(must) == 30 and all(not r.complete or "d" in r.chain for r in must) and any(r.complete for r in must)
+    short = spark.createDataFrame([(1, ["a"], ["A"]), (2, ["d"], ["D"])], "slot long, chain array<string>, tools array<string>")
+    grown = {r.slot: r.chain for r in S.diversify(short, endpoints, steps, S.Constraints(min_tools=2)).collect()}
+    assert grown == {1: ["a", "b"], 2: ["d"]}
+    assert {r.tool for r in S.seed_weights(endpoints, steps, S.Constraints(required_tools=("B", "Z"))).collect()} == {"B"}
+
+
+def test_appending(spark, tmp_path):
+    from chainloom.streaming.appending import append_conversations
+
+    places = [str(tmp_path / x) for x in ("in", "out", "state")]
+    (tmp_path / "in").mkdir()
+    for k in (1, 2):
+        (tmp_path / "in" / f"{k}.jsonl").write_text(json.dumps({"conversation_id": f"c{k}", "messages": [{"role": "user", "content": "hi"}]}) + "\n{broken\n")
+        append_conversations(spark, *places).awaitTermination(120)
+        assert {json.loads(r.value)["conversation_id"] for r in spark.read.text(places[1]).collect()} == {f"c{i}" for i in range(1, k + 1)}
