@@ -310,7 +310,7 @@ class Block:
 
 
 def key_parts(docs: DataFrame, order: bytes, parts: int, conf: LineConf) -> DataFrame:
-    """Keys of the prefix filter, packed: part (by the key's hash), and k (32 bits more of it), h, n of a run's keys in that part."""
+    """Keys of the prefix filter, packed: part (by the key's hash), and k (32 bits more of it), h, n, odd (32 parities of the line's units) of a run's keys in that part."""
     shared = docs.sparkSession.sparkContext.broadcast(order)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,31 +318,32 @@ def key_parts(docs: DataFrame, order: bytes, parts: int, conf: LineConf) -> Data
         for lines, at in fresh_lines(batches):
             units, n = lines.units(at, conf)
             k, of = prefix_keys(units, n, order, conf.percent)
+            odd = parities(units, n)[:, 0]
             part = (k % np.uint64(parts)).astype(np.int64)
             by = np.argsort(part, kind="stable")
             k, of, part = k[by], of[by], part[by]
-            columns = [(k >> np.uint64(32)).astype(np.uint32), lines.h[at][of], np.minimum(n, LONG).astype(np.uint16)[of]]
+            columns = [(k >> np.uint64(32)).astype(np.uint32), lines.h[at][of], np.minimum(n, LONG).astype(np.uint16)[of], (odd ^ (odd >> np.uint64(32))).astype(np.uint32)[of]]
             begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(part)), bool), part[1:] != part[:-1]]))
             bounds = list(zip(begin.tolist(), [*begin[1:].tolist(), len(part)]))
             packed = [pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in columns]
-            yield pa.RecordBatch.from_arrays([pa.array(part[begin]), *packed], names=["part", "k", "h", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part[begin]), *packed], names=["part", "k", "h", "n", "odd"])
 
-    return docs.select(utf8().alias("text")).mapInArrow(run, "part long, k binary, h binary, n binary")
+    return docs.select(utf8().alias("text")).mapInArrow(run, "part long, k binary, h binary, n binary, odd binary")
 
 
 def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
     """a, b: pairs of classes to be tested (k null); or k, a: all classes (a) at a key of many (b null)."""
-    kinds = {"k": np.uint32, "h": np.int64, "n": np.uint16}
+    kinds = {"k": np.uint32, "h": np.int64, "n": np.uint16, "odd": np.uint32}
 
     def groups(part: int | None, rows: list[list[bytes]]) -> pa.RecordBatch:
-        k, h, n_units = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*rows), kinds.values())) if rows else (np.zeros(0, x) for x in kinds.values())
+        k, h, n_units, odd = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*rows), kinds.values())) if rows else (np.zeros(0, x) for x in kinds.values())
         by = np.argsort(k)
         shared = np.zeros(len(k) + 1, bool)  # most keys occur once
         shared[1:-1] = k[by][1:] == k[by][:-1]
         by = by[shared[1:] | shared[:-1]]
         by = by[np.lexsort((h[by], k[by]))]
         by = by[np.concatenate([np.ones(min(1, len(by)), bool), (k[by][1:] != k[by][:-1]) | (h[by][1:] != h[by][:-1])])]
-        k, h, n_units = k[by], h[by], n_units[by].astype(np.int64)
+        k, h, n_units, odd = k[by], h[by], n_units[by].astype(np.int64), odd[by]
         start = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), k[1:] != k[:-1]]))
         size = np.diff(np.append(start, len(k)))
         left, right = [], []
@@ -351,7 +352,8 @@ def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
             at = start[size == n][:, None]
             x, y = (at + i).ravel(), (at + j).ravel()
             allowed = (100 - conf.percent) * np.maximum(n_units[x], n_units[y]) // 100
-            able = (np.abs(n_units[x] - n_units[y]) <= allowed) | (np.maximum(n_units[x], n_units[y]) == LONG)
+            close = (np.bitwise_count(odd[x] ^ odd[y]) <= 2 * allowed) & (np.abs(n_units[x] - n_units[y]) <= allowed)
+            able = close | (np.maximum(n_units[x], n_units[y]) == LONG)
             left.append(h[x[able]])
             right.append(h[y[able]])
         a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right))

@@ -449,6 +449,13 @@ class Chunk:
         return word * (CLASSES + 1) + self.classes(names, groups), np.concatenate([self.learn[self.doc], self.learn])
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in order, the place of each value among them) of numbers up to some times the words of a chunk: without a sort."""
+    seen = np.zeros(int(values.max(initial=-1)) + 1, bool)
+    seen[values] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[values]
+
+
 def name_of(h: np.ndarray, g: np.ndarray) -> np.ndarray:
     """One 64-bit name for a word in a class."""
     return mixed(h + PRIME * (g.astype(np.uint64) + np.uint64(1))).view(np.int64)
@@ -610,13 +617,15 @@ def text_scores(sizes: np.ndarray, doc: np.ndarray, tokens: np.ndarray, n_words:
     after = mixed(mixed((of * np.int64(n_words + 2) + before).astype(np.uint64)))
     followed = used_before(after.view(np.int64))
     follow = used_before(mixed(after ^ mixed(token.astype(np.uint64) + np.uint64(1))).view(np.int64)) / np.maximum(followed, 1)
-    model = p * np.log(10)
+    model, used = p * np.log(10), np.flatnonzero(share + follow > 0)
     each = []
     for a, b in EXPERTS:
         a_, b_ = np.where(i > 0, a, 0.0), np.where(followed > 0, b, 0.0)
-        with np.errstate(divide="ignore"):  # a text without a past gives no share
-            past = np.log(a_ * share + b_ * follow)
-        each.append(np.bincount(of, weights=np.logaddexp(np.log(1 - a_ - b_) + model, past), minlength=len(sizes)) / np.log(10))
+        each_token = np.log(1 - a_ - b_) + model
+        past = (a_ * share + b_ * follow)[used]
+        some = past > 0
+        each_token[used[some]] = np.logaddexp(each_token[used[some]], np.log(past[some]))
+        each.append(np.bincount(of, weights=each_token, minlength=len(sizes)) / np.log(10))
     top = np.max(each, axis=0)
     return top + np.log10((10.0 ** (np.array(each) - top)).mean(axis=0))
 
@@ -646,7 +655,7 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
             for i in range(batch.num_rows):
                 c = Chunk(batch, i)
                 pair, learned = c.pairs(names, groups)
-                kinds, at = np.unique(pair, return_inverse=True)
+                kinds, at = distinct(pair)
                 words = [*c.words(), END]
                 of = [words[x] for x in (kinds // (CLASSES + 1)).tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array([w[:2] for w in of], pa.binary()), pa.array(of, pa.binary()), pa.array(kinds % (CLASSES + 1)), pa.array(np.bincount(at, weights=learned, minlength=len(kinds)).astype(np.int64))], names=["k", "word", "g", "c"])
@@ -672,7 +681,7 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
         for batch in batches:
             for i in range(batch.num_rows):
                 c = Chunk(batch, i)
-                kinds = np.unique(c.pairs(names, groups)[0])
+                kinds = distinct(c.pairs(names, groups)[0])[0]
                 h = name_of(np.append(c.h, np.uint64(0))[kinds // (CLASSES + 1)], kinds % (CLASSES + 1))
                 yield pa.RecordBatch.from_arrays([pa.array((c.name << PLACE_BITS) + np.arange(len(kinds))), pa.array(h)], names=["place", "h"])
 
@@ -689,7 +698,7 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
                 of = lambda name: batch.column(name)[row].values.to_numpy(zero_copy_only=False)  # noqa: E731, B023
                 order = np.argsort(of("a_place"))
                 c, p = of("a_c")[order], of("a_p")[order].astype(np.float64)
-                at = np.unique(chunk.pairs(names, groups)[0], return_inverse=True)[1]
+                at = distinct(chunk.pairs(names, groups)[0])[1]
                 docs_ = np.concatenate([chunk.doc, np.arange(len(chunk.sizes))])
                 known, base = (np.bincount(docs_, weights=x, minlength=len(chunk.sizes)) for x in ((c > 0)[at].astype(np.float64), np.log10(c + 0.5)[at] - below))
                 score = text_scores(chunk.sizes, chunk.doc, chunk.tokens, chunk.n, p[at])
