@@ -5,13 +5,15 @@ part. Its units are its words, or its characters if it has fewer than ``min_word
 lines, and whole lines of scripts without spaces. Equal normalised lines form a class by hash, counted before
 any join. Classes meet by a prefix filter that is derived from the threshold and misses no pair:
 edits within it destroy at most d of a line's pairs of neighbouring units (see ``destroyed``), so
-alike lines share one of the first d + 1 of their distinct pairs, whatever order of pairs both use.
-The order is rarest first, by counts of a bounded sample; it decides speed alone. Edit similarity
-of unit sequences, computed exactly, links classes that meet. Of every connected group of lines
+alike lines share ``COMMON`` of the first d + ``COMMON`` of their distinct pairs, whatever order of
+pairs both use, or at least one if either line has fewer. What survives the edits stays near its
+place, so a shared pair counts only where the edits that its places imply are allowed. The order is
+rarest first, by counts of a bounded sample; it decides speed alone. Edit similarity of unit
+sequences, computed exactly, links classes that meet. Of every connected group of lines
 the occurrence with the least (doc_id, row, line) stays; all others go.
 
 Few classes at a key give pairs, which are tested once each if lengths and 256 parities of the
-lines' units allow it (an edit changes two at most). At a larger one a class is compared with earlier
+units allow it (an edit changes two at most). At a larger one a class is compared with earlier
 ones that its words allow, likeliest first, and with a component no further once one member
 matches: a large block of alike lines costs one test a line. Of keys with the same classes one is kept.
 
@@ -58,8 +60,10 @@ ORDER_BITS, ORDER_DOCS = 22, 5_000
 FEW = 32
 #: Keys that one task of the prefix filter holds, about.
 PART_KEYS = 1 << 18
-#: Numbers of units from which a line counts as long: its number isn't looked at.
-LONG = 65_535
+#: Keys that alike lines share at least, if both have as many as are asked.
+COMMON = 2
+#: Numbers of units from which a line counts as long: its number and places aren't looked at. A place of this says nothing.
+LONG = 32_767
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
@@ -233,24 +237,37 @@ def sampled_order(docs: DataFrame, conf: LineConf) -> bytes:
     return bytes(found["t"]) if found else zstandard.compress(bytes(1 << ORDER_BITS))
 
 
-def prefix_keys(units: np.ndarray, n: np.ndarray, order: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, the line of each): of each line the first of its distinct pairs, rarest first, one more than can be destroyed."""
+def prefix_keys(units: np.ndarray, n: np.ndarray, order: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, the line of each, its place there or LONG if it has several, which lines have all keys that are asked):
+    of each line the first of its distinct pairs, rarest first, ``COMMON`` more than can be destroyed."""
     pairs, of = pair_hashes(units, n)
+    inside = np.arange(len(of)) - np.searchsorted(of, of)
     rank = order[(pairs >> np.uint64(64 - ORDER_BITS)).astype(np.int64)].astype(np.uint64)
     # Sorted by line, rank and the hash's lower bits, which fit one number (two pairs that these don't tell apart may change places).
     by = np.argsort((of.astype(np.uint64) << np.uint64(40)) | (rank << np.uint64(34)) | (pairs & np.uint64((1 << 34) - 1)), kind="stable")
-    keys, of = pairs[by], of[by]
-    fresh = np.ones(len(keys), bool)
-    fresh[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
-    keys, of = keys[fresh], of[fresh]
+    keys, of, inside = pairs[by], of[by], np.minimum(inside[by], LONG)
+    fresh = np.ones(len(keys) + 1, bool)
+    fresh[1:-1] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+    inside = np.where(fresh[1:], inside, LONG)[fresh[:-1]]  # the next one isn't the same
+    keys, of = keys[fresh[:-1]], of[fresh[:-1]]
     place = np.arange(len(of)) - np.searchsorted(of, of)
     kinds, at = np.unique(n, return_inverse=True)
-    wanted = np.array([destroyed(x, percent) + 1 for x in kinds.tolist()], np.int64)[at] if len(kinds) else n
+    lost = np.array([destroyed(x, percent) for x in kinds.tolist()], np.int64)[at] if len(kinds) else n
+    wanted = np.where(lost < 0, 0, lost + COMMON)
     taken = place < wanted[of]
-    return keys[taken], of[taken]
+    return keys[taken], of[taken], inside[taken], np.bincount(of, minlength=len(n)) >= wanted
 
 
-def parities(units: np.ndarray, n: np.ndarray, wide: int = 1) -> np.ndarray:
+def bytes_of(values: np.ndarray) -> bytes:
+    """16-bit numbers, all lower bytes first: most upper ones are zero and compress to nothing."""
+    return np.ascontiguousarray(values.astype("<u2").view(np.uint8).reshape(-1, 2).T).tobytes()
+
+
+def numbers_of(packed: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(2, -1).T).view("<u2").ravel().astype(np.int64) for x in packed)])
+
+
+def parities(units: np.ndarray, n: np.ndarray, wide: int) -> np.ndarray:
     """64 * ``wide`` bits of each line: whether an odd number of its units falls to each. An edit changes two at most."""
     out, some = np.zeros((len(n), wide), np.uint64), np.flatnonzero(n)
     place = (units & np.uint32(64 * wide - 1)).astype(np.uint64)
@@ -310,69 +327,80 @@ class Block:
 
 
 def key_parts(docs: DataFrame, order: bytes, parts: int, conf: LineConf) -> DataFrame:
-    """Keys of the prefix filter, packed: part (by the key's hash), and k (32 bits more of it), h, n, odd (32 parities of the line's units) of a run's keys in that part."""
+    """Keys of the prefix filter, packed: part (by the key's hash), and of a run's keys in that part k (32 bits more of it), h, n (units, and whether the line has all keys asked), at (place)."""
     shared = docs.sparkSession.sparkContext.broadcast(order)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.frombuffer(zstandard.decompress(shared.value), np.uint8)
         for lines, at in fresh_lines(batches):
             units, n = lines.units(at, conf)
-            k, of = prefix_keys(units, n, order, conf.percent)
-            odd = parities(units, n)[:, 0]
+            k, of, inside, full = prefix_keys(units, n, order, conf.percent)
+            size = np.minimum(n, LONG) + full * (LONG + 1)
             part = (k % np.uint64(parts)).astype(np.int64)
             by = np.argsort(part, kind="stable")
-            k, of, part = k[by], of[by], part[by]
-            columns = [(k >> np.uint64(32)).astype(np.uint32), lines.h[at][of], np.minimum(n, LONG).astype(np.uint16)[of], (odd ^ (odd >> np.uint64(32))).astype(np.uint32)[of]]
+            k, of, inside, part = k[by], of[by], inside[by], part[by]
+            columns = [((k >> np.uint64(32)).astype(np.uint32), np.ndarray.tobytes), (lines.h[at][of], np.ndarray.tobytes), (size[of], bytes_of), (inside, bytes_of)]
             begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(part)), bool), part[1:] != part[:-1]]))
             bounds = list(zip(begin.tolist(), [*begin[1:].tolist(), len(part)]))
-            packed = [pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in columns]
-            yield pa.RecordBatch.from_arrays([pa.array(part[begin]), *packed], names=["part", "k", "h", "n", "odd"])
+            packed = [pa.array([as_bytes(x[a:b]) for a, b in bounds], pa.binary()) for x, as_bytes in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(part[begin]), *packed], names=["part", "k", "h", "n", "at"])
 
-    return docs.select(utf8().alias("text")).mapInArrow(run, "part long, k binary, h binary, n binary, odd binary")
+    return docs.select(utf8().alias("text")).mapInArrow(run, "part long, k binary, h binary, n binary, at binary")
 
 
 def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
     """a, b: pairs of classes to be tested (k null); or k, a: all classes (a) at a key of many (b null)."""
-    kinds = {"k": np.uint32, "h": np.int64, "n": np.uint16, "odd": np.uint32}
 
     def groups(part: int | None, rows: list[list[bytes]]) -> pa.RecordBatch:
-        k, h, n_units, odd = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*rows), kinds.values())) if rows else (np.zeros(0, x) for x in kinds.values())
+        packed = list(zip(*rows)) or [()] * 4
+        k, h = np.frombuffer(b"".join(packed[0]), np.uint32), np.frombuffer(b"".join(packed[1]), np.int64)
+        n_units, inside = numbers_of(packed[2]), numbers_of(packed[3])
         by = np.argsort(k)
         shared = np.zeros(len(k) + 1, bool)  # most keys occur once
         shared[1:-1] = k[by][1:] == k[by][:-1]
         by = by[shared[1:] | shared[:-1]]
         by = by[np.lexsort((h[by], k[by]))]
         by = by[np.concatenate([np.ones(min(1, len(by)), bool), (k[by][1:] != k[by][:-1]) | (h[by][1:] != h[by][:-1])])]
-        k, h, n_units, odd = k[by], h[by], n_units[by].astype(np.int64), odd[by]
+        k, h, n_units, full, inside = k[by], h[by], n_units[by] & LONG, n_units[by] > LONG, inside[by]
         start = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), k[1:] != k[:-1]]))
         size = np.diff(np.append(start, len(k)))
-        left, right = [], []
+        left, right, weak = [], [], []
         for n in np.unique(size[(size > 1) & (size <= FEW)]).tolist():
             i, j = np.triu_indices(n, 1)
             at = start[size == n][:, None]
             x, y = (at + i).ravel(), (at + j).ravel()
             allowed = (100 - conf.percent) * np.maximum(n_units[x], n_units[y]) // 100
-            close = (np.bitwise_count(odd[x] ^ odd[y]) <= 2 * allowed) & (np.abs(n_units[x] - n_units[y]) <= allowed)
-            able = close | (np.maximum(n_units[x], n_units[y]) == LONG)
+            longer = n_units[x] - n_units[y]
+            moved = inside[x] - inside[y]
+            # Insertions and deletions before the pair, and after it.
+            implied = np.where(np.maximum(inside[x], inside[y]) < LONG, np.abs(moved) + np.abs(longer - moved), np.abs(longer))
+            able = (implied <= allowed) | (np.maximum(n_units[x], n_units[y]) == LONG)
             left.append(h[x[able]])
             right.append(h[y[able]])
+            weak.append(~(full[x] & full[y])[able])
         a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        times = np.where(np.concatenate([*weak, np.zeros(0, bool)]), COMMON, 1)
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        by = np.lexsort((b, a))
+        a, b, times = a[by], b[by], times[by]
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(a)), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        a, b, times = a[first], b[first], np.minimum(np.add.reduceat(times, first), COMMON) if len(first) else times
         many = np.repeat(size > FEW, size)
-        columns = [pa.concat_arrays([pa.array(h[many]), pa.array(pairs[:, 0])]), pa.concat_arrays([pa.nulls(int(many.sum()), pa.int64()), pa.array(pairs[:, 1])]), pa.concat_arrays([pa.array(k[many].astype(np.int64) + ((part or 0) << 32)), pa.nulls(len(pairs), pa.int64())])]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "k"])
+        no, some = len(a), int(many.sum())
+        columns = [pa.array(np.concatenate([h[many], a])), pa.concat_arrays([pa.nulls(some, pa.int64()), pa.array(b)]), pa.concat_arrays([pa.array(k[many].astype(np.int64) + ((part or 0) << 32)), pa.nulls(no, pa.int64())]), pa.array(np.concatenate([np.full(some, COMMON), times]).astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "k", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, rows = None, []
         for batch in batches:
-            for p, *row in zip(*(batch.column(c).to_pylist() for c in ("part", *kinds))):
+            for p, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "k", "h", "n", "at"))):
                 if p != part:
                     yield groups(part, rows)
                     part, rows = p, []
                 rows.append(row)
         yield groups(part, rows)
 
-    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long, k long").distinct()
+    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long, k long, times int").groupBy("a", "b", "k").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON).drop("times")
 
 
 def fuzzy_links(docs: DataFrame, n_lines: int, conf: LineConf) -> DataFrame:
