@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -60,6 +61,12 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Once more after a cut of much shuffled data: until its events are handled, about a second, they hold it."""
+    time.sleep(1)
+    spark.sparkContext._jvm.System.gc()
+
+
 def least_hashes(rows: DataFrame, key: str, limit: int, bits: int = 14) -> DataFrame:
     """``rows`` (``key``, ``h``, ...): of each key the ``limit`` rows of the smallest hash, about: whole ranges of
     hashes are taken until there are enough, and what they hold too many is ranked. Keys must be few.

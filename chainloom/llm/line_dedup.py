@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP_CHARS, cut, table, utf8
+from .common import GAP_CHARS, cut, release, table, utf8
 from .components import components
 from .shingles import PRIME, mixed, words_with_places
 
@@ -407,7 +407,9 @@ def fuzzy_links(docs: DataFrame, n_lines: int, conf: LineConf) -> DataFrame:
     """Returns a, b: linked classes that connect all alike ones. ``n_lines``: about how many there are."""
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_lines * 16 // PART_KEYS)
     met = cut(meetings(key_parts(docs, sampled_order(docs, conf), parts, conf), conf))
+    release(docs.sparkSession)
     known = cut(sequences(docs, conf).join(met.select(F.explode(F.array("a", "b")).alias("h")).where("h is not null").distinct(), "h", "left_semi").dropDuplicates(["h"]))
+    release(docs.sparkSession)
     close = cut(_close(met.where("k is null").select("a", "b"), known, conf))
     of = lambda side: known.select(F.col("h").alias(side), F.col("w").alias(f"w{side}"))
     both = close.join(of("a"), "a").join(of("b"), "b").select("a", "b", "wa", "wb")
