@@ -411,12 +411,17 @@ def fuzzy_links(docs: DataFrame, n_lines: int, conf: LineConf) -> DataFrame:
     known = cut(sequences(docs, conf).join(met.select(F.explode(F.array("a", "b")).alias("h")).where("h is not null").distinct(), "h", "left_semi").dropDuplicates(["h"]))
     release(docs.sparkSession)
     close = cut(_close(met.where("k is null").select("a", "b"), known, conf))
-    of = lambda side: known.select(F.col("h").alias(side), F.col("w").alias(f"w{side}"))
-    both = close.join(of("a"), "a").join(of("b"), "b").select("a", "b", "wa", "wb")
     blocks = met.where("k is not null").select("k", F.col("a").alias("h"))
     # Of keys at which the same classes meet one is enough.
     kinds = blocks.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y")).groupBy("n", "x", "y").agg(F.min("k").alias("k")).select("k")
-    blocks = blocks.join(kinds, "k", "left_semi").join(known.select("h", "w"), "h").select("k", "h", "w")
+    blocks = cut(blocks.join(kinds, "k", "left_semi"))
+    # Words go only where they are compared.
+    asked = close.select(F.explode(F.array("a", "b")).alias("h")).union(blocks.select("h")).distinct()
+    known = cut(known.select("h", "w").join(asked, "h", "left_semi"))
+    release(docs.sparkSession)
+    of = lambda side: known.select(F.col("h").alias(side), F.col("w").alias(f"w{side}"))
+    both = close.join(of("a"), "a").join(of("b"), "b").select("a", "b", "wa", "wb")
+    blocks = blocks.join(known, "h").select("k", "h", "w")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
