@@ -709,3 +709,18 @@ def wire_detect(spark, d):
     k = F.col("event_id") % 3
     line = F.when(k == 0, F.concat(F.lit('{"messages": [], "x": '), "props", F.lit("}"))).when(k == 1, '{"messages": [], "tool_calls": []}').otherwise(F.col("props"))
     return B.read(spark, d, "events").select("event_id", wire.is_wire(line).alias("wire"))
+
+
+_BOTH = "l AS (SELECT event_id, event_id % 4 AS k, CAST(event_id AS VARCHAR) AS id FROM events)"
+
+
+@query(f"WITH {_BOTH} SELECT 'c' || id AS conversation_id, 2 AS n_messages, 't' || id AS tool, CASE k WHEN 2 THEN 't' || id ELSE 'go' END AS api, CASE WHEN k = 1 THEN 4.0 END AS naturalness FROM l WHERE k <> 3")
+def read_conversations(spark, d):
+    """Both forms in one input: wire, full, wire with a call of a tool alone, and full with scores out of range, which goes."""
+    k, i = F.col("event_id") % 4, F.col("event_id").cast("string")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    wire_line = text('{"conversation_id":"c', i, '","messages":[{"role":"user","content":"x"},{"role":"assistant","tool_calls":[{"endpoint":"t', i, F.when(k == 0, "/go").otherwise(""), '"}]}]}')
+    full = text('{"conversation_id":"c', i, '","tool_calls":[],"messages":[{"role":"user","content":"x"},{"role":"assistant","tool_calls":[{"tool_name":"t', i, '","api_name":"go"}]}],"judge_scores":{"naturalness":', F.when(k == 1, "4").otherwise("9"), ',"tool_correctness":3,"task_completion":3}}')
+    rows = B.read(spark, d, "events").select(F.when(k % 2 == 0, wire_line).otherwise(full).alias("value"))
+    call = F.col("messages")[1]["tool_calls"][0]
+    return wire.read_any(rows).select("conversation_id", F.size("messages").alias("n_messages"), call["tool"].alias("tool"), call["api"].alias("api"), "naturalness")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,8 +57,47 @@ def decode(record: dict) -> dict:
     return {"conversation_id": record.get("conversation_id"), "messages": out} | {k: None if scores is None else float(scores.get(k, 3.0)) for k in names} | {"metadata": json.dumps(record.get("metadata") or {}, ensure_ascii=False)}
 
 
+def decode_full(record: dict) -> dict:
+    """One conversation in the full form, in which calls and outputs are objects of their own. ValueError, KeyError or TypeError if it isn't
+    valid: unknown roles, calls without names, scores missing or beyond 1 to 5. Without an id it stays null."""
+
+    def named(call: dict) -> dict:
+        return {"tool": str(call["tool_name"]), "api": str(call["api_name"])}
+
+    out = []
+    for m in record.get("messages") or []:
+        if m["role"] not in ("user", "assistant", "tool", "system"):
+            raise ValueError(m["role"])
+        calls, outputs = m.get("tool_calls"), m.get("tool_outputs")
+        if calls is not None:
+            calls = [named(c) | {"arguments": json.dumps(c.get("arguments") or {}, ensure_ascii=False)} for c in calls]
+        if outputs is not None:
+            outputs = [named(o["tool_call"]) | {"response": json.dumps(o.get("response") or {}, ensure_ascii=False)} for o in outputs]
+        out.append({"role": m["role"], "content": m.get("content"), "tool_calls": calls, "tool_outputs": outputs})
+    scores = record.get("judge_scores")
+    marks = {k: None if scores is None else float(scores[k]) for k in ("naturalness", "tool_correctness", "task_completion")}
+    if scores is not None and not all(1 <= x <= 5 for x in marks.values()):
+        raise ValueError("scores are from 1 to 5")
+    return {"conversation_id": record.get("conversation_id"), "messages": out} | marks | {"metadata": json.dumps(record.get("metadata") or {}, ensure_ascii=False)}
+
+
 def read_wire(rows: DataFrame) -> DataFrame:
     """``rows``: value. Lines that aren't JSON objects are left out (see ``rejected``)."""
+    return _decoded(rows, decode)
+
+
+def read_any(rows: DataFrame) -> DataFrame:
+    """``rows``: value, each in the wire form or the full form. Blank lines and those that are valid in neither are left out."""
+
+    def either(record: dict) -> dict:
+        wire = "messages" in record and not record.keys() & {"tool_calls", "tool_outputs"}
+        return decode(record) if wire else decode_full(record)
+
+    return _decoded(rows, either)
+
+
+def _decoded(rows: DataFrame, form: Callable[[dict], dict]) -> DataFrame:
+    """The conversation of each line that ``form`` can read."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -66,10 +105,10 @@ def read_wire(rows: DataFrame) -> DataFrame:
             for line in frame["value"]:
                 try:
                     record = json.loads(line)
-                except ValueError:
+                    if isinstance(record, dict):
+                        found.append(form(record))
+                except (ValueError, KeyError, TypeError, AttributeError):
                     continue
-                if isinstance(record, dict):
-                    found.append(decode(record))
             yield pd.DataFrame(found, columns=["conversation_id", "messages", "naturalness", "tool_correctness", "task_completion", "metadata"])
 
     return rows.select("value").mapInPandas(run, CONVERSATION)

@@ -147,6 +147,23 @@ def test_walks(spark):
         S.Constraints(exact_steps=0)
 
 
+def test_read_any_takes_both_forms(spark):
+    lines = [
+        '{"conversation_id":"w","messages":[{"role":"user","content":"hi"}]}',
+        '{"conversation_id":"f","tool_outputs":[],"messages":[{"role":"tool","tool_outputs":[{"tool_call":{"tool_name":"t","api_name":"a"},"response":{"n":1}}]}]}',
+        '{"tool_calls":[],"messages":[]}',
+        '{"tool_calls":[],"messages":[{"role":"robot"}]}',
+        '{"tool_calls":[],"judge_scores":{"naturalness":1,"tool_correctness":6,"task_completion":2}}',
+        '{"messages":[3]}',
+        "",
+        "[]",
+    ]
+    got = wire.read_any(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert sorted(r.conversation_id or "" for r in got) == ["", "f", "w"]
+    full = next(r for r in got if r.conversation_id == "f")
+    assert full.messages[0].tool_outputs[0].asDict() == {"tool": "t", "api": "a", "response": '{"n": 1}'} and full.naturalness is None
+
+
 def test_wire(spark):
     lines = [
         {"conversation_id": "c1", "messages": [{"role": "user", "content": "hi"}, {"role": "assistant", "content": None, "tool_calls": [{"endpoint": "S/path/to", "arguments": {"a": 1}}, {"endpoint": "T/y", "arguments": {}}]}, {"role": "tool", "content": {"r": 1}}, {"role": "tool", "content": "text"}], "judge_scores": {"naturalness": 4.0, "tool_correctness": 5.0, "task_completion": 3.0}},
