@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,21 +80,37 @@ def category_affinity(fields: DataFrame, stats: DataFrame, least: int = 3) -> Da
     return a.join(b, "field").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
 
 
-def semantic_bridge(vectors: DataFrame, allowed: DataFrame | None, threshold: float) -> DataFrame:
-    """Pairs of other categories with a cosine of at least the threshold, in both directions.
-
-    Category pairs are joined before any product is made, and vectors are normalised once."""
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    unit = vectors.withColumn("u", F.transform("v", lambda x: F.try_divide(x, norm))).select("id", "category", "u")
-    a = unit.select(F.col("id").alias("src"), F.col("category").alias("ca"), F.col("u").alias("ua"))
-    b = unit.select(F.col("id").alias("dst"), F.col("category").alias("cb"), F.col("u").alias("ub"))
-    if allowed is None:
-        kinds = vectors.select("category").distinct()
-        allowed = kinds.select(F.col("category").alias("ca")).join(kinds.select(F.col("category").alias("cb"))).where("ca <> cb")
-    pairs = a.join(allowed, "ca").join(b, "cb").where("src < dst")
-    cosine = F.aggregate(F.zip_with("ua", "ub", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    hits = pairs.withColumn("cosine", cosine).where(F.col("cosine") >= threshold).select("src", "dst", F.round("cosine", 6).alias("cosine"))
-    return hits.unionByName(hits.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "cosine"))
+def semantic_bridge(vectors: DataFrame, allowed: DataFrame | None, threshold: float, tile: int = 1024) -> DataFrame:
+    """Pairs of other categories (of ``allowed`` pairs ca, cb, if given) with a cosine of at least the threshold, in both directions.
+
+    Rows are dealt to tiles of about ``tile``, and each pair of tiles is one matrix product: a row is sent once a tile, not
+    once a row, and pairs below the threshold never leave a task. Vectors that are null or zero, or hold null, have no cosine."""
+    tiles = max(1, -(-vectors.count() // tile))
+    usable = vectors.where("id is not null and category is not null and size(v) > 0").where(~F.exists("v", lambda x: x.isNull()))
+    dealt = usable.select("id", "category", "v", F.size("v").alias("long"), F.pmod(F.xxhash64("id"), F.lit(tiles)).alias("t"))
+    other = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+    rows = other.select(F.least("t", "o").alias("x"), F.greatest("t", "o").alias("y"), "long", "t", "id", "category", "v")
+
+    def close(frame: pd.DataFrame) -> pd.DataFrame:
+        v = np.stack(frame["v"].to_numpy())
+        with np.errstate(all="ignore"):
+            unit = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+        x, y = (np.flatnonzero(frame["t"] == frame[c].iloc[0]) for c in ("x", "y"))
+        cosine = unit[x] @ unit[y].T
+        at = np.argwhere(cosine >= threshold)
+        a, b = x[at[:, 0]], y[at[:, 1]]
+        ids, kinds = frame["id"].to_numpy(), frame["category"].to_numpy()
+        found = pd.DataFrame({"src": ids[a], "dst": ids[b], "ca": kinds[a], "cb": kinds[b], "cosine": cosine[at[:, 0], at[:, 1]]})
+        back = found.rename(columns={"src": "dst", "dst": "src", "ca": "cb", "cb": "ca"})
+        both = found if frame["x"].iloc[0] == frame["y"].iloc[0] else pd.concat([found, back])[found.columns]
+        return both[both["ca"] != both["cb"]]
+
+    kind = {f.name: f.dataType.simpleString() for f in vectors.schema}
+    hits = rows.groupBy("x", "y", "long").applyInPandas(close, f"src {kind['id']}, dst {kind['id']}, ca {kind['category']}, cb {kind['category']}, cosine double")
+    if allowed is not None:
+        low, high = F.when(F.col("src") < F.col("dst"), F.col("ca")).otherwise(F.col("cb")), F.when(F.col("src") < F.col("dst"), F.col("cb")).otherwise(F.col("ca"))
+        hits = hits.withColumns({"low": low, "high": high}).join(allowed.select(F.col("ca").alias("low"), F.col("cb").alias("high")).distinct(), ["low", "high"], "left_semi")
+    return hits.where("src <> dst").select("src", "dst", F.round("cosine", 6).alias("cosine"))
 
 
 def node_counts(fields: DataFrame) -> DataFrame:

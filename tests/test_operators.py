@@ -1,6 +1,8 @@
 """Golden rows of metrics, text functions, dialogue checks, graph, codec and walks."""
 
 import json
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +149,22 @@ def test_walks(spark):
         S.Constraints(exact_steps=0)
 
 
+def test_semantic_bridge_by_tiles(spark):
+    r = random.Random(5)
+    rows = [(i, "abc"[i % 3], [r.gauss(0, 1) for _ in range(4)]) for i in range(40)] + [(40, "a", None), (41, "b", [0.0] * 4), (42, "c", [1.0, None, 2.0, 3.0])]
+    vectors = spark.createDataFrame(rows, "id long, category string, v array<double>")
+
+    def cosine(x, y):
+        return sum(a * b for a, b in zip(x, y)) / math.sqrt(sum(a * a for a in x) * sum(b * b for b in y))
+
+    want = {(i, j) for i, c, x in rows[:40] for j, k, y in rows[:40] if c != k and cosine(x, y) >= 0.5}
+    assert want and {(x.src, x.dst) for x in G.semantic_bridge(vectors, None, 0.5, tile=7).collect()} == want
+    allowed = spark.createDataFrame([("a", "b")], "ca string, cb string")
+    kept = {(i, j) for i, j in want if (rows[min(i, j)][1], rows[max(i, j)][1]) == ("a", "b")}
+    assert kept and {(x.src, x.dst) for x in G.semantic_bridge(vectors, allowed, 0.5, tile=7).collect()} == kept
+    assert G.semantic_bridge(vectors.limit(0), None, 0.5).count() == 0
+
+
 def test_read_any_takes_both_forms(spark):
     lines = [
         '{"conversation_id":"w","messages":[{"role":"user","content":"hi"}]}',
