@@ -169,3 +169,12 @@ def best_attempt(attempts: DataFrame, threshold: float) -> DataFrame:
     best = Window.partitionBy("slot").orderBy(F.desc("score"), "attempt")
     last = F.max("attempt").over(Window.partitionBy("slot"))
     return tried.withColumns({"r": F.row_number().over(best), "retries": last}).where("r = 1").select("slot", "attempt", "score", "retries")
+
+
+def deltas(report: DataFrame) -> DataFrame:
+    """``report``: run (A or B) and numbers, a row a run. metric, a, b, delta (b - a; null if a run lacks it)."""
+    numbers = [c for c in report.columns if c != "run"]
+    each = report.select("run", *[F.col(c).cast("double").alias(c) for c in numbers]).unpivot("run", numbers, "metric", "value")
+    of = lambda run: F.max(F.when(F.col("run") == run, F.col("value")))
+    sides = each.groupBy("metric").agg(of("A").alias("a"), of("B").alias("b"))
+    return sides.select("metric", "a", "b", F.round(F.col("b") - F.col("a"), 9).alias("delta"))

@@ -174,6 +174,14 @@ def compare_report(spark, d):
     return per.join(M.signatures(convs, calls).groupBy("run").agg(F.count_distinct("signature").alias("unique_chains")), "run")
 
 
+_DELTAS = ", ".join(f"('{c}', CAST({c} AS DOUBLE))" for c in ("conversations", "total_calls", "ms_mt_rate", "unique_chains"))
+
+
+@query(f"WITH r AS ({_sql['compare_report']}), v AS (SELECT run, x.* FROM r, (VALUES {_DELTAS}) AS x(metric, value)), s AS (SELECT metric, max(value) FILTER (run = 'A') AS a, max(value) FILTER (run = 'B') AS b FROM v GROUP BY metric) SELECT metric, a, b, round(b - a, 9) AS delta FROM s")
+def compare_deltas(spark, d):
+    return M.deltas(compare_report(spark, d))
+
+
 @query(f"{B.sql('scores', 'calls', 'convs')}, {_PER}, m AS (SELECT * FROM ({_MEANS}), ({_MSMT.format('n_endpoints')})), c AS (" + " UNION ALL ".join(f"SELECT '{k}' AS name, CAST({t} AS DOUBLE) AS threshold, CAST({k} AS DOUBLE) AS value FROM m" for k, t in K.GATES) + ") SELECT *, value >= threshold AS passed FROM c")
 def threshold_checks(spark, d):
     one = M.mean_scores(B.scores(spark, d)).join(F.broadcast(M.ms_mt_rate(B.conversations(spark, d), B.calls(spark, d))))
