@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, line_dedup, lm_scoring, ngram_join, packing, piece_codec, quality_classifier, quality_rules, topk, url_filter
+from . import language_id, line_dedup, lm_scoring, ngram_join, packing, piece_codec, quality_classifier, quality_rules, token_counts, topk, url_filter, vector_codes, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": language_id.op8_language_id,
         "op9_url_filter": url_filter.op9_url_filter,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_vector_codes": vector_codes.op11_vector_codes,
+        "op12_token_counts": token_counts.op12_token_counts,
+        "op13_whitening": whitening.op13_whitening,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": ngram_join.ORACLE, "op4_maxscore": topk.ORACLE, "op9_url_filter": url_filter.ORACLE}
+    return {"op1_ngram_join": ngram_join.ORACLE, "op4_maxscore": topk.ORACLE, "op9_url_filter": url_filter.ORACLE, "op11_vector_codes": vector_codes.ORACLE}
