@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -28,7 +28,8 @@ def _typed(fields: DataFrame) -> DataFrame:
     return fields if "type" in fields.columns else fields.withColumn("type", F.lit("string"))
 
 
-def _sides(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
+def sides(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What endpoints give (src, src_tool, src_category, field, src_type) and what they take (dst, ...)."""
     f = _typed(fields)
     out = f.where("kind = 'output'").select(F.col("endpoint").alias("src"), F.col("tool").alias("src_tool"), F.col("category").alias("src_category"), "field", F.col("type").alias("src_type"))
     into = f.where("kind = 'input'").select(F.col("endpoint").alias("dst"), F.col("tool").alias("dst_tool"), F.col("category").alias("dst_category"), "field", F.col("type").alias("dst_type"))
@@ -37,7 +38,7 @@ def _sides(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def same_tool_edges(fields: DataFrame) -> DataFrame:
     """src, dst, shared_fields: another endpoint of the tool takes what one produces."""
-    out, into = _sides(fields)
+    out, into = sides(fields)
     pairs = out.join(into, (out.src_tool == into.dst_tool) & (out.field == into.field) & (out.src != into.dst) & types_compatible(out.src_type, into.dst_type))
     return pairs.groupBy("src", "dst").agg(F.array_sort(F.collect_set(out.field)).alias("shared_fields"))
 
@@ -56,7 +57,7 @@ def _graded(pairs: DataFrame, name_quality: float, field: Column) -> DataFrame:
 def feeds_exact(fields: DataFrame, fraction: float = K.GENERIC_FRACTION) -> DataFrame:
     """Edges between tools on equal names. Generic fields go before the join, which also keeps hubs from skewing it."""
     stats = field_stats(fields, fraction)
-    out, into = _sides(fields)
+    out, into = sides(fields)
     out = out.join(stats.where("class <> 'generic'").select("field", "specificity"), "field")
     pairs = out.join(into, "field").where((F.col("src_tool") != F.col("dst_tool")) & types_compatible(F.col("src_type"), F.col("dst_type")))
     return _graded(pairs, 1.0, F.col("field"))
@@ -65,7 +66,7 @@ def feeds_exact(fields: DataFrame, fraction: float = K.GENERIC_FRACTION) -> Data
 def feeds_root(fields: DataFrame, exact: DataFrame, fraction: float = K.GENERIC_FRACTION) -> DataFrame:
     """Edges between tools on equal roots of different names, without pairs that ``exact`` has."""
     stats = field_stats(fields, fraction)
-    out, into = _sides(fields)
+    out, into = sides(fields)
     useful = stats.where("class <> 'generic'").select("field", "specificity")
     out = out.join(useful, "field").withColumn("root", field_root(F.col("field"))).where(F.length("root") >= 3)
     into = into.withColumnRenamed("field", "dst_field").withColumn("root", field_root(F.col("dst_field")))
@@ -81,7 +82,7 @@ def category_affinity(fields: DataFrame, stats: DataFrame, least: int = 3) -> Da
 
 
 def semantic_bridge(vectors: DataFrame, allowed: DataFrame | None, threshold: float, tile: int = 1024) -> DataFrame:
-    """Pairs of other categories (of ``allowed`` pairs ca, cb, if given) with a cosine of at least the threshold, in both directions.
+    """Pairs of other categories (of ``allowed`` pairs ca, cb in either order, if given) with a cosine of at least the threshold, in both directions.
 
     Rows are dealt to tiles of about ``tile``, and each pair of tiles is one matrix product: a row is sent once a tile, not
     once a row, and pairs below the threshold never leave a task. Vectors that are null or zero, or hold null, have no cosine."""
@@ -108,11 +109,57 @@ def semantic_bridge(vectors: DataFrame, allowed: DataFrame | None, threshold: fl
     kind = {f.name: f.dataType.simpleString() for f in vectors.schema}
     hits = rows.groupBy("x", "y", "long").applyInPandas(close, f"src {kind['id']}, dst {kind['id']}, ca {kind['category']}, cb {kind['category']}, cosine double")
     if allowed is not None:
-        low, high = F.when(F.col("src") < F.col("dst"), F.col("ca")).otherwise(F.col("cb")), F.when(F.col("src") < F.col("dst"), F.col("cb")).otherwise(F.col("ca"))
-        hits = hits.withColumns({"low": low, "high": high}).join(allowed.select(F.col("ca").alias("low"), F.col("cb").alias("high")).distinct(), ["low", "high"], "left_semi")
+        both = allowed.select("ca", "cb").union(allowed.select("cb", "ca")).distinct()
+        hits = hits.join(both, ["ca", "cb"], "left_semi")
     return hits.where("src <> dst").select("src", "dst", F.round("cosine", 6).alias("cosine"))
 
 
+def text_vectors(words: DataFrame) -> DataFrame:
+    """``words``: id, category, word (one row an occurrence). id, category, word, df, w: unit vectors by tf-idf; words that all have weigh nothing."""
+    counts = words.groupBy("id", "category", "word").agg(F.count(F.lit(1)).alias("tf"))
+    df = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    n = F.broadcast(words.agg(F.count_distinct("id").alias("n")))
+    raw = counts.join(df, "word").join(n).withColumn("x", F.col("tf") * F.ln(F.col("n") / F.col("df"))).where("x > 0")
+    return raw.select("id", "category", "word", "df", (F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))).alias("w"))
+
+
+def prefix_postings(vectors: DataFrame, threshold: float) -> DataFrame:
+    """``vectors``: id, category, word, df, w (unit). Those postings by which alone a pair can reach the threshold, with ``rest``, the norm of
+    a vector's others. Words run from rare to common for all vectors, and a prefix ends where the rest's norm falls below the threshold;
+    so a pair that reaches it has a word in common in both prefixes."""
+    by = Window.partitionBy("id").orderBy(F.desc("df"), F.desc("word"))  # a vector's own words
+    tail = F.sum(F.col("w") * F.col("w")).over(by)
+    least = (threshold - 1e-9) ** 2
+    rows = vectors.withColumn("tail", tail)
+    rest = F.max(F.when(F.col("tail") < least, F.col("tail"))).over(Window.partitionBy("id"))
+    return rows.withColumn("rest", F.sqrt(F.coalesce(rest, F.lit(0.0)))).where(F.col("tail") >= least).select("id", "category", "word", "w", "rest")
+
+
+def cosine_candidates(vectors: DataFrame, threshold: float, allowed: DataFrame | None = None) -> DataFrame:
+    """a, b: pairs of other categories (``allowed`` in either order) that share a prefix word and that the products so far and the norms of the rest let reach the threshold."""
+    post = prefix_postings(vectors, threshold)
+    side = lambda k: post.select("word", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "category", "w", "rest")])
+    left, right = side("a"), side("b")
+    if allowed is not None:
+        both = allowed.select("ca", "cb").union(allowed.select("cb", "ca")).distinct()
+        left = left.join(both.groupBy(F.col("ca").alias("category_a")).agg(F.collect_set("cb").alias("to")), "category_a")  # a list of categories for each
+    pairs = left.join(right, "word").where((F.col("id_a") < F.col("id_b")) & (F.col("category_a") != F.col("category_b")))
+    pairs = pairs.where(F.array_contains("to", F.col("category_b"))) if allowed is not None else pairs
+    met = pairs.groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("part"), F.max(F.greatest("rest_a", "rest_b")).alias("rest"))
+    return met.where(F.col("part") + F.col("rest") >= threshold - 1e-9).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+
+def cosine_join(vectors: DataFrame, threshold: float = 0.75, allowed: DataFrame | None = None) -> DataFrame:
+    """src, dst, cosine: pairs of sparse unit vectors (id, category, word, df, w) of other categories with a cosine of at least the threshold, in
+    both directions. Exact: candidates meet on the words of prefix postings, and each is worked out in full. Work follows the rare words that vectors
+    share; a vector without words meets none."""
+    found = cosine_candidates(vectors, threshold, allowed)
+    x, y = vectors.select(F.col("id").alias("a"), "word", F.col("w").alias("wa")), vectors.select(F.col("id").alias("b"), "word", F.col("w").alias("wb"))
+    full = found.join(x, "a").join(y, ["b", "word"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("c")).where(F.col("c") >= threshold)
+    rows = full.select(F.explode(F.array(F.struct(F.col("a").alias("src"), F.col("b").alias("dst")), F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))).alias("p"), F.round("c", 6).alias("cosine"))
+    return rows.select("p.*", "cosine")
+
+
 def node_counts(fields: DataFrame) -> DataFrame:
     """node_type, n."""
     n = lambda df, kind: df.distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("node_type"), "n")
@@ -132,17 +179,8 @@ def structural_edges(fields: DataFrame) -> DataFrame:
     return out.unionByName(edge(fields.where("kind = 'input'"), text("endpoint"), name, "takes_input")).unionByName(edge(fields.where("kind = 'output'"), text("endpoint"), name, "produces"))
 
 
-def transitions(same_tool: DataFrame, feeds: DataFrame, semantic: DataFrame | None = None) -> DataFrame:
-    """src, dst, tier, weight: what a walk may take next. Lower tiers are used only if there is no higher one."""
-    row = lambda df, tier, w: df.select("src", "dst", F.lit(tier).alias("tier"), w.alias("weight"))
-    out = row(same_tool, 0, F.lit(3.0)).unionByName(row(feeds.where("edge_class = 'hard'"), 0, F.round(4 * F.col("confidence"), 6))).unionByName(row(feeds.where("edge_class = 'soft'"), 1, F.round(2 * F.col("confidence"), 6)))
-    if semantic is not None:
-        out = out.unionByName(row(semantic, 2, F.round(2.5 * F.col("cosine"), 6)))
-    return out
-
-
 def category_fallback(fields: DataFrame) -> DataFrame:
     """Pairs within a category by shared names: confidence .5 + .3 n."""
-    out, into = _sides(fields)
+    out, into = sides(fields)
     pairs = out.join(into, (out.src_category == into.dst_category) & (out.field == into.field) & (out.src != into.dst))
     return pairs.groupBy("src", "dst").agg(F.count_distinct(out.field).alias("shared")).withColumn("confidence", F.round(0.5 + 0.3 * F.col("shared"), 6))

@@ -73,13 +73,18 @@ def tool_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """endpoint, tool, category, kind (output or input), field: a document's long plain words, as names are, from its
-    whole text. Inputs are those that are capitalised somewhere, outputs the others."""
-    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("endpoint"), F.col("source").alias("tool"), F.concat(F.lit("c"), (F.regexp_extract("source", "([0-9]+)", 1).cast("int") % 5).cast("string")).alias("category"), F.array_distinct(F.split("text", "[ \\n]+")).alias("w"))
-    plain, capital = F.filter("w", lambda x: x.rlike("^[a-z]{9,}$")), F.transform(F.filter("w", lambda x: x.rlike("^[A-Z][a-z]{8,}$")), F.lower)
-    rows = d.select("endpoint", "tool", "category", F.array_except(plain, capital).alias("output"), F.array_distinct(capital).alias("input"))
+    """endpoint, tool, category, kind (output or input), field: every word of a document's whole text, in lower case. Inputs are those
+    that are capitalised somewhere, outputs the others; the documents of a source make tools of a hundred ids each."""
+    source = F.regexp_extract("source", "([0-9]+)", 1).cast("int")
+    tool = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 100).cast("string"))
+    words = F.filter(F.array_distinct(F.split("text", "[ \\n]+")), lambda x: x != "")
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("endpoint"), tool.alias("tool"), F.concat(F.lit("c"), (source % 5).cast("string")).alias("category"), words.alias("w"))
+    lower = lambda x: F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    capital = F.array_distinct(F.transform(F.filter("w", lambda x: x.rlike("^[A-Z]")), lower))
+    rows = d.withColumn("input", capital)
     keys = ("endpoint", "tool", "category")
-    outputs = rows.select(*keys, F.lit("output").alias("kind"), F.explode("output").alias("field"))
+    plain = F.array_distinct(F.transform(F.filter("w", lambda x: ~x.rlike("^[A-Z]")), lower))
+    outputs = rows.select(*keys, F.lit("output").alias("kind"), F.explode(F.array_except(plain, F.col("input"))).alias("field"))
     return outputs.unionByName(rows.select(*keys, F.lit("input").alias("kind"), F.explode("input").alias("field")))
 
 
@@ -102,8 +107,8 @@ SQL = {
     "ncalls": "nc0 AS (SELECT *, CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') AS conv_id, json_extract_string(props, '$.k') AS k FROM events), ncalls AS (SELECT conv_id, event_id, row_number() OVER (PARTITION BY conv_id ORDER BY ts, event_id) - 1 AS call_idx, "
     "CASE WHEN event_id % 2 = 1 THEN '{\"id\":\"' || k || '\",\"n\":\"' || k || '_x\"}' ELSE '{\"id\":' || k || ',\"ok\":true}' END AS arguments, "
     "'{\"dataSet\":{\"items\":[{\"itemId\":' || CASE WHEN event_id % 2 = 1 THEN '\"' || k || '_x\"' ELSE k END || '},{\"itemId\":\"' || k || '\"}]},\"tags\":[\"a\",\"\"],\"none\":null,\"open\":false}' AS response FROM nc0)",
-    "fields": "w0 AS (SELECT doc_id AS endpoint, source AS tool, 'c' || CAST(CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) % 5 AS VARCHAR) AS category, list_distinct(string_split_regex(text, '[ \\n]+')) AS w FROM documents), "
-    "w1 AS (SELECT endpoint, tool, category, list_filter(w, lambda x: regexp_full_match(x, '[a-z]{9,}')) AS o, list_distinct(list_transform(list_filter(w, lambda x: regexp_full_match(x, '[A-Z][a-z]{8,}')), lambda x: lower(x))) AS i FROM w0), "
+    "fields": "w0 AS (SELECT doc_id AS endpoint, source || '/' || CAST(doc_id // 100 AS VARCHAR) AS tool, 'c' || CAST(CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) % 5 AS VARCHAR) AS category, list_filter(list_distinct(string_split_regex(text, '[ \\n]+')), lambda x: x <> '') AS w FROM documents), "
+    "w1 AS (SELECT endpoint, tool, category, list_distinct(list_transform(list_filter(w, lambda x: NOT regexp_matches(x, '^[A-Z]')), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS o, list_distinct(list_transform(list_filter(w, lambda x: regexp_matches(x, '^[A-Z]')), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS i FROM w0), "
     "fields AS (SELECT endpoint, tool, category, 'output' AS kind, unnest(list_filter(o, lambda x: NOT list_contains(i, x))) AS field FROM w1 UNION ALL SELECT endpoint, tool, category, 'input', unnest(i) FROM w1)",
     "reg": "reg AS (SELECT p_partkey AS tool_id, p_type AS category, round(p_retailprice + p_size, 2) AS score, p_name AS name, p_brand FROM part)",
 }

@@ -17,6 +17,7 @@ from ..operators import metrics as M
 from ..operators import planning as P
 from ..operators import sampling as S
 from ..operators import selection as Q
+from ..operators import transitions as X
 from ..sources import catalogue as C
 from ..sources import wire
 from . import bindings as B
@@ -245,7 +246,7 @@ def metadata_filters(spark, d):
 # Graph
 
 _STATS = "tot AS (SELECT count(DISTINCT endpoint) AS n, count(DISTINCT category) AS c FROM fields), stats AS (SELECT field, df, categories, ln(n / df) AS idf, least(ln(n / df) / ln(n), 1.0) AS specificity, CASE WHEN df < n * {0} THEN 'rare' WHEN categories >= c * 0.5 THEN 'generic' ELSE 'bridge' END AS class FROM (SELECT field, count(DISTINCT endpoint) AS df, count(DISTINCT category) AS categories FROM fields GROUP BY field), tot)"
-_FR = 0.05
+_FR = K.GENERIC_FRACTION
 _IO = "o AS (SELECT endpoint AS src, tool AS st, category AS sc, field FROM fields WHERE kind = 'output'), i AS (SELECT endpoint AS dst, tool AS dt, category AS dc, field FROM fields WHERE kind = 'input')"
 _EXACT = "ex0 AS (SELECT src, dst, field, 0.2 + 0.1 + CASE WHEN sc = dc THEN 1.0 ELSE 0.3 END * 0.3 + specificity * 0.4 AS c FROM o JOIN stats USING (field) JOIN i USING (field) WHERE class <> 'generic' AND st <> dt), ex AS (SELECT src, dst, round(c, 3) AS confidence, CASE WHEN c >= 0.7 THEN 'hard' ELSE 'soft' END AS edge_class, field FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY c DESC, field DESC) AS r FROM ex0 WHERE c >= 0.6) WHERE r = 1)"
 _F = B.sql("fields") + ", " + _STATS.format(_FR)
@@ -341,6 +342,20 @@ def semantic_bridge(spark, d):
     return G.semantic_bridge(B.vectors(spark, d), None, 0.35)
 
 
+_PAIRS = "cf AS (SELECT DISTINCT category, field FROM fields JOIN stats USING (field) WHERE class <> 'generic'), pairs AS (SELECT a.category AS ca, b.category AS cb FROM cf a JOIN cf b USING (field) WHERE a.category < b.category GROUP BY 1, 2 HAVING count(*) >= 3)"
+_TF = "tf AS (SELECT doc_id AS id, word, count(*) AS tf FROM (SELECT doc_id, unnest(string_split_regex(text, '[ \\n]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1, 2), dfs AS (SELECT word, count(*) AS df FROM tf GROUP BY 1), raw AS (SELECT id, word, tf * ln((SELECT count(DISTINCT id) FROM tf) / df) AS x FROM tf JOIN dfs USING (word)), tv AS (SELECT raw.id, category, word, x / sqrt(sum(x * x) OVER (PARTITION BY raw.id)) AS w FROM raw JOIN (SELECT DISTINCT endpoint AS id, category FROM fields) USING (id) WHERE x > 0)"
+
+
+@query(f"{_F}, {_PAIRS}, {_TF}, k AS (SELECT a.id AS src, b.id AS dst, round(sum(a.w * b.w), 6) AS cosine FROM tv a JOIN tv b USING (word) JOIN pairs ON ca = least(a.category, b.category) AND cb = greatest(a.category, b.category) WHERE a.category <> b.category GROUP BY 1, 2 HAVING sum(a.w * b.w) >= 0.75) SELECT * FROM k")
+def description_bridge(spark, d):
+    """Endpoints of categories that share fields whose texts, as tf-idf vectors of all their words, are alike."""
+    f = B.fields(spark, d)
+    pairs = G.category_affinity(f, G.field_stats(f, _FR)).select(F.col("a").alias("ca"), F.col("b").alias("cb"))
+    docs = B.read(spark, d, "documents").select(F.col("doc_id").alias("id"), F.explode(F.split("text", "[ \\n]+")).alias("word")).where("word <> ''")
+    words = docs.join(f.select(F.col("endpoint").alias("id"), "category").distinct(), "id")
+    return G.cosine_join(cut(G.text_vectors(words)), 0.75, pairs)
+
+
 @query(f"{B.sql('fields')} SELECT 'category' AS node_type, count(DISTINCT category) AS n FROM fields UNION ALL SELECT 'tool', count(DISTINCT tool) FROM fields UNION ALL SELECT 'endpoint', count(DISTINCT endpoint) FROM fields UNION ALL SELECT 'parameter', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'input') UNION ALL SELECT 'output_field', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'output')")
 def node_type_counts(spark, d):
     return G.node_counts(B.fields(spark, d))
@@ -351,22 +366,80 @@ def edge_type_counts(spark, d):
     return G.structural_edges(B.fields(spark, d)).groupBy("edge_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"{_F}, {_IO}, {_EXACT}, t AS (SELECT DISTINCT src, dst, 0 AS tier, 3.0 AS weight FROM o JOIN i USING (field) WHERE st = dt AND src <> dst UNION ALL SELECT src, dst, CASE WHEN edge_class = 'hard' THEN 0 ELSE 1 END, round(CASE WHEN edge_class = 'hard' THEN 4 ELSE 2 END * confidence, 6) FROM ex) SELECT tier, count(*) AS n, round(sum(weight), 3) AS mass FROM t GROUP BY tier")
+def _mixed(spark, d):
+    """Fields of which a third meets by equal names and the others by roots."""
+    n, f = F.length("field") % 3, F.col("field")
+    out, into = F.when(n == 0, F.concat(f, F.lit("_id"))).otherwise(f), F.when(n == 1, F.concat(f, F.lit("_key"))).otherwise(f)
+    return B.fields(spark, d).withColumn("field", F.when(F.col("kind") == "output", out).otherwise(into))
+
+
+_MIX = B.sql("fields").replace("fields AS (", "fields0 AS (") + ", fields AS (SELECT endpoint, tool, category, kind, CASE WHEN kind = 'output' AND length(field) % 3 = 0 THEN field || '_id' WHEN kind = 'input' AND length(field) % 3 = 1 THEN field || '_key' ELSE field END AS field FROM fields0), " + _STATS.format(_FR)
+_NROOT = "regexp_replace(trim(regexp_replace(lower(field), '_+', '_', 'g'), '_'), '^(.+)_(id|identifier|code|key|number|token|date|time|name|type|url|uri|link)$', '\\1')"
+_NEAR = "CASE WHEN sc = dc THEN 1.0 ELSE 0.3 END * 0.3"
+_FLOW = f"""fx AS (SELECT src, dst, field, 0.2 + 0.1 + {_NEAR} + specificity * 0.4 AS c FROM o JOIN stats USING (field) JOIN i USING (field) WHERE class <> 'generic' AND st <> dt),
+  ro AS (SELECT *, {_NROOT} AS root FROM o), ri AS (SELECT dst, dt, dc, field AS taken, {_NROOT} AS root FROM i),
+  fr AS (SELECT src, dst, ro.field, 0.1 + 0.1 + {_NEAR} + coalesce(specificity, 0.0) * 0.4 AS c FROM ro JOIN ri USING (root) LEFT JOIN stats ON stats.field = root WHERE length(root) >= 3 AND coalesce(class, '') <> 'generic' AND st <> dt AND ro.field <> taken),
+  flow AS (SELECT src, dst, round(c, 3) AS confidence, CASE WHEN c >= 0.7 THEN 'hard' ELSE 'soft' END AS edge_class, field FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY c DESC, field DESC) AS r FROM (SELECT * FROM fx UNION ALL SELECT * FROM fr) WHERE c >= 0.6) WHERE r = 1)"""
+_UNIT = "u AS (SELECT id, category, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS u FROM n), h AS (SELECT a.id AS src, b.id AS dst, a.category AS ca, b.category AS cb, list_sum(list_transform(list_zip(a.u, b.u), lambda p: p[1] * p[2])) AS c FROM u a JOIN u b ON a.id < b.id AND a.category <> b.category)"
+_STEPS = f"""{_FLOW}, {_PAIRS}, n AS (SELECT vec_id AS id, category, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings JOIN (SELECT DISTINCT endpoint, category FROM fields) ON vec_id = endpoint), {_UNIT},
+  sem AS (SELECT src, dst, round(c, 6) AS cosine FROM h JOIN pairs ON pairs.ca = least(h.ca, h.cb) AND pairs.cb = greatest(h.ca, h.cb) WHERE c >= 0.35),
+  t0 AS (SELECT DISTINCT src, dst, 0 AS tier, 'same_tool' AS kind, 3.0 AS weight FROM o JOIN i USING (field) WHERE st = dt AND src <> dst
+    UNION ALL SELECT src, dst, CASE WHEN edge_class = 'hard' THEN 0 ELSE 1 END, 'feeds_into_' || edge_class, round(CASE WHEN edge_class = 'hard' THEN 4 ELSE 2 END * confidence, 6) FROM flow
+    UNION ALL SELECT src, dst, 2, 'semantic_bridge', round(2.5 * cosine, 6) FROM sem UNION ALL SELECT dst, src, 2, 'semantic_bridge', round(2.5 * cosine, 6) FROM sem),
+  rich AS (SELECT src FROM t0 GROUP BY src HAVING count(DISTINCT dst) >= 4),
+  t AS (SELECT * FROM t0 UNION ALL SELECT src, dst, 3, 'same_category_fallback', CAST(round(0.5 + 0.3 * count(DISTINCT field), 6) AS DOUBLE) FROM o JOIN i USING (field) WHERE sc = dc AND src <> dst AND src NOT IN (SELECT src FROM rich) GROUP BY src, dst)"""
+
+
+@query(f"{_MIX}, {_IO}, {_FLOW} SELECT * FROM flow")
+def flow_targets(spark, d):
+    """Endpoints that data flows to over two hops, by names and by roots, with the most confident pair of fields."""
+    return X.flows(_mixed(spark, d), _FR)
+
+
+def _endpoints(f):
+    e = F.col("endpoint")
+    return f.select("endpoint", "tool", "category").distinct().withColumn("quality", F.when(e % 3 == 0, "complete").when(e % 3 == 1, "inferred").otherwise("minimal"))
+
+
+def _bridges(spark, d, f):
+    """Semantic bridges between endpoints of categories that share fields; a vector belongs to the endpoint of its number."""
+    vectors = B.vectors(spark, d).drop("category").join(f.select(F.col("endpoint").alias("id"), "category").distinct(), "id")
+    pairs = G.category_affinity(f, G.field_stats(f, _FR)).select(F.col("a").alias("ca"), F.col("b").alias("cb"))
+    return G.semantic_bridge(vectors, pairs, 0.35)
+
+
+def _steps(spark, d):
+    f = _mixed(spark, d)
+    return cut(_endpoints(f)), cut(X.edges(f, cut(X.flows(f, _FR)), cut(_bridges(spark, d, f)), steps=4))  # every walk reads both
+
+
+@query(f"{_MIX}, {_IO}, {_STEPS} SELECT tier, kind, count(*) AS n, count(DISTINCT src) AS sources, round(sum(weight), 3) AS mass FROM t GROUP BY tier, kind")
 def transition_candidates(spark, d):
-    f = B.fields(spark, d)
-    return G.transitions(G.same_tool_edges(f), G.feeds_exact(f, _FR)).groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 3).alias("mass"))
+    return _steps(spark, d)[1].groupBy("tier", "kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("src").alias("sources"), F.round(F.sum("weight"), 3).alias("mass"))
+
+
+@query(f"{_MIX}, {_IO}, {_STEPS} SELECT src, min(tier) AS tier, count(*) FILTER (tier = 0) AS first, CAST(round(sum(weight) FILTER (tier = 0), 3) AS DOUBLE) AS mass FROM t GROUP BY src")
+def transition_store(spark, d):
+    """What the store to draw from holds: each source's best tier, and the candidates and the weight of its first."""
+    endpoints, steps = _steps(spark, d)
+    first = F.get(F.filter("tables", lambda t: t["tier"] == 0), 0)
+    mass = F.aggregate(first["c"], F.lit(0.0), lambda s, x: s + x["weight"])
+    return X.store(steps, endpoints).heads.select("src", F.get("tables", 0)["tier"].alias("tier"), F.coalesce(first["n"], F.lit(0).cast("long")).alias("first"), F.round(mass, 3).alias("mass"))
+
+
+def _slots(spark, d):
+    """A slot for each order."""
+    return B.read(spark, d, "orders").select(F.col("o_orderkey").alias("slot"))
 
 
 @query()
 def sampled_chains(spark, d):
-    """200 walks under the default constraints; no SQL, as picks are hashed."""
-    f = B.fields(spark, d)
-    endpoints = f.select("endpoint", "tool", "category").distinct().withColumn("quality", F.lit("complete"))
-    steps = cut(G.transitions(G.same_tool_edges(f), G.feeds_exact(f, _FR)))
-    return S.walk(endpoints, steps, spark.range(200).withColumnRenamed("id", "slot"))
+    """A walk for each order under the default constraints; no SQL, as picks are hashed."""
+    endpoints, steps = _steps(spark, d)
+    return S.walk(endpoints, steps, _slots(spark, d))
 
 
-@query(f"{_F}, {_IO}, {_EXACT}, t AS (SELECT DISTINCT src FROM o JOIN i USING (field) WHERE st = dt AND src <> dst UNION SELECT src FROM ex WHERE edge_class = 'hard'), e AS (SELECT DISTINCT endpoint, tool, category FROM fields WHERE category <> 'c4') SELECT endpoint, tool, category, round(CAST(CASE endpoint % 3 WHEN 0 THEN 1.2 WHEN 1 THEN 1.0 ELSE 0.8 END * CASE WHEN src IS NOT NULL THEN 1.5 ELSE 1.0 END * CASE WHEN category = 'c1' THEN 3.0 ELSE 1.0 END AS DOUBLE), 6) AS weight FROM e LEFT JOIN t ON endpoint = src")
+@query(f"{_MIX}, {_IO}, {_STEPS}, w AS (SELECT src, min(tier) = 0 AS follows, bool_or(kind <> 'same_tool') AS flows FROM t WHERE tier < 2 GROUP BY src), e AS (SELECT DISTINCT endpoint, tool, category FROM fields WHERE category <> 'c4'), g AS (SELECT *, coalesce(follows, false) AS f FROM e LEFT JOIN w ON endpoint = src) SELECT endpoint, tool, category, round(CAST(CASE endpoint % 3 WHEN 0 THEN 1.2 WHEN 1 THEN 1.0 ELSE 0.8 END * CASE WHEN flows THEN 1.5 ELSE 1.0 END * CASE WHEN category = 'c1' THEN 3.0 ELSE 1.0 END AS DOUBLE), 6) AS weight FROM g WHERE f = (SELECT max(f) FROM g)")
 def seed_weights(spark, d):
     endpoints, steps = _steps(spark, d)
     return S.seed_weights(endpoints, steps, S.Constraints(categories=("c0", "c1", "c2", "c3"), must_include=("c1",)))
@@ -524,24 +597,18 @@ def chain_context(spark, d):
     return P.next_parameters(chains, endpoints)
 
 
-def _steps(spark, d):
-    f = B.fields(spark, d)
-    endpoints = f.select("endpoint", "tool", "category").distinct().withColumn("quality", F.when(F.col("endpoint") % 3 == 0, "complete").when(F.col("endpoint") % 3 == 1, "inferred").otherwise("minimal"))
-    return cut(endpoints), cut(G.transitions(G.same_tool_edges(f), G.feeds_exact(f, _FR)))  # every step reads both
-
-
 @query()
 def parallel_chains(spark, d):
-    """200 sets of independent endpoints; no SQL, as picks are hashed."""
+    """Independent endpoints for each order; no SQL, as picks are hashed."""
     endpoints, steps = _steps(spark, d)
-    return S.parallel(endpoints, steps, spark.range(200).withColumnRenamed("id", "slot"))
+    return S.parallel(endpoints, steps, _slots(spark, d))
 
 
 @query()
 def sequential_chains(spark, d):
-    """100 chains by eight attempts each that must touch a category; no SQL, as picks are hashed."""
+    """A chain by up to eight attempts for each order, which must touch a category; no SQL, as picks are hashed."""
     endpoints, steps = _steps(spark, d)
-    return S.sequential(endpoints, steps, spark.range(100).withColumnRenamed("id", "slot"), S.Constraints(must_include=("c1",)))
+    return S.sequential(endpoints, steps, _slots(spark, d), S.Constraints(must_include=("c1",)))
 
 
 # Text

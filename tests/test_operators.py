@@ -136,15 +136,8 @@ def test_fuzzy_dedup(spark):
     assert sorted(r.tool_id for r in Q.fuzzy_dedup(df).collect()) == [2, 3]
 
 
-def test_walks(spark):
-    endpoints = spark.createDataFrame([(e, t, "c", "complete") for e, t in (("a", "A"), ("b", "B"), ("c", "C"))], "endpoint string, tool string, category string, quality string")
-    steps = spark.createDataFrame([("a", "b", 0, 3.0), ("b", "c", 0, 3.0), ("c", "a", 1, 1.0)], "src string, dst string, tier int, weight double")
-    slots = spark.range(20).withColumnRenamed("id", "slot")
-    c = S.Constraints(exact_steps=3)
-    got = {r.slot: r.chain for r in S.walk(endpoints, steps, slots, c, 7).collect()}
-    assert len(got) == 20 and all(len(x) == len(set(x)) == 3 for x in got.values())
-    assert got == {r.slot: r.chain for r in S.walk(endpoints.repartition(3), steps.repartition(5), slots.repartition(2), c, 7).collect()}
-    assert not any("b" in r.chain for r in S.walk(endpoints, steps, slots, S.Constraints(exclude_endpoints=("b",)), 1).collect())
+def test_exact_steps():
+    assert S.Constraints(exact_steps=3).max_steps == 3 == S.Constraints(exact_steps=3).min_steps
     with pytest.raises(ValueError):
         S.Constraints(exact_steps=0)
 
@@ -160,11 +153,33 @@ def test_semantic_bridge_by_tiles(spark):
     want = {(i, j) for i, c, x in rows[:40] for j, k, y in rows[:40] if c != k and cosine(x, y) >= 0.5}
     assert want and {(x.src, x.dst) for x in G.semantic_bridge(vectors, None, 0.5, tile=7).collect()} == want
     allowed = spark.createDataFrame([("a", "b")], "ca string, cb string")
-    kept = {(i, j) for i, j in want if (rows[min(i, j)][1], rows[max(i, j)][1]) == ("a", "b")}
+    kept = {(i, j) for i, j in want if {rows[i][1], rows[j][1]} == {"a", "b"}}
     assert kept and {(x.src, x.dst) for x in G.semantic_bridge(vectors, allowed, 0.5, tile=7).collect()} == kept
     assert G.semantic_bridge(vectors.limit(0), None, 0.5).count() == 0
 
 
+def test_cosine_join_equals_all_pairs(spark):
+    r = random.Random(6)
+    texts = [[r.choice("abcdefghijklmnopqrstuvwxyz") * r.randrange(1, 3) for _ in range(r.randrange(1, 12))] for _ in range(80)]
+    texts += [texts[i] + ["extra"] for i in range(0, 80, 3)] + [list(texts[5])] * 3
+    rows = [(i, "xyz"[i % 3], w) for i, t in enumerate(texts) for w in t]
+    vectors = G.text_vectors(spark.createDataFrame(rows, "id long, category string, word string"))
+    of = {}
+    for v in vectors.collect():
+        of.setdefault(v.id, {})[v.word] = v.w
+    assert all(abs(sum(w * w for w in v.values()) - 1) < 1e-9 for v in of.values())
+    dot = lambda i, j: sum(w * of[j].get(d, 0.0) for d, w in of[i].items())
+    every = {(i, j): dot(i, j) for i in of for j in of if i % 3 != j % 3}
+    for threshold in (0.3, 0.75, 0.95):
+        got = {(x.src, x.dst): x.cosine for x in G.cosine_join(vectors, threshold).collect()}
+        want = {p: c for p, c in every.items() if c >= threshold}
+        assert set(got) == set(want) and want and all(abs(got[p] - c) < 1e-6 for p, c in want.items())
+    allowed = spark.createDataFrame([("y", "x")], "ca string, cb string")
+    got = {(x.src, x.dst) for x in G.cosine_join(vectors, 0.75, allowed).collect()}
+    assert got == {(i, j) for (i, j), c in every.items() if c >= 0.75 and 2 not in (i % 3, j % 3)}
+    assert G.cosine_join(vectors.limit(0)).count() == 0
+
+
 def test_read_any_takes_both_forms(spark):
     lines = [
         '{"conversation_id":"w","messages":[{"role":"user","content":"hi"}]}',
@@ -251,20 +266,6 @@ def test_planned_types(spark):
     assert abs(got.count("multi_step_chain") - 80) <= 1 and P.constraints_of(_KINDS[4]).min_steps == 4
 
 
-def test_modes_of_sampling(spark):
-    endpoints = spark.createDataFrame([(e, t, c, "complete") for e, t, c in (("a", "A", "x"), ("b", "B", "x"), ("c", "C", "x"), ("d", "D", "y"))], "endpoint string, tool string, category string, quality string")
-    steps = spark.createDataFrame([("a", "b", 0, 3.0), ("b", "a", 0, 3.0), ("c", "d", 0, 1.0)], "src string, dst string, tier int, weight double")
-    slots = spark.range(30).withColumnRenamed("id", "slot")
-    for r in S.parallel(endpoints, steps, slots, seed=3).collect():
-        assert len(r.chain) == len(set(r.chain)) >= 2 and not {"a", "b"} <= {r.chain[0], *r.chain[1:]} or r.chain[0] not in "ab"
-    must = S.sequential(endpoints, steps, slots, S.Constraints(exact_steps=2, must_include=("y",)), 5).collect()
-    assert len(must) == 30 and all(not r.complete or "d" in r.chain for r in must) and any(r.complete for r in must)
-    short = spark.createDataFrame([(1, ["a"], ["A"]), (2, ["d"], ["D"])], "slot long, chain array<string>, tools array<string>")
-    grown = {r.slot: r.chain for r in S.diversify(short, endpoints, steps, S.Constraints(min_tools=2)).collect()}
-    assert grown == {1: ["a", "b"], 2: ["d"]}
-    assert {r.tool for r in S.seed_weights(endpoints, steps, S.Constraints(required_tools=("B", "Z"))).collect()} == {"B"}
-
-
 def test_appending(spark, tmp_path):
     from chainloom.streaming.appending import append_conversations
 
