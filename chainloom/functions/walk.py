@@ -1,145 +1,173 @@
-"""Walks over JSON texts of any depth.
+"""Walks over JSON texts of any depth, as column expressions over VARIANT.
 
-Nesting has no bound in some of the walks, and numbers must read as they do in the data, so each is a small
-Arrow-batched function from one text to a list; what is done with the lists is up to Spark.
+A walk goes level by level: a column holds the nodes that are still open, an expression says what a level gives
+and what it opens, and each level binds the next one's nodes once. So a text stays one row, and no Python worker is needed.
+Keys of an object come in order of their names. A text that is no JSON, or names a key of one object
+twice, has nothing. Walks without a bound of their own go ``LEVELS`` deep and raise an error at a deeper text.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that mark a schema's own keys, and texts that stand for types.
 SCHEMA_WORDS = ("type", "properties", "items", "required", "description", "default", "enum", "format", "additionalProperties")
-TYPE_WORDS = ("str", "int", "float", "bool", "string", "integer", "number", "boolean", "nonetype")
+TYPE_WORDS = ("str", "int", "float", "bool", "string", "integer", "number", "boolean")
 
 ITEM = "array<struct<key: string, kind: string, value: string>>"
-Item = tuple[str, str, str]
-
-
-def _kind(v) -> str:
-    return "boolean" if isinstance(v, bool) else "number" if isinstance(v, (int, float)) else "string"
-
-
-def every_leaf(data, top: bool = False) -> Iterator[Item]:
-    """All strings that aren't empty, numbers and booleans, with the key they lie under; ``top``: of the first level only."""
-    todo = [("", data)]
-    while todo:
-        key, v = todo.pop()
-        if isinstance(v, dict):
-            if not top or v is data:
-                todo += reversed([*v.items()])
-        elif isinstance(v, list):
-            if not top:
-                todo += reversed([(key, x) for x in v])
-        elif v is not None and v != "":
-            yield key, _kind(v), str(v)
-
-
-def by_path(data) -> Iterator[Item]:
-    """Values under dotted paths; of a list the first element alone. Values are JSON texts."""
-    todo = [("", data)] if isinstance(data, dict) else []
-    while todo:
-        prefix, level = todo.pop(0)
-        for key, v in level.items():
-            if isinstance(v, dict):
-                todo.append((f"{prefix}{key}.", v))
-            elif isinstance(v, list):
-                if v and isinstance(v[0], dict):
-                    todo.append((f"{prefix}{key}[0].", v[0]))
-                elif v:
-                    yield f"{prefix}{key}", _kind(v[0]), json.dumps(v[0], ensure_ascii=False)
-            elif v is not None:
-                yield f"{prefix}{key}", _kind(v), json.dumps(v, ensure_ascii=False)
-
-
-def by_key(data) -> Iterator[Item]:
-    """Values under their bare keys, in the order in which they are met; of a list of objects the first, and its length as ``<key>_count``."""
-    for key, v in data.items() if isinstance(data, dict) else ():
-        if isinstance(v, dict):
-            yield from by_key(v)
-        elif isinstance(v, list):
-            if v and isinstance(v[0], dict):
-                yield from by_key(v[0])
-                yield f"{key}_count", "number", str(len(v))
-            elif v:
-                yield key, _kind(v[0]), json.dumps(v[0], ensure_ascii=False)
-        elif v is not None and v != "":
-            yield key, _kind(v), json.dumps(v, ensure_ascii=False)
-
-
-def compared(data, depth: int = 0) -> Iterator[Item]:
-    """Strings and numbers under their keys, of lists the first ten elements, five levels below the top; no booleans."""
-    for key, v in data.items() if depth <= 5 and isinstance(data, dict) else ():
-        for x in v[:10] if isinstance(v, list) else [v]:
-            if isinstance(x, dict):
-                yield from compared(x, depth + 1)
-            elif x not in (None, "") and not isinstance(x, (bool, list)):
-                yield key, _kind(x), str(x)
-
-
-def schema_fields(schema, depth: int = 0) -> Iterator[Item]:
-    """Names with their types, of JSON Schema and of plain examples of types, four levels below the top. A later name replaces an earlier one."""
-    if depth > 4 or not isinstance(schema, dict):
-        return
-    named = schema.get("properties", {})
-    for key, v in named.items() if isinstance(named, dict) else ():
-        if isinstance(v, dict):
-            kind = v.get("type", "string")
-            yield key, kind if isinstance(kind, str) else "string", ""
-            yield from schema_fields(v, depth + 1)
-            yield from schema_fields(v.get("items", {}), depth + 1)
-    for key, v in schema.items():
-        if key in SCHEMA_WORDS:
-            continue
-        if isinstance(v, str) and v.lower() in TYPE_WORDS:
-            yield key, v, ""
-        elif isinstance(v, dict):
-            yield key, "object", ""
-            yield from schema_fields(v, depth + 1)
-        elif isinstance(v, list):
-            yield key, "array", ""
-            yield from schema_fields(next((x for x in v if isinstance(x, dict)), None), depth + 1)
-
-
-def _column(text: Column, walk: Callable[[object], Iterator[Item]]) -> Column:
-    @F.pandas_udf(ITEM)
-    def run(texts: pd.Series) -> pd.Series:
-        def of(t: str | None) -> list[Item]:
-            try:
-                return list(walk(json.loads(t))) if t else []
-            except ValueError:
-                return []
-
-        return texts.map(of)
-
-    return run(text)
+NODE = "array<struct<key: string, v: variant>>"
+LEVELS = 12
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _object(v: Column) -> Column:
+    """An object's entries; none of anything else."""
+    return F.coalesce(F.map_entries(v.try_cast("map<string, variant>")), F.array().cast("array<struct<key: string, value: variant>>"))
+
+
+def _list(v: Column) -> Column:
+    return F.coalesce(v.try_cast("array<variant>"), F.array().cast("array<variant>"))
+
+
+def _type(v: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+
+
+def _is(v: Column, *types: str) -> Column:
+    return _type(v).isin(*types)
+
+
+def _kind(v: Column) -> Column:
+    return F.when(_is(v, "BOOLEAN"), "boolean").when(_is(v, "STRING", "OBJECT", "ARRAY", "VOID"), "string").otherwise("number")
+
+
+def _text(v: Column) -> Column:
+    """As Python shows a value: booleans with a capital."""
+    return F.when(_is(v, "BOOLEAN"), F.initcap(v.cast("string"))).otherwise(v.cast("string"))
+
+
+def _item(key: Column, v: Column, value: Column) -> Column:
+    return F.struct(key.alias("key"), _kind(v).alias("kind"), value.alias("value"))
+
+
+def _node(key: Column, v: Column) -> Column:
+    return F.struct(key.alias("key"), v.alias("v"))
+
+
+def _each(nodes: Column, f: Callable[[Column], Column]) -> Column:
+    return F.flatten(F.transform(nodes, f))
+
+
+def _entries(nodes: Column) -> Column:
+    """The entries of all objects among the nodes, under (their node's key, own key)."""
+    return _each(nodes, lambda n: F.transform(_object(n["v"]), lambda e: F.struct(n["key"].alias("under"), e["key"].alias("key"), e["value"].alias("v"))))
+
+
+def _walk(text: Column, gives: Callable[[Column], Column], opens: Callable[[Column], Column], levels: int = LEVELS, whole: bool = True) -> Column:
+    """``gives`` maps a level's nodes to items, ``opens`` to the next level's nodes. ``whole``: more levels than these are an error."""
+    none = F.array().cast(ITEM)
+
+    def level(nodes: Column, left: int) -> Column:
+        if not left:
+            return F.when(F.size(nodes) > 0, F.raise_error(F.lit(f"JSON is nested deeper than {levels} levels")).cast(ITEM)).otherwise(none) if whole else none
+        return F.when(F.size(nodes) == 0, none).otherwise(_let(opens(nodes), lambda more: F.concat(gives(nodes).cast(ITEM), level(more, left - 1))))
+
+    parsed = F.try_parse_json(text)
+    return F.when(parsed.isNull(), none).otherwise(level(F.array(_node(F.lit(""), parsed)).cast(NODE), levels))
+
+
+def _filled(v: Column) -> Column:
+    """Neither a container nor null nor an empty text."""
+    return ~_is(v, "OBJECT", "ARRAY", "VOID") & (v.cast("string") != "")
 
 
 def leaves(text: Column) -> Column:
-    return _column(text, every_leaf)
+    """All texts that aren't empty, numbers and booleans, with the key they lie under."""
+    open_ = lambda nodes: _each(nodes, lambda n: F.concat(F.transform(_object(n["v"]), lambda e: _node(e["key"], e["value"])), F.transform(_list(n["v"]), lambda x: _node(n["key"], x))))
+    return _walk(text, lambda nodes: F.transform(F.filter(nodes, lambda n: _filled(n["v"])), lambda n: _item(n["key"], n["v"], _text(n["v"]))), open_)
 
 
 def entries(text: Column) -> Column:
     """The scalars among a JSON object's own values."""
-    return _column(text, lambda x: every_leaf(x, top=True))
+    own = lambda nodes: F.filter(_entries(nodes), lambda e: _filled(e["v"]))
+    return _walk(text, lambda nodes: F.transform(own(nodes), lambda e: _item(e["key"], e["v"], _text(e["v"]))), lambda nodes: F.array().cast(NODE), 1, whole=False)
+
+
+def _first(v: Column) -> Column:
+    """A list's first element; of anything else itself."""
+    return F.when(_is(v, "ARRAY"), F.get(_list(v), 0)).otherwise(v)
+
+
+def _plain(e: Column, empty: bool) -> Column:
+    """Whether an entry is a value: no object, no null, and no list that is empty or of objects. ``empty``: an empty text is one too."""
+    first = F.coalesce(_is(_first(e["v"]), "OBJECT"), F.lit(True))
+    return ~first & ~_is(e["v"], "VOID") & (F.lit(True) if empty else _is(e["v"], "ARRAY") | (e["v"].cast("string") != ""))
+
+
+def _inner(nodes: Column, name: Callable[[Column], Column]) -> Column:
+    """The objects that lie in entries, themselves or first in a list."""
+    return F.transform(F.filter(_entries(nodes), lambda e: _is(_first(e["v"]), "OBJECT")), lambda e: _node(name(e), _first(e["v"])))
 
 
 def path_values(text: Column) -> Column:
-    return _column(text, by_path)
+    """Values (JSON texts) under dotted paths; of a list the first element alone, marked ``[0]`` if it is an object."""
+    found = lambda nodes: F.transform(F.filter(_entries(nodes), lambda e: _plain(e, True)), lambda e: _item(F.concat(e["under"], e["key"]), _first(e["v"]), F.to_json(_first(e["v"]))))
+    return _walk(text, found, lambda nodes: _inner(nodes, lambda e: F.concat(e["under"], e["key"], F.when(_is(e["v"], "ARRAY"), "[0].").otherwise("."))))
 
 
 def key_values(text: Column) -> Column:
-    return _column(text, by_key)
+    """Values (JSON texts) under their bare keys; of a list of objects the first, and its length as ``<key>_count``."""
+    counted = lambda nodes: F.transform(F.filter(_entries(nodes), lambda e: _is(e["v"], "ARRAY") & F.coalesce(_is(_first(e["v"]), "OBJECT"), F.lit(False))), lambda e: F.struct(F.concat(e["key"], F.lit("_count")).alias("key"), F.lit("number").alias("kind"), F.size(_list(e["v"])).cast("string").alias("value")))
+    found = lambda nodes: F.transform(F.filter(_entries(nodes), lambda e: _plain(e, False)), lambda e: _item(e["key"], _first(e["v"]), F.to_json(_first(e["v"]))))
+    return _walk(text, lambda nodes: F.concat(found(nodes).cast(ITEM), counted(nodes).cast(ITEM)), lambda nodes: _inner(nodes, lambda e: e["key"]))
 
 
 def comparable_values(text: Column) -> Column:
-    return _column(text, compared)
+    """Texts and numbers under their keys, of lists the first ten elements, five levels below the top; no booleans."""
+    items = lambda nodes: _each(_entries(nodes), lambda e: F.transform(F.when(_is(e["v"], "ARRAY"), F.slice(_list(e["v"]), 1, 10)).otherwise(F.array(e["v"])), lambda x: _node(e["key"], x)))
+    found = lambda nodes: F.transform(F.filter(items(nodes), lambda n: _filled(n["v"]) & ~_is(n["v"], "BOOLEAN")), lambda n: _item(n["key"], n["v"], _text(n["v"])))
+    return _walk(text, found, lambda nodes: F.filter(items(nodes), lambda n: _is(n["v"], "OBJECT")), 6, whole=False)
+
+
+def _properties(nodes: Column) -> Column:
+    """The entries of the nodes' ``properties``."""
+    return _each(nodes, lambda n: F.transform(_object(F.try_variant_get(n["v"], "$.properties", "variant")), lambda e: _node(e["key"], e["value"])))
+
+
+def _below(nodes: Column) -> Column:
+    """Each object node, and the object in its ``items``."""
+    inside = lambda n: F.try_variant_get(n["v"], "$.items", "variant")
+    objects = F.filter(nodes, lambda n: _is(n["v"], "OBJECT"))
+    return F.concat(objects, F.transform(F.filter(objects, lambda n: F.coalesce(_is(inside(n), "OBJECT"), F.lit(False))), lambda n: _node(n["key"], inside(n))))
 
 
 def fields_of(schema: Column) -> Column:
-    return _column(schema, schema_fields)
+    """Names with their types, of JSON Schema and of plain examples of types, four levels below the top."""
+    declared = lambda nodes: F.filter(_properties(nodes), lambda p: _is(p["v"], "OBJECT"))
+    other = lambda nodes: F.filter(_entries(nodes), lambda e: ~e["key"].isin(*SCHEMA_WORDS))
+    typed = lambda e: _is(e["v"], "STRING") & F.lower(e["v"].cast("string")).isin(*TYPE_WORDS)
+    named = lambda key, kind: F.struct(key.alias("key"), kind.alias("kind"), F.lit("").alias("value"))
+
+    def gives(nodes: Column) -> Column:
+        kind = lambda p: F.try_variant_get(p["v"], "$.type", "variant")
+        of_schema = F.transform(declared(nodes), lambda p: named(p["key"], F.when(F.coalesce(_is(kind(p), "STRING"), F.lit(False)), kind(p).cast("string")).otherwise("string")))
+        shown = F.filter(other(nodes), lambda e: typed(e) | _is(e["v"], "OBJECT", "ARRAY"))
+        return F.concat(of_schema.cast(ITEM), F.transform(shown, lambda e: named(e["key"], F.when(_is(e["v"], "OBJECT"), "object").when(_is(e["v"], "ARRAY"), "array").otherwise(e["v"].cast("string")))).cast(ITEM))
+
+    def opens(nodes: Column) -> Column:
+        example = lambda e: F.when(_is(e["v"], "ARRAY"), F.get(F.filter(_list(e["v"]), lambda x: _is(x, "OBJECT")), 0)).when(_is(e["v"], "OBJECT"), e["v"])
+        return F.concat(_below(declared(nodes)).cast(NODE), F.filter(F.transform(other(nodes), lambda e: _node(e["key"], example(e))), lambda n: n["v"].isNotNull()).cast(NODE))
+
+    return _walk(schema, gives, opens, 5, whole=False)
+
+
+def property_names(schema: Column) -> Column:
+    """Names of JSON Schema properties, each as often as it is declared, three levels below the top."""
+    gives = lambda nodes: F.transform(_properties(nodes), lambda p: F.struct(p["key"].alias("key"), F.lit("").alias("kind"), F.lit("").alias("value")))
+    return _walk(schema, gives, lambda nodes: _below(_properties(nodes)), 4, whole=False)

@@ -465,7 +465,7 @@ def trim_topk(spark, d):
 
 @query()
 def fuzzy_dedup(spark, d):
-    """Greedy groups by text similarity depend on order; no SQL."""
+    """Greedy groups by text similarity depend on order; no SQL, a plain loop in the tests."""
     r = B.registry(spark, d)
     return Q.fuzzy_dedup(r.select("category", F.col("tool_id").alias("pos"), T.dedup_name(F.col("name")).alias("name"), "tool_id", "score"))
 
@@ -519,14 +519,21 @@ def junk_tools(spark, d):
 
 @query()
 def tool_scores(spark, d):
-    """No SQL: its terms have queries of their own; tests hold the sum against hand-made tools."""
+    """No SQL: tests hold it against plain loops over random catalogues."""
     return Q.score_tools(*_catalogue(spark, d))
 
 
+@query(f"WITH {_RAW}, q AS (SELECT tool_id, pos, name, 2 * len(fields) + 3 * len(required) + CASE WHEN length(description) > 10 THEN 2 ELSE 0 END AS endpoint_quality FROM eps) SELECT tool_id, CAST(pos AS INTEGER) AS pos, name, CAST(endpoint_quality AS INTEGER) AS endpoint_quality FROM (SELECT *, row_number() OVER (PARTITION BY tool_id ORDER BY endpoint_quality DESC, pos) AS r FROM q) WHERE r = 1")
+def trimmed_endpoints(spark, d):
+    """Each tool's best endpoint; a selection keeps 35."""
+    return Q.trim_endpoints(_catalogue(spark, d)[1], 1).select("tool_id", "pos", "name", "endpoint_quality")
+
+
 @query()
 def selected_catalogue(spark, d):
-    """Junk filter, scores, near-equal names and quotas as one chain; names are compared in Python."""
-    return Q.select_tools(*_catalogue(spark, d), target=100, least=3)
+    """Junk filter, real outputs, scores, near-equal names, quotas and trimmed endpoints as one chain; tests hold it against plain loops."""
+    chosen, endpoints = Q.select_tools(*_catalogue(spark, d), target=100, least=3)
+    return chosen.join(endpoints.groupBy("tool_id").agg(F.count(F.lit(1)).alias("endpoints")), "tool_id")
 
 
 @query(f"{B.sql('ncalls')} SELECT conv_id, call_idx, x.type = 'VARCHAR' AS is_text, {_TEXT} AS value FROM ncalls, json_tree(response) AS x WHERE {_LEAF}")

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainloom.functions import text as T
-from chainloom.functions import walk as W
 from chainloom.operators import dialogue as D
 from chainloom.operators import graph as G
 from chainloom.operators import metrics as M
@@ -131,11 +130,6 @@ def test_quota_equals_greedy(spark):
     assert got == chosen
 
 
-def test_fuzzy_dedup(spark):
-    df = spark.createDataFrame([("c", 0, "weather api", 1, 1.0), ("c", 1, "weather apis", 2, 3.0), ("c", 2, "hotels", 3, 2.0)], "category string, pos long, name string, tool_id long, score double")
-    assert sorted(r.tool_id for r in Q.fuzzy_dedup(df).collect()) == [2, 3]
-
-
 def test_exact_steps():
     assert S.Constraints(exact_steps=3).max_steps == 3 == S.Constraints(exact_steps=3).min_steps
     with pytest.raises(ValueError):
@@ -232,12 +226,6 @@ def test_catalogue(spark, tmp_path):
     assert set(json.loads(book.schema)["properties"]) == {"room_id", "room_name", "status", "created_at"} and [p.name for p in book.required] == ["room_id"]
     wanted = spark.createDataFrame([("Rooms", "book_room"), ("Rooms", "other")], "tool_name string, name string")
     assert {r.name: r.method for r in C.find_endpoints(tables["endpoints"], wanted).collect()} == {"book_room": "POST", "other": None}
-    # The search schema counts as made up, the booking one as its own; descriptions are too short to count; 3 for two endpoints, 20 for search and action.
-    score = Q.score_tools(tables["tools"], tables["endpoints"]).first().score
-    own = 1 + 0.5 + 0.3 + 5 + 0.5
-    features = Q.tool_features(Q.catalogue_fields(tables["tools"], tables["endpoints"])).first()
-    assert score == pytest.approx(own + 3 + 20 + 2 * min(features.real_outputs, 10) + 2 * features.cross_tool + features.cross_category)
-    assert Q.select_tools(tables["tools"], tables["endpoints"], 5, 1).count() == 1
 
 
 def test_shown_graph(spark):
@@ -248,16 +236,6 @@ def test_shown_graph(spark):
         assert {r.id for r in kept.collect()} == ids and both.count() == n
 
 
-def test_walks_over_json(spark):
-    text = json.dumps({"a": {"b": [1, 2.5, "x", True, None, {"c": ""}]}, "l": [{"k": "v"}, {"k": "w"}], "e": [], "z": 0})
-    of = lambda f, t=text: [(x.key, x.value) for x in spark.range(1).select(f(F.lit(t)).alias("x")).first().x]
-    assert of(W.leaves) == [("b", "1"), ("b", "2.5"), ("b", "x"), ("b", "True"), ("k", "v"), ("k", "w"), ("z", "0")]
-    assert sorted(of(W.path_values)) == [("a.b", "1"), ("l[0].k", '"v"'), ("z", "0")]
-    assert of(W.key_values) == [("b", "1"), ("k", '"v"'), ("l_count", "2"), ("z", "0")]
-    assert of(W.comparable_values) == [("b", "1"), ("b", "2.5"), ("b", "x"), ("k", "v"), ("k", "w"), ("z", "0")]
-    assert of(W.leaves, "{broken") == of(W.fields_of, None) == []
-
-
 def test_planned_types(spark):
     from chainloom.plans.registry import _KINDS
 
