@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,19 +28,31 @@ def constraints_of(kind: Kind, exclude_tools: tuple[str, ...] = ()) -> Constrain
     return Constraints(min_tools=kind.min_tools, min_steps=kind.min_steps, max_steps=kind.max_steps, exclude_tools=exclude_tools)
 
 
-def planned_types(kinds: list[Kind], slots: int, first: str) -> list[str]:
-    """The type of each slot: always that which is furthest below its share, the earlier one if equal; the first slot's is given."""
-    made, out = dict.fromkeys((k.name for k in kinds), 0), []
-    for i in range(slots):
-        name = first if not i else max(kinds, key=lambda k: (k.share - made[k.name] / i)).name
-        made[name] += 1
-        out.append(name)
-    return out
-
-
 def plan_table(spark: SparkSession, kinds: list[Kind], slots: int, first: str) -> DataFrame:
-    """slot, type: a fold over slots, one short row each, made on the driver as the number of conversations to be generated."""
-    return spark.createDataFrame(list(enumerate(planned_types(kinds, slots, first))), "slot long, type string")
+    """slot, type: always the type that is furthest below its share, the earlier one if equal; the first slot's is given.
+
+    Shares are decimals, so after as many slots as their common denominator every type has its share exactly. Each such period is a row
+    that starts from these counts and is filled by itself; one that would not end with exact counts raises an error."""
+    shares = [Fraction(str(k.share)) for k in kinds]
+    period = math.lcm(*[s.denominator for s in shares])
+    each = [int(s * period) for s in shares]
+    if sum(each) != period:
+        raise ValueError("shares must add up to one")
+    numbers = lambda xs, kind: F.array(*[F.lit(x) for x in xs]).cast(f"array<{kind}>")
+    at = {k.name: i for i, k in enumerate(kinds)}[first]
+
+    def filled(state: Column, j: Column) -> Column:
+        i = F.col("m") * period + j
+        gaps = F.transform(numbers([k.share for k in kinds], "double"), lambda s, k: s - F.get(state["made"], k) / i)
+        pick = F.when(i == 0, F.lit(at)).otherwise((F.array_position(gaps, F.array_max(gaps)) - 1).cast("int"))
+        return F.struct(F.transform(state["made"], lambda c, k: c + F.when(k == pick, 1).otherwise(0)).alias("made"), F.array_append(state["out"], pick).alias("out"))
+
+    made = lambda m: F.transform(numbers(each, "long"), lambda c: c * m)
+    start = F.struct(made(F.col("m")).alias("made"), F.array().cast("array<int>").alias("out"))
+    rows = spark.range(-(-slots // period)).withColumnRenamed("id", "m").withColumn("s", F.aggregate(F.sequence(F.lit(0), F.lit(period - 1)), start, filled))
+    checked = F.when(F.col("s.made") == made(F.col("m") + 1), F.col("s.out")).otherwise(F.raise_error(F.lit("a period ended without exact shares")).cast("array<int>"))
+    names = F.array(*[F.lit(k.name) for k in kinds])
+    return rows.select("m", F.posexplode(checked).alias("j", "pick")).select((F.col("m") * period + F.col("j")).alias("slot"), F.get(names, F.col("pick")).alias("type")).where(F.col("slot") < slots)
 
 
 def progress(plans: DataFrame) -> DataFrame:
@@ -56,13 +70,6 @@ def status(planned: Column, used: Column, waiting: Column, messages: Column, tur
     return F.when(waiting, "in_progress").when(messages >= cap, "done").when(left, "in_progress").otherwise("completing")
 
 
-def limits(planned: Column, used: Column, waiting: Column, messages: Column, turn: Column, max_messages: Column, max_turns: Column) -> tuple[Column, Column]:
-    """(max_messages, max_turns) after a look at the status: what is left to do extends both, near their ends."""
-    cap = 5 * F.size(planned) + 6
-    open_ = ~waiting & (messages < cap) & (F.size(F.array_except(planned, used)) > 0)
-    return F.when(open_ & (messages >= max_messages - 2), max_messages + 4).otherwise(max_messages), F.when(open_ & (turn >= max_turns - 1), max_turns + 1).otherwise(max_turns)
-
-
 def next_parameters(chains: DataFrame, endpoints: DataFrame) -> DataFrame:
     """``chains``: slot, chain; ``endpoints``: endpoint, required (names). slot, step, endpoint, next, needs: what the step after needs."""
     steps = chains.select("slot", F.posexplode("chain").alias("step", "endpoint"))

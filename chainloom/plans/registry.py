@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -18,8 +18,10 @@ from ..operators import planning as P
 from ..operators import sampling as S
 from ..operators import selection as Q
 from ..operators import transitions as X
+from ..operators import turns as TU
 from ..sources import catalogue as C
 from ..sources import wire
+from ..streaming import counting as ST
 from . import bindings as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -572,13 +574,55 @@ def schema_walk(spark, d):
 _KINDS = [P.Kind("quick_lookup", 0.1, 1, 1, 1, 1), P.Kind("parallel_lookup", 0.1, 2, 3, 2, 3), P.Kind("simple_sequential", 0.1, 2, 2, 2, 2), P.Kind("multi_step_chain", 0.4, 2, 4, 3, 4), P.Kind("full_workflow", 0.3, 3, 4, 4, 4)]
 
 
-@query()
+_SHARES = "[" + ", ".join(f"CAST({k.share} AS DOUBLE)" for k in _KINDS) + "]"
+_TYPES = "[" + ", ".join(f"'{k.name}'" for k in _KINDS) + "]"
+
+
+@query(f"WITH RECURSIVE f AS (SELECT CAST(0 AS BIGINT) AS slot, CAST(4 AS BIGINT) AS pick, [CAST(0 AS BIGINT), 0, 0, 1, 0] AS made UNION ALL SELECT slot + 1, p, list_transform(made, lambda c, k: c + CASE WHEN k = p THEN 1 ELSE 0 END) FROM (SELECT slot, made, list_position(gaps, list_max(gaps)) AS p FROM (SELECT slot, made, list_transform({_SHARES}, lambda s, k: s - made[k] / (slot + 1)) AS gaps FROM f) WHERE slot + 1 < (SELECT count(*) FROM orders))) SELECT slot, {_TYPES}[pick] AS type FROM f")
 def next_types(spark, d):
-    """The types of as many slots as there are orders; a fold over slots, tested against its plain loop."""
+    """The types of as many slots as there are orders."""
     n = B.read(spark, d, "orders").count()
     return P.plan_table(spark, _KINDS, n, "multi_step_chain")
 
 
+def turn_events(spark, d):
+    """Messages as events: five kinds of endpoints by the length of texts, the first three turns' planned; long answers ask, users answer."""
+    m = B.read(spark, d, "conversations").select("conv_id", "turn", (F.col("role") == "user").alias("user"), F.length("text").alias("n"))
+    tool = F.concat(F.lit("t"), (F.col("n") % 5).cast("string"))
+    at = lambda k: F.col("turn") * 10 + k
+    row = lambda df, k, event, tool=F.lit(None).cast("string"): df.select("conv_id", (k if isinstance(k, Column) else at(k)).alias("seq"), F.lit(event).alias("event"), tool.alias("tool"))
+    out = row(m.where("turn < 3"), F.col("turn") - 10, "plan", tool)
+    for more in (row(m, 0, "message"), row(m.where("user"), 1, "turn"), row(m.where("user"), 2, "answer"), row(m.where("not user"), 3, "use", F.concat(F.lit("t"), (F.col("n") % 7).cast("string"))), row(m.where("not user and n % 4 = 0"), 4, "ask"), row(m, 5, "look")):
+        out = out.unionByName(more)
+    return out
+
+
+_TURNS = """m AS (SELECT conv_id, turn, role = 'user' AS u, length(text) AS n FROM conversations), pl AS (SELECT conv_id, list('t' || CAST(n % 5 AS VARCHAR)) AS planned FROM m WHERE turn < 3 GROUP BY conv_id),
+s AS (SELECT *, row_number() OVER w AS messages, count(*) FILTER (u) OVER w AS turns, coalesce(list_distinct(list('t' || CAST(n % 7 AS VARCHAR)) FILTER (NOT u) OVER w), []) AS used, NOT u AND n % 4 = 0 AS asks FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)),
+q AS (SELECT s.*, coalesce(planned, []) AS planned, coalesce(last_value(CASE WHEN u THEN false WHEN asks THEN true END IGNORE NULLS) OVER (PARTITION BY s.conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING), false) AS asked FROM s LEFT JOIN pl USING (conv_id)),
+v AS (SELECT *, len(planned) AS k, len(list_filter(list_distinct(planned), lambda x: NOT list_contains(used, x))) AS remaining FROM q),
+g AS (SELECT conv_id, messages AS i, turn, 4 * k + 4 + CASE WHEN NOT asked AND messages < 5 * k + 6 AND remaining > 0 AND messages >= 4 * k + 2 THEN 4 ELSE 0 END AS mm, k + 2 + CASE WHEN NOT asked AND messages < 5 * k + 6 AND remaining > 0 AND turns >= k + 1 THEN 1 ELSE 0 END AS mt FROM v WHERE messages = 1
+ UNION ALL SELECT v.conv_id, v.messages, v.turn, mm + CASE WHEN NOT asked AND messages < 5 * k + 6 AND remaining > 0 AND messages >= mm - 2 THEN 4 ELSE 0 END, mt + CASE WHEN NOT asked AND messages < 5 * k + 6 AND remaining > 0 AND turns >= mt - 1 THEN 1 ELSE 0 END FROM g JOIN v ON v.conv_id = g.conv_id AND v.messages = g.i + 1)"""
+
+
+@query(f"WITH RECURSIVE {_TURNS} SELECT conv_id, turn * 10 + 5 AS seq, CASE WHEN asked THEN 'in_progress' WHEN messages >= 5 * k + 6 THEN 'done' WHEN remaining > 0 THEN 'in_progress' ELSE 'completing' END AS status, CAST(mm AS INTEGER) AS max_messages, CAST(mt AS INTEGER) AS max_turns, CAST(len(list_distinct(planned)) - remaining AS INTEGER) AS completed, CAST(remaining AS INTEGER) AS remaining, CAST(len(list_filter(used, lambda x: NOT list_contains(planned, x))) AS INTEGER) AS unplanned FROM v JOIN g USING (conv_id, turn)")
+def turn_states(spark, d):
+    """Each message's look at its conversation: status, limits and what is left."""
+    return TU.looks(turn_events(spark, d))
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type AS key, count(*) AS n FROM events GROUP BY 1, 2")
+def hourly_counts(spark, d):
+    """Steering counters by the hour, as the stream appends them."""
+    return ST.windowed(B.read(spark, d, "events").select("ts", F.col("event_type").alias("key")))
+
+
+@query("WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS end, user_id AS key, count(*) AS n FROM s GROUP BY user_id, k")
+def session_counts(spark, d):
+    """Sessions of users and their events, as the stream appends them."""
+    return ST.sessions(B.read(spark, d, "events").select("ts", F.col("user_id").alias("key")))
+
+
 _PLAN = "p AS (SELECT l_orderkey AS slot, list(DISTINCT l_partkey % 7) FILTER (l_linenumber <= 3) AS planned, list(DISTINCT l_suppkey % 7) AS used, count(*) AS messages FROM lineitem GROUP BY 1)"
 
 

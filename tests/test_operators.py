@@ -239,9 +239,16 @@ def test_shown_graph(spark):
 def test_planned_types(spark):
     from chainloom.plans.registry import _KINDS
 
-    got = [r.type for r in P.plan_table(spark, _KINDS, 200, "multi_step_chain").orderBy("slot").collect()]
-    assert got == P.planned_types(_KINDS, 200, "multi_step_chain")
-    assert abs(got.count("multi_step_chain") - 80) <= 1 and P.constraints_of(_KINDS[4]).min_steps == 4
+    made, want = dict.fromkeys((k.name for k in _KINDS), 0), []
+    for i in range(100_007):
+        name = "multi_step_chain" if not i else max(_KINDS, key=lambda k: (k.share - made[k.name] / i)).name
+        made[name] += 1
+        want.append(name)
+    rows = P.plan_table(spark, _KINDS, 100_007, "multi_step_chain")
+    assert [r.type for r in rows.orderBy("slot").collect()] == want
+    assert P.plan_table(spark, _KINDS, 3, "quick_lookup").orderBy("slot").first().type == "quick_lookup" and P.constraints_of(_KINDS[4]).min_steps == 4
+    with pytest.raises(ValueError):
+        P.plan_table(spark, _KINDS[1:], 3, "parallel_lookup")
 
 
 def test_appending(spark, tmp_path):
