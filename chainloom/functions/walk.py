@@ -22,7 +22,8 @@ NODE = "array<struct<key: string, v: variant>>"
 LEVELS = 12
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once."""
     return F.get(F.transform(F.array(value), body), 0)
 
 
@@ -76,7 +77,7 @@ def _walk(text: Column, gives: Callable[[Column], Column], opens: Callable[[Colu
     def level(nodes: Column, left: int) -> Column:
         if not left:
             return F.when(F.size(nodes) > 0, F.raise_error(F.lit(f"JSON is nested deeper than {levels} levels")).cast(ITEM)).otherwise(none) if whole else none
-        return F.when(F.size(nodes) == 0, none).otherwise(_let(opens(nodes), lambda more: F.concat(gives(nodes).cast(ITEM), level(more, left - 1))))
+        return F.when(F.size(nodes) == 0, none).otherwise(let(opens(nodes), lambda more: F.concat(gives(nodes).cast(ITEM), level(more, left - 1))))
 
     parsed = F.try_parse_json(text)
     return F.when(parsed.isNull(), none).otherwise(level(F.array(_node(F.lit(""), parsed)).cast(NODE), levels))

@@ -843,10 +843,52 @@ _BOTH = "l AS (SELECT event_id, event_id % 4 AS k, CAST(event_id AS VARCHAR) AS
 @query(f"WITH {_BOTH} SELECT 'c' || id AS conversation_id, 2 AS n_messages, 't' || id AS tool, CASE k WHEN 2 THEN 't' || id ELSE 'go' END AS api, CASE WHEN k = 1 THEN 4.0 END AS naturalness FROM l WHERE k <> 3")
 def read_conversations(spark, d):
     """Both forms in one input: wire, full, wire with a call of a tool alone, and full with scores out of range, which goes."""
+    call = F.col("messages")[1]["tool_calls"][0]
+    return wire.read_any(_both(spark, d)).select("conversation_id", F.size("messages").alias("n_messages"), call["tool"].alias("tool"), call["api"].alias("api"), "naturalness")
+
+
+def _both(spark, d):
     k, i = F.col("event_id") % 4, F.col("event_id").cast("string")
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     wire_line = text('{"conversation_id":"c', i, '","messages":[{"role":"user","content":"x"},{"role":"assistant","tool_calls":[{"endpoint":"t', i, F.when(k == 0, "/go").otherwise(""), '"}]}]}')
     full = text('{"conversation_id":"c', i, '","tool_calls":[],"messages":[{"role":"user","content":"x"},{"role":"assistant","tool_calls":[{"tool_name":"t', i, '","api_name":"go"}]}],"judge_scores":{"naturalness":', F.when(k == 1, "4").otherwise("9"), ',"tool_correctness":3,"task_completion":3}}')
-    rows = B.read(spark, d, "events").select(F.when(k % 2 == 0, wire_line).otherwise(full).alias("value"))
-    call = F.col("messages")[1]["tool_calls"][0]
-    return wire.read_any(rows).select("conversation_id", F.size("messages").alias("n_messages"), call["tool"].alias("tool"), call["api"].alias("api"), "naturalness")
+    return B.read(spark, d, "events").select(F.when(k % 2 == 0, wire_line).otherwise(full).alias("value"))
+
+
+def _islands(spark, d):
+    """Wire lines of an assistant with so many calls as the event's number says, and so many tool messages after it, of which the second is text."""
+    e = F.col("event_id")
+    call = lambda i: F.concat(F.lit('{"endpoint":"t'), i.cast("string"), F.lit('/a","arguments":{"n":'), i.cast("string"), F.lit("}}"))
+    out = lambda i: F.when(i == 1, '{"role":"tool","content":"plain"}').otherwise(F.concat(F.lit('{"role":"tool","content":{"r":'), i.cast("string"), F.lit("}}")))
+    some = lambda n, f: F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), f), ",")).otherwise("")
+    calls, outs = (e % 4).cast("int"), (F.floor(e / 4) % 5).cast("int")
+    tools = F.when(outs > 0, F.concat(F.lit(","), some(outs, out))).otherwise("")
+    line = F.concat(F.lit('{"conversation_id":"c'), e.cast("string"), F.lit('","messages":[{"role":"user","content":"x"},{"role":"assistant","content":null,"tool_calls":['), some(calls, call), F.lit("]}"), tools, F.lit(',{"role":"odd"},{"role":"assistant","content":"done"}]}'))
+    return B.read(spark, d, "events").select(line.alias("value"))
+
+
+_ISL = "l AS (SELECT event_id, event_id % 4 AS k, (event_id // 4) % 5 AS n FROM events)"
+
+
+@query(f"WITH {_ISL}, j AS (SELECT *, unnest(range(n)) AS i FROM l) SELECT 'c' || CAST(event_id AS VARCHAR) AS conversation_id, CASE WHEN i < k THEN 't' || CAST(i AS VARCHAR) ELSE 'unknown' END AS tool, CASE WHEN i = 1 THEN '{{\"result\":\"plain\"}}' ELSE '{{\"r\":' || CAST(i AS VARCHAR) || '}}' END AS response, CAST(CASE WHEN i < k THEN 2 ELSE 2 + CASE WHEN least(k, n) > 0 THEN 1 ELSE 0 END + i - least(k, n) END AS INTEGER) AS msg_idx FROM j")
+def message_islands(spark, d):
+    """Outputs with the calls that take them, the message that holds them, and orphans."""
+    rows = wire.read_wire(_islands(spark, d)).select("conversation_id", F.posexplode("messages").alias("msg_idx", "m"))
+    return rows.select("conversation_id", "msg_idx", F.explode("m.tool_outputs").alias("o")).select("conversation_id", "o.tool", "o.response", "msg_idx")
+
+
+@query(f"WITH {_ISL}, j AS (SELECT *, unnest(range(k)) AS i FROM l) SELECT 'c' || CAST(event_id AS VARCHAR) AS conversation_id, 1 AS msg_idx, 't' || CAST(i AS VARCHAR) AS tool, 'a' AS api FROM j WHERE i >= n")
+def unanswered_calls(spark, d):
+    """Calls without an output, which get an error for a result."""
+    return wire.unanswered(wire.read_wire(_islands(spark, d))).drop("response")
+
+
+@query(f"WITH {_ISL} SELECT 'c' || CAST(event_id AS VARCHAR) AS conversation_id, CASE WHEN k = 0 THEN 1 ELSE 0 END AS empty_messages, CAST(greatest(n - k, 0) AS INTEGER) AS orphan_outputs, CAST(greatest(k - n, 0) AS INTEGER) AS unanswered_calls, CASE WHEN k > 0 THEN 1 ELSE 0 END AS deepest, k > 0 AND n = k AS sound FROM l")
+def conversation_invariants(spark, d):
+    return wire.invariants(wire.read_wire(_islands(spark, d)))
+
+
+@query(f"WITH {_BOTH} SELECT CASE k WHEN 3 THEN 'scores are from 1 to 5' ELSE 'read' END AS outcome, count(*) AS n FROM l GROUP BY 1")
+def line_outcomes(spark, d):
+    """Every line is read or rejected with a reason."""
+    return wire.sorted_lines(_both(spark, d)).groupBy(F.coalesce("reason", F.lit("read")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))

@@ -188,7 +188,7 @@ def test_read_any_takes_both_forms(spark):
     got = wire.read_any(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
     assert sorted(r.conversation_id or "" for r in got) == ["", "f", "w"]
     full = next(r for r in got if r.conversation_id == "f")
-    assert full.messages[0].tool_outputs[0].asDict() == {"tool": "t", "api": "a", "response": '{"n": 1}'} and full.naturalness is None
+    assert full.messages[0].tool_outputs[0].asDict() == {"tool": "t", "api": "a", "response": '{"n":1}'} and full.naturalness is None
 
 
 def test_wire(spark):
@@ -200,7 +200,7 @@ def test_wire(spark):
     got = {r.conversation_id: r for r in wire.read_wire(raw).collect()}
     calls_ = got["c1"].messages[1].tool_calls
     assert [(c.tool, c.api) for c in calls_] == [("S", "path/to"), ("T", "y")]
-    assert [m.tool_outputs[0].response for m in got["c1"].messages[2:]] == ['{"r": 1}', '{"result": "text"}']
+    assert [[o.response for o in m.tool_outputs] for m in got["c1"].messages[2:]] == [['{"r":1}', '{"result":"text"}']]
     assert [(m.tool_outputs[0].tool, m.tool_outputs[0].response) for m in got["c2"].messages] == [("unknown", "{}")]
     assert wire.rejected(raw).count() == 1
     again = {json.loads(r.value)["conversation_id"]: json.loads(r.value) for r in wire.to_wire(wire.read_wire(raw)).collect()}
