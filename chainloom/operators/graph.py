@@ -114,6 +114,12 @@ def semantic_bridge(vectors: DataFrame, allowed: DataFrame | None, threshold: fl
     return hits.where("src <> dst").select("src", "dst", F.round("cosine", 6).alias("cosine"))
 
 
+def field_sets(fields: DataFrame) -> DataFrame:
+    """endpoint, outputs, inputs: the names that an endpoint gives and takes, sorted."""
+    of = lambda kind: F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.col("field"))))
+    return fields.groupBy("endpoint").agg(of("output").alias("outputs"), of("input").alias("inputs"))  # an endpoint's own names
+
+
 def text_vectors(words: DataFrame) -> DataFrame:
     """``words``: id, category, word (one row an occurrence). id, category, word, df, w: unit vectors by tf-idf; words that all have weigh nothing."""
     counts = words.groupBy("id", "category", "word").agg(F.count(F.lit(1)).alias("tf"))
@@ -179,6 +185,34 @@ def structural_edges(fields: DataFrame) -> DataFrame:
     return out.unionByName(edge(fields.where("kind = 'input'"), text("endpoint"), name, "takes_input")).unionByName(edge(fields.where("kind = 'output'"), text("endpoint"), name, "produces"))
 
 
+def nodes(fields: DataFrame) -> DataFrame:
+    """id, node_type, name, category: categories, tools, endpoints, and the parameters and output fields of endpoints. Ids carry their kind, so equal names of two kinds are two nodes."""
+    text = lambda c: F.col(c).cast("string")
+    node = lambda df, kind, name, *key: df.select(F.concat(F.lit(f"{kind}:"), F.concat_ws("/", *key)).alias("id"), F.lit(kind).alias("node_type"), name.alias("name"), "category").distinct()
+    out = node(fields, "category", F.col("category"), F.col("category")).unionByName(node(fields, "tool", F.col("tool"), F.col("tool"))).unionByName(node(fields, "endpoint", text("endpoint"), text("endpoint")))
+    for kind, of in (("parameter", "input"), ("output_field", "output")):
+        out = out.unionByName(node(fields.where(F.col("kind") == of), kind, F.col("field"), text("endpoint"), F.col("field")))
+    return out
+
+
+def build(fields: DataFrame, fraction: float = K.GENERIC_FRACTION, semantic: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The graph as two tables, ``nodes`` and ``edges`` (src, dst, edge_type, confidence, edge_class), for ``catalogue.save``: structure, endpoints of one
+    tool, flows between endpoints, and semantic bridges (src, dst, cosine) if given. Ends are node ids."""
+    from . import transitions as X
+
+    end = lambda kind, c: F.concat(F.lit(f"{kind}:"), F.col(c).cast("string"))
+    name = F.concat_ws("/", F.col("endpoint").cast("string"), "field")
+    row = lambda df, kind, a, b, confidence=F.lit(None), grade=F.lit(None): df.select(a.alias("src"), b.alias("dst"), F.lit(kind).alias("edge_type"), confidence.cast("double").alias("confidence"), grade.cast("string").alias("edge_class")).distinct()
+    ends = (end("endpoint", "src"), end("endpoint", "dst"))
+    out = row(fields, "belongs_to", end("tool", "tool"), end("category", "category")).unionByName(row(fields, "has_endpoint", end("tool", "tool"), end("endpoint", "endpoint")))
+    out = out.unionByName(row(fields.where("kind = 'input'"), "takes_input", end("endpoint", "endpoint"), F.concat(F.lit("parameter:"), name)))
+    out = out.unionByName(row(fields.where("kind = 'output'"), "produces", end("endpoint", "endpoint"), F.concat(F.lit("output_field:"), name)))
+    out = out.unionByName(row(same_tool_edges(fields), "same_tool", *ends, F.lit(1.0), F.lit("hard"))).unionByName(row(X.flows(fields, fraction), "feeds_into", *ends, F.col("confidence"), F.col("edge_class")))
+    if semantic is not None:
+        out = out.unionByName(row(semantic, "semantic_bridge", *ends, F.round("cosine", 3), F.lit("soft")))
+    return {"nodes": nodes(fields), "edges": out}
+
+
 def category_fallback(fields: DataFrame) -> DataFrame:
     """Pairs within a category by shared names: confidence .5 + .3 n."""
     out, into = sides(fields)

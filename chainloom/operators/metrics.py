@@ -178,3 +178,11 @@ def deltas(report: DataFrame) -> DataFrame:
     of = lambda run: F.max(F.when(F.col("run") == run, F.col("value")))
     sides = each.groupBy("metric").agg(of("A").alias("a"), of("B").alias("b"))
     return sides.select("metric", "a", "b", F.round(F.col("b") - F.col("a"), 9).alias("delta"))
+
+
+def fill_scores(conversations: DataFrame, scored: DataFrame, names: tuple[str, ...] = ("naturalness", "tool_correctness", "task_completion")) -> DataFrame:
+    """``conversations`` (conv_id and ``names``) with the scores of ``scored`` where they have none; those that have any keep them."""
+    without = F.coalesce(*names).isNull()
+    fresh = scored.select("conv_id", *[F.col(n).alias(f"_{n}") for n in names])
+    rows = conversations.where(without).join(fresh, "conv_id", "left").select("conv_id", *[F.col(f"_{n}").alias(n) for n in names], F.lit(True).alias("fresh"))
+    return conversations.where(~without).select("conv_id", *names, F.lit(False).alias("fresh")).unionByName(rows)

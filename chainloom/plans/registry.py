@@ -11,6 +11,7 @@ from .. import constants as K
 from ..functions import text as T
 from ..functions.lineage import cut
 from ..functions import walk as W
+from ..operators import definitions as DF
 from ..operators import dialogue as D
 from ..operators import graph as G
 from ..operators import metrics as M
@@ -209,21 +210,39 @@ def pattern_mix(spark, d):
     return p.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(p.agg(F.count(F.lit(1)).alias("t")))).select("pattern", "n", F.round(F.col("n") / F.col("t"), 9).alias("share"))
 
 
-@query("WITH c AS (SELECT CAST(l_partkey AS VARCHAR) AS endpoint, count(*) AS n FROM lineitem GROUP BY 1) SELECT endpoint, n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, endpoint) AS r FROM c) WHERE r <= 10 AND n > 1.5 * (SELECT avg(n) FROM c)")
+_WORDS = "c AS (SELECT word AS key, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '[ \\n]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1)"
+
+
+def _word_calls(spark, d):
+    """Every word of every document as a call: few are very common, most are rare."""
+    return B.read(spark, d, "documents").select(F.col("doc_id").alias("conv_id"), F.explode(F.split("text", "[ \\n]+")).alias("endpoint")).where("endpoint <> ''")
+
+
+def _word_counts(spark, d):
+    return _word_calls(spark, d).groupBy(F.col("endpoint").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_WORDS} SELECT key AS endpoint, n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, key) AS r FROM c) WHERE r <= 10 AND n > 3 * (SELECT avg(n) FROM c)")
 def exclude_tools(spark, d):
-    calls = B.read(spark, d, "lineitem").select(F.col("l_orderkey").alias("conv_id"), F.col("l_partkey").cast("string").alias("endpoint"))
-    return M.exclude_tools(calls, B.conversations(spark, d), factor=1.5)
+    return M.exclude_tools(_word_calls(spark, d), B.read(spark, d, "documents").select(F.col("doc_id").alias("conv_id")), factor=3.0)
 
 
-@query("WITH c AS (SELECT p_brand AS key, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1) SELECT key, n FROM c WHERE n > 1.1 * (SELECT avg(n) FROM c)")
+@query(f"WITH {_WORDS} SELECT key, n FROM c WHERE n > 2 * (SELECT avg(n) FROM c)")
 def overused_tools(spark, d):
-    rows = B.read(spark, d, "lineitem").join(B.read(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return M.against_mean(rows.groupBy(F.col("p_brand").alias("key")).agg(F.count(F.lit(1)).alias("n")), 1.1, above=True)
+    return M.against_mean(_word_counts(spark, d), 2.0, above=True)
 
 
-@query("WITH c AS (SELECT l_suppkey AS key, count(*) AS n FROM lineitem GROUP BY 1) SELECT key, n FROM c WHERE n < 0.95 * (SELECT avg(n) FROM c)")
+@query(f"WITH {_WORDS} SELECT key, n FROM c WHERE n < 0.5 * (SELECT avg(n) FROM c)")
 def underused_categories(spark, d):
-    return M.against_mean(B.read(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("key")).agg(F.count(F.lit(1)).alias("n")), 0.95, above=False)
+    return M.against_mean(_word_counts(spark, d), 0.5, above=False)
+
+
+@query(f"{B.sql('scores')} SELECT conv_id, coalesce(naturalness, 1.0 + conv_id % 5) AS naturalness, coalesce(tool_correctness, 2.0) AS tool_correctness, coalesce(task_completion, 1.0 + conv_id % 3) AS task_completion, naturalness IS NULL AS fresh FROM scores")
+def filled_scores(spark, d):
+    """Only what has no scores gets new ones."""
+    s = B.scores(spark, d)
+    fresh = s.select("conv_id", (1.0 + F.col("conv_id") % 5).alias("naturalness"), F.lit(2.0).alias("tool_correctness"), (1.0 + F.col("conv_id") % 3).alias("task_completion"))
+    return M.fill_scores(s, fresh)
 
 
 @query("SELECT count(DISTINCT p_brand) AS tools, count(DISTINCT p_brand || '/' || p_type) AS endpoints, count(DISTINCT p_type) AS categories, array_to_string(list_sort(list(DISTINCT p_type)), ',') AS names FROM part")
@@ -280,6 +299,12 @@ def category_affinity(spark, d):
     return G.category_affinity(f, G.field_stats(f, _FR))
 
 
+@query(f"{B.sql('fields')} SELECT endpoint, md5(array_to_string(list_sort(list(field) FILTER (kind = 'output')), ' ')) AS outputs, md5(coalesce(array_to_string(list_sort(list(field) FILTER (kind = 'input')), ' '), '')) AS inputs FROM fields GROUP BY endpoint")
+def field_sets(spark, d):
+    """The names around an endpoint, as digests of the sorted lists."""
+    return G.field_sets(B.fields(spark, d)).select("endpoint", F.when(F.size("outputs") > 0, F.md5(F.array_join("outputs", " "))).alias("outputs"), F.md5(F.array_join("inputs", " ")).alias("inputs"))
+
+
 @query(f"{_F} SELECT field, df FROM stats WHERE class = 'bridge' ORDER BY df DESC, field LIMIT 15")
 def bridge_fields(spark, d):
     return G.field_stats(B.fields(spark, d), _FR).where("class = 'bridge'").orderBy(F.desc("df"), "field").limit(15).select("field", "df")
@@ -358,16 +383,6 @@ def description_bridge(spark, d):
     return G.cosine_join(cut(G.text_vectors(words)), 0.75, pairs)
 
 
-@query(f"{B.sql('fields')} SELECT 'category' AS node_type, count(DISTINCT category) AS n FROM fields UNION ALL SELECT 'tool', count(DISTINCT tool) FROM fields UNION ALL SELECT 'endpoint', count(DISTINCT endpoint) FROM fields UNION ALL SELECT 'parameter', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'input') UNION ALL SELECT 'output_field', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'output')")
-def node_type_counts(spark, d):
-    return G.node_counts(B.fields(spark, d))
-
-
-@query(f"{B.sql('fields')} SELECT 'belongs_to' AS edge_type, count(*) AS n FROM (SELECT DISTINCT tool, category FROM fields) UNION ALL SELECT 'has_endpoint', count(*) FROM (SELECT DISTINCT tool, endpoint FROM fields) UNION ALL SELECT 'takes_input', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'input') UNION ALL SELECT 'produces', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'output')")
-def edge_type_counts(spark, d):
-    return G.structural_edges(B.fields(spark, d)).groupBy("edge_type").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _mixed(spark, d):
     """Fields of which a third meets by equal names and the others by roots."""
     n, f = F.length("field") % 3, F.col("field")
@@ -382,6 +397,29 @@ _FLOW = f"""fx AS (SELECT src, dst, field, 0.2 + 0.1 + {_NEAR} + specificity * 0
   ro AS (SELECT *, {_NROOT} AS root FROM o), ri AS (SELECT dst, dt, dc, field AS taken, {_NROOT} AS root FROM i),
   fr AS (SELECT src, dst, ro.field, 0.1 + 0.1 + {_NEAR} + coalesce(specificity, 0.0) * 0.4 AS c FROM ro JOIN ri USING (root) LEFT JOIN stats ON stats.field = root WHERE length(root) >= 3 AND coalesce(class, '') <> 'generic' AND st <> dt AND ro.field <> taken),
   flow AS (SELECT src, dst, round(c, 3) AS confidence, CASE WHEN c >= 0.7 THEN 'hard' ELSE 'soft' END AS edge_class, field FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY c DESC, field DESC) AS r FROM (SELECT * FROM fx UNION ALL SELECT * FROM fr) WHERE c >= 0.6) WHERE r = 1)"""
+
+
+@query(f"{B.sql('fields')} SELECT DISTINCT 'category:' || category AS id, 'category' AS node_type, category AS name, category FROM fields UNION ALL SELECT DISTINCT 'tool:' || tool, 'tool', tool, category FROM fields UNION ALL SELECT DISTINCT 'endpoint:' || CAST(endpoint AS VARCHAR), 'endpoint', CAST(endpoint AS VARCHAR), category FROM fields UNION ALL SELECT DISTINCT 'parameter:' || CAST(endpoint AS VARCHAR) || '/' || field, 'parameter', field, category FROM fields WHERE kind = 'input' UNION ALL SELECT DISTINCT 'output_field:' || CAST(endpoint AS VARCHAR) || '/' || field, 'output_field', field, category FROM fields WHERE kind = 'output'")
+def graph_nodes(spark, d):
+    return G.nodes(B.fields(spark, d))
+
+
+@query(f"{_MIX}, {_IO}, {_FLOW}, e AS (SELECT 'same_tool' AS edge_type, 'hard' AS edge_class, 1.0 AS c, count(*) AS n FROM (SELECT DISTINCT src, dst FROM o JOIN i USING (field) WHERE st = dt AND src <> dst) UNION ALL SELECT 'feeds_into', edge_class, sum(confidence), count(*) FROM flow GROUP BY edge_class UNION ALL SELECT 'belongs_to', NULL, NULL, count(*) FROM (SELECT DISTINCT tool, category FROM fields) UNION ALL SELECT 'has_endpoint', NULL, NULL, count(*) FROM (SELECT DISTINCT tool, endpoint FROM fields) UNION ALL SELECT CASE kind WHEN 'input' THEN 'takes_input' ELSE 'produces' END, NULL, NULL, count(*) FROM (SELECT DISTINCT kind, endpoint, field FROM fields) GROUP BY kind) SELECT edge_type, edge_class, n, CAST(round(CASE WHEN edge_type = 'same_tool' THEN n ELSE c END, 3) AS DOUBLE) AS confidence FROM e")
+def graph_edges(spark, d):
+    """The whole graph in one plan; its edges by type and class, with their confidence."""
+    return G.build(_mixed(spark, d), _FR)["edges"].groupBy("edge_type", "edge_class").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("confidence"), 3).alias("confidence"))
+
+
+@query(f"{B.sql('fields')} SELECT 'category' AS node_type, count(DISTINCT category) AS n FROM fields UNION ALL SELECT 'tool', count(DISTINCT tool) FROM fields UNION ALL SELECT 'endpoint', count(DISTINCT endpoint) FROM fields UNION ALL SELECT 'parameter', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'input') UNION ALL SELECT 'output_field', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'output')")
+def node_type_counts(spark, d):
+    return G.node_counts(B.fields(spark, d))
+
+
+@query(f"{B.sql('fields')} SELECT 'belongs_to' AS edge_type, count(*) AS n FROM (SELECT DISTINCT tool, category FROM fields) UNION ALL SELECT 'has_endpoint', count(*) FROM (SELECT DISTINCT tool, endpoint FROM fields) UNION ALL SELECT 'takes_input', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'input') UNION ALL SELECT 'produces', count(*) FROM (SELECT DISTINCT endpoint, field FROM fields WHERE kind = 'output')")
+def edge_type_counts(spark, d):
+    return G.structural_edges(B.fields(spark, d)).groupBy("edge_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 _UNIT = "u AS (SELECT id, category, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS u FROM n), h AS (SELECT a.id AS src, b.id AS dst, a.category AS ca, b.category AS cb, list_sum(list_transform(list_zip(a.u, b.u), lambda p: p[1] * p[2])) AS c FROM u a JOIN u b ON a.id < b.id AND a.category <> b.category)"
 _STEPS = f"""{_FLOW}, {_PAIRS}, n AS (SELECT vec_id AS id, category, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings JOIN (SELECT DISTINCT endpoint, category FROM fields) ON vec_id = endpoint), {_UNIT},
   sem AS (SELECT src, dst, round(c, 6) AS cosine FROM h JOIN pairs ON pairs.ca = least(h.ca, h.cb) AND pairs.cb = greatest(h.ca, h.cb) WHERE c >= 0.35),
@@ -519,6 +557,30 @@ def junk_tools(spark, d):
     return B.read(spark, d, "part").select("p_partkey", Q.junk_tool(name, about, names).alias("junk"))
 
 
+@query("SELECT p_partkey AS tool_id, CAST(NULL AS INTEGER) AS place, CASE WHEN p_partkey % 13 = 0 THEN 'no JSON object' WHEN p_partkey % 11 = 0 THEN 'no name' ELSE 'no endpoint with a name' END AS reason FROM part WHERE p_partkey % 13 = 0 OR p_partkey % 11 = 0 OR p_partkey % 7 = 0")
+def quarantined_tools(spark, d):
+    """What parsing leaves out, with the reason; with the parsed tools these are all definitions."""
+    return C.quarantine(B.tool_definitions(spark, d)).select("tool_id", "place", "reason")
+
+
+@query("SELECT p_partkey AS tool_id, unnest([b, b || '_2', b || '_2_2', replace(p_brand, '#', '-'), b || '_3', 'param', 'param_2']) AS identifier, unnest([p_brand, replace(p_brand, '#', ' '), b || '_2', replace(p_brand, '#', '-'), replace(p_brand, '#', '?'), '##', '']) AS name FROM (SELECT *, replace(p_brand, '#', '_') AS b FROM part)")
+def parameter_identifiers(spark, d):
+    """Identifiers for parameters whose names clash, also with numbered ones, and the names they lead back to."""
+    p = B.read(spark, d, "part").withColumn("b", F.translate("p_brand", "#", "_"))
+    names = F.array("p_brand", F.translate("p_brand", "#", " "), F.concat("b", F.lit("_2")), F.translate("p_brand", "#", "-"), F.translate("p_brand", "#", "?"), F.lit("##"), F.lit(""), F.lit("api_key"))
+    params = F.transform(names, lambda n: F.struct(n.alias("name"), F.lit("string").alias("type"), F.lit("").alias("description")))
+    e = p.select(F.col("p_partkey").cast("string").alias("tool_name"), F.col("p_type").alias("name"), F.lit("").alias("description"), F.slice(params, 1, 4).alias("required"), F.slice(params, 5, 4).alias("optional"))
+    return DF.definitions(e).select(F.col("tool_name").cast("long").alias("tool_id"), F.explode("parameters").alias("x")).select("tool_id", "x.identifier", "x.name")
+
+
+@query(f"WITH {_RAW}, e AS (SELECT *, CASE WHEN len(required) = 0 THEN NULL ELSE string_split(required[1], ' ') END AS p FROM eps) SELECT tool_id, CAST(pos AS INTEGER) AS pos, CASE WHEN p IS NULL THEN '{{\"type\":\"object\",\"properties\":{{}},\"required\":[]}}' ELSE '{{\"type\":\"object\",\"properties\":{{\"' || p[1] || '\":{{\"type\":\"' || p[2] || '\",\"description\":\"' || array_to_string(p[3:], ' ') || '\"}}}},\"required\":[\"' || p[1] || '\"]}}' END AS input_schema FROM e")
+def assistant_definitions(spark, d):
+    """The input schemas that an assistant gets of all parsed endpoints."""
+    e = _catalogue(spark, d)[1].withColumns({"tool": F.col("tool_name"), "tool_name": F.concat_ws(":", F.col("tool_id").cast("string"), F.col("pos").cast("string"))})
+    at = F.split("tool_name", ":")
+    return DF.definitions(e).select(at[0].cast("long").alias("tool_id"), at[1].cast("int").alias("pos"), "input_schema")
+
+
 @query()
 def tool_scores(spark, d):
     """No SQL: tests hold it against plain loops over random catalogues."""

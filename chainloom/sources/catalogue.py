@@ -89,6 +89,18 @@ def parse(definitions: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tools, endpoints
 
 
+def quarantine(definitions: DataFrame) -> DataFrame:
+    """tool_id, tool_name, place, reason: what ``parse`` leaves out, of the same definitions. ``place`` is null for a whole tool, else the position in its list."""
+    rows = definitions.select("tool_id", F.try_parse_json("definition").alias("v"), F.from_json("definition", TOOL).alias("t")).withColumn("list", F.coalesce("t.api_list", F.array().cast("array<string>")))
+    named = F.transform("list", lambda x: F.trim(F.coalesce(F.from_json(x, ENDPOINT)["name"], F.lit(""))) != "")
+    rows = rows.withColumn("named", named).withColumn("tool_name", F.trim(F.coalesce("t.tool_name", F.lit(""))))
+    json_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+    whole = F.when(~json_object, "no JSON object").when(F.col("tool_name") == "", "no name").when(~F.exists("named", lambda x: x), "no endpoint with a name")
+    rows = rows.withColumn("whole", whole)
+    places = F.when(F.col("whole").isNotNull(), F.array(F.struct(F.lit(None).cast("int").alias("place"), F.col("whole").alias("reason")))).otherwise(F.filter(F.transform("named", lambda x, i: F.when(~x, F.struct(i.cast("int").alias("place"), F.lit("an endpoint without a name").alias("reason")))), lambda x: x.isNotNull()))
+    return rows.select("tool_id", "tool_name", F.explode(places).alias("x")).select("tool_id", "tool_name", "x.place", "x.reason")
+
+
 def save(tables: dict[str, DataFrame], path: str) -> None:
     """A registry (tools, endpoints) or a graph (nodes, edges): a Parquet table each."""
     for name, df in tables.items():

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -195,10 +200,46 @@ def merge_responses(tools: DataFrame, examples: DataFrame) -> DataFrame:
     return tools.join(found, ["category", "stem", "api"], "left").select("category", "stem", "api", F.coalesce(F.nullif("schema", F.lit("")), "example").alias("schema"))
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """Tool files laid out as <category>/<stem>.json: category, stem, definition (JSON text). Broken files and
-    those that name neither a tool nor its endpoints are left out."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select("value", F.col("_metadata.file_path").alias("p"))
+def _kept(files: DataFrame) -> DataFrame:
+    """``files``: path, value. Those that name a tool or its endpoints: category (the folder), stem, definition (with the stem for a standard name, if it has none)."""
     keys = F.json_object_keys("value")
     kept = files.where(F.array_contains(keys, "api_list") | F.array_contains(keys, "tool_name"))
-    return kept.select(F.regexp_extract("p", r"([^/]+)/[^/]+$", 1).alias("category"), F.regexp_extract("p", r"([^/]+)\.json$", 1).alias("stem"), F.col("value").alias("definition"))
+    stem = F.regexp_extract("path", r"([^/]+)\.json$", 1)
+    lacks = F.get_json_object("value", "$.standardized_name").isNull() & ~F.array_contains(keys, "standardized_name")
+    named = F.concat(F.regexp_replace("value", r"\}\s*$", ""), F.lit(',"standardized_name":'), F.to_json(stem.cast("variant")), F.lit("}"))
+    folder = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    filed = F.concat(F.regexp_replace("d", r"\}\s*$", ""), F.lit(',"category":'), F.to_json(folder.cast("variant")), F.lit("}"))
+    given = kept.select("path", folder.alias("category"), stem.alias("stem"), F.when(lacks, named).otherwise(F.col("value")).alias("d"))
+    return given.select("category", "stem", F.when(~F.array_contains(F.json_object_keys("d"), "category"), filed).otherwise(F.col("d")).alias("definition"), "path")
+
+
+def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """Tool files laid out as <category>/<stem>.json: category, stem, definition (JSON text), path. Broken files and
+    those that name neither a tool nor its endpoints are left out."""
+    return _kept(spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select(F.col("_metadata.file_path").alias("path"), "value"))
+
+
+def read_archives(spark: SparkSession, path: str, inner: str = "data/toolenv/") -> DataFrame:
+    """The same of the tool files below the folder ``inner`` of zip archives at ``path``. An archive is read where Spark's reader has it and opened a member at a
+    time; broken archives give nothing. An archive is one row, so 2 GB at most."""
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for where, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                try:
+                    archive = zipfile.ZipFile(io.BytesIO(content))
+                except zipfile.BadZipFile:
+                    continue
+                with archive:
+                    for name in archive.namelist():
+                        if name.startswith(inner) and name.endswith(".json"):
+                            text = archive.read(name).decode(errors="replace")
+                            yield pa.RecordBatch.from_arrays([pa.array([f"{where}/{name}"]), pa.array([text])], names=["path", "value"])
+
+    archives = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path)
+    return _kept(archives.select("path", "content").mapInArrow(members, "path string, value string"))
+
+
+def numbered(files: DataFrame) -> DataFrame:
+    """``files`` as of ``read_catalogue`` with a tool_id for ``catalogue.parse``: a hash of the path."""
+    return files.withColumn("tool_id", F.xxhash64("path"))
