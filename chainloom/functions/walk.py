@@ -18,7 +18,8 @@ SCHEMA_WORDS = ("type", "properties", "items", "required", "description", "defau
 TYPE_WORDS = ("str", "int", "float", "bool", "string", "integer", "number", "boolean")
 
 ITEM = "array<struct<key: string, kind: string, value: string>>"
-NODE = "array<struct<key: string, v: variant>>"
+#: ``t``: the first two letters of the value's type, worked out once a node.
+NODE = "array<struct<key: string, v: variant, t: string>>"
 LEVELS = 12
 
 
@@ -37,28 +38,38 @@ def _list(v: Column) -> Column:
 
 
 def _type(v: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    return F.substring(F.schema_of_variant(v), 1, 2)
 
 
-def _is(v: Column, *types: str) -> Column:
-    return _type(v).isin(*types)
+def _is(node: Column, *types: str) -> Column:
+    return node["t"].isin(*[t[:2] for t in types])
 
 
-def _kind(v: Column) -> Column:
-    return F.when(_is(v, "BOOLEAN"), "boolean").when(_is(v, "STRING", "OBJECT", "ARRAY", "VOID"), "string").otherwise("number")
+def _kind(t: Column) -> Column:
+    return F.when(t == "BO", "boolean").when(t.isin("ST", "OB", "AR", "VO"), "string").otherwise("number")
 
 
-def _text(v: Column) -> Column:
-    """As Python shows a value: booleans with a capital."""
-    return F.when(_is(v, "BOOLEAN"), F.initcap(v.cast("string"))).otherwise(v.cast("string"))
+def _text(node: Column) -> Column:
+    """As Python shows a value, but for exponents: booleans with a capital, numbers that aren't whole or have an exponent as doubles."""
+    shown = node["v"].cast("string")
+    return F.when(_is(node, "BOOLEAN"), F.initcap(shown)).when(_is(node, "DOUBLE") | (_is(node, "DECIMAL") & shown.contains(".")), node["v"].try_cast("double").cast("string")).otherwise(shown)
 
 
-def _item(key: Column, v: Column, value: Column) -> Column:
-    return F.struct(key.alias("key"), _kind(v).alias("kind"), value.alias("value"))
+def _item(key: Column, node: Column, value: Column) -> Column:
+    return F.struct(key.alias("key"), _kind(node["t"]).alias("kind"), value.alias("value"))
 
 
 def _node(key: Column, v: Column) -> Column:
-    return F.struct(key.alias("key"), v.alias("v"))
+    return F.struct(key.alias("key"), v.alias("v"), _type(v).alias("t"))
+
+
+def _children(node: Column) -> Column:
+    """An object's entries; none of anything else."""
+    return F.when(_is(node, "OBJECT"), _object(node["v"])).otherwise(F.array().cast("array<struct<key: string, value: variant>>"))
+
+
+def _elements(node: Column) -> Column:
+    return F.when(_is(node, "ARRAY"), _list(node["v"])).otherwise(F.array().cast("array<variant>"))
 
 
 def _each(nodes: Column, f: Callable[[Column], Column]) -> Column:
@@ -67,7 +78,7 @@ def _each(nodes: Column, f: Callable[[Column], Column]) -> Column:
 
 def _entries(nodes: Column) -> Column:
     """The entries of all objects among the nodes, under (their node's key, own key)."""
-    return _each(nodes, lambda n: F.transform(_object(n["v"]), lambda e: F.struct(n["key"].alias("under"), e["key"].alias("key"), e["value"].alias("v"))))
+    return _each(nodes, lambda n: F.transform(_children(n), lambda e: F.struct(n["key"].alias("under"), e["key"].alias("key"), e["value"].alias("v"), _type(e["value"]).alias("t"))))
 
 
 def _walk(text: Column, gives: Callable[[Column], Column], opens: Callable[[Column], Column], levels: int = LEVELS, whole: bool = True) -> Column:
@@ -83,57 +94,75 @@ def _walk(text: Column, gives: Callable[[Column], Column], opens: Callable[[Colu
     return F.when(parsed.isNull(), none).otherwise(level(F.array(_node(F.lit(""), parsed)).cast(NODE), levels))
 
 
-def _filled(v: Column) -> Column:
+def _filled(node: Column) -> Column:
     """Neither a container nor null nor an empty text."""
-    return ~_is(v, "OBJECT", "ARRAY", "VOID") & (v.cast("string") != "")
+    return ~_is(node, "OBJECT", "ARRAY", "VOID") & (node["v"].cast("string") != "")
 
 
 def leaves(text: Column) -> Column:
     """All texts that aren't empty, numbers and booleans, with the key they lie under."""
-    open_ = lambda nodes: _each(nodes, lambda n: F.concat(F.transform(_object(n["v"]), lambda e: _node(e["key"], e["value"])), F.transform(_list(n["v"]), lambda x: _node(n["key"], x))))
-    return _walk(text, lambda nodes: F.transform(F.filter(nodes, lambda n: _filled(n["v"])), lambda n: _item(n["key"], n["v"], _text(n["v"]))), open_)
+    open_ = lambda nodes: _each(nodes, lambda n: F.concat(F.transform(_children(n), lambda e: _node(e["key"], e["value"])), F.transform(_elements(n), lambda x: _node(n["key"], x))))
+    return _walk(text, lambda nodes: F.transform(F.filter(nodes, lambda n: _filled(n)), lambda n: _item(n["key"], n, _text(n))), open_)
+
+
+def leaf_values(text: Column) -> Column:
+    """The values of ``leaves``, at any depth, without their keys: a JSON text's scalars are its tokens, and a quoted one before a colon is a key.
+
+    Escaped quotes and backslashes are put aside as control characters first, which valid JSON has none of, so a quote ends its token."""
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\x02")), F.lit('\\"'), F.lit("\x01"))
+    tokens = F.regexp_extract_all(plain, F.lit('"[^"]*+"\\s*+:?|-?[0-9][0-9.eE+-]*+|true|false'), F.lit(0))
+    whole = lambda t: F.try_parse_json(F.replace(F.replace(t, F.lit("\x01"), F.lit('\\"')), F.lit("\x02"), F.lit("\\\\"))).cast("string")
+
+    def item(t: Column) -> Column:
+        quoted = t.startswith('"')
+        simple = ~t.rlike("[\\\\\x01\x02]")
+        value = F.when(quoted & simple, F.substring(t, F.lit(2), F.length(t) - 2)).when(t == "true", "True").when(t == "false", "False").when(~quoted & t.rlike("[.eE]"), t.try_cast("double").cast("string")).when(t.rlike("^[1-9][0-9]*$"), t).otherwise(whole(t))
+        return F.struct(F.lit("").alias("key"), F.when(quoted, "string").when(t.isin("true", "false"), "boolean").otherwise("number").alias("kind"), value.alias("value"))
+
+    kept = F.transform(F.filter(tokens, lambda t: ~t.endswith(":") & (t != '""')), item)
+    return F.when(F.try_parse_json(text).isNotNull(), kept.cast(ITEM)).otherwise(F.array().cast(ITEM))
 
 
 def entries(text: Column) -> Column:
     """The scalars among a JSON object's own values."""
-    own = lambda nodes: F.filter(_entries(nodes), lambda e: _filled(e["v"]))
-    return _walk(text, lambda nodes: F.transform(own(nodes), lambda e: _item(e["key"], e["v"], _text(e["v"]))), lambda nodes: F.array().cast(NODE), 1, whole=False)
+    own = lambda nodes: F.filter(_entries(nodes), lambda e: _filled(e))
+    return _walk(text, lambda nodes: F.transform(own(nodes), lambda e: _item(e["key"], e, _text(e))), lambda nodes: F.array().cast(NODE), 1, whole=False)
 
 
-def _first(v: Column) -> Column:
-    """A list's first element; of anything else itself."""
-    return F.when(_is(v, "ARRAY"), F.get(_list(v), 0)).otherwise(v)
+def _firsts(nodes: Column) -> Column:
+    """Entries whose value is, of a list, the first element: with ``n``, the list's length, and null for an empty one."""
+    return F.transform(_entries(nodes), lambda e: let(F.when(_is(e, "ARRAY"), F.get(_list(e["v"]), 0)).otherwise(e["v"]), lambda v: F.struct(e["under"].alias("under"), e["key"].alias("key"), v.alias("v"), F.coalesce(_type(v), F.lit("")).alias("t"), F.when(_is(e, "ARRAY"), F.size(_list(e["v"]))).alias("n"))))
 
 
 def _plain(e: Column, empty: bool) -> Column:
     """Whether an entry is a value: no object, no null, and no list that is empty or of objects. ``empty``: an empty text is one too."""
-    first = F.coalesce(_is(_first(e["v"]), "OBJECT"), F.lit(True))
-    return ~first & ~_is(e["v"], "VOID") & (F.lit(True) if empty else _is(e["v"], "ARRAY") | (e["v"].cast("string") != ""))
+    listed = e["n"].isNotNull()
+    return ~_is(e, "OBJECT") & (e["t"] != "") & (listed | ~_is(e, "VOID")) & (F.lit(True) if empty else listed | (e["v"].cast("string") != ""))
 
 
 def _inner(nodes: Column, name: Callable[[Column], Column]) -> Column:
     """The objects that lie in entries, themselves or first in a list."""
-    return F.transform(F.filter(_entries(nodes), lambda e: _is(_first(e["v"]), "OBJECT")), lambda e: _node(name(e), _first(e["v"])))
+    return F.transform(F.filter(_firsts(nodes), lambda e: _is(e, "OBJECT")), lambda e: F.struct(name(e).alias("key"), e["v"].alias("v"), e["t"].alias("t")))
 
 
 def path_values(text: Column) -> Column:
     """Values (JSON texts) under dotted paths; of a list the first element alone, marked ``[0]`` if it is an object."""
-    found = lambda nodes: F.transform(F.filter(_entries(nodes), lambda e: _plain(e, True)), lambda e: _item(F.concat(e["under"], e["key"]), _first(e["v"]), F.to_json(_first(e["v"]))))
-    return _walk(text, found, lambda nodes: _inner(nodes, lambda e: F.concat(e["under"], e["key"], F.when(_is(e["v"], "ARRAY"), "[0].").otherwise("."))))
+    found = lambda nodes: F.transform(F.filter(_firsts(nodes), lambda e: _plain(e, True)), lambda e: _item(F.concat(e["under"], e["key"]), e, F.to_json(e["v"])))
+    return _walk(text, found, lambda nodes: _inner(nodes, lambda e: F.concat(e["under"], e["key"], F.when(e["n"].isNotNull(), "[0].").otherwise("."))))
 
 
 def key_values(text: Column) -> Column:
     """Values (JSON texts) under their bare keys; of a list of objects the first, and its length as ``<key>_count``."""
-    counted = lambda nodes: F.transform(F.filter(_entries(nodes), lambda e: _is(e["v"], "ARRAY") & F.coalesce(_is(_first(e["v"]), "OBJECT"), F.lit(False))), lambda e: F.struct(F.concat(e["key"], F.lit("_count")).alias("key"), F.lit("number").alias("kind"), F.size(_list(e["v"])).cast("string").alias("value")))
-    found = lambda nodes: F.transform(F.filter(_entries(nodes), lambda e: _plain(e, False)), lambda e: _item(e["key"], _first(e["v"]), F.to_json(_first(e["v"]))))
+    counted = lambda nodes: F.transform(F.filter(_firsts(nodes), lambda e: e["n"].isNotNull() & _is(e, "OBJECT")), lambda e: F.struct(F.concat(e["key"], F.lit("_count")).alias("key"), F.lit("number").alias("kind"), e["n"].cast("string").alias("value")))
+    found = lambda nodes: F.transform(F.filter(_firsts(nodes), lambda e: _plain(e, False)), lambda e: _item(e["key"], e, F.to_json(e["v"])))
     return _walk(text, lambda nodes: F.concat(found(nodes).cast(ITEM), counted(nodes).cast(ITEM)), lambda nodes: _inner(nodes, lambda e: e["key"]))
 
 
 def comparable_values(text: Column) -> Column:
     """Texts and numbers under their keys, of lists the first ten elements, five levels below the top; no booleans."""
-    items = lambda nodes: _each(_entries(nodes), lambda e: F.transform(F.when(_is(e["v"], "ARRAY"), F.slice(_list(e["v"]), 1, 10)).otherwise(F.array(e["v"])), lambda x: _node(e["key"], x)))
-    found = lambda nodes: F.transform(F.filter(items(nodes), lambda n: _filled(n["v"]) & ~_is(n["v"], "BOOLEAN")), lambda n: _item(n["key"], n["v"], _text(n["v"])))
-    return _walk(text, found, lambda nodes: F.filter(items(nodes), lambda n: _is(n["v"], "OBJECT")), 6, whole=False)
+    items = lambda nodes: _each(_entries(nodes), lambda e: F.transform(F.when(_is(e, "ARRAY"), F.slice(_list(e["v"]), 1, 10)).otherwise(F.array(e["v"])), lambda x: _node(e["key"], x)))
+    found = lambda nodes: F.transform(F.filter(items(nodes), lambda n: _filled(n) & ~_is(n, "BOOLEAN")), lambda n: _item(n["key"], n, _text(n)))
+    return _walk(text, found, lambda nodes: F.filter(items(nodes), lambda n: _is(n, "OBJECT")), 6, whole=False)
 
 
 def _properties(nodes: Column) -> Column:
@@ -143,26 +172,26 @@ def _properties(nodes: Column) -> Column:
 
 def _below(nodes: Column) -> Column:
     """Each object node, and the object in its ``items``."""
-    inside = lambda n: F.try_variant_get(n["v"], "$.items", "variant")
-    objects = F.filter(nodes, lambda n: _is(n["v"], "OBJECT"))
-    return F.concat(objects, F.transform(F.filter(objects, lambda n: F.coalesce(_is(inside(n), "OBJECT"), F.lit(False))), lambda n: _node(n["key"], inside(n))))
+    objects = F.filter(nodes, lambda n: _is(n, "OBJECT"))
+    inside = F.transform(objects, lambda n: _node(n["key"], F.try_variant_get(n["v"], "$.items", "variant")))
+    return F.concat(objects, F.filter(inside, lambda n: F.coalesce(_is(n, "OBJECT"), F.lit(False))))
 
 
 def fields_of(schema: Column) -> Column:
     """Names with their types, of JSON Schema and of plain examples of types, four levels below the top."""
-    declared = lambda nodes: F.filter(_properties(nodes), lambda p: _is(p["v"], "OBJECT"))
+    declared = lambda nodes: F.filter(_properties(nodes), lambda p: _is(p, "OBJECT"))
     other = lambda nodes: F.filter(_entries(nodes), lambda e: ~e["key"].isin(*SCHEMA_WORDS))
-    typed = lambda e: _is(e["v"], "STRING") & F.lower(e["v"].cast("string")).isin(*TYPE_WORDS)
+    typed = lambda e: _is(e, "STRING") & F.lower(e["v"].cast("string")).isin(*TYPE_WORDS)
     named = lambda key, kind: F.struct(key.alias("key"), kind.alias("kind"), F.lit("").alias("value"))
 
     def gives(nodes: Column) -> Column:
         kind = lambda p: F.try_variant_get(p["v"], "$.type", "variant")
-        of_schema = F.transform(declared(nodes), lambda p: named(p["key"], F.when(F.coalesce(_is(kind(p), "STRING"), F.lit(False)), kind(p).cast("string")).otherwise("string")))
-        shown = F.filter(other(nodes), lambda e: typed(e) | _is(e["v"], "OBJECT", "ARRAY"))
-        return F.concat(of_schema.cast(ITEM), F.transform(shown, lambda e: named(e["key"], F.when(_is(e["v"], "OBJECT"), "object").when(_is(e["v"], "ARRAY"), "array").otherwise(e["v"].cast("string")))).cast(ITEM))
+        of_schema = F.transform(declared(nodes), lambda p: named(p["key"], F.when(F.coalesce(_type(kind(p)) == "ST", F.lit(False)), kind(p).cast("string")).otherwise("string")))
+        shown = F.filter(other(nodes), lambda e: typed(e) | _is(e, "OBJECT", "ARRAY"))
+        return F.concat(of_schema.cast(ITEM), F.transform(shown, lambda e: named(e["key"], F.when(_is(e, "OBJECT"), "object").when(_is(e, "ARRAY"), "array").otherwise(e["v"].cast("string")))).cast(ITEM))
 
     def opens(nodes: Column) -> Column:
-        example = lambda e: F.when(_is(e["v"], "ARRAY"), F.get(F.filter(_list(e["v"]), lambda x: _is(x, "OBJECT")), 0)).when(_is(e["v"], "OBJECT"), e["v"])
+        example = lambda e: F.when(_is(e, "ARRAY"), F.get(F.filter(_list(e["v"]), lambda x: _type(x) == "OB"), 0)).when(_is(e, "OBJECT"), e["v"])
         return F.concat(_below(declared(nodes)).cast(NODE), F.filter(F.transform(other(nodes), lambda e: _node(e["key"], example(e))), lambda n: n["v"].isNotNull()).cast(NODE))
 
     return _walk(schema, gives, opens, 5, whole=False)

@@ -96,7 +96,7 @@ def chained(json_calls: DataFrame) -> DataFrame:
     def values(found: Column, keep: Column) -> DataFrame:
         return json_calls.select("conv_id", "call_idx", F.explode(found).alias("x")).select("conv_id", "call_idx", "x.*").where(keep)
 
-    first = values(W.leaves(F.col("response")), F.lit(True)).groupBy("conv_id", "value").agg(F.min("call_idx").alias("seen"))
+    first = values(W.leaf_values(F.col("response")), F.lit(True)).groupBy("conv_id", "value").agg(F.min("call_idx").alias("seen"))
     last = values(W.entries(F.col("arguments")), (F.col("kind") != "string") | (F.length("value") >= 3)).groupBy("conv_id", "value").agg(F.max("call_idx").alias("used"))
     hits = first.join(last, ["conv_id", "value"]).where("seen < used").select("conv_id").distinct().withColumn("hit", F.lit(True))
     return json_calls.select("conv_id").distinct().join(hits, "conv_id", "left").select("conv_id", F.coalesce("hit", F.lit(False)).alias("chained"))

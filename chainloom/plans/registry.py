@@ -602,7 +602,7 @@ def selected_catalogue(spark, d):
 
 @query(f"{B.sql('ncalls')} SELECT conv_id, call_idx, x.type = 'VARCHAR' AS is_text, {_TEXT} AS value FROM ncalls, json_tree(response) AS x WHERE {_LEAF}")
 def value_leaves(spark, d):
-    each = B.nested_calls(spark, d).select("conv_id", "call_idx", F.explode(W.leaves(F.col("response"))).alias("x"))
+    each = B.nested_calls(spark, d).select("conv_id", "call_idx", F.explode(W.leaf_values(F.col("response"))).alias("x"))
     return each.select("conv_id", "call_idx", (F.col("x.kind") == "string").alias("is_text"), F.col("x.value").alias("value"))
 
 

@@ -65,6 +65,15 @@ def test_leaves(trees):
     assert all(found[i] == Counter(all_leaves(d)) for i, d in enumerate(trees[0]))
 
 
+def test_leaf_values_are_the_leaves(spark, trees):
+    found = got(trees[1], W.leaf_values, "value")
+    assert all(found[i] == Counter((v,) for _, v in all_leaves(d)) for i, d in enumerate(trees[0]))
+    odd = {'a"b\\': ['\\"', "\\\\", 'x: "y"', "\n\t\x01", "é", "1", "true", "a:b", ":"], "k": [-0.5, 1e3, -7, 0, 1.25e-7, False, None, {"n": "q"}], "e" * 3: "\\" * 9999 + '"' * 9999}
+    for t in (json.dumps(odd), json.dumps(odd, indent=3, ensure_ascii=False)):
+        assert Counter(x.value for x in spark.range(1).select(W.leaf_values(F.lit(t)).alias("x")).first().x) == Counter(v.replace("e-07", "E-7") for _, v in all_leaves(odd))
+    assert spark.range(1).select(W.leaf_values(F.lit("{1")).alias("x")).first().x == []
+
+
 def test_schema_walks(trees):
     for walk, stops, declares in ((W.fields_of, 4, False), (W.property_names, 3, True)):
         found = got(trees[1], walk, "key", "kind")
