@@ -110,7 +110,7 @@ def leaf_values(text: Column) -> Column:
 
     Escaped quotes and backslashes are put aside as control characters first, which valid JSON has none of, so a quote ends its token."""
     plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\x02")), F.lit('\\"'), F.lit("\x01"))
-    tokens = F.regexp_extract_all(plain, F.lit('"[^"]*+"\\s*+:?|-?[0-9][0-9.eE+-]*+|true|false'), F.lit(0))
+    tokens = F.regexp_extract_all(plain, F.lit('"[^"]*+"(?:\\s*+:)?|-?[0-9][0-9.eE+-]*+|true|false'), F.lit(0))
     whole = lambda t: F.try_parse_json(F.replace(F.replace(t, F.lit("\x01"), F.lit('\\"')), F.lit("\x02"), F.lit("\\\\"))).cast("string")
 
     def item(t: Column) -> Column:
