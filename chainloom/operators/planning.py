@@ -78,9 +78,10 @@ def next_parameters(chains: DataFrame, endpoints: DataFrame) -> DataFrame:
 
 
 def values_text(values: Column) -> Column:
-    """``values``: array of (key, value) structs. The lines of a prompt, of equal keys the last."""
-    last = F.filter(values, lambda x, i: ~F.exists(F.slice(values, i + 2, F.size(values)), lambda y: y["key"] == x["key"]))
-    lines = F.array_join(F.transform(last, lambda x: F.concat(F.lit("  - "), x["key"], F.lit(": "), x["value"])), "\n")
+    """``values``: array of (key, value) structs. The lines of a prompt: a key stands where it came first, with its last value."""
+    keys = F.array_distinct(F.transform(values, lambda x: x["key"]))
+    last = lambda k: F.element_at(F.filter(values, lambda x: x["key"] == k), -1)["value"]
+    lines = F.array_join(F.transform(keys, lambda k: F.concat(F.lit("  - "), k, F.lit(": "), last(k))), "\n")
     return F.when(F.size(values) == 0, "").otherwise(F.concat(F.lit("Values from previous tool calls:\n"), lines))
 
 

@@ -342,7 +342,7 @@ def ep_flow(spark, d):
     return feeds_exact(spark, d).groupBy("edge_class").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("src").alias("sources"))
 
 
-@query(f"{_F}, {_IO}, {_EXACT}, e AS (SELECT DISTINCT endpoint, tool FROM fields WHERE endpoint < 60) SELECT a.endpoint AS a, b.endpoint AS b FROM e a JOIN e b ON a.endpoint < b.endpoint AND a.tool = b.tool WHERE NOT EXISTS (SELECT 1 FROM ex WHERE edge_class = 'hard' AND ((src = a.endpoint AND dst = b.endpoint) OR (src = b.endpoint AND dst = a.endpoint)))".replace(" WHERE endpoint < 60", ""))
+@query(f"{_F}, {_IO}, {_EXACT}, e AS (SELECT DISTINCT endpoint, tool FROM fields) SELECT a.endpoint AS a, b.endpoint AS b FROM e a JOIN e b ON a.endpoint < b.endpoint AND a.tool = b.tool WHERE NOT EXISTS (SELECT 1 FROM ex WHERE edge_class = 'hard' AND ((src = a.endpoint AND dst = b.endpoint) OR (src = b.endpoint AND dst = a.endpoint)))")
 def independent_pairs(spark, d):
     """Endpoints of one tool without a hard flow either way."""
     f = B.fields(spark, d)
@@ -614,9 +614,19 @@ def value_flatten(spark, d):
     return B.nested_calls(spark, d).select("event_id", F.explode(W.path_values(F.col("response"))).alias("x")).select("event_id", "x.key", "x.value")
 
 
-@query(f"{B.sql('ncalls')} SELECT event_id, unnest(['itemId', 'items_count', 'tags', 'open']) AS key, unnest([{_ITEM0}, '2', '\"a\"', 'false']) AS value FROM ncalls")
+@query(f"{B.sql('ncalls')} SELECT event_id, unnest(['itemId', 'item_id', 'items_count', 'tags', 'open']) AS key, unnest([{_ITEM0}, {_ITEM0}, '2', '\"a\"', 'false']) AS value FROM ncalls")
 def session_values(spark, d):
-    return B.nested_calls(spark, d).select("event_id", F.explode(W.key_values(F.col("response"))).alias("x")).select("event_id", "x.key", "x.value")
+    """What a session keeps of a response, under the keys and their normal forms."""
+    kept = W.aliased(W.key_values(F.col("response")))
+    return B.nested_calls(spark, d).select("event_id", F.explode(kept).alias("x")).select("event_id", "x.key", "x.value")
+
+
+@query("SELECT p_partkey AS tool_id, 'Values from previous tool calls:' || chr(10) || '  - size: ' || CAST(p_size + 1 AS VARCHAR) || chr(10) || '  - brand: ' || p_brand AS block FROM part")
+def values_block(spark, d):
+    """Known values as the lines of a prompt: a key keeps its place and takes its last value."""
+    pair = lambda k, v: F.struct(F.lit(k).alias("key"), v.cast("string").alias("value"))
+    values = F.array(pair("size", F.col("p_size")), pair("brand", F.col("p_brand")), pair("size", F.col("p_size") + 1))
+    return B.read(spark, d, "part").select(F.col("p_partkey").alias("tool_id"), P.values_text(values).alias("block"))
 
 
 @query(f"{B.sql('ncalls')} SELECT 'item_id' AS field, count(DISTINCT value) AS n, min(value) AS least FROM (SELECT unnest([json_extract_string(response, '$.dataSet.items[0].itemId'), json_extract_string(response, '$.dataSet.items[1].itemId')]) AS value FROM ncalls) UNION ALL SELECT 'tags', 1, 'a'")
