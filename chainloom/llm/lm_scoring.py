@@ -44,9 +44,10 @@ TABLE_BITS = (17, 19, 21, 21, 21)
 HASHED = len(TABLE_BITS)
 #: Then the exact predictors: the word so far among all words, and among those of its class.
 ORDERS = HASHED + 2
-#: Gates: how sure the exact predictors are (0: don't know, then by the count's logarithm), in class and among all, and the longest hashed one that knows.
-SURE, KNOWS = 5, 3
-GATES = SURE * SURE * KNOWS
+#: Gates: how far in the word (from which byte), how sure the exact predictors are (0: don't know, then by the count's logarithm), in class
+#: and among all, and the longest hashed one that knows. Far in a word that goes on as known ones do, exact predictors are trusted more from the start.
+FAR, TRUST, SURE, KNOWS = (8, 32), (1.0, 1.5, 3.0), 5, 3
+GATES = len(TRUST) * SURE * SURE * KNOWS
 BUCKETS = 33
 DELTA = 0.4
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -58,8 +59,13 @@ TOGETHER = 100_000
 CHUNK, AT_ONCE = 1 << 23, 8192
 #: Bits of the place of a word with a class in its chunk.
 PLACE_BITS = 28
-#: Bytes of a word whose counts are global, the nodes of these, and bytes up to which words are told apart exactly.
+#: Bytes of a word whose counts are global, the nodes of these, and bytes of a word that are sorted as one fixed field (longer ones are told apart by what follows, too).
 HEAD, HEAD_NODES, PREFIX = 2, 256 * 257, 32
+#: Places after PREFIX are handled so many pairs at a time.
+FLAT = 1 << 10
+#: Words with the same first bytes go to tasks by longer heads where they are more than SPLIT, or than a share of 1 / HEADS of all
+#: words (so heavy heads of one length are no more than HEADS); heads are no longer than DEEPEST. Estimated from the words with one of SAMPLED hashes.
+SPLIT, HEADS, DEEPEST, SAMPLED = 20_000, 4096, 255, 16
 #: Experts: shares given to words used before in the text, and to words put after the word before.
 EXPERTS = ((0.0, 0.0), (0.03, 0.0), (0.1, 0.0), (0.3, 0.0), (0.05, 0.3), (0.05, 0.7), (0.02, 0.93))
 
@@ -93,35 +99,92 @@ def squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def closed_of(word: bytes) -> bytes:
+    return word if word == END else word + b" "
+
+
+def after_byte(h: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """The hash of what a word begins with, one byte longer."""
+    return mixed(h * PRIME + byte.astype(np.uint64) + np.uint64(1))
+
+
+class Deep:
+    """Counts at the decisions inside of heads of more than HEAD bytes: all words that meet such a decision have such heads,
+    so they follow from how often each head occurs in each class."""
+
+    def __init__(self, heads: list[bytes], classes: np.ndarray, counts: np.ndarray) -> None:
+        size = np.fromiter(map(len, heads), np.int64, len(heads))
+        flat, start = np.frombuffer(b"".join(heads), np.uint8), np.cumsum(size) - size
+        h, names, ones, n = np.zeros(len(heads), np.uint64), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for j in range(int(size.max(initial=0))):
+            at = np.flatnonzero(size > j)
+            byte = flat[start[at] + j]
+            for b in range(8) if j >= HEAD else ():
+                node, bit = node_of(byte, b)
+                for g in (np.full(len(at), CLASSES + 1), classes[at]):
+                    names.append(self._name(h[at], node, g))
+                    ones.append(counts[at] * bit)
+                    n.append(counts[at])
+            h[at] = after_byte(h[at], byte)
+        self.names, of = np.unique(np.concatenate(names), return_inverse=True)
+        self.ones, n = (np.bincount(of, weights=np.concatenate(x), minlength=len(self.names)).astype(np.int64) for x in (ones, n))
+        self.zeros = n - self.ones
+
+    @staticmethod
+    def _name(h: np.ndarray, node: np.ndarray, g: np.ndarray) -> np.ndarray:
+        return mixed(mix_node(h, node) + PRIME * (g.astype(np.uint64) + np.uint64(1)))
+
+    def counts(self, h: np.ndarray, node: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        name = self._name(h, node, g)
+        at = np.minimum(np.searchsorted(self.names, name), len(self.names) - 1)
+        found = self.names[at] == name
+        return np.where(found, self.zeros[at], 0), np.where(found, self.ones[at], 0)
+
+
 class Words:
     """Distinct pairs of a word and a class, laid out for the decisions of one byte after the other.
 
     Pairs come in order of class and closed word, so all that begin alike are neighbours: what an exact
-    predictor counts at a decision is a sum over a run of neighbours. All words that share their first
-    HEAD bytes must be there; for these bytes themselves counts are global (see ``head_place``), and
-    beyond PREFIX bytes exact predictors know nothing.
+    predictor counts at a decision is a sum over a run of neighbours. All words that share their head, the
+    first ``heads`` bytes (HEAD, if not given), must be there; for the head's bytes themselves counts are
+    global: see ``head_place`` for the first HEAD bytes, ``Deep`` for those after.
     """
 
-    def __init__(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray) -> None:
-        closed = np.array([w if w == END else w + b" " for w in words], object)
+    def __init__(self, words: list[bytes], classes: np.ndarray, counts: np.ndarray, heads: np.ndarray | None = None, deep: Deep | None = None) -> None:
+        closed = np.array([closed_of(w) for w in words], object)
         short = np.array(closed.tolist(), f"S{PREFIX}")
-        self.order = np.lexsort((short, classes))
-        closed, short = closed[self.order], short[self.order]
+        tails = self._tails(closed)
+        self.order = np.lexsort((tails, short, classes))
+        closed, short, tails = closed[self.order], short[self.order], tails[self.order]
+        self.deep, self.heads = deep, np.full(len(closed), HEAD) if heads is None else heads[self.order]
         self.g, self.c = classes[self.order].astype(np.int64), counts[self.order].astype(np.int64)
         self.size = np.fromiter(map(len, closed.tolist()), np.int64, len(closed))
         self.start = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(closed.tolist()), np.uint8)
-        self.same = self._common(short, self.g)
+        self.same = self._common(closed, short, self.g)
         # All words whatever their class: the place of each pair's word, a pair of each word, and the sums of their counts.
-        names, self.of_word = np.unique(closed, return_inverse=True) if (self.size > PREFIX).any() else np.unique(short, return_inverse=True)
-        self.first = np.empty(len(names), np.int64)
-        self.first[self.of_word] = np.arange(len(closed))
-        self.total = np.bincount(self.of_word, weights=self.c, minlength=len(names)).astype(np.int64)
-        self.same_word = self._common(short[self.first], np.zeros(len(names), np.int64))
+        by_name = np.lexsort((tails, short))
+        fresh = np.ones(len(closed), bool)
+        fresh[1:] = (short[by_name[1:]] != short[by_name[:-1]]) | (tails[by_name[1:]] != tails[by_name[:-1]])
+        self.of_word = np.empty(len(closed), np.int64)
+        self.of_word[by_name] = np.cumsum(fresh) - 1
+        self.first = by_name[fresh]
+        self.total = np.bincount(self.of_word, weights=self.c, minlength=len(self.first)).astype(np.int64)
+        self.same_word = self._common(closed[self.first], short[self.first], np.zeros(len(self.first), np.int64))
 
     @staticmethod
-    def _common(short: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Bits that each of the sorted words has in common with the one before, as far as PREFIX bytes, -1 at the first and where the class changes."""
+    def _tails(closed: np.ndarray) -> np.ndarray:
+        """The rank of what follows the first PREFIX bytes, 0 if nothing does."""
+        out = np.zeros(len(closed), np.int64)
+        long = [(w[PREFIX:], i) for i, w in enumerate(closed.tolist()) if len(w) > PREFIX]
+        rank = {t: k for k, t in enumerate(sorted({t for t, _ in long}), 1)}
+        for t, i in long:
+            out[i] = rank[t]
+        return out
+
+    @staticmethod
+    def _common(closed: np.ndarray, short: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Bits that each of the sorted words has in common with the one before, -1 at the first and where the class changes."""
         n = len(short)
         byte = np.ascontiguousarray(short).view(np.uint8).reshape(n, -1)
         out = np.full(n, -1, np.int64)
@@ -131,6 +194,10 @@ class Words:
         x = np.where(k < PREFIX, byte[at, np.minimum(k, PREFIX - 1)] ^ byte[at - 1, np.minimum(k, PREFIX - 1)], 0)
         lead = 8 - np.ceil(np.log2(x.astype(np.float64) + 1)).astype(np.int64)  # zero bits before the first one
         out[1:] = np.where(classes[1:] == classes[:-1], 8 * k + np.where(k < PREFIX, lead, 0), -1)
+        for i in np.flatnonzero(out == 8 * PREFIX).tolist():  # alike so far: compare the rest
+            x, y = (np.frombuffer(w, np.uint8, min(len(closed[i]), len(closed[i - 1])) - PREFIX, PREFIX) for w in (closed[i], closed[i - 1]))
+            d = int(np.argmax(x != y))  # no closed word begins another one
+            out[i] += 8 * d + 8 - int(x[d] ^ y[d]).bit_length()
         return out
 
     def _contexts(self, at: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
@@ -146,42 +213,49 @@ class Words:
 
     def decisions(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray | None, list[np.ndarray] | None]]:
         """(pairs, where runs of pairs that are alike so far begin among them, and for each run: hashes of contexts with
-        the bits before; for each pair its bit; for each run: place among head counts, exact counts of 0 and 1 among all and in class).
+        the bits before; for each pair its bit; for each run: place among head counts, exact counts of 0 and 1 among all and in class and how far in the word it is).
 
-        A run meets one decision. The last two: places for the first HEAD bytes, counts then, and neither beyond PREFIX bytes."""
-        for j in range(int(min(PREFIX, self.size.max(initial=0)))):
+        A run meets one decision. The last two: places for the first HEAD bytes, counts then."""
+        end, j, h = int(self.size.max(initial=0)), 0, np.zeros(len(self.size), np.uint64)
+        while j < end:
             at, near = self._alive(self.size, self.same, j)
-            byte = self.flat[self.start[at] + j]
-            begin = np.flatnonzero(near < 8 * j)
-            of_byte = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(at))))
-            contexts = self._contexts(at[begin], np.full(len(begin), j))
+            # Of long words several places at once, as far as none of them ends.
+            stop = j + 1 if j < max(PREFIX, self.heads.max(initial=0)) else max(j + 1, min(int(self.size[at].min()), j + FLAT // len(at)))
+            place = np.repeat(np.arange(j, stop), len(at))
             if j >= HEAD:
                 heads, near_head = self._alive(self.size[self.first], self.same_word, j)
-                head_byte, head_c = self.flat[self.start[self.first[heads]] + j], self.total[heads]
+                head_place_ = np.repeat(np.arange(j, stop), len(heads))
                 where = np.full(len(self.first), -1, np.int64)
                 where[heads] = np.arange(len(heads))
+                where = (where[self.of_word[at]][None, :] + len(heads) * np.arange(stop - j)[:, None]).ravel()
+                heads, near_head = np.tile(heads, stop - j), np.tile(near_head, stop - j)
+                head_byte, head_c = self.flat[self.start[self.first[heads]] + head_place_], self.total[heads]
+            at, near = np.tile(at, stop - j), np.tile(near, stop - j)
+            byte = self.flat[self.start[at] + place]
+            begin = np.flatnonzero(near < 8 * place)
+            of_byte = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(at))))
+            contexts = self._contexts(at[begin], place[begin])
             for b in range(8):
-                runs = np.flatnonzero(near < 8 * j + b)
+                runs = np.flatnonzero(near < 8 * place + b)
                 node, bit = node_of(byte[runs], b)[0], node_of(byte, b)[1]
                 hashes = [mix_node(c[of_byte[runs]], node) for c in contexts]
                 if j < HEAD:
                     before = self.flat[self.start[at[runs]]].astype(np.int64) if j else None
                     yield at, runs, hashes, bit, head_place(self.g[at[runs]], before, node), None
-                else:
-                    starts = np.flatnonzero(near_head < 8 * j + b)
-                    every = counts_of(starts, head_c, node_of(head_byte, b)[1])
-                    mine = np.searchsorted(starts, where[self.of_word[at[runs]]], side="right") - 1
-                    yield at, runs, hashes, bit, None, [every[0][mine], every[1][mine], *counts_of(runs, self.c[at], bit)]
-        long = np.flatnonzero(self.size > PREFIX)
-        rest = self.size[long] - PREFIX
-        at = np.repeat(long, rest)
-        place = PREFIX + np.arange(len(at)) - np.repeat(np.cumsum(rest) - rest, rest)
-        for s in range(0, len(at), 1 << 16):
-            a, q = at[s : s + (1 << 16)], place[s : s + (1 << 16)]
-            contexts = self._contexts(a, q)
-            for b in range(8):
-                node, bit = node_of(self.flat[self.start[a] + q], b)
-                yield a, np.arange(len(a)), [mix_node(c, node) for c in contexts], bit, None, None
+                    continue
+                starts = np.flatnonzero(near_head < 8 * head_place_ + b)
+                every = counts_of(starts, head_c, node_of(head_byte, b)[1])
+                mine = np.searchsorted(starts, where[runs], side="right") - 1
+                counts = [every[0][mine], every[1][mine], *counts_of(runs, self.c[at], bit), np.searchsorted(FAR, place[runs], side="right")]
+                in_head = np.flatnonzero(self.heads[at[runs]] > j)
+                if len(in_head):
+                    of = at[runs[in_head]]
+                    for k, g in ((0, np.full(len(of), CLASSES + 1)), (2, self.g[of])):
+                        counts[k][in_head], counts[k + 1][in_head] = self.deep.counts(h[of], node[in_head], g)
+                yield at, runs, hashes, bit, None, counts
+            if j < self.heads.max(initial=0):
+                h[at] = after_byte(h[at], byte)
+            j = stop
 
     @staticmethod
     def _alive(size: np.ndarray, same: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
@@ -276,12 +350,13 @@ def first_weights() -> np.ndarray:
     """Before anything is learned the surest exact predictor counts most, and without one the longest hashed one."""
     out = np.zeros((GATES, ORDERS))
     for gate in range(GATES):
-        in_class, every, knows = gate // (SURE * KNOWS), gate // KNOWS % SURE, gate % KNOWS
+        far, in_class, every, knows = gate // (SURE * SURE * KNOWS), gate // (SURE * KNOWS) % SURE, gate // KNOWS % SURE, gate % KNOWS
         out[gate, -1] = 0.25 * in_class
         out[gate, -2] = 0.2 * every if not in_class else 0.05 * every
         left = max(0.0, 1 - out[gate, -1] - out[gate, -2])
         out[gate, 2 + knows] = left * 0.8
         out[gate, 1 + knows] = left * 0.2
+        out[gate, HASHED:] *= TRUST[far]
     return out
 
 
@@ -305,8 +380,8 @@ class Evidence:
         if head is not None:
             of_all = head % HEAD_NODES
             counts = [self.every[2 * of_all], self.every[2 * of_all + 1], self.head[2 * head], self.head[2 * head + 1]]
-        level = np.zeros(len(hashes[0]), np.int64)
-        for k, at in ((HASHED + 1, 2), (HASHED, 0)) if counts is not None else ():
+        level = counts[4] if len(counts) > 4 else np.zeros(len(hashes[0]), np.int64)
+        for k, at in ((HASHED + 1, 2), (HASHED, 0)):
             n0, n1 = np.maximum(counts[at] - own[0], 0), np.maximum(counts[at + 1] - own[1], 0)
             inputs[k] = log_of(n1) - log_of(n0)
             level = level * SURE + sure(n0 + n1)
@@ -335,8 +410,8 @@ def rate_words(mixer: Mixer, evidence: Evidence, words: Words) -> np.ndarray:
         p = mixer.probability(*evidence.of(hashes, head, counts))[0]
         both = np.log10(np.stack([1 - p, p])).ravel()
         of = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(at))))
-        if len(runs) == len(at) and len(at) and np.any(at[1:] == at[:-1]):  # several bytes of one word
-            total += np.bincount(at, weights=both[bit * len(runs) + of], minlength=len(total))
+        if np.any(at[1:] <= at[:-1]):  # several bytes of one word
+            np.add.at(total, at, both[bit * len(runs) + of])
         else:
             total[at] += both[bit * len(runs) + of]
     out = np.empty(len(total))
@@ -501,13 +576,48 @@ def _company(by_chunk: DataFrame, names: np.ndarray) -> np.ndarray:
     return found.reshape(len(names), len(names))
 
 
-def read_words(batch: pa.RecordBatch) -> Words:
-    """A batch of word, g, c."""
-    return Words(batch.column("word").to_pylist(), batch.column("g").to_numpy(), batch.column("c").to_numpy())
+def read_words(batch: pa.RecordBatch, deep: Deep | None = None) -> Words:
+    """A batch of k, word, g, c."""
+    heads = np.fromiter(map(len, batch.column("k").to_pylist()), np.int64, batch.num_rows)
+    return Words(batch.column("word").to_pylist(), batch.column("g").to_numpy(), batch.column("c").to_numpy(), heads, deep)
+
+
+def head_of(closed: bytes, heavy: set[bytes]) -> bytes:
+    """The shortest beginning, of HEAD bytes at least, that is not heavy."""
+    k = closed[:HEAD]
+    while k in heavy and len(k) < len(closed):
+        k = closed[: len(k) + 1]
+    return k
+
+
+def heavy_heads(by_chunk: DataFrame, words: int) -> set[bytes]:
+    """Beginnings that too many of the distinct words share for one task; no result depends on them, so a sample by hash does."""
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column("words").to_pylist():
+                packed = zstandard.decompress(packed)
+                some = np.flatnonzero(word_hashes(packed) % np.uint64(SAMPLED) == 0).tolist()
+                of = packed.split() if some else []
+                yield pa.RecordBatch.from_arrays([pa.array([closed_of(of[i]) for i in some], pa.binary())], names=["word"])
+
+    many = max(SPLIT, words // HEADS) / SAMPLED
+    sample = by_chunk.select("words").mapInArrow(sampled, "word binary").distinct()
+    out: set[bytes] = set()
+    for low, high in ((HEAD, HEAD), (HEAD + 1, 8), (9, 32), (33, DEEPEST)):
+        size = F.explode(F.sequence(F.lit(low), F.least(F.length("word"), F.lit(high)))).alias("n")
+        long = sample.where(F.length("word") >= low)
+        if low > HEAD:  # no more than HEADS
+            long = long.where(F.substring("word", 1, low - 1).isin([k for k in out if len(k) == low - 1]))
+        found = long.select("word", size).groupBy(F.expr("substring(word, 1, n)").alias("k")).count().where(F.col("count") > many)
+        out |= {bytes(r["k"]) for r in found.collect()}
+        if not any(len(k) == high for k in out):
+            break
+    return out
 
 
 def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches put together so that words with the same first two bytes (``k``, sorted) are never parted."""
+    """Batches put together so that words with the same head (``k``, sorted) are never parted."""
     held: list[pa.RecordBatch] = []
 
     def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -529,13 +639,13 @@ def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield joined(held)
 
 
-def counted_tables(words: DataFrame) -> list[np.ndarray]:
+def counted_tables(words: DataFrame, deep) -> list[np.ndarray]:
     """The hashed predictors' counts: each task sends its tables in compressed blocks, which are added by block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = empty_tables()
         for batch in whole(batches):
-            count_into(tables, read_words(batch))
+            count_into(tables, read_words(batch, deep.value))
         for k, t in enumerate(tables):
             for b, part in enumerate(np.split(t, BLOCKS)):
                 some = np.flatnonzero(part).astype(np.uint32)
@@ -569,13 +679,13 @@ def received(packed: list[bytes]) -> Evidence:
     return Evidence([np.frombuffer(zstandard.decompress(x), np.int64 if k == HASHED else np.int32) for k, x in enumerate(packed)])
 
 
-def learned_mixer(words: DataFrame, tables, conf: Conf) -> Mixer:
+def learned_mixer(words: DataFrame, tables, deep, conf: Conf) -> Mixer:
     """Every task learns online over its words; weights are averaged by what each gate saw, the refinement's cells are added."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer, held = Mixer(), received(tables.value)
         for batch in whole(batches):
-            learn_into(mixer, held, read_words(batch), conf.rate)
+            learn_into(mixer, held, read_words(batch, deep.value), conf.rate)
         n = mixer.hits.sum(axis=1)
         values = np.concatenate([(mixer.weights * n[:, None]).ravel(), n, mixer.hits.ravel(), mixer.ones.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], names=["i", "v"])
@@ -649,6 +759,7 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
     top = totals.where("h is not null").orderBy(F.desc("c"), "h").limit(FREQUENT)
     names = np.sort(np.array([r["h"] for r in top.collect()], np.int64).view(np.uint64))
     groups = grouped(names, _company(by_chunk, names))
+    heavy = heavy_heads(by_chunk, v)
 
     def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -657,19 +768,23 @@ def score_texts(docs: DataFrame, learn: F.Column, conf: Conf = Conf()) -> DataFr
                 pair, learned = c.pairs(names, groups)
                 kinds, at = distinct(pair)
                 words = [*c.words(), END]
-                of = [words[x] for x in (kinds // (CLASSES + 1)).tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array([w[:2] for w in of], pa.binary()), pa.array(of, pa.binary()), pa.array(kinds % (CLASSES + 1)), pa.array(np.bincount(at, weights=learned, minlength=len(kinds)).astype(np.int64))], names=["k", "word", "g", "c"])
+                heads = [head_of(closed_of(w[: DEEPEST + 1])[: DEEPEST + 1], heavy) for w in words]
+                kind = (kinds // (CLASSES + 1)).tolist()
+                of = [words[x] for x in kind]
+                yield pa.RecordBatch.from_arrays([pa.array([heads[x] for x in kind], pa.binary()), pa.array(of, pa.binary()), pa.array(kinds % (CLASSES + 1)), pa.array(np.bincount(at, weights=learned, minlength=len(kinds)).astype(np.int64))], names=["k", "word", "g", "c"])
 
     # No name is kept for what leads to a table that is cut: its shuffle files would stay as long.
     words = cut(by_chunk.mapInArrow(worded, "k binary, word binary, g long, c long").groupBy("k", "word", "g").agg(F.sum("c").alias("c")).repartition("k").sortWithinPartitions("k"))
-    tables = counted_tables(words) if ends else empty_tables()
+    found = words.where(F.length("k") > HEAD).groupBy("k", "g").agg(F.sum("c").alias("c")).collect() if heavy else []  # the classes of what follows HEADS heavy heads of a length
+    deep = spark.sparkContext.broadcast(Deep([bytes(r["k"]) for r in found], np.array([r["g"] for r in found], np.int64), np.array([r["c"] for r in found], np.int64)))
+    tables = counted_tables(words, deep) if ends else empty_tables()
     shared = spark.sparkContext.broadcast(sent(tables))  # of fixed size
-    mixer = learned_mixer(words, shared, conf) if ends else Mixer()
+    mixer = learned_mixer(words, shared, deep, conf) if ends else Mixer()
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = received(shared.value)
         for batch in whole(batches):
-            w = read_words(batch)
+            w = read_words(batch, deep.value)
             p = rate_words(mixer, held, w)
             given = batch.column("word").to_pylist()
             hashes = hashes_of(given)

@@ -163,7 +163,7 @@ def test_lm_beats_the_base_on_held_out_texts(spark):
 
 def lm_pairs(seed=3):
     r = random.Random(seed)
-    words = sorted({bytes(r.choice(b"abc") for _ in range(r.randrange(1, 7))) for _ in range(60)} | {b"x" * 40 + b"abc", b"x" * 40 + b"abd", b"\xc3\xa9", b"x" * 32, b"x" * 32 + b"q"})
+    words = sorted({bytes(r.choice(b"abc") for _ in range(r.randrange(1, 7))) for _ in range(60)} | {b"x" * 40 + b"abc", b"x" * 40 + b"abd", b"\xc3\xa9", b"x" * 32, b"x" * 32 + b"q", b"y" * 90, b"y" * 90 + b"z" * 50, b"x" * 31, b"z\x00\x00" * 20})
     pairs = [(w, g) for w in [*words, lm_scoring.END] for g in r.sample(range(lm_scoring.CLASSES + 1), 2)]
     return [w for w, _ in pairs], np.array([g for _, g in pairs]), np.array([r.choice((0, 1, 1, 3, 40)) for _ in pairs])
 
@@ -204,9 +204,10 @@ def test_lm_words_equal_a_scalar_reference():
                 n0, n1 = tables[k][2 * s : 2 * s + 2].tolist()
                 inputs.append(odds(n0, n1))
                 knows += k >= m.HASHED - 2 and n0 + n1 > 0
-            every, mine = (seen[k, depth, bits] for k in (None, g)) if j < m.PREFIX else ([0, 0], [0, 0])
-            inputs += [odds(*every), odds(*mine)] if j < m.PREFIX else [0.0, 0.0]
-            gate = (level(sum(mine)) * m.SURE + level(sum(every))) * m.KNOWS + knows
+            every, mine = (seen[k, depth, bits] for k in (None, g))
+            inputs += [odds(*every), odds(*mine)]
+            far = (j >= 8) + (j >= 32)
+            gate = ((far * m.SURE + level(sum(mine))) * m.SURE + level(sum(every))) * m.KNOWS + knows
             x = sum(float(a) * b for a, b in zip(mixer.weights[gate], inputs))
             p = 1 / (1 + np.exp(-max(-30, min(30, x))))
             place = max(0, min(m.BUCKETS - 1.001, 2 * x + m.BUCKETS // 2))
@@ -238,6 +239,56 @@ def test_lm_words_are_a_distribution():
         assert part == pytest.approx(p[at])
 
 
+def test_lm_words_with_longer_heads_give_the_same():
+    """Words parted by heads of any length, with counts inside of the heads from all of them, are rated as in one place."""
+    m = lm_scoring
+    given, classes, counts = lm_pairs(4)
+    words = m.Words(given, classes, counts)
+    tables = m.empty_tables()
+    m.count_into(tables, words)
+    evidence, mixer = m.Evidence(tables), m.Mixer()
+    m.learn_into(mixer, evidence, words, 0.02)
+    p = m.rate_words(mixer, evidence, words)
+    heavy = {b"x" * n for n in range(2, 42)} | {b"ab", b"aba", b"abac", b"yy", b"b "}
+    heads = [m.head_of(m.closed_of(w), heavy) for w in given]
+    deep = m.Deep([h for h in heads if len(h) > m.HEAD], classes[[len(h) > m.HEAD for h in heads]], counts[[len(h) > m.HEAD for h in heads]])
+    assert max(map(len, heads)) == 41 and len(set(heads)) > 15
+    parts = m.empty_tables()
+    for k in sorted(set(heads)):
+        at = [i for i, h in enumerate(heads) if h == k]
+        part = m.Words([given[i] for i in at], classes[at], counts[at], np.full(len(at), len(k)), deep)
+        assert m.rate_words(mixer, evidence, part) == pytest.approx(p[at])
+        m.count_into(parts, part)
+    assert all((a == b).all() for a, b in zip(tables, parts))
+
+
+def test_lm_long_words_are_known_in_whole(spark, monkeypatch):
+    """Texts of words of one length: however long these are, learned words are likely; also where heads of words are split."""
+    r, rates = random.Random(8), {}
+    for letters, n in (("abcdefghijklmnopqrstuvwxyz", 20), ("abcdefghijklmnopqrstuvwxyz", 120), ("\u4e2d\u6587\u5b57\u65e5\u672c\u8a9e\u6c34\u706b", 40)):
+        vocabulary = ["".join(r.choice(letters) for _ in range(n)) for _ in range(100)]
+        docs = documents(spark, [" ".join(r.choice(vocabulary) for _ in range(80)) for _ in range(100)]).cache()
+        for split in (lm_scoring.SPLIT, 3) if n == 120 else (lm_scoring.SPLIT,):
+            monkeypatch.setattr(lm_scoring, "SPLIT", split)
+            held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+            got = lm_scoring.score_texts(docs, ~held).where(held).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+            rates[n, split] = (got[0] - got[1]) / got[2]
+    # Log10 a token against the base score, which has no letters to tell apart and of which 8,000 tokens are all there is to learn from.
+    assert min(rates.values()) > -0.5 and max(rates.values()) - min(rates.values()) < 0.2, rates
+
+
+def test_lm_one_very_long_word():
+    """Two words of a million bytes that differ at the end alone: each decision is met, at the price of its bytes."""
+    m = lm_scoring
+    given = [b"ab" * 500_000 + b"c", b"ab" * 500_000 + b"d", b"ab"]
+    words = m.Words(given, np.zeros(3, np.int64), np.array([5, 0, 1]))
+    tables = m.empty_tables()
+    m.count_into(tables, words)
+    p = m.rate_words(m.Mixer(), m.Evidence(tables), words)
+    assert sum(len(runs) for _, runs, *_ in words.decisions()) < 8 * 1_000_010
+    assert (p < 0).all() and p[0] > p[1]
+
+
 def test_lm_texts_equal_a_scalar_reference():
     m, r = lm_scoring, random.Random(5)
     texts = [[r.randrange(6) for _ in range(n)] for n in (0, 1, 30, 2, 80)]
