@@ -21,7 +21,8 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     """``links``: a, b (longs). Returns node, root: every node with a link, and its component's least node.
 
     Each round cuts lineage in the shared checkpoint folder. Stars make the number of rounds grow
-    with the logarithm of a component's width. No links give an empty table.
+    with the logarithm of a component's width; where ``rounds`` are not enough an error is raised, as the
+    result would be incomplete. No links give an empty table.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     last = None
@@ -36,5 +37,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         if state == last:
             break
         last = state
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     found = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
     return found.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))

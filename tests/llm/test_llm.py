@@ -134,6 +134,15 @@ def test_block_pairs_lose_nothing():
     assert true and true <= found
 
 
+def test_components_settle_or_raise(spark):
+    from chainloom.llm.components import components
+
+    links = spark.createDataFrame([(i, i + 1) for i in range(9)] + [(20, 21)], "a long, b long")
+    assert {(r.node, r.root) for r in components(links).collect()} == {(i, 0) for i in range(10)} | {(20, 20), (21, 20)}
+    with pytest.raises(RuntimeError, match="not settled"):
+        components(links, rounds=1)
+
+
 def test_lm_scoring(spark):
     texts = [" ".join(prose(60, s, 30)) for s in range(20)] + ODD
     docs = documents(spark, texts)
