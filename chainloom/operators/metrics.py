@@ -64,6 +64,13 @@ def domain_uniformity(categories: DataFrame, known: int | None = None) -> DataFr
     return e.select(F.round(normalised(F.col("bits"), F.lit(known) if known else F.col("kinds")), 9).alias("domain_uniformity"))
 
 
+def used_domains(conversations: DataFrame, categories: DataFrame, calls: DataFrame) -> DataFrame:
+    """conv_id, category: a conversation's categories; if it has none, the tools that it used."""
+    without = conversations.select("conv_id").join(categories, "conv_id", "left_anti")
+    tools = calls.select("conv_id", F.col("tool").alias("category")).distinct().join(without, "conv_id", "left_semi")
+    return categories.select("conv_id", "category").unionByName(tools)
+
+
 def mean_scores(scores: DataFrame) -> DataFrame:
     names = ("naturalness", "tool_correctness", "task_completion")
     mean = lambda c: F.coalesce(F.avg(c), F.lit(0.0))

@@ -46,11 +46,24 @@ def after(s: Column, e: Column) -> Column:
     )
 
 
+def _start() -> Column:
+    none = F.array().cast("array<string>")
+    return F.struct(none.alias("planned"), none.alias("used"), F.lit(False).alias("asked"), *[F.lit(0).alias(c) for c in ("turn", "messages", "more_messages", "more_turns")])
+
+
+def _ordered(events: DataFrame) -> DataFrame:
+    return events.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("seq", "event", "tool"))).alias("e"))
+
+
+def states(events: DataFrame) -> DataFrame:
+    """conv_id, status, planned, used, asked: each conversation after all its events."""
+    folded = _ordered(events).select("conv_id", F.aggregate("e", _start(), after).alias("s"))
+    return folded.select("conv_id", look(F.lit(0), F.col("s"))["status"].alias("status"), "s.planned", "s.used", "s.asked")
+
+
 def looks(events: DataFrame) -> DataFrame:
     """The looks of whole conversations: one fold over each one's events, without Python."""
-    none = F.array().cast("array<string>")
-    start = F.struct(none.alias("planned"), none.alias("used"), F.lit(False).alias("asked"), *[F.lit(0).alias(c) for c in ("turn", "messages", "more_messages", "more_turns")])
-    rows = events.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("seq", "event", "tool"))).alias("e"))
+    rows = _ordered(events)
     step = lambda a, e: F.struct(after(a["s"], e).alias("s"), F.when(e["event"] == "look", F.array_append(a["out"], look(e["seq"], a["s"]))).otherwise(a["out"]).alias("out"))
-    folded = F.aggregate("e", F.struct(start.alias("s"), F.array().cast(f"array<struct<{LOOK}>>").alias("out")), step)["out"]
+    folded = F.aggregate("e", F.struct(_start().alias("s"), F.array().cast(f"array<struct<{LOOK}>>").alias("out")), step)["out"]
     return rows.select("conv_id", F.explode(folded).alias("x")).select("conv_id", "x.*")

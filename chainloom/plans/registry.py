@@ -14,6 +14,7 @@ from ..functions import walk as W
 from ..operators import definitions as DF
 from ..operators import dialogue as D
 from ..operators import graph as G
+from ..operators import guidance as GU
 from ..operators import metrics as M
 from ..operators import planning as P
 from ..operators import sampling as S
@@ -95,6 +96,13 @@ def domain_uniformity(spark, d):
     return M.domain_uniformity(B.categories(spark, d))
 
 
+@query(f"{B.sql('calls', 'cats')}, own AS (SELECT * FROM cats WHERE category = 'ASIA' OR (category = 'EUROPE' AND conv_id % 5 <> 0)), u AS (SELECT * FROM own UNION ALL SELECT DISTINCT conv_id, tool FROM calls WHERE conv_id NOT IN (SELECT conv_id FROM own)), e AS (SELECT category, count(*) AS n FROM u GROUP BY category) SELECT round(({_H}) / log2(count(*)), 9) AS domain_uniformity FROM e")
+def domain_fallback(spark, d):
+    """Two regions are listed as categories, one not everywhere; a conversation without any counts by its tools."""
+    own = B.categories(spark, d).where("category = 'ASIA' or (category = 'EUROPE' and conv_id % 5 <> 0)")
+    return M.domain_uniformity(M.used_domains(B.conversations(spark, d), own, B.calls(spark, d)))
+
+
 @query(f"{B.sql('calls', 'convs')}, {_SIGS} SELECT count(DISTINCT signature) AS unique_chains, round(count(DISTINCT signature) / count(*), 9) AS chain_ratio FROM sigs")
 def chain_ratio(spark, d):
     return M.chain_ratio(B.conversations(spark, d), B.calls(spark, d))
@@ -683,6 +691,84 @@ def turn_states(spark, d):
     return TU.looks(turn_events(spark, d))
 
 
+_END = f"WITH {_TURNS.split('g AS (')[0].rstrip().rstrip(',')}, last AS (SELECT *, list_distinct(planned) AS plan, CASE WHEN asked THEN 'in_progress' WHEN messages >= 5 * k + 6 THEN 'done' WHEN remaining > 0 THEN 'in_progress' ELSE 'completing' END AS status FROM v QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY messages DESC) = 1)"
+
+
+# Texts of prompts
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _repr(items: str) -> str:
+    """SQL for a list of texts in brackets, each in quotes."""
+    plain = r"replace(replace(replace(x, '\', '\\'), chr(13), '\r'), chr(9), '\t')"
+    single = rf"'''' || replace({plain}, '''', '\''') || ''''"
+    return f"('[' || array_to_string(list_transform({items}, lambda x: CASE WHEN contains(x, '''') AND NOT contains(x, '\"') THEN '\"' || {plain} || '\"' ELSE {single} END), ', ') || ']')"
+
+
+def _filled(text: str, *values: str) -> str:
+    """SQL for a text with values for its places."""
+    parts = text.replace("%%", "\0").replace("%d", "%s").split("%s")
+    return "(" + " || ".join(x for part, value in zip(parts, (*values, "''")) for x in (_quote(part.replace("\0", "%")), value)) + ")"
+
+
+_SO_FAR = _filled(GU.STATUS_OPEN, "CAST(len(plan) - remaining AS VARCHAR)", "CAST(len(plan) AS VARCHAR)")
+
+
+@query(f"{_END} SELECT conv_id, CASE WHEN remaining = 0 THEN {_quote(GU.STATUS_DONE)} WHEN conv_id % 3 = 0 THEN {_SO_FAR} || {_quote(GU.STATUS_SHORT)} ELSE {_SO_FAR} || {_filled(GU.STATUS_LONG, 'CAST(remaining AS VARCHAR)')} END AS status_text FROM last")
+def completion_texts(spark, d):
+    """What each conversation's user is told at its end; every third one is a short lookup."""
+    s = P.progress(TU.states(turn_events(spark, d)))
+    kind = F.when(F.col("conv_id") % 3 == 0, "quick_lookup")
+    return s.select("conv_id", GU.completion_guidance(F.size("remaining"), F.size("completed"), kind).alias("status_text"))
+
+
+_PLAN_LEFT, _PLAN_DONE = _repr("list_sort(list_filter(plan, lambda p: NOT list_contains(used, p)))"), _repr("list_sort(list_filter(plan, lambda p: list_contains(used, p)))")
+
+
+@query(f"""{_END} SELECT conv_id, CASE status WHEN 'in_progress' THEN {_filled(GU.HINT_OPEN, "CAST(CASE WHEN k = 0 THEN 100 ELSE CAST(floor((len(plan) - remaining) / k * 100) AS INTEGER) END AS VARCHAR)", _PLAN_LEFT)} WHEN 'completing' THEN {_quote(GU.HINT_WRAP)} ELSE {_quote(GU.HINT_DONE)} END AS hint,
+  CASE WHEN status = 'in_progress' AND remaining > 0 THEN {_filled(GU.ASSISTANT_LEFT, _PLAN_DONE, _PLAN_LEFT)} WHEN status = 'in_progress' THEN {_quote(GU.ASSISTANT_OPEN)} WHEN status = 'completing' THEN {_quote(GU.ASSISTANT_WRAP)} ELSE '' END AS for_assistant,
+  CASE WHEN status = 'in_progress' AND asked THEN {_quote(GU.USER_ASKED)} WHEN status = 'in_progress' AND remaining > 0 THEN {_quote(GU.USER_LEFT)} WHEN status = 'in_progress' THEN {_quote(GU.USER_OPEN)} WHEN status = 'completing' THEN {_quote(GU.USER_WRAP)} ELSE '' END AS for_user FROM last""")
+def plan_prompts(spark, d):
+    """The three texts for each conversation's state after all its events."""
+    return GU.plan_texts(TU.states(turn_events(spark, d)))
+
+
+@query(f"{B.sql('scores')}, s AS (SELECT * FROM scores JOIN documents ON doc_id = conv_id) SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN {_quote(GU.REPAIR_ISSUES)} || 'second of ' || source ELSE concat_ws(' ', CASE WHEN naturalness < 3 THEN {_quote(GU.REPAIR_NATURALNESS)} END, CASE WHEN tool_correctness - conv_id % 2 < 3 THEN {_quote(GU.REPAIR_TOOLS)} END, CASE WHEN task_completion < 3 THEN {_quote(GU.REPAIR_TASK)} END) END AS hints FROM s")
+def repair_texts(spark, d):
+    """What a repair is told of each document's scores and of a judge's words."""
+    k = F.col("conv_id") % 3
+    reasoning = F.when(k == 0, F.concat(F.lit("ok specific_issues: first specific_issues:  second of "), "source", F.lit(" "))).when(k == 1, "fine; specific_issues:  ")
+    s = B.scores(spark, d).join(B.read(spark, d, "documents").select(F.col("doc_id").alias("conv_id"), "source"), "conv_id")
+    return s.select("conv_id", GU.repair_hints(F.col("naturalness"), F.col("tool_correctness") - F.col("conv_id") % 2, F.col("task_completion"), reasoning).alias("hints"))
+
+
+@query(f"""WITH {_WORDS}, w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS place FROM (SELECT doc_id, string_split_regex(text, '[ \\n]+') AS ws FROM documents)), ov AS (SELECT doc_id, list(word ORDER BY place) AS over FROM w WHERE word IN (SELECT key FROM c WHERE n > 2 * (SELECT avg(n) FROM c)) GROUP BY doc_id),
+  sc AS (SELECT source AS key, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY source), un AS (SELECT list(key ORDER BY first, key) AS under FROM (SELECT * FROM sc WHERE n < 0.5 * (SELECT avg(n) FROM sc) ORDER BY first, key LIMIT 3))
+  SELECT doc_id AS slot, concat_ws(' ', CASE WHEN len(over) > 0 THEN {_filled(GU.OVERUSED, _repr("over"))} END, CASE WHEN len(under) > 0 THEN {_filled(GU.UNDERUSED, _repr("under"))} END, CASE WHEN doc_id % 2 = 0 THEN {_filled(GU.SIMILAR, "source || ' b; c; d'")} END) AS guidance FROM (SELECT DISTINCT doc_id FROM w WHERE word <> '') JOIN documents USING (doc_id) LEFT JOIN ov USING (doc_id), un""")
+def steering_guidance(spark, d):
+    """Each document's words as candidates, its source as a category, and for every second one what a search found."""
+    docs = B.read(spark, d, "documents")
+    words = docs.select(F.col("doc_id").alias("slot"), F.posexplode(F.split("text", "[ \\n]+")).alias("place", "endpoint")).where("endpoint <> ''")
+    sources = docs.groupBy(F.col("source").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+    found = lambda place, score, memory: F.struct(F.lit(place).alias("place"), F.lit(score).alias("score"), memory.alias("memory"))
+    past = docs.where("doc_id % 2 = 0").select(F.col("doc_id").alias("slot"), F.explode(F.array(found(5, 0.9, F.lit("e")), found(0, 0.2, F.lit("a")), found(1, 0.3, F.concat("source", F.lit(" b"))), found(2, 0.8, F.lit("c")), found(4, 0.21, F.lit("d")))).alias("x")).select("slot", "x.*")
+    return GU.steering_text(words, _word_counts(spark, d), sources, docs, past)
+
+
+@query(f"WITH {_RAW} SELECT k AS slot, '1. ' || p_type || CASE k % 3 WHEN 0 THEN ' (accepts: Hotel id)' WHEN 1 THEN ' (accepts: who)' ELSE '' END || chr(10) || '2. ' || about || chr(10) || '3. ' || about || chr(10) || '4. Step 4' AS capabilities FROM (SELECT *, CASE WHEN k % 2 = 0 THEN p_type ELSE p_brand END AS about FROM defs)")
+def chain_capabilities(spark, d):
+    """Each tool's two endpoints, one that it lacks, and one of a tool that is not there, as a chain."""
+    tools, endpoints = _catalogue(spark, d)
+    by_id = lambda df: df.withColumn("tool_name", F.col("tool_id").cast("string"))
+    first = endpoints.where("pos = 0").select(F.col("tool_id").alias("slot"), F.lit(1).alias("step"), F.col("tool_id").cast("string").alias("tool_name"), "name")
+    more = F.array(*[F.struct(F.lit(k).alias("step"), t.alias("tool_name"), F.lit(n).alias("name")) for k, t, n in ((2, F.col("tool_name"), "given"), (3, F.col("tool_name"), "lacking"), (4, F.lit("none"), "given"))])
+    chains = first.unionByName(first.select("slot", F.explode(more).alias("x")).select("slot", "x.*"))
+    return GU.chain_text(chains, by_id(tools), by_id(endpoints))
+
+
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type AS key, count(*) AS n FROM events GROUP BY 1, 2")
 def hourly_counts(spark, d):
     """Steering counters by the hour, as the stream appends them."""
@@ -736,11 +822,11 @@ def sequential_chains(spark, d):
 
 # Text
 
-_NAMES = "names AS (SELECT DISTINCT word, x FROM (SELECT word, unnest([word, upper(word[1:1]) || word[2:] || 'Id', word || 'HTTPCode', '_' || word || '__' || upper(word) || '_', word || '-name']) AS x FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{5,}}')) AS word FROM documents)))".replace("{{", "{").replace("}}", "}")
+_NAMES = "names AS (SELECT DISTINCT word, x FROM (SELECT word, unnest([word, upper(word[1:1]) || word[2:] || 'Id', word || 'HTTPCode', '_' || word || '__' || upper(word) || '_', word || '-name']) AS x FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents)))"
 
 
 def _names(spark, d):
-    w = B.read(spark, d, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias("word")).distinct()
+    w = B.read(spark, d, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).distinct()
     word = F.col("word")
     return w.select("word", F.explode(F.array(word, F.concat(F.upper(F.substring("word", 1, 1)), F.expr("substring(word, 2)"), F.lit("Id")), F.concat(word, F.lit("HTTPCode")), F.concat(F.lit("_"), word, F.lit("__"), F.upper("word"), F.lit("_")), F.concat(word, F.lit("-name")))).alias("x")).distinct()
 
