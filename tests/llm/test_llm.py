@@ -595,6 +595,29 @@ def test_empty_tables_and_null_ids(spark):
     assert topk.top_k(v, v).count() == 0
 
 
+def test_top_k_over_tiles(spark):
+    r = np.random.default_rng(5)
+    # Three dimensions, many ties, repeated rows, and one direction that most rows share.
+    rows = [(i, [int(x) for x in r.integers(-3, 4, 4) + (np.arange(4) == 1) * 5 * (i % 3 > 0)]) for i in range(400)] + [(i, [1, 2]) for i in range(400, 430)] + [(7, [1, 1, 1, 1]), (430, [9] * 5)]
+    v = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(5)
+    want = set()
+    for qid in {i for i, _ in rows if i % 10 == 0}:
+        every = sorted((-sum(a * b for a, b in zip(q, x)), i) for j, q in rows if j == qid for i, x in rows if i != qid and len(x) == len(q))
+        want |= {(qid, n, i, -s) for n, (s, i) in enumerate(every[:6], 1)}
+    asked = v.where("vec_id % 10 = 0")
+    for conf in ({"shard_rows": 30, "block_rows": 5, "tile_shards": 3, "tile_blocks": 2}, {"shard_rows": 500, "block_rows": 500}, {"shard_rows": 40, "block_rows": 7, "tile_shards": 100, "tile_blocks": 100}):
+        df = topk.top_k(asked, v, 6, **conf)
+        got = [tuple(x) for x in df.collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_floors_drop_no_ties():
+    rows = np.array([[1], [3], [2], [3]])
+    [(_, ids, scores)] = topk.shard_best(np.array([4, 1, 2, 3]), rows, np.array([9]), np.array([[1]]), 2, [3])
+    assert ids.tolist() == [1, 3] and scores.tolist() == [3, 3]
+    assert list(topk.shard_best(np.array([4, 1, 2, 3]), rows, np.array([9]), np.array([[1]]), 2, [4])) == []
+
+
 def test_top_k_with_large_components():
     rows = np.array([[1 << 40, 1 << 40], [2, 3], [5, 1]], np.int64)
     found = topk.shard_top(np.array([1, 2, 3]), rows, np.array([2]), np.array([[1 << 21, -(1 << 21)]]), 3)
