@@ -11,8 +11,8 @@ their id. Only their numbers, not their texts, reach the driver.
 
 Defined cases: a null, empty or blank text has no words and fails the base rule. Rows that repeat
 an id are judged one by one. Without labelled documents of both classes the list is empty and
-only the base rule rejects. An empty table gives no rows; texts of more than 2 ** PLACE_BITS words
-may count words of repeated windows wrongly. Extra columns of ``documents`` pass through untouched unless they
+only the base rule rejects. An empty table gives no rows. Windows are compared by their whole 64-bit
+hashes, whatever the text's length. Extra columns of ``documents`` pass through untouched unless they
 carry the name of a statistic; the query selects the columns that its contract names.
 """
 
@@ -28,6 +28,7 @@ from .common import GAP_CHARS, WORD_GAP, cut, let, table
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
+#: Texts of up to 2 ** PLACE_BITS windows are sorted as longs that hold a place in so many bits.
 PLACE_BITS = 24
 #: Statistics that rules may test, as expressions over the counts below.
 RATIOS = ("n_words", "mean_word_chars", "symbols_per_word", "dup_line_share", "repeat_share", "upper_share", "shout_per_word", "words_per_line")
@@ -56,18 +57,43 @@ def _repeat_words(words: Column) -> Column:
         return let(F.transform(starts, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, WINDOW)])), of_windows)
 
     def of_windows(win: Column) -> Column:
-        # Sorted as primitive longs: the hash's upper bits and the place below them.
-        keys = F.transform(win, lambda h, i: F.shiftleft(F.shiftright(h, PLACE_BITS), PLACE_BITS) + i)
-        return F.when(F.size(win) > F.size(F.array_distinct(win)), let(F.sort_array(keys), lambda s: let(_positions(s, win), _covered))).otherwise(F.lit(0))
+        return F.when(F.size(win) > F.size(F.array_distinct(win)), let(_repeated(win), _covered)).otherwise(F.lit(0))
 
     return let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
 
 
+def _repeated(win: Column) -> Column:
+    """Places, in order, of the windows that another one equals."""
+    # Sorted as primitive longs: the hash's upper bits and the place below them. Where these bits are the same for
+    # different windows, or a text has more places than fit, pairs of hash and place are sorted instead.
+    keys = F.transform(win, lambda h, i: F.shiftleft(F.shiftright(h, PLACE_BITS), PLACE_BITS) + i)
+    by_keys = let(F.sort_array(keys), lambda s: F.when(_mixed(s, win), _by_pairs(win)).otherwise(_positions(s, win)))
+    return F.when(F.size(win).cast("long") > F.lit(1 << PLACE_BITS).cast("long"), _by_pairs(win)).otherwise(by_keys)
+
+
+def _place(key: Column) -> Column:
+    return F.when(key.isNotNull(), key.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))
+
+
+def _mixed(keys: Column, win: Column) -> Column:
+    """Whether neighbours in ``keys`` share the upper bits of different hashes."""
+    alike = lambda k, n: (F.shiftright(k, PLACE_BITS) == F.shiftright(n, PLACE_BITS)) & (F.get(win, _place(k)) != F.get(win, _place(n)))
+    return F.array_contains(F.transform(keys, lambda k, j: F.coalesce(alike(k, F.get(keys, j + 1)), F.lit(False))), True)
+
+
+def _by_pairs(win: Column) -> Column:
+    def of_sorted(pairs: Column) -> Column:
+        twin = lambda x, j: F.coalesce(F.get(pairs, j)["h"] == x["h"], F.lit(False))
+        marked = F.transform(pairs, lambda x, j: F.when(twin(x, j - 1) | twin(x, j + 1), x["i"]))
+        return F.sort_array(F.filter(marked, lambda p: p.isNotNull()))
+
+    return let(F.sort_array(F.transform(win, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), of_sorted)
+
+
 def _positions(keys: Column, win: Column) -> Column:
     """Places, in order, of the windows whose whole hash a neighbour in ``keys`` shares."""
-    place = lambda k: F.when(k.isNotNull(), k.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))
-    twin = lambda k, j: F.coalesce(F.get(win, place(F.get(keys, j))) == F.get(win, place(k)), F.lit(False))
-    marked = F.transform(keys, lambda k, j: F.when(twin(k, j - 1) | twin(k, j + 1), place(k)))
+    twin = lambda k, j: F.coalesce(F.get(win, _place(F.get(keys, j))) == F.get(win, _place(k)), F.lit(False))
+    marked = F.transform(keys, lambda k, j: F.when(twin(k, j - 1) | twin(k, j + 1), _place(k)))
     return F.sort_array(F.filter(marked, lambda p: p.isNotNull()))
 
 

@@ -595,6 +595,20 @@ def test_empty_tables_and_null_ids(spark):
     assert topk.top_k(v, v).count() == 0
 
 
+@pytest.mark.parametrize("bits", [24, 3, 56, 62])
+def test_repeated_words_by_any_sort(spark, monkeypatch, bits):
+    """Few bits for places: pairs are sorted; many: hashes share what is left of them."""
+    monkeypatch.setattr(quality_rules, "PLACE_BITS", bits)
+    r = np.random.default_rng(8)
+    texts = [" ".join(map(str, r.integers(0, top, n))) for top, n in ((2, 60), (3, 200), (9, 9), (4, 900), (1, 30), (10**6, 300))] + ["a b c d e " * 3 + "x y z " + "a b c d e f", "a b c d", ""]
+    got = {x.doc_id: x.n_repeat_words for x in quality_rules.counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        w = t.split()
+        windows = [tuple(w[j : j + 5]) for j in range(len(w) - 4)]
+        covered = {j + o for j, x in enumerate(windows) if windows.count(x) > 1 for o in range(5)}
+        assert got[i] == len(covered), (i, bits)
+
+
 def test_top_k_over_tiles(spark):
     r = np.random.default_rng(5)
     # Three dimensions, many ties, repeated rows, and one direction that most rows share.
