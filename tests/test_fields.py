@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from chainloom.plans import bindings as B
+from chainloom.plans import registry
 from tests.oracle import assert_same
 
 
@@ -31,3 +32,8 @@ def test_fields_equal_their_sql(spark, odd):
 
 def test_fields_are_read_once(spark, odd):
     assert scans(B.fields(spark, odd[0])) == 1
+
+
+@pytest.mark.parametrize("name", ["feeds_root", "feeds_exact", "flow_targets", "chainable_endpoints", "independent_pairs", "ep_flow", "same_tool_edges"])
+def test_odd_words_equal_sql(spark, odd, name):
+    assert_same(registry.queries()[name](spark, odd[0]), odd[1], registry.oracle_sql()[name])
