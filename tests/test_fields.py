@@ -5,10 +5,13 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from chainloom.operators import graph as G
 from chainloom.plans import bindings as B
 from chainloom.plans import registry
 from tests.oracle import assert_same
 
+FIELDS = "endpoint long, tool string, category string, kind string, field string"
+
 
 @pytest.fixture(scope="module")
 def odd(tmp_path_factory):
@@ -37,3 +40,12 @@ def test_fields_are_read_once(spark, odd):
 @pytest.mark.parametrize("name", ["feeds_root", "feeds_exact", "flow_targets", "chainable_endpoints", "independent_pairs", "ep_flow", "same_tool_edges"])
 def test_odd_words_equal_sql(spark, odd, name):
     assert_same(registry.queries()[name](spark, odd[0]), odd[1], registry.oracle_sql()[name])
+
+
+def test_sources_are_those_of_the_edges(spark):
+    kinds = ["string", "integer", "boolean"]
+    rows = [(i, f"t{i // 3}", f"c{i % 2}", "input" if (i * j) % 3 else "output", f"f{(i * 2 + j) % 23}", kinds[(i * i + j) % 3]) for i in range(40) for j in range(4)]
+    f = spark.createDataFrame(rows, FIELDS + ", type string").distinct()
+    of = lambda df: {r[0] for r in df.distinct().collect()}
+    assert of(G.hard_sources(f, 0.9)) == of(G.feeds_exact(f, 0.9).where("edge_class = 'hard'").select("src")) != set()
+    assert of(G.same_tool_sources(f)) == of(G.same_tool_edges(f).select("src")) != set()
