@@ -42,6 +42,19 @@ def test_odd_words_equal_sql(spark, odd, name):
     assert_same(registry.queries()[name](spark, odd[0]), odd[1], registry.oracle_sql()[name])
 
 
+def test_independent_pairs_of_a_whole_source(spark, odd):
+    """Documents of a source are partners also where their ids lie in different hundreds."""
+    found = {(r.a, r.b) for r in registry.queries()["independent_pairs"](spark, odd[0]).collect()}
+    assert (101, 301) in found  # s2/1 and s2/3
+
+
+def test_independent_pairs_leave_flows_either_way(spark):
+    ends = spark.createDataFrame([(i, f"g{i % 2}") for i in range(12)], "endpoint long, group string")
+    flow = spark.createDataFrame([(0, 2), (6, 4), (1, 3)], "src long, dst long")
+    every = {(a, b) for a in range(12) for b in range(a + 1, 12) if a % 2 == b % 2} - {(0, 2), (4, 6), (1, 3)}
+    assert sorted((r.a, r.b) for r in G.independent_pairs(ends, flow, size=3).collect()) == sorted(every)
+
+
 def test_sources_are_those_of_the_edges(spark):
     kinds = ["string", "integer", "boolean"]
     rows = [(i, f"t{i // 3}", f"c{i % 2}", "input" if (i * j) % 3 else "output", f"f{(i * 2 + j) % 23}", kinds[(i * i + j) % 3]) for i in range(40) for j in range(4)]
