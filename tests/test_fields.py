@@ -1,11 +1,16 @@
 """Fields of documents, and what is told of their edges without making them."""
 
+import random
+import re
+
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from chainloom.operators import graph as G
+from chainloom.operators import meeting as MT
 from chainloom.plans import bindings as B
 from chainloom.plans import registry
 from tests.oracle import assert_same
@@ -62,3 +67,21 @@ def test_sources_are_those_of_the_edges(spark):
     of = lambda df: {r[0] for r in df.distinct().collect()}
     assert of(G.hard_sources(f, 0.9)) == of(G.feeds_exact(f, 0.9).where("edge_class = 'hard'").select("src")) != set()
     assert of(G.same_tool_sources(f)) == of(G.same_tool_edges(f).select("src")) != set()
+
+
+def test_exact_edges_shuffle_no_pairs(spark, odd):
+    """Pairs are graded where they are made; they were grouped by source and target in a shuffle before."""
+    plan = G.feeds_exact(B.fields(spark, odd[0]))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(src#\d+L?, dst#", plan)
+
+
+@pytest.mark.parametrize("at_once", [1, 4_000_000])
+def test_exact_edges_equal_all_pairs(spark, monkeypatch, at_once):
+    """With types, endpoints of several tools and categories, and runs of one endpoint."""
+    monkeypatch.setattr(MT, "AT_ONCE", at_once)
+    r, kinds = random.Random(5), ["string", "integer", "boolean", "number", "array"]
+    rows = {(r.randrange(60), f"t{r.randrange(9)}", r.choice(["c0", "c1", None]), r.choice(["input", "output"]), f"f{r.randrange(30)}", r.choice(kinds)) for _ in range(900)}
+    f = spark.createDataFrame(sorted(rows, key=repr), FIELDS + ", type string")
+    group = f.select("endpoint", F.lit(1).alias("group")).distinct()
+    of = lambda df: sorted(tuple(x) for x in df.collect())
+    assert of(G.feeds_exact(f, 0.9)) == of(G.feeds_exact(f, 0.9, within=group)) != []
