@@ -12,10 +12,12 @@ rarest first, by counts of a bounded sample; it decides speed alone. Edit simila
 sequences, computed exactly, links classes that meet. Of every connected group of lines
 the occurrence with the least (doc_id, row, line) stays; all others go.
 
-Few classes at a key give pairs, which are tested once each if lengths and 256 parities of the
-units allow it (an edit changes two at most). At a larger one a class is compared with earlier
-ones that its words allow, likeliest first, and with a component no further once one member
-matches: a large block of alike lines costs one test a line. Of keys with the same classes one is kept.
+Few classes at a key give pairs, which stay if lengths and 256 parities of the units allow it (an
+edit changes two at most). Each class is first tested against one other, which finds most groups by
+a test a class; the other pairs are tested only across the components so far. At a larger key, if
+its classes are of several components, a class is compared with earlier ones of others that its words
+allow, likeliest first, and with a component no further once one member matches. Of keys with the
+same classes one is kept.
 
 SimHash blocks, which the method names, miss most lines that are alike at 80 % (see README).
 
@@ -57,7 +59,9 @@ class LineConf:
 #: Bits of the table of sampled counts that orders pairs of words, and the sample's documents.
 ORDER_BITS, ORDER_DOCS = 22, 5_000
 #: Classes at one key up to which every pair is made.
-FEW = 32
+FEW = 256
+#: Pairs that are looked at at once, about.
+AT_ONCE = 1 << 21
 #: Keys that one task of the prefix filter holds, about.
 PART_KEYS = 1 << 18
 #: Keys that alike lines share at least, if both have as many as are asked.
@@ -288,9 +292,10 @@ class Block:
         self.bits, self.sizes, self.label = np.zeros((16, self.BITS), np.uint64), np.zeros(16, np.int64), np.zeros(16, np.int64)
         self.lines: list[tuple[int, list[int]]] = []
         self.leader = 0  # a line of the component that was met last
+        self.roots: dict[int, int] = {}  # the first line of each component known before
 
-    def add(self, h: int, words: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Links of the line to one line of each component that holds a similar one."""
+    def add(self, h: int, words: np.ndarray, root: int) -> Iterator[tuple[int, int]]:
+        """Links of the line, which is of the component ``root``, to one line of each other component that holds a similar one."""
         n = self.n
         if n == len(self.sizes):
             self.bits, self.sizes, self.label = (np.concatenate([x, np.zeros_like(x)]) for x in (self.bits, self.sizes, self.label))
@@ -298,13 +303,14 @@ class Block:
         at = words.astype(np.uint64) & np.uint64(64 * self.BITS - 1)
         np.bitwise_or.at(mine, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         line = words.tolist()
-        self.label[n] = n
-        tested = np.arange(n)
-        if n and similar(line, self.lines[self.leader][1], self.percent):
+        self.label[n] = self.label[self.roots[root]] if root in self.roots else n
+        self.roots.setdefault(root, n)
+        tested = np.flatnonzero(self.label[:n] != self.label[n])
+        if n and self.label[self.leader] != self.label[n] and similar(line, self.lines[self.leader][1], self.percent):
             # In a block of alike lines this is the only test; the component's other lines need none.
             other = self.lines[self.leader][0]
             yield min(h, other), max(h, other)
-            self.label[n] = self.label[self.leader]
+            self.label[: n + 1][self.label[: n + 1] == self.label[n]] = self.label[self.leader]
             tested = np.flatnonzero(self.label[:n] != self.label[n])
         before, sizes = self.bits[tested], self.sizes[tested]
         least = np.maximum(np.bitwise_count(before & ~mine).sum(axis=1), np.bitwise_count(mine & ~before).sum(axis=1)).astype(np.int64)
@@ -367,17 +373,19 @@ def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
         left, right, weak = [], [], []
         for n in np.unique(size[(size > 1) & (size <= FEW)]).tolist():
             i, j = np.triu_indices(n, 1)
-            at = start[size == n][:, None]
-            x, y = (at + i).ravel(), (at + j).ravel()
-            allowed = (100 - conf.percent) * np.maximum(n_units[x], n_units[y]) // 100
-            longer = n_units[x] - n_units[y]
-            moved = inside[x] - inside[y]
-            # Insertions and deletions before the pair, and after it.
-            implied = np.where(np.maximum(inside[x], inside[y]) < LONG, np.abs(moved) + np.abs(longer - moved), np.abs(longer))
-            able = (implied <= allowed) | (np.maximum(n_units[x], n_units[y]) == LONG)
-            left.append(h[x[able]])
-            right.append(h[y[able]])
-            weak.append(~(full[x] & full[y])[able])
+            keys = start[size == n][:, None]
+            step = max(1, AT_ONCE // len(i))
+            for at in (keys[c : c + step] for c in range(0, len(keys), step)):
+                x, y = (at + i).ravel(), (at + j).ravel()
+                allowed = (100 - conf.percent) * np.maximum(n_units[x], n_units[y]) // 100
+                longer = n_units[x] - n_units[y]
+                moved = inside[x] - inside[y]
+                # Insertions and deletions before the pair, and after it.
+                implied = np.where(np.maximum(inside[x], inside[y]) < LONG, np.abs(moved) + np.abs(longer - moved), np.abs(longer))
+                able = (implied <= allowed) | (np.maximum(n_units[x], n_units[y]) == LONG)
+                left.append(h[x[able]])
+                right.append(h[y[able]])
+                weak.append(~(full[x] & full[y])[able])
         a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right))
         times = np.where(np.concatenate([*weak, np.zeros(0, bool)]), COMMON, 1)
         a, b = np.minimum(a, b), np.maximum(a, b)
@@ -404,38 +412,52 @@ def meetings(parts: DataFrame, conf: LineConf) -> DataFrame:
 
 
 def fuzzy_links(docs: DataFrame, n_lines: int, conf: LineConf) -> DataFrame:
-    """Returns a, b: linked classes that connect all alike ones. ``n_lines``: about how many there are."""
+    """Returns a, b: linked classes that connect all alike ones. ``n_lines``: about how many there are.
+
+    Each class is first tested against one other, which finds most groups by a test a class; all other pairs and keys count only
+    across the components so far."""
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_lines * 16 // PART_KEYS)
     met = cut(meetings(key_parts(docs, sampled_order(docs, conf), parts, conf), conf))
     release(docs.sparkSession)
     known = cut(sequences(docs, conf).join(met.select(F.explode(F.array("a", "b")).alias("h")).where("h is not null").distinct(), "h", "left_semi").dropDuplicates(["h"]))
     release(docs.sparkSession)
     close = cut(_close(met.where("k is null").select("a", "b"), known, conf))
-    of = lambda side: known.select(F.col("h").alias(side), F.col("w").alias(f"w{side}"))
-    both = close.join(of("a"), "a").join(of("b"), "b").select("a", "b", "wa", "wb")
-    blocks = met.where("k is not null").select("k", F.col("a").alias("h"))
-    # Of keys at which the same classes meet one is enough.
-    kinds = blocks.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y")).groupBy("n", "x", "y").agg(F.min("k").alias("k")).select("k")
-    blocks = blocks.join(kinds, "k", "left_semi").join(known.select("h", "w"), "h").select("k", "h", "w")
-
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of = [[memoryview(x).cast("I").tolist() for x in batch.column(c).to_pylist()] for c in ("wa", "wb")]
-            alike = pa.array([similar(x, y, conf.percent) for x, y in zip(*of)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(alike)
+    roots = cut(components(_alike(close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), known, conf))).withColumnRenamed("node", "h")
+    root = lambda side: roots.select(F.col("h").alias(side), F.col("root").alias(f"r{side}"))
+    apart = close.join(root("a"), "a", "left").join(root("b"), "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    links = roots.where("h <> root").select(F.col("h").alias("a"), F.col("root").alias("b")).union(_alike(apart, known, conf))
+    if met.where("k is not null").isEmpty():
+        return links
+    blocks = met.where("k is not null").select("k", F.col("a").alias("h")).join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    # Keys whose classes are of one component by now have nothing to tell, and of keys at which the same classes meet one is enough.
+    kinds = blocks.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("first"), F.max("root").alias("last"), F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
+    kinds = kinds.where("first <> last").groupBy("n", "x", "y").agg(F.min("k").alias("k")).select("k")
+    blocks = blocks.join(kinds, "k", "left_semi").join(known.select("h", "w"), "h").select("k", "h", "root", "w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block = None, None
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for k, h, w in zip(*(batch.column(c).to_pylist() for c in ("k", "h", "w"))):
+            for k, h, root, w in zip(*(batch.column(c).to_pylist() for c in ("k", "h", "root", "w"))):
                 if k != key or block is None:
                     key, block = k, Block(conf.percent)
-                out += block.add(h, np.frombuffer(w, np.uint32))
+                out += block.add(h, np.frombuffer(w, np.uint32), root)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    large = blocks.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long")
-    return both.mapInArrow(test, "a long, b long").union(large).distinct()
+    return links.union(blocks.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long"))
+
+
+def _alike(pairs: DataFrame, known: DataFrame, conf: LineConf) -> DataFrame:
+    """a, b: those pairs whose units reach the similarity asked."""
+    of = lambda side: known.select(F.col("h").alias(side), F.col("w").alias(f"w{side}"))
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = [[memoryview(x).cast("I").tolist() for x in batch.column(c).to_pylist()] for c in ("wa", "wb")]
+            alike = pa.array([similar(x, y, conf.percent) for x, y in zip(*of)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(alike)
+
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "wa", "wb").mapInArrow(test, "a long, b long")
 
 
 def _close(pairs: DataFrame, known: DataFrame, conf: LineConf) -> DataFrame:

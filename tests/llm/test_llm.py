@@ -647,3 +647,25 @@ def test_least_hashes(spark):
     for r in rows.collect():
         every[r.y].append(r.h)
     assert got == {(y, h) for y, hs in every.items() for h in sorted(hs, key=lambda x: x % 2**64)[:700]}
+
+
+def test_line_dedup_keys_of_many_unlike_lines_give_no_rows(spark):
+    """Forty lines that share a rare pair of words but are not alike: their key sends no words to be compared."""
+    r = random.Random(5)
+    texts = [" ".join([*letters(20, r), "shared", "pair", *letters(20, r)]) for _ in range(40)]
+    conf, docs = line_dedup.LineConf(), documents(spark, texts)
+    parts = line_dedup.key_parts(docs, line_dedup.sampled_order(docs, conf), 4, conf)
+    assert line_dedup.meetings(parts, conf).count() == 0
+    assert all(x.dropped_lines == [] for x in line_dedup.dedup_lines(docs).collect())
+
+
+def test_line_dedup_finds_near_copies_across_components(spark, monkeypatch):
+    """Near copies of two lines and of their mixtures, by pairs and by large keys."""
+    r = random.Random(6)
+    lines = [letters(40, r) for _ in range(2)]
+    texts = [" ".join([*line[:k], *letters(1, r), *line[k + 1 :]]) for line in lines for k in range(40)]
+    texts += [" ".join([*lines[0][:12], *letters(16, r), *lines[0][28:]]) for _ in range(40)]
+    for few in (line_dedup.FEW, 8):
+        monkeypatch.setattr(line_dedup, "FEW", few)
+        got = [x.dropped_lines for x in line_dedup.dedup_lines(documents(spark, texts)).orderBy("doc_id").collect()]
+        assert got == [[]] + [[0]] * 39 + [[]] + [[0]] * 39 + [[]] * 40
