@@ -8,12 +8,14 @@ twice, has nothing. Walks without a bound of their own go ``LEVELS`` deep and ra
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import normal_name
+from .text import let, normal_name
 
 #: Words that mark a schema's own keys, and texts that stand for types.
 SCHEMA_WORDS = ("type", "properties", "items", "required", "description", "default", "enum", "format", "additionalProperties")
@@ -25,11 +27,6 @@ NODE = "array<struct<key: string, v: variant, t: string>>"
 LEVELS = 12
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` worked out once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _object(v: Column) -> Column:
     """An object's entries; none of anything else."""
     return F.coalesce(F.map_entries(v.try_cast("map<string, variant>")), F.array().cast("array<struct<key: string, value: variant>>"))
@@ -83,17 +80,21 @@ def _entries(nodes: Column) -> Column:
     return _each(nodes, lambda n: F.transform(_children(n), lambda e: F.struct(n["key"].alias("under"), e["key"].alias("key"), e["value"].alias("v"), _type(e["value"]).alias("t"))))
 
 
-def _walk(text: Column, gives: Callable[[Column], Column], opens: Callable[[Column], Column], levels: int = LEVELS, whole: bool = True) -> Column:
-    """``gives`` maps a level's nodes to items, ``opens`` to the next level's nodes. ``whole``: more levels than these are an error."""
+def _walk(text: Column, gives: Callable[[Column], Column], opens: Callable[[Column], Column], levels: int = LEVELS, whole: bool = True, sees: Callable[[Column], Column] = lambda nodes: nodes, parts: tuple[str, ...] = ()) -> Column:
+    """``gives`` maps what is seen of a level to items, ``opens`` to the next level's nodes. ``sees`` makes of nodes, once a level, what both look
+    at: an array, or a struct of the arrays ``parts``. ``whole``: more levels than these are an error."""
     none = F.array().cast(ITEM)
 
-    def level(nodes: Column, left: int) -> Column:
+    def level(seen: Column, left: int) -> Column:
+        empty = F.size(seen) == 0 if not parts else functools.reduce(operator.and_, [F.size(seen[p]) == 0 for p in parts])
         if not left:
-            return F.when(F.size(nodes) > 0, F.raise_error(F.lit(f"JSON is nested deeper than {levels} levels")).cast(ITEM)).otherwise(none) if whole else none
-        return F.when(F.size(nodes) == 0, none).otherwise(let(opens(nodes), lambda more: F.concat(gives(nodes).cast(ITEM), level(more, left - 1))))
+            return F.when(~empty, F.raise_error(F.lit(f"JSON is nested deeper than {levels} levels")).cast(ITEM)).otherwise(none) if whole else none
+        if left == 1 and not whole:
+            return F.when(empty, none).otherwise(gives(seen).cast(ITEM))
+        return F.when(empty, none).otherwise(let(sees(opens(seen)), lambda more: F.concat(gives(seen).cast(ITEM), level(more, left - 1))))
 
-    parsed = F.try_parse_json(text)
-    return F.when(parsed.isNull(), none).otherwise(level(F.array(_node(F.lit(""), parsed)).cast(NODE), levels))
+    top = F.transform(F.filter(F.array(F.try_parse_json(text)), lambda v: v.isNotNull()), lambda v: _node(F.lit(""), v))
+    return let(sees(top.cast(NODE)), lambda seen: level(seen, levels))
 
 
 def _filled(node: Column) -> Column:
@@ -127,13 +128,17 @@ def leaf_values(text: Column) -> Column:
 
 def entries(text: Column) -> Column:
     """The scalars among a JSON object's own values."""
-    own = lambda nodes: F.filter(_entries(nodes), lambda e: _filled(e))
+    own = lambda nodes: F.filter(_entries(nodes), _filled)
     return _walk(text, lambda nodes: F.transform(own(nodes), lambda e: _item(e["key"], e, _text(e))), lambda nodes: F.array().cast(NODE), 1, whole=False)
 
 
 def _firsts(nodes: Column) -> Column:
     """Entries whose value is, of a list, the first element: with ``n``, the list's length, and null for an empty one."""
-    return F.transform(_entries(nodes), lambda e: let(F.when(_is(e, "ARRAY"), F.get(_list(e["v"]), 0)).otherwise(e["v"]), lambda v: F.struct(e["under"].alias("under"), e["key"].alias("key"), v.alias("v"), F.coalesce(_type(v), F.lit("")).alias("t"), F.when(_is(e, "ARRAY"), F.size(_list(e["v"]))).alias("n"))))
+    def first(e: Column, listed: Column) -> Column:
+        own, v = listed.isNull(), F.get(listed, 0)
+        return F.struct(e["under"].alias("under"), e["key"].alias("key"), F.when(own, e["v"]).otherwise(v).alias("v"), F.when(own, e["t"]).otherwise(F.coalesce(_type(v), F.lit(""))).alias("t"), F.when(~own, F.size(listed)).alias("n"))
+
+    return F.transform(_entries(nodes), lambda e: let(F.when(_is(e, "ARRAY"), _list(e["v"])), lambda listed: first(e, listed)))
 
 
 def _plain(e: Column, empty: bool) -> Column:
@@ -142,36 +147,37 @@ def _plain(e: Column, empty: bool) -> Column:
     return ~_is(e, "OBJECT") & (e["t"] != "") & (listed | ~_is(e, "VOID")) & (F.lit(True) if empty else listed | (e["v"].cast("string") != ""))
 
 
-def _inner(nodes: Column, name: Callable[[Column], Column]) -> Column:
+def _inner(firsts: Column, name: Callable[[Column], Column]) -> Column:
     """The objects that lie in entries, themselves or first in a list."""
-    return F.transform(F.filter(_firsts(nodes), lambda e: _is(e, "OBJECT")), lambda e: F.struct(name(e).alias("key"), e["v"].alias("v"), e["t"].alias("t")))
+    return F.transform(F.filter(firsts, lambda e: _is(e, "OBJECT")), lambda e: F.struct(name(e).alias("key"), e["v"].alias("v"), e["t"].alias("t")))
 
 
 def path_values(text: Column) -> Column:
     """Values (JSON texts) under dotted paths; of a list the first element alone, marked ``[0]`` if it is an object."""
-    found = lambda nodes: F.transform(F.filter(_firsts(nodes), lambda e: _plain(e, True)), lambda e: _item(F.concat(e["under"], e["key"]), e, F.to_json(e["v"])))
-    return _walk(text, found, lambda nodes: _inner(nodes, lambda e: F.concat(e["under"], e["key"], F.when(e["n"].isNotNull(), "[0].").otherwise("."))))
+    found = lambda firsts: F.transform(F.filter(firsts, lambda e: _plain(e, True)), lambda e: _item(F.concat(e["under"], e["key"]), e, F.to_json(e["v"])))
+    return _walk(text, found, lambda firsts: _inner(firsts, lambda e: F.concat(e["under"], e["key"], F.when(e["n"].isNotNull(), "[0].").otherwise("."))), sees=_firsts)
 
 
 def key_values(text: Column) -> Column:
     """Values (JSON texts) under their bare keys; of a list of objects the first, and its length as ``<key>_count``."""
-    counted = lambda nodes: F.transform(F.filter(_firsts(nodes), lambda e: e["n"].isNotNull() & _is(e, "OBJECT")), lambda e: F.struct(F.concat(e["key"], F.lit("_count")).alias("key"), F.lit("number").alias("kind"), e["n"].cast("string").alias("value")))
-    found = lambda nodes: F.transform(F.filter(_firsts(nodes), lambda e: _plain(e, False)), lambda e: _item(e["key"], e, F.to_json(e["v"])))
-    return _walk(text, lambda nodes: F.concat(found(nodes).cast(ITEM), counted(nodes).cast(ITEM)), lambda nodes: _inner(nodes, lambda e: e["key"]))
+    counted = lambda firsts: F.transform(F.filter(firsts, lambda e: e["n"].isNotNull() & _is(e, "OBJECT")), lambda e: F.struct(F.concat(e["key"], F.lit("_count")).alias("key"), F.lit("number").alias("kind"), e["n"].cast("string").alias("value")))
+    found = lambda firsts: F.transform(F.filter(firsts, lambda e: _plain(e, False)), lambda e: _item(e["key"], e, F.to_json(e["v"])))
+    return _walk(text, lambda firsts: F.concat(found(firsts).cast(ITEM), counted(firsts).cast(ITEM)), lambda firsts: _inner(firsts, lambda e: e["key"]), sees=_firsts)
 
 
 def aliased(items: Column) -> Column:
-    """``items`` and, under the normal form of its key, each whose key has another."""
+    """``items`` (a column, as it is read twice) and, under the normal form of its key, each whose key has another."""
     alias = lambda x: F.trim(normal_name(x["key"], "session"), F.lit("_"))
-    more = F.transform(F.filter(items, lambda x: alias(x) != x["key"]), lambda x: F.struct(alias(x).alias("key"), x["kind"].alias("kind"), x["value"].alias("value")))
-    return F.concat(items.cast(ITEM), more.cast(ITEM))
+    named = lambda own: F.transform(own, lambda x: F.struct(alias(x).alias("key"), x["kind"].alias("kind"), x["value"].alias("value"), x["key"].alias("old")))
+    more = lambda own: F.transform(F.filter(named(own), lambda x: x["key"] != x["old"]), lambda x: F.struct(x["key"].alias("key"), x["kind"].alias("kind"), x["value"].alias("value")))
+    return F.concat(items.cast(ITEM), more(items).cast(ITEM))
 
 
 def comparable_values(text: Column) -> Column:
     """Texts and numbers under their keys, of lists the first ten elements, five levels below the top; no booleans."""
     items = lambda nodes: _each(_entries(nodes), lambda e: F.transform(F.when(_is(e, "ARRAY"), F.slice(_list(e["v"]), 1, 10)).otherwise(F.array(e["v"])), lambda x: _node(e["key"], x)))
-    found = lambda nodes: F.transform(F.filter(items(nodes), lambda n: _filled(n) & ~_is(n, "BOOLEAN")), lambda n: _item(n["key"], n, _text(n)))
-    return _walk(text, found, lambda nodes: F.filter(items(nodes), lambda n: _is(n, "OBJECT")), 6, whole=False)
+    found = lambda own: F.transform(F.filter(own, lambda n: _filled(n) & ~_is(n, "BOOLEAN")), lambda n: _item(n["key"], n, _text(n)))
+    return _walk(text, found, lambda own: F.filter(own, lambda n: _is(n, "OBJECT")), 6, whole=False, sees=items)
 
 
 def _properties(nodes: Column) -> Column:
@@ -193,20 +199,20 @@ def fields_of(schema: Column) -> Column:
     typed = lambda e: _is(e, "STRING") & F.lower(e["v"].cast("string")).isin(*TYPE_WORDS)
     named = lambda key, kind: F.struct(key.alias("key"), kind.alias("kind"), F.lit("").alias("value"))
 
-    def gives(nodes: Column) -> Column:
-        kind = lambda p: F.try_variant_get(p["v"], "$.type", "variant")
-        of_schema = F.transform(declared(nodes), lambda p: named(p["key"], F.when(F.coalesce(_type(kind(p)) == "ST", F.lit(False)), kind(p).cast("string")).otherwise("string")))
-        shown = F.filter(other(nodes), lambda e: typed(e) | _is(e, "OBJECT", "ARRAY"))
+    def gives(seen: Column) -> Column:
+        kind = lambda p: let(F.try_variant_get(p["v"], "$.type", "variant"), lambda k: F.when(F.coalesce(_type(k) == "ST", F.lit(False)), k.cast("string")).otherwise("string"))
+        of_schema = F.transform(seen["declared"], lambda p: named(p["key"], kind(p)))
+        shown = F.filter(seen["other"], lambda e: typed(e) | _is(e, "OBJECT", "ARRAY"))
         return F.concat(of_schema.cast(ITEM), F.transform(shown, lambda e: named(e["key"], F.when(_is(e, "OBJECT"), "object").when(_is(e, "ARRAY"), "array").otherwise(e["v"].cast("string")))).cast(ITEM))
 
-    def opens(nodes: Column) -> Column:
+    def opens(seen: Column) -> Column:
         example = lambda e: F.when(_is(e, "ARRAY"), F.get(F.filter(_list(e["v"]), lambda x: _type(x) == "OB"), 0)).when(_is(e, "OBJECT"), e["v"])
-        return F.concat(_below(declared(nodes)).cast(NODE), F.filter(F.transform(other(nodes), lambda e: _node(e["key"], example(e))), lambda n: n["v"].isNotNull()).cast(NODE))
+        return F.concat(_below(seen["declared"]).cast(NODE), F.filter(F.transform(seen["other"], lambda e: _node(e["key"], example(e))), lambda n: n["v"].isNotNull()).cast(NODE))
 
-    return _walk(schema, gives, opens, 5, whole=False)
+    return _walk(schema, gives, opens, 5, whole=False, sees=lambda nodes: let(nodes, lambda n: F.struct(declared(n).alias("declared"), other(n).alias("other"))), parts=("declared", "other"))
 
 
 def property_names(schema: Column) -> Column:
     """Names of JSON Schema properties, each as often as it is declared, three levels below the top."""
-    gives = lambda nodes: F.transform(_properties(nodes), lambda p: F.struct(p["key"].alias("key"), F.lit("").alias("kind"), F.lit("").alias("value")))
-    return _walk(schema, gives, lambda nodes: _below(_properties(nodes)), 4, whole=False)
+    gives = lambda own: F.transform(own, lambda p: F.struct(p["key"].alias("key"), F.lit("").alias("kind"), F.lit("").alias("value")))
+    return _walk(schema, gives, _below, 4, whole=False, sees=_properties)
