@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.text import let
 from .planning import mapped_type
 
 
@@ -23,9 +24,10 @@ def definitions(endpoints: DataFrame) -> DataFrame:
     input_schema (JSON text), and the parameters: identifier, name, type, required. Credentials are left out; names are made identifiers that
     differ from each other, so each leads back to one parameter."""
     plain = lambda c, needed: F.transform(F.filter(c, lambda p: ~T.auth_param(p["name"])), lambda p: F.struct(p["name"].alias("name"), mapped_type(p["type"]).alias("type"), F.coalesce(F.nullif(p["description"], F.lit("")), p["name"]).alias("about"), F.lit(needed).alias("required")))
-    rows = endpoints.withColumn("p", F.concat(plain("required", True), plain("optional", False)))
-    rows = rows.withColumn("safe", distinct_names(F.transform("p", lambda p: T.param_identifier(p["name"]))))
-    rows = rows.withColumn("parameters", F.transform("p", lambda p, i: F.struct(F.get("safe", i).alias("identifier"), p["name"].alias("name"), p["type"].alias("type"), p["about"].alias("about"), p["required"].alias("required"))))
+    # Names are told apart once a row; as a column of its own Spark may put that into the loop over the parameters.
+    safe = lambda p: distinct_names(F.transform(p, lambda x: T.param_identifier(x["name"])))
+    given = lambda own, names: F.transform(own, lambda p, i: F.struct(F.get(names, i).alias("identifier"), p["name"].alias("name"), p["type"].alias("type"), p["about"].alias("about"), p["required"].alias("required")))
+    rows = endpoints.withColumn("parameters", let(F.concat(plain("required", True), plain("optional", False)), lambda own: let(safe(own), lambda names: given(own, names))))
     text = lambda c: F.to_json(c.cast("variant"))
     one = lambda p: F.concat(text(p["identifier"]), F.lit(':{"type":'), text(p["type"]), F.lit(',"description":'), text(p["about"]), F.lit("}"))
     needed = F.transform(F.filter("parameters", lambda p: p["required"]), lambda p: text(p["identifier"]))
