@@ -68,12 +68,12 @@ def _wire_messages(messages: Column) -> Column:
 
     def calls(m: Column) -> Column:
         one = lambda c: F.coalesce(_get(c, "endpoint", "string"), F.lit(""))
-        named = lambda c: F.struct(endpoint_parts(one(c))[0].alias("tool"), endpoint_parts(one(c))[1].alias("api"), _object(_get(c, "arguments")).alias("arguments"))
+        named = lambda c: let(F.struct(one(c).alias("endpoint"), _get(c, "arguments").alias("arguments")), lambda x: F.struct(endpoint_parts(x["endpoint"])[0].alias("tool"), endpoint_parts(x["endpoint"])[1].alias("api"), _object(x["arguments"]).alias("arguments")))
         return F.when(_get(m, "role", "string") == "assistant", F.transform(_items(_get(m, "tool_calls")), named)).otherwise(F.array().cast(f"array<{CALL}>"))
 
     def response(m: Column) -> Column:
-        content = _get(m, "content")
-        return F.when(content.isNull() | _is(content, "VOID"), "{}").when(_is(content, "OBJECT"), F.to_json(content)).otherwise(F.concat(F.lit('{"result":'), F.to_json(content), F.lit("}")))
+        said = lambda x: F.when(x["kind"].isNull() | x["kind"].startswith("VOID"), "{}").when(x["kind"].startswith("OBJECT"), F.to_json(x["v"])).otherwise(F.concat(F.lit('{"result":'), F.to_json(x["v"]), F.lit("}")))
+        return let(_get(m, "content"), lambda v: let(F.struct(v.alias("v"), F.schema_of_variant(v).alias("kind")), said))
 
     output = lambda name, api, m: F.struct(name.alias("tool"), api.alias("api"), response(m).alias("response"))
 
@@ -82,8 +82,9 @@ def _wire_messages(messages: Column) -> Column:
         stop = F.array_position(F.slice(tool, i + 2, F.size(mine)), False)
         taken = F.when(stop > 0, F.slice(after, F.lit(1), (stop - 1).cast("int"))).otherwise(after)
         outputs = F.transform(taken, lambda t, j: output(F.get(mine, j)["tool"], F.get(mine, j)["api"], t))
-        own = F.array(_message(_get(m, "role", "string"), _said(_get(m, "content")), F.when(F.size(mine) > 0, mine), void))
-        return F.when(F.size(outputs) > 0, F.concat(own, F.array(_message(F.lit("tool"), void.cast("string"), void, outputs)))).otherwise(own)
+        own = F.array(_message(_get(m, "role", "string"), let(_get(m, "content"), _said), F.when(F.size(mine) > 0, mine), void))
+        told = F.transform(F.filter(F.array(outputs), lambda x: F.size(x) > 0), lambda x: _message(F.lit("tool"), void.cast("string"), void, x))
+        return F.concat(own, told.cast(f"array<{MESSAGE}>"))
 
     def alone(i: Column, made: Column, tool: Column) -> Column:
         """Whether the calls before are too few for this tool message: it is further from the last other message than that has calls."""
