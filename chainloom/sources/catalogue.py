@@ -24,8 +24,9 @@ def parameters(raw: Column) -> Column:
     named = F.filter(parsed, lambda p: F.trim(F.coalesce(p["name"], F.lit(""))) != "")
 
     def clean(p: Column) -> Column:
-        name, description = F.trim(p["name"]), T.clean_description(p["description"])
-        return F.struct(name.alias("name"), T.normal_type(F.coalesce(p["type"], F.lit(""))).alias("type"), F.when(description == "", T.human_name(name)).otherwise(description).alias("description"), p["default"].alias("default"), p["example_value"].alias("example_value"))
+        told = lambda name: T.let(T.clean_description(p["description"]), lambda d: F.when(d == "", T.human_name(name)).otherwise(d))
+        name = F.trim(p["name"])
+        return F.struct(name.alias("name"), T.normal_type(F.coalesce(p["type"], F.lit(""))).alias("type"), told(name).alias("description"), p["default"].alias("default"), p["example_value"].alias("example_value"))
 
     return F.transform(named, clean)
 
@@ -37,9 +38,9 @@ def given_schema(raw: Column) -> Column:
 
 def _properties(pairs: Column) -> Column:
     """A JSON object of names and types from (name, type) pairs; of equal names the last counts."""
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["name"] == p["name"]))
+    last = lambda given: F.filter(given, lambda p, i: ~F.exists(F.slice(given, i + 2, F.size(given)), lambda q: q["name"] == p["name"]))
     quoted = lambda name: F.regexp_replace(F.to_json(F.array(name)), r"^\[|\]$", "")
-    return F.concat(F.lit("{"), F.array_join(F.transform(last, lambda p: F.concat(quoted(p["name"]), F.lit(':{"type":"'), p["type"], F.lit('"}'))), ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(T.let(pairs, last), lambda p: F.concat(quoted(p["name"]), F.lit(':{"type":"'), p["type"], F.lit('"}'))), ","), F.lit("}"))
 
 
 def inferred_schema(name: Column, method: Column, params: Column) -> Column:
@@ -51,8 +52,8 @@ def inferred_schema(name: Column, method: Column, params: Column) -> Column:
     ids = F.filter(params, lambda p: F.lower(p["name"]).endswith("_id") | (F.lower(p["name"]) == "id"))
     entity = lambda p: F.when(F.lower(p["name"]) == "id", "item").otherwise(F.replace(F.lower(p["name"]), F.lit("_id"), F.lit("")))
     entities = F.concat(own, F.transform(ids, lambda p: pair(F.concat(entity(p), F.lit("_name")))))
-    without = ~F.exists(entities, lambda p: (p["name"] == "id") | p["name"].endswith("_id"))
-    entities = F.when(without, F.array_append(entities, pair("id"))).otherwise(entities)
+    without = lambda given: ~F.exists(given, lambda p: (p["name"] == "id") | p["name"].endswith("_id"))
+    entities = T.let(entities, lambda given: F.when(without(given), F.array_append(given, pair("id"))).otherwise(given))
     words = F.filter(F.split(F.replace(lower, F.lit("_"), F.lit(" ")), r"\s+"), lambda w: w != "")
     made = F.when(F.size(words) > 1, F.element_at(words, -1)).otherwise("item")
     whole = lambda inner: F.concat(F.lit('{"type":"object","properties":'), inner, F.lit("}"))
@@ -76,7 +77,7 @@ def parse(definitions: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = each.where(F.trim(F.coalesce("e.name", F.lit(""))) != "")
     method = T.normal_method(F.coalesce("e.method", F.lit("GET")))
     typed = each.select("tool_id", "tool_name", "pos", F.trim("e.name").alias("name"), F.coalesce("e.url", F.lit("")).alias("url"), T.clean_description(F.col("e.description")).alias("description"), method.alias("method"), parameters(F.col("e.required_parameters")).alias("required"), parameters(F.col("e.optional_parameters")).alias("optional"), given_schema(F.col("e.schema")).alias("own"))
-    schema = F.coalesce("own", inferred_schema(F.col("name"), F.col("method"), F.concat("required", "optional")))
+    schema = F.coalesce("own", T.let(F.concat("required", "optional"), lambda given: inferred_schema(F.col("name"), F.col("method"), given)))
     endpoints = typed.select(*typed.columns[:-1], schema.alias("schema"), F.col("own").isNotNull().alias("given"))
     # A tool's own description, else the first three of its endpoints'.
     described = F.array_sort(F.collect_list(F.when(F.col("description") != "", F.struct("pos", "description"))))
