@@ -260,3 +260,23 @@ def test_appending(spark, tmp_path):
         (tmp_path / "in" / f"{k}.jsonl").write_text(json.dumps({"conversation_id": f"c{k}", "messages": [{"role": "user", "content": "hi"}]}) + "\n{broken\n")
         append_conversations(spark, *places).awaitTermination(120)
         assert {json.loads(r.value)["conversation_id"] for r in spark.read.text(places[1]).collect()} == {f"c{i}" for i in range(1, k + 1)}
+
+
+def test_packed_cosine_join_over_tiles_equals_all_pairs(spark):
+    """Texts as rows, an id in two of them; vectors meet by pairs of small tiles, and no row holds a word of a pair."""
+    r = random.Random(8)
+    texts = [[r.choice("abcdefghijklmnopqrstuvwxyz") * r.randrange(1, 3) for _ in range(r.randrange(1, 12))] for _ in range(60)]
+    texts += [texts[i] + ["extra"] for i in range(0, 60, 3)] + [list(texts[5])] * 3 + [[]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[4] + texts[7])]
+    packed = G.packed_texts(spark.createDataFrame(rows, "id long, words array<string>")).withColumn("category", F.element_at(F.array(*[F.lit(c) for c in "xyz"]), (F.col("id") % 3 + 1).cast("int")))
+    long = spark.createDataFrame([(i, "xyz"[i % 3], w) for i, t in rows for w in t], "id long, category string, word string")
+    of = {}
+    for v in G.text_vectors(long).collect():
+        of.setdefault(v.id, {})[v.word] = v.w
+    dot = lambda i, j: sum(w * of[j].get(d, 0.0) for d, w in of[i].items())
+    for threshold in (0.3, 0.75):
+        want = {(i, j): c for i in of for j in of if i % 3 != j % 3 and (c := dot(i, j)) >= threshold}
+        for tile in (40, 6_000_000):
+            got = [(x.src, x.dst, x.cosine) for x in G.packed_cosine_join(packed, threshold, tile=tile).collect()]
+            assert len(got) == len(want) and all(abs(want[(a, b)] - c) < 1e-6 for a, b, c in got) and want
+    assert G.packed_cosine_join(packed.limit(0)).count() == 0
