@@ -280,3 +280,28 @@ def test_packed_cosine_join_over_tiles_equals_all_pairs(spark):
             got = [(x.src, x.dst, x.cosine) for x in G.packed_cosine_join(packed, threshold, tile=tile).collect()]
             assert len(got) == len(want) and all(abs(want[(a, b)] - c) < 1e-6 for a, b, c in got) and want
     assert G.packed_cosine_join(packed.limit(0)).count() == 0
+
+
+def test_category_fallback_makes_pairs_in_tiles(spark):
+    """Keys of matrices and rare ones, over several tiles; an endpoint of two categories; no join of names makes the pairs."""
+    from chainloom.operators.meeting import shared_keys
+
+    r = random.Random(9)
+    rows = [(e, f"t{e % 7}", f"c{e % 2}", r.choice(["output", "input"]), f"f{r.randrange(12)}") for e in range(60) for _ in range(8)]
+    rows += [(e, "t", c, k, f"f{i}") for e in (3, 4) for c in ("c0", "c1") for k in ("output", "input") for i in (e, 5, 6)] + [(70, "t", "c0", "output", None), (None, "t", "c0", "input", "f1")]
+    fields = spark.createDataFrame(rows, "endpoint long, tool string, category string, kind string, field string")
+    out, into = ({(e, c, f) for e, _, c, k, f in rows if k == kind and e is not None and f} for kind in ("output", "input"))
+    want = {}
+    for e, c, f in out:
+        for d, k, g in into:
+            if c == k and f == g and e != d:
+                want.setdefault((e, d), set()).add(f)
+    got = G.category_fallback(fields)
+    assert {(x.src, x.dst): x.shared for x in got.collect()} == {p: len(f) for p, f in want.items()} and got.count() == len(want)
+    assert {x.src for x in G.category_fallback(fields, spark.createDataFrame([(5,)], "endpoint long")).collect()} == {5}
+    ends = [(e, e % 2, sorted({r.randrange(40) for _ in range(9)}), sorted({r.randrange(40) for _ in range(9)})) for e in range(50)]
+    table = spark.createDataFrame(ends, "end long, group int, given array<long>, taken array<long>")
+    every = {(a, b): n for a, g, x, _ in ends for b, h, _, y in ends if g == h and a != b and (n := len(set(x) & set(y)))}
+    for tile, words in ((4096, 1024), (7, 3)):
+        assert sorted((x.src, x.dst, x.shared) for x in shared_keys(table, tile, words).collect()) == sorted((*p, n) for p, n in every.items())
+    assert shared_keys(table.limit(0)).count() == 0
