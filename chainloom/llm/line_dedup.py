@@ -31,6 +31,7 @@ which is replaced. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -167,8 +168,8 @@ def sequences(docs: DataFrame, conf: LineConf) -> DataFrame:
     return docs.select(utf8().alias("text")).mapInArrow(run, "h long, w binary, n int, s0 long, s1 long, s2 long, s3 long")
 
 
-def edits(a: list[int], b: list[int]) -> int:
-    """Insertions, deletions and replacements of words between two lines, by Myers' bit vectors."""
+def edits(a: list[int], b: list[int], most: int | None = None) -> int:
+    """Insertions, deletions and replacements of words between two lines, by Myers' bit vectors. Where they are more than ``most``, some number above it."""
     if not a or not b:
         return max(len(a), len(b))
     at: dict[int, int] = {}
@@ -176,7 +177,12 @@ def edits(a: list[int], b: list[int]) -> int:
         at[x] = at.get(x, 0) | 1 << i
     every, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, distance = every, 0, len(a)
+    left = len(b)
     for y in b:
+        # Each word that is left takes one off at most.
+        if most is not None and distance - left > most:
+            return distance - left
+        left -= 1
         equal = at.get(y, 0)
         vertical = equal | down
         across = (((equal & up) + up) ^ up) | equal
@@ -205,7 +211,23 @@ def similar(a: list[int], b: list[int], percent: int) -> bool:
     if max(len(a), len(b)) <= allowed:
         return True
     x, y = set(a), set(b)
-    return max(len(x - y), len(y - x)) <= allowed and edits(a, b) <= allowed
+    if max(len(x - y), len(y - x)) > allowed:
+        return False
+    if len(x) < len(a) or len(y) < len(b):
+        # Each occurrence counts, which tells lines that repeat few words apart.
+        x, y = Counter(a), Counter(b)
+        if max((x - y).total(), (y - x).total()) > allowed:
+            return False
+    return edits(a, b, allowed) <= allowed
+
+
+def numbered(units: np.ndarray) -> np.ndarray:
+    """Hashes of a line's units, each with the number of its occurrence, so that repeated ones are told apart."""
+    by = np.argsort(units, kind="stable")
+    of = units[by]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(of)), bool), of[1:] != of[:-1]]))
+    number = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
+    return mixed(of.astype(np.uint64) + PRIME * (number.astype(np.uint64) + np.uint64(1)))
 
 
 @cache
@@ -282,54 +304,65 @@ def parities(units: np.ndarray, n: np.ndarray, wide: int) -> np.ndarray:
 
 
 class Block:
-    """Lines that share a key. A line is tested against earlier ones that its words allow
-    (a word that only one of two lines has costs an edit), likeliest first, and once a component."""
+    """Lines that share a key. A line is tested against earlier ones that its words and its pairs of neighbours allow
+    (an occurrence that only one of two lines has costs an edit, two of pairs do), likeliest first, and once a component."""
 
-    BITS = 16  # 64-bit words of a line's bitmap
+    BITS, PAIRS = 16, 64  # 64-bit words of a line's bitmaps, of its words and of its pairs
 
     def __init__(self, percent: int) -> None:
         self.percent, self.n = percent, 0
-        self.bits, self.sizes, self.label = np.zeros((16, self.BITS), np.uint64), np.zeros(16, np.int64), np.zeros(16, np.int64)
+        self.bits, self.sizes, self.label = np.zeros((self.BITS, 16), np.uint64), np.zeros(16, np.int64), np.zeros(16, np.int64)
         self.lines: list[tuple[int, list[int]]] = []
         self.leader = 0  # a line of the component that was met last
         self.roots: dict[int, int] = {}  # the first line of each component known before
+        self.paired: dict[int, np.ndarray] = {}  # bitmaps of pairs, of lines that needed one
+
+    @staticmethod
+    def bitmap(units: np.ndarray, wide: int) -> np.ndarray:
+        bits = np.zeros(64 * wide, np.uint8)
+        bits[(numbered(units) & np.uint64(64 * wide - 1)).astype(np.int64)] = 1
+        return np.packbits(bits).view(np.uint64)
+
+    def pairs(self, i: int) -> np.ndarray:
+        if i not in self.paired:
+            words = np.array(self.lines[i][1], np.uint64)
+            self.paired[i] = self.bitmap(mixed((words[:-1] << np.uint64(32)) | words[1:]), self.PAIRS)
+        return self.paired[i]
 
     def add(self, h: int, words: np.ndarray, root: int) -> Iterator[tuple[int, int]]:
         """Links of the line, which is of the component ``root``, to one line of each other component that holds a similar one."""
         n = self.n
         if n == len(self.sizes):
-            self.bits, self.sizes, self.label = (np.concatenate([x, np.zeros_like(x)]) for x in (self.bits, self.sizes, self.label))
-        mine = np.zeros(self.BITS, np.uint64)
-        at = words.astype(np.uint64) & np.uint64(64 * self.BITS - 1)
-        np.bitwise_or.at(mine, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+            self.bits, self.sizes, self.label = (np.concatenate([x, np.zeros_like(x)], axis=-1) for x in (self.bits, self.sizes, self.label))
         line = words.tolist()
+        self.bits[:, n], self.sizes[n] = self.bitmap(words, self.BITS), len(line)
+        self.lines.append((h, line))
+        self.n += 1
         self.label[n] = self.label[self.roots[root]] if root in self.roots else n
         self.roots.setdefault(root, n)
-        tested = np.flatnonzero(self.label[:n] != self.label[n])
         if n and self.label[self.leader] != self.label[n] and similar(line, self.lines[self.leader][1], self.percent):
             # In a block of alike lines this is the only test; the component's other lines need none.
             other = self.lines[self.leader][0]
             yield min(h, other), max(h, other)
             self.label[: n + 1][self.label[: n + 1] == self.label[n]] = self.label[self.leader]
-            tested = np.flatnonzero(self.label[:n] != self.label[n])
-        before, sizes = self.bits[tested], self.sizes[tested]
-        least = np.maximum(np.bitwise_count(before & ~mine).sum(axis=1), np.bitwise_count(mine & ~before).sum(axis=1)).astype(np.int64)
-        longer = np.maximum(sizes, len(line))
-        allowed = np.maximum(least, np.abs(sizes - len(line))) <= (100 - self.percent) * longer // 100
-        likely = tested[allowed][np.argsort(least[allowed], kind="stable")]
-        while len(likely):
-            other, theirs = self.lines[likely[0]]
-            if similar(line, theirs, self.percent):
+        tested = np.flatnonzero(self.label[:n] != self.label[n])
+        if not len(tested):
+            return
+        mine = self.bits[:, n, None]
+        before = self.bits[:, :n] if 4 * len(tested) > n else self.bits[:, tested]
+        least = np.maximum(np.bitwise_count(before & ~mine).sum(axis=0, dtype=np.uint16), np.bitwise_count(mine & ~before).sum(axis=0, dtype=np.uint16)).astype(np.int64)
+        least, sizes = least[tested] if before.shape[1] == n else least, self.sizes[tested]
+        most = (100 - self.percent) * np.maximum(sizes, len(line)) // 100
+        allowed = np.maximum(least, np.abs(sizes - len(line))) <= most
+        for i in tested[allowed][np.argsort(least[allowed], kind="stable")].tolist():
+            if self.label[i] == self.label[n]:
+                continue  # joined meanwhile
+            other, theirs = self.lines[i]
+            x, y, most = self.pairs(i), self.pairs(n), 2 * ((100 - self.percent) * max(len(theirs), len(line)) // 100)
+            if np.bitwise_count(x & ~y).sum() <= most and np.bitwise_count(y & ~x).sum() <= most and similar(line, theirs, self.percent):
                 yield min(h, other), max(h, other)
-                self.leader = int(likely[0])
-                joined = self.label[likely[0]]
-                likely = likely[self.label[likely] != joined]
-                self.label[: n + 1][self.label[: n + 1] == self.label[n]] = joined
-            else:
-                likely = likely[1:]
-        self.bits[n], self.sizes[n] = mine, len(line)
-        self.lines.append((h, line))
-        self.n += 1
+                self.leader = i
+                self.label[: n + 1][self.label[: n + 1] == self.label[n]] = self.label[i]
 
 
 def key_parts(docs: DataFrame, order: bytes, parts: int, conf: LineConf) -> DataFrame:
@@ -444,7 +477,8 @@ def fuzzy_links(docs: DataFrame, n_lines: int, conf: LineConf) -> DataFrame:
                 out += block.add(h, np.frombuffer(w, np.uint32), root)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return links.union(blocks.repartition("k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long"))
+    # Dealt by number, as few bytes may be much work.
+    return links.union(blocks.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, "k").sortWithinPartitions("k", "h").mapInArrow(run, "a long, b long"))
 
 
 def _alike(pairs: DataFrame, known: DataFrame, conf: LineConf) -> DataFrame:
